@@ -1,10 +1,11 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
-Words are modelled letter by letter, with up to five letters of context that ends at the word's start.  Each class
-(toxic, ordinary) has its own interpolated Kneser-Ney counts; a context that a class has not seen falls back to shorter
-ones, and the shortest levels are counts shared by both classes, so that rare spellings weigh nothing by themselves.
-A text's evidence is the difference of the two log-likelihoods per word; two numbers fitted on held-back training texts
-turn it into a probability.
+The expressions are words, and the stems that open them: their first 3, 4, 5, 6 and 8 bytes.  Each level counts in how
+many training texts of either class an expression occurs - the number of different contexts, as Kneser-Ney counts, not of
+occurrences.  Counts are discounted, and the discounted mass falls back to the next shorter stem, whose counts both
+classes share; a rare word thus says what its stem says, and an unknown one nothing.  The two models give each word a
+toxic and an ordinary likelihood; the mean over a text's words of their log ratio is its evidence, and a few numbers fitted
+on held-back training texts turn that into a probability.
 """
 
 from __future__ import annotations
@@ -17,17 +18,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.rolling import mix
+from ledgerloom.llm.rolling import fingerprints, mix, prefix_sums
 from ledgerloom.llm.store import dropped, written
 from ledgerloom.llm.words import LOWER, text_chunks, word_bounds
 
-ORDER = 6  # letters of an n-gram
-SHARED_ORDER = 2  # up to this many letters, both classes share their counts
+STEMS = (3, 4, 5, 6, 8)  # bytes; the level after them is the whole word
+LEVELS = len(STEMS) + 1
 DISCOUNT = 0.75
+STRENGTH = 4.0  # texts that a fallback weighs besides the discounted mass
+SHORT = 25  # words without evidence that are added to every text, so that few words say little
+SPREAD = 0.1  # log-likelihood ratio per word beyond which more says little more
 MAX_ROWS = 4_000  # training texts per class at most
-MAX_NGRAMS = 400_000  # n-grams kept of each length at most: those that occur often enough
+MAX_EXPRESSIONS = 300_000  # expressions kept of each level at most: those that occur in enough texts
 CACHED_WORDS = 400_000
-END = 10
 
 
 def held_out(doc_id: Column) -> Column:
@@ -41,30 +44,26 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS)
     for value in (0, 1):
         part = own.where(F.col("toxic") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
         picked = part if picked is None else picked.unionByName(part)
-    return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("doc_id", "text", "toxic")
-
-
-def word_ngrams(words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """For n = 1 to ORDER the hash of the n letters up to each letter (0 where the word is shorter), and each letter's word.
-
-    A word ends with a letter of its own, so the model knows where it stops."""
-    lengths = ends - starts + 1
-    word = np.repeat(np.arange(len(starts)), lengths)
-    first = np.concatenate(([0], np.cumsum(lengths)))[:-1]
-    nth = np.arange(len(word)) - np.repeat(first, lengths)
-    at = np.repeat(starts, lengths) + nth
-    last = nth == np.repeat(lengths - 1, lengths)
-    letters = np.where(last, END, words[np.minimum(at, len(words) - 1)] if len(words) else END).astype(np.uint64)
-    key, out = letters.copy(), []
-    step = np.uint64(1)
-    for n in range(1, ORDER + 1):
-        if n > 1:
-            before = np.zeros_like(letters)
-            before[n - 1 :] = letters[: -(n - 1)] if n > 1 else letters
-            step = step * np.uint64(257)
-            key = key + np.where(nth >= n - 1, before + np.uint64(1), 0).astype(np.uint64) * step
-        out.append(np.where(nth >= n - 1, mix(key * np.uint64(8) + np.uint64(n)), 0).astype(np.uint64))
-    return out, word
+    return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("doc_id", "text", "toxic").dropDuplicates(["text", "toxic"])
+
+
+def expressions(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """(LEVELS, words) hashes of each word's stems and of the word; a stem as long as the word or longer is 0."""
+    sums = prefix_sums(data)
+    out = np.zeros((LEVELS, len(starts)), dtype=np.uint64)
+    for level, n in enumerate(STEMS):
+        has = ends - starts > n
+        out[level, has] = mix(fingerprints(sums, starts[has], starts[has] + n) + np.uint64(level + 1))
+    out[-1] = mix(fingerprints(sums, starts, ends) + np.uint64(LEVELS))
+    return out
+
+
+def parents(hashes: np.ndarray) -> np.ndarray:
+    """For each level and word the longest shorter stem's hash, 0 if there is none."""
+    out = np.zeros_like(hashes)
+    for level in range(1, LEVELS):
+        out[level] = np.where(hashes[level - 1] != 0, hashes[level - 1], out[level - 1])
+    return out
 
 
 def _letters(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -75,89 +74,79 @@ def _letters(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(n, gram, context, tail, toxic, count) per chunk: pre-aggregated before the shuffle."""
+    """(level, expression, parent, texts of either class) per chunk: pre-aggregated before the shuffle."""
     for batch in batches:
         toxic = batch.column("toxic").to_numpy()
         for first, last, data, starts, ends, bounds in _letters(batch.column("text")):
-            grams, word = word_ngrams(data, starts, ends)
-            of_class = np.repeat(toxic[first:last], np.diff(bounds))[word] if len(word) else np.zeros(0, np.int32)
-            for n in range(1, ORDER + 1):
-                use = np.flatnonzero(grams[n - 1])
-                gram = grams[n - 1][use]
-                context = grams[n - 2][use - 1] if n > 1 else np.zeros(len(use), np.uint64)
-                tail = grams[n - 2][use] if n > 1 else np.zeros(len(use), np.uint64)
-                rows = np.stack([gram, context, tail, of_class[use].astype(np.uint64)], axis=1)
-                kinds, counts = np.unique(rows, axis=0, return_counts=True) if len(rows) else (rows, np.zeros(0, np.int64))
+            hashes = expressions(data, starts, ends)
+            above = parents(hashes)
+            text = np.repeat(np.arange(last - first), np.diff(bounds))
+            for level in range(LEVELS):
+                use = np.flatnonzero(hashes[level])
+                order = use[np.lexsort((text[use], hashes[level][use]))]
+                key, of = hashes[level][order], text[order]
+                new = np.concatenate(([True], (key[1:] != key[:-1]) | (of[1:] != of[:-1]))) if len(order) else np.zeros(0, bool)
+                order, key, of = order[new], key[new], toxic[first:last][of[new]]
+                begin = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
+                n1 = np.add.reduceat(of, begin) if len(key) else begin
+                n = np.diff(np.concatenate((begin, [len(key)])))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(kinds), n, np.int32)), *(pa.array(kinds[:, c].view(np.int64) if len(kinds) else np.zeros(0, np.int64)) for c in range(3)), pa.array(kinds[:, 3].astype(np.int32)), pa.array(counts, pa.int64())],
-                    names=["n", "gram", "context", "tail", "toxic", "count"],
+                    [
+                        pa.array(np.full(len(begin), level, np.int32)), pa.array(key[begin].view(np.int64)), pa.array(above[level][order[begin]].view(np.int64)),
+                        pa.array(n - n1, pa.int64()), pa.array(n1, pa.int64()),
+                    ],
+                    names=["level", "expression", "parent", "n0", "n1"],
                 )
 
 
 @dataclass
 class KneserNey:
-    """Sorted n-gram hashes of each length with both classes' discounted shares, and their contexts' fallback weights."""
+    """Sorted expression hashes of each level with the log ratio of their likelihoods in the two models."""
 
-    grams: list[np.ndarray]
-    shares: list[np.ndarray]
-    contexts: list[np.ndarray]
-    fallbacks: list[np.ndarray]
-    slope: float = 1.0
+    keys: list[np.ndarray]
+    values: list[np.ndarray]
+    slopes: tuple[float, float] = (0.0, 0.0)
     shift: float = 0.0
 
     def ratios(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Log-likelihood of each word under the toxic model less that under the ordinary one."""
-        grams, word = word_ngrams(data, starts, ends)
-        p = np.full((2, len(word)), 1 / 256)
-        for n in range(1, ORDER + 1):
-            use = np.flatnonzero(grams[n - 1])
-            if not len(use) or not len(self.contexts[n - 1]):
-                continue
-            context = grams[n - 2][use - 1] if n > 1 else np.zeros(len(use), np.uint64)
-            at = np.minimum(np.searchsorted(self.contexts[n - 1], context), len(self.contexts[n - 1]) - 1)
-            known = self.contexts[n - 1][at] == context
-            use, at = use[known], at[known]
-            own = np.minimum(np.searchsorted(self.grams[n - 1], grams[n - 1][use]), len(self.grams[n - 1]) - 1)
-            hit = self.grams[n - 1][own] == grams[n - 1][use]
-            p[:, use] = self.shares[n - 1][:, own] * hit + self.fallbacks[n - 1][:, at] * p[:, use]
-        return np.bincount(word, weights=np.log(p[1]) - np.log(p[0]), minlength=len(starts))
+        out = np.zeros(len(starts))
+        for known, value, hashes in zip(self.keys, self.values, expressions(data, starts, ends)):
+            if len(known):
+                at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+                out = np.where(known[at] == hashes, value[at], out)
+        return out
 
 
 def fit_counts(rows: DataFrame) -> KneserNey:
-    """The models of ``rows`` (text, toxic); what reaches the driver is bounded by MAX_NGRAMS for each length."""
-    counts = rows.mapInArrow(_count, "n int, gram long, context long, tail long, toxic int, count long").groupBy("n", "gram", "context", "tail").agg(
-        F.sum(F.when(F.col("toxic") == 0, F.col("count")).otherwise(0)).alias("c0"), F.sum(F.when(F.col("toxic") == 1, F.col("count")).otherwise(0)).alias("c1")
+    """The models of ``rows`` (text, toxic); what reaches the driver is bounded by MAX_EXPRESSIONS for each level."""
+    counts, path = written(
+        rows.mapInArrow(_count, "level int, expression long, parent long, n0 long, n1 long").groupBy("level", "expression", "parent").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")), "expressions"
     )
-    counts, path = written(counts, "ngrams")
-    frequencies = counts.groupBy("n", (F.col("c0") + F.col("c1")).alias("c")).count().orderBy("n", F.desc("c")).collect()
-    grams, shares, contexts, fallbacks = [], [], [], []
-    for n in range(1, ORDER + 1):
-        least, kept = 1, 0
-        for row in (r for r in frequencies if r["n"] == n):
+    texts = F.col("n0") + F.col("n1")
+    sums = counts.where(F.col("level") == LEVELS - 1).agg(F.coalesce(F.sum("n0"), F.lit(0)), F.coalesce(F.sum("n1"), F.lit(0))).first()
+    prior = (sums[1] + 1) / (sums[0] + sums[1] + 2)
+    frequencies = counts.groupBy("level", texts.alias("texts")).count().orderBy("level", F.desc("texts")).collect()  # at most a row per number of texts
+    keys, values, shares = [], [], {}
+    for level in range(LEVELS):
+        least, kept = 2, 0
+        for row in (r for r in frequencies if r["level"] == level and r["texts"] > 1):
             kept += row["count"]
-            if kept > MAX_NGRAMS:
-                least = row["c"] + 1
+            if kept > MAX_EXPRESSIONS:
+                least = row["texts"] + 1
                 break
-        table = counts.where((F.col("n") == n) & (F.col("c0") + F.col("c1") >= least))
-        if n < ORDER:  # lower levels count the different letters that precede, not occurrences
-            longer = counts.where(F.col("n") == n + 1).groupBy(F.col("tail").alias("gram")).agg(F.count_if(F.col("c0") > 0).alias("k0"), F.count_if(F.col("c1") > 0).alias("k1"))
-            table = table.join(longer, "gram", "left").select("gram", "context", F.greatest(F.coalesce("k0", F.lit(0)), F.signum("c0").cast("long")).alias("c0"), F.greatest(F.coalesce("k1", F.lit(0)), F.signum("c1").cast("long")).alias("c1"))
-        table = table.select("gram", "context", "c0", "c1").toArrow()
-        gram, context = (table.column(c).to_numpy().view(np.uint64) for c in ("gram", "context"))
-        c = np.stack([table.column("c0").to_numpy(), table.column("c1").to_numpy()]).astype(float)
-        if n <= SHARED_ORDER:
-            c = np.repeat(c.sum(axis=0, keepdims=True), 2, axis=0)
-        keys, of = np.unique(context, return_inverse=True)
-        total = np.stack([np.bincount(of, weights=x, minlength=len(keys)) for x in c])
-        kinds = np.stack([np.bincount(of, weights=(x > 0).astype(float), minlength=len(keys)) for x in c])
-        safe = np.maximum(total, 1)
-        order = np.argsort(gram)
-        grams.append(gram[order])
-        shares.append((np.maximum(c - DISCOUNT, 0) / safe[:, of])[:, order])
-        contexts.append(keys)
-        fallbacks.append(np.where(total > 0, np.minimum(DISCOUNT * kinds / safe, 1), 1.0))
+        table = counts.where((F.col("level") == level) & (texts >= least)).select("expression", "parent", "n0", "n1").toArrow()
+        key, above = (table.column(c).to_numpy().view(np.uint64) for c in ("expression", "parent"))
+        n0, n1 = (table.column(c).to_numpy().astype(float) for c in ("n0", "n1"))
+        back = np.array([shares.get(a, prior) for a in above.tolist()])
+        mass = DISCOUNT * ((n0 > 0) * 1.0 + (n1 > 0)) + STRENGTH
+        share = (np.maximum(n1 - DISCOUNT, 0) + mass * back) / (n0 + n1 + STRENGTH)
+        order = np.argsort(key)
+        keys.append(key[order])
+        values.append((np.log(share / prior) - np.log((1 - share) / (1 - prior)))[order])
+        shares.update(zip(key.tolist(), share.tolist()))
     dropped(rows.sparkSession, path)
-    return KneserNey(grams, shares, contexts, fallbacks)
+    return KneserNey(keys, values)
 
 
 class _Scorer:
@@ -165,7 +154,7 @@ class _Scorer:
         self.model, self.known = model, {}
 
     def evidence(self, texts: pa.Array) -> np.ndarray:
-        """Mean log-likelihood ratio of each text's words; 0 without words."""
+        """Log-likelihood ratio of each text per word, squashed into (-1, 1); 0 without words."""
         out = np.zeros(len(texts))
         for first, last, data, starts, ends, bounds in _letters(texts):
             if not len(starts):
@@ -184,7 +173,7 @@ class _Scorer:
             ratios = np.fromiter(map(self.known.__getitem__, words), dtype=np.float64, count=len(words))
             sums = np.concatenate(([0.0], np.cumsum(ratios)))
             n = np.diff(bounds)
-            out[first:last] = (sums[bounds[1:]] - sums[bounds[:-1]]) / np.maximum(n, 1)
+            out[first:last] = np.tanh((sums[bounds[1:]] - sums[bounds[:-1]]) / (n + SHORT) / SPREAD)
         return out
 
 
@@ -198,34 +187,41 @@ def _evidence(model: KneserNey):
     return run
 
 
-def calibrate(evidence: np.ndarray, toxic: np.ndarray, weights: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of the weighted logistic fit, by Newton steps with a little shrinkage."""
-    x = np.stack([evidence, np.ones_like(evidence)], axis=1)
-    beta = np.zeros(2)
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        gradient = x.T @ (weights * (toxic - p)) - 1e-3 * beta
-        hessian = (x * (weights * p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
-        step = np.linalg.solve(hessian, gradient)
-        beta += step
+def calibrate(evidence: np.ndarray, toxic: np.ndarray) -> tuple[float, float, float]:
+    """Slopes below and above no evidence, and shift, of the logistic fit, by Newton steps with a little shrinkage.
+
+    Two slopes, because wrong labels keep texts without toxic words at a floor that evidence does not explain.  A falling
+    slope is made almost flat, so that the score always rises with the evidence."""
+    x = np.stack([np.minimum(evidence, 0), np.maximum(evidence, 0), np.ones_like(evidence)], axis=1)
+    used, beta = [0, 1, 2], np.zeros(3)
+    for _ in range(60):
+        own = x[:, used]
+        p = 1 / (1 + np.exp(-np.clip(own @ beta[used], -30, 30)))
+        gradient = own.T @ (toxic - p) - 1e-2 * beta[used]
+        hessian = (own * (p * (1 - p))[:, None]).T @ own + 1e-2 * np.eye(len(used))
+        step = np.clip(np.linalg.solve(hessian, gradient), -2, 2)
+        beta[used] += step
         if np.abs(step).max() < 1e-8:
-            break
-    return float(beta[0]), float(beta[1])
+            falling = [i for i in used if i < 2 and beta[i] < 0]
+            if not falling:
+                break
+            beta[falling] = 0.0
+            used = [i for i in used if i not in falling]
+    return float(max(beta[0], 0.1)), float(max(beta[1], 0.1)), float(beta[2])
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> KneserNey:
     """The models and their calibration, from at most ``max_rows`` labelled texts of each class.
 
     Three quarters of them give the counts, the rest the calibration; labels of the held-out fifth are never read.
-    Without texts of both classes every score is one half or the smoothed share of the class there is.
+    The calibration weighs both classes by their numbers.  Without labelled texts every score is one half.
     """
     rows = training_rows(docs, labels, max_rows).withColumn("fold", F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(4)))
     model = fit_counts(rows.where("fold <> 0"))
     table = rows.where("fold = 0").select("text", "toxic").mapInArrow(_evidence(model), "toxic int, evidence double").toArrow()  # at most max_rows of each class
     toxic, evidence = table.column("toxic").to_numpy().astype(float), table.column("evidence").to_numpy()
     if len(toxic):
-        model.slope, model.shift = calibrate(evidence, toxic, np.ones_like(toxic))
-        model.slope = max(model.slope, 0.0)
+        model.slopes, model.shift = calibrate(evidence, toxic)[:2], calibrate(evidence, toxic)[2]
     return model
 
 
@@ -236,7 +232,7 @@ def score_toxicity(docs: DataFrame, model: KneserNey) -> DataFrame:
     an empty table gives an empty result; other columns are not read.
     """
     evidence = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_evidence(model), "doc_id long, evidence double")
-    linear = F.least(F.greatest(F.col("evidence") * model.slope + model.shift, F.lit(-700.0)), F.lit(700.0))
+    linear = F.col("evidence") * F.when(F.col("evidence") < 0, model.slopes[0]).otherwise(model.slopes[1]) + model.shift
     return evidence.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), (1 / (1 + F.exp(-linear))).alias("score")).withColumn(
         "predicted", (F.col("score") >= 0.5).cast("int")
     )
