@@ -10,8 +10,9 @@
    which it shares most bands.
 4. Pairs are filtered by set sizes and by the collision-corrected estimate (with five standard errors of slack), then
    verified on the full shingle sets.  Verified links give components.
-5. Groups that still hold several components are compared in blocks of registers inside the tasks; only pairs across
-   components that pass the estimate are emitted and verified.  The components of all links are the result.
+5. In groups that still hold several components, the members outside the largest one visit the group's blocks, where
+   their registers are compared with those of other components inside the task; only pairs that pass the estimate are
+   emitted and verified.  The components of all links are the result.
 
 Groups never meet in one task unless they are small: stars come from pre-aggregated minima and equi-joins, large
 groups are cut into blocks, and a star's centre is copied to salted shares of its members.
@@ -37,7 +38,7 @@ MANTISSA_BITS = 10
 BANDS, BAND_SIZE = 64, 5
 EMPTY = np.uint16(0xFFFF)
 SHARE = 512  # members of a star that one salted share holds
-BLOCK = 256  # members of a group that one side of a block comparison holds
+BLOCK = 256  # members of a group in one block, which the others visit
 
 _random = np.random.default_rng(20240229)
 _PROBES = np.array([_random.permutation(BUCKETS) for _ in range(BUCKETS)])
@@ -134,22 +135,22 @@ def _block_pairs(percent: int):
         carried: pa.Table | None = None
 
         def pairs(group: pa.Table) -> Iterator[pa.RecordBatch]:
-            ids, comp, n, side = (group.column(c).to_numpy() for c in ("doc_id", "component", "n_shingles", "side"))
-            if len(ids) < 2 or (comp == comp[0]).all():
+            ids, comp, n, visits, largest = (group.column(c).to_numpy() for c in ("doc_id", "component", "n_shingles", "visits", "of_largest"))
+            right = np.flatnonzero(~visits)
+            left = np.flatnonzero(visits)
+            if not len(left) or not len(right):
                 return
             registers = _register_matrix(group.column("registers").combine_chunks())
-            left = np.flatnonzero(side <= 0)
-            right = np.flatnonzero(side >= 0)
             found = []
             for i in left:
-                j = right[(comp[right] != comp[i]) & ((ids[right] > ids[i]) | (side[i] < 0))]
+                j = right[(comp[right] != comp[i]) & (largest[right] | (ids[right] > ids[i]))]
                 j = j[may_link(registers[i][None, :], registers[j], np.full(len(j), n[i]), n[j], percent)]
                 found.append(np.stack([np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])]))
             both = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(both[0], pa.int64()), pa.array(both[1], pa.int64())], schema=schema)
 
         def groups(table: pa.Table, last: bool) -> Iterator[pa.Table]:
-            keys = [table.column(c).to_numpy() for c in ("key", "block_a", "block_b")]
+            keys = [table.column(c).to_numpy() for c in ("key", "block")]
             change = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
             cuts = [0, *change.tolist(), len(table)]
             for a, b in zip(cuts[:-1], cuts[1:] if last else cuts[1:-1]):
@@ -241,21 +242,19 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
 
     found = connected_components(links)
     placed = shared.select("key", "doc_id").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("key", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-    mixed = placed.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    open_rows = (
-        placed.join(mixed.select("key", blocks.alias("blocks")), "key")
-        .withColumn("own", F.pmod(F.xxhash64("doc_id"), "blocks").cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(
-            "key", "doc_id", "component", F.least("own", "other").alias("block_a"), F.greatest("own", "other").alias("block_b"),
-            F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), -1).otherwise(1).alias("side"),
-        )
-    )
+    # per group and component: members of the group's largest component meet the others, not each other
+    sizes = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
+    mixed = sizes.groupBy("key").agg(F.sum("n").alias("total"), F.max_by("component", F.struct("n", "component")).alias("largest"), F.count("*").alias("components")).where("components > 1")
+    open_rows = placed.join(mixed.select("key", "largest", F.ceil(F.col("total") / BLOCK).cast("int").alias("blocks")), "key").withColumn("own", F.pmod(F.xxhash64("doc_id"), "blocks").cast("int"))
+    resting = open_rows.select("key", F.col("own").alias("block"), "doc_id", "component", F.lit(False).alias("visits"), (F.col("component") == F.col("largest")).alias("of_largest"))
+    visiting = open_rows.where("component <> largest").select(
+        "key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "doc_id", "component", F.lit(True).alias("visits"), F.lit(False).alias("of_largest")
+    )
     dealt = (
-        open_rows.join(members.select("doc_id", "n_shingles", "registers"), "doc_id")
-        .repartition("key", "block_a", "block_b")
-        .sortWithinPartitions("key", "block_a", "block_b")
+        resting.unionByName(visiting)
+        .join(members.select("doc_id", "n_shingles", "registers"), "doc_id")
+        .repartition("key", "block")
+        .sortWithinPartitions("key", "block")
     )
     across, across_path = written(dealt.mapInArrow(_block_pairs(percent), "lead long, doc_id long").distinct(), "block-pairs")
     more, _ = written(_verified(across, members, percent), "links")
