@@ -11,10 +11,13 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,36 +25,49 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.store import dropped, written
 
 CAPACITY = 2048
-CACHED_WORDS = 500_000
+CACHED_WORDS = 1_500_000
+LATIN_END = "\u0250"
+# Fixed value: the vocabulary's pre-tokeniser.
+PRETOKENS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
 
 class WordEncoder(dict):
     """Ids of a text by the ids of its space-led words, each encoded once and kept (a bounded number of them).
 
     The vocabulary's pre-tokeniser always breaks before the last blank of a run that precedes a word, so cutting a text
-    there changes nothing; texts with two blanks in a row are encoded whole.
+    there changes nothing; texts with two blanks in a row are encoded whole.  A new word of ASCII and Latin letters is
+    cut by the pre-tokeniser's own pattern, as its parts are often known.
     """
 
     def __init__(self, tokenizer, limit: int = CACHED_WORDS):
         super().__init__()
         self.tokenizer, self.limit = tokenizer, limit
-
-    def __missing__(self, word: str) -> bytes:
-        return self.whole(" " + word)
+        self.parts: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def learn(self, words: set[str]) -> None:
+        """Keep the ids of ``words``, each led by a blank."""
+        cut = {w: PRETOKENS.findall(" " + w) if w.isascii() or max(w) < LATIN_END else [" " + w] for w in words if "<|" not in w}
+        cut |= {w: [" " + w] for w in words if "<|" in w}
+        new = list(set().union(*cut.values()) - self.parts.keys())
+        for part, encoding in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+            self.parts[part] = array("I", encoding.ids).tobytes()
+        known = self.parts
+        for word, pieces in cut.items():
+            self[word] = known[pieces[0]] if len(pieces) == 1 else b"".join([known[x] for x in pieces])
 
     def texts(self, texts: list[str]) -> Iterator[bytes]:
         """Little-endian 32-bit ids of each text."""
         split = [None if "  " in t else t.split(" ") for t in texts]
-        new = set().union(*(s[1:] for s in split if s)) - self.keys()
-        if len(self) + len(new) > self.limit:
+        known = self.__contains__
+        new = set().union(*(filterfalse(known, s[1:]) for s in split if s))
+        if len(self) + len(self.parts) + 2 * len(new) > self.limit:
             self.clear()
+            self.parts.clear()
             new = set().union(*(s[1:] for s in split if s))
-        words = list(new)
-        for word, ids in zip(words, self.tokenizer.encode_batch_fast([" " + w for w in words], add_special_tokens=False)):
-            self[word] = np.array(ids.ids, dtype="<u4").tobytes()
+        self.learn(new)
         for text, parts in zip(texts, split):
             if parts is None:
                 yield self.whole(text)
@@ -59,12 +75,22 @@ class WordEncoder(dict):
                 yield self.whole(parts[0]) + b"".join(map(self.__getitem__, parts[1:]))
 
 
-def _tokenize(tokenizer_path: str, capacity: int, separator: int, keep_ids: bool):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+_encoders: dict[str, WordEncoder] = {}
+
+
+def encoder(tokenizer_path: str) -> WordEncoder:
+    """The worker's encoder of this vocabulary; tasks that share a worker share its words."""
+    if tokenizer_path not in _encoders:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        encoder = WordEncoder(Tokenizer.from_file(tokenizer_path))
+        _encoders[tokenizer_path] = WordEncoder(Tokenizer.from_file(tokenizer_path))
+    return _encoders[tokenizer_path]
+
+
+def _tokenize(tokenizer_path: str, capacity: int, separator: int, keep_ids: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = encoder(tokenizer_path).texts
         end = np.array([separator], dtype="<u4").tobytes()
         part, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, dtype=np.int64)
         for batch in batches:
@@ -72,7 +98,7 @@ def _tokenize(tokenizer_path: str, capacity: int, separator: int, keep_ids: bool
             texts = batch.column("text").to_pylist()
             for at in range(0, len(ids), 256):
                 rows = []
-                for doc_id, tokens in zip(ids[at : at + 256], encoder.texts([t or "" for t in texts[at : at + 256]])):
+                for doc_id, tokens in zip(ids[at : at + 256], encode([t or "" for t in texts[at : at + 256]])):
                     tokens += end
                     n = len(tokens) // 4
                     head = n % capacity or capacity

@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ledgerloom.llm.rolling import fingerprints, mix, prefix_sums
 from ledgerloom.llm.store import dropped, written
@@ -177,12 +178,12 @@ class _Scorer:
         return out
 
 
-def _evidence(model: KneserNey):
+def _evidence(model: KneserNey, keep_text: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _Scorer(model)
         for batch in batches:
-            columns = {c: batch.column(c) for c in batch.schema.names if c != "text"}
-            yield pa.RecordBatch.from_pydict(columns | {"evidence": pa.array(scorer.evidence(batch.column("text")), pa.float64())})
+            columns = {c: batch.column(c) for c in batch.schema.names if keep_text or c != "text"}
+            yield pa.RecordBatch.from_pydict(columns | {"_evidence" if keep_text else "evidence": pa.array(scorer.evidence(batch.column("text")), pa.float64())})
 
     return run
 
@@ -232,7 +233,18 @@ def score_toxicity(docs: DataFrame, model: KneserNey) -> DataFrame:
     an empty table gives an empty result; other columns are not read.
     """
     evidence = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_evidence(model), "doc_id long, evidence double")
-    linear = F.col("evidence") * F.when(F.col("evidence") < 0, model.slopes[0]).otherwise(model.slopes[1]) + model.shift
-    return evidence.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), (1 / (1 + F.exp(-linear))).alias("score")).withColumn(
+    return evidence.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), score(F.col("evidence"), model).alias("score")).withColumn(
         "predicted", (F.col("score") >= 0.5).cast("int")
     )
+
+
+def score(evidence: Column, model: KneserNey) -> Column:
+    """Probability that a text of this evidence is toxic."""
+    linear = evidence * F.when(evidence < 0, model.slopes[0]).otherwise(model.slopes[1]) + model.shift
+    return 1 / (1 + F.exp(-linear))
+
+
+def filter_toxic(docs: DataFrame, model: KneserNey) -> DataFrame:
+    """The rows of ``docs`` (text, any other columns) that score below one half, as they are."""
+    schema = StructType([*docs.schema.fields, StructField("_evidence", DoubleType())])
+    return docs.mapInArrow(_evidence(model, keep_text=True), schema).where(score(F.col("_evidence"), model) < 0.5).drop("_evidence")
