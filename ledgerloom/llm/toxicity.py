@@ -5,7 +5,7 @@ many training texts of either class an expression occurs - the number of differe
 occurrences.  Counts are discounted, and the discounted mass falls back to the next shorter stem, whose counts both
 classes share; a rare word thus says what its stem says, and an unknown one nothing.  The two models give each word a
 toxic and an ordinary likelihood; the mean over a text's words of their log ratio is its evidence, and a few numbers fitted
-on held-back training texts turn that into a probability.
+on training texts that the scoring models have not seen turn that into a probability.
 """
 
 from __future__ import annotations
@@ -31,6 +31,7 @@ SHORT = 25  # words without evidence that are added to every text, so that few w
 SPREAD = 0.1  # log-likelihood ratio per word beyond which more says little more
 MAX_ROWS = 4_000  # training texts per class at most
 MAX_EXPRESSIONS = 300_000  # expressions kept of each level at most: those that occur in enough texts
+FOLDS = 4
 CACHED_WORDS = 400_000
 
 
@@ -192,7 +193,7 @@ def calibrate(evidence: np.ndarray, toxic: np.ndarray) -> tuple[float, float, fl
     """Slopes below and above no evidence, and shift, of the logistic fit, by Newton steps with a little shrinkage.
 
     Two slopes, because wrong labels keep texts without toxic words at a floor that evidence does not explain.  A falling
-    slope is made almost flat, so that the score always rises with the evidence."""
+    slope below is made flat, one above almost flat."""
     x = np.stack([np.minimum(evidence, 0), np.maximum(evidence, 0), np.ones_like(evidence)], axis=1)
     used, beta = [0, 1, 2], np.zeros(3)
     for _ in range(60):
@@ -208,21 +209,28 @@ def calibrate(evidence: np.ndarray, toxic: np.ndarray) -> tuple[float, float, fl
                 break
             beta[falling] = 0.0
             used = [i for i in used if i not in falling]
-    return float(max(beta[0], 0.1)), float(max(beta[1], 0.1)), float(beta[2])
+    return float(max(beta[0], 0)), float(max(beta[1], 0.1)), float(beta[2])
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> KneserNey:
     """The models and their calibration, from at most ``max_rows`` labelled texts of each class.
 
-    Three quarters of them give the counts, the rest the calibration; labels of the held-out fifth are never read.
-    The calibration weighs both classes by their numbers.  Without labelled texts every score is one half.
+    The calibration sees every training text once, scored by models of the other folds; the models themselves have all of
+    them.  Labels of the held-out fifth are never read.  Without labelled texts every score is one half.
     """
-    rows = training_rows(docs, labels, max_rows).withColumn("fold", F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(4)))
-    model = fit_counts(rows.where("fold <> 0"))
-    table = rows.where("fold = 0").select("text", "toxic").mapInArrow(_evidence(model), "toxic int, evidence double").toArrow()  # at most max_rows of each class
-    toxic, evidence = table.column("toxic").to_numpy().astype(float), table.column("evidence").to_numpy()
+    rows, path = written(training_rows(docs, labels, max_rows).withColumn("fold", F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(FOLDS)).cast("int")), "training")
+    toxic, evidence = [], []
+    for fold in range(FOLDS):
+        others = fit_counts(rows.where(F.col("fold") != fold))
+        table = rows.where(F.col("fold") == fold).select("text", "toxic").mapInArrow(_evidence(others), "toxic int, evidence double").toArrow()  # bounded as the rows are
+        toxic.append(table.column("toxic").to_numpy().astype(float))
+        evidence.append(table.column("evidence").to_numpy())
+    model = fit_counts(rows)
+    toxic, evidence = np.concatenate(toxic), np.concatenate(evidence)
     if len(toxic):
-        model.slopes, model.shift = calibrate(evidence, toxic)[:2], calibrate(evidence, toxic)[2]
+        below, above, model.shift = calibrate(evidence, toxic)
+        model.slopes = below, above
+    dropped(docs.sparkSession, path)
     return model
 
 
