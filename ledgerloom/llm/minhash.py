@@ -5,7 +5,8 @@
    the first one.  Empty buckets of small sets copy another bucket along a fixed permutation per bucket, which keeps
    the chance that two registers agree equal to the Jaccard similarity.
 2. Equal shingle sets collapse to one class, named after its smallest id.
-3. Bands of five registers are join keys.  A pair at the threshold shares none of the 64 bands with a chance of 3e-8.
+3. Bands of five registers are join keys.  For them, empty buckets of small sets copy another bucket along a fixed
+   permutation per bucket, which keeps the chance that two registers agree equal to the Jaccard similarity.  A pair at the threshold shares none of the 64 bands with a chance of 3e-8.
    In each band's group every member is paired with the group's smallest id only; a document keeps the partner with
    which it shares most bands.
 4. Pairs are filtered by set sizes and by the collision-corrected estimate (with five standard errors of slack), then
@@ -69,33 +70,46 @@ def registers_of(hashes: np.ndarray, rows: np.ndarray, n_rows: int) -> np.ndarra
     shift = np.minimum(zeros + 1, 63).astype(np.uint64)
     mantissa = (rest << shift) >> np.uint64(64 - MANTISSA_BITS)
     out.ravel()[place[first]] = (zeros.astype(np.uint16) << MANTISSA_BITS) | mantissa.astype(np.uint16)
-    filled = out.copy()
-    todo = np.flatnonzero(((out == EMPTY).any(axis=1)) & ((out != EMPTY).any(axis=1)))
+    return out
+
+
+def densified(registers: np.ndarray) -> np.ndarray:
+    """The registers with each empty one filled from the first that is not, along a fixed order of its own."""
+    filled = registers.copy()
+    todo = np.flatnonzero((registers == EMPTY).any(axis=1) & (registers != EMPTY).any(axis=1))
     for step in range(BUCKETS):
         if not len(todo):
             break
         part = filled[todo]
-        part = np.where(part == EMPTY, out[todo][:, _PROBES[:, step]], part)
+        part = np.where(part == EMPTY, registers[todo][:, _PROBES[:, step]], part)
         filled[todo] = part
         todo = todo[(part == EMPTY).any(axis=1)]
     return filled
 
 
-def estimate(matches: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
-    """Jaccard estimate from the number of equal registers.  Two different minima land in the same register with a
-    chance of about 0.17 * 4ab/(a+b)**2 / 2**mantissa_bits; that share of the registers is taken off."""
+def estimate(equal: np.ndarray, filled: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+    """Jaccard estimate from the numbers of equal registers and of those that either set fills.
+
+    Two different minima land in the same register with a chance of about 0.17 * 4ab/(a+b)**2 / 2**mantissa_bits; that
+    share of the registers is taken off."""
     n_a, n_b = n_a.astype(float), n_b.astype(float)
     chance = 0.17 * 4 * n_a * n_b / np.maximum(n_a + n_b, 1) ** 2 / (1 << MANTISSA_BITS)
-    return np.clip((matches / BUCKETS - chance) / (1 - chance), 0, 1)
+    return np.clip((equal / np.maximum(filled, 1) - chance) / (1 - chance), 0, 1)
 
 
 def may_link(registers_a: np.ndarray, registers_b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, percent: int) -> np.ndarray:
-    """Whether sizes and estimate leave room for the threshold; a set of n shingles fills at most n registers itself."""
+    """Whether sizes and estimate leave room for the threshold.
+
+    The filled buckets are a sample, without replacement, of the united shingles; its standard error shrinks as it nears
+    all of them.  Five of those and two registers are the slack."""
     share = percent / 100
     small, large = np.minimum(n_a, n_b), np.maximum(n_a, n_b)
-    error = np.sqrt(share * (1 - share) / np.minimum(BUCKETS, np.maximum(small * 0.6, 1)))
-    estimated = estimate((registers_a == registers_b).sum(axis=-1), n_a, n_b)
-    return (100 * small >= percent * large) & (estimated >= share - 5 * error)
+    there = registers_a != EMPTY
+    equal = ((registers_a == registers_b) & there).sum(axis=-1)
+    filled = (there | (registers_b != EMPTY)).sum(axis=-1)
+    united = np.maximum((n_a + n_b) / (1 + share), 1)
+    error = np.sqrt(share * (1 - share) / np.maximum(filled, 1) * np.clip(1 - filled / united, 0.02, 1))
+    return (100 * small >= percent * large) & (estimate(equal, filled, n_a, n_b) >= share - 5 * error - 2 / np.maximum(filled, 1))
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,7 +136,7 @@ def _band_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, len(batch), 2000):
             part = batch.slice(at, 2000)
-            registers = _register_matrix(part.column("registers")).astype(np.uint64)
+            registers = densified(_register_matrix(part.column("registers"))).astype(np.uint64)
             keys = mix((registers[:, _BAND_REGISTERS] * _BAND_FACTORS).sum(axis=2, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys.ravel().view(np.int64)), pa.array(np.repeat(part.column("doc_id").to_numpy(), BANDS))], names=["key", "doc_id"]
