@@ -16,6 +16,7 @@ from ledgerloom.operators.messages import conversation_order, message_order
 from ledgerloom.operators.references import attachment_index, described_by_any_key
 from ledgerloom.plans.adapters import VENDORS, discovered, parse
 from ledgerloom.sources.docx import extract_documents
+from ledgerloom.sources.json_rows import allowed_fields, is_strict_json
 
 # Members that an adapter decides on by name, as (pattern, decision, reason).
 OVERRIDES = {
@@ -52,6 +53,7 @@ class Limits:
     max_member: int = 2_147_483_648
     max_total: int = 68_719_476_736
     max_ratio: float = 500.0
+    keep_document: int = 26_214_400
 
 
 @dataclass(frozen=True)
@@ -65,6 +67,7 @@ class Import:
     provenance: DataFrame
     findings: DataFrame
     documents: DataFrame
+    retained: DataFrame
 
     def statistics(self) -> DataFrame:
         """One row of counters."""
@@ -76,6 +79,24 @@ class Import:
         )
 
 
+def settled_documents(decided: DataFrame, extracted: DataFrame, keep_under: int) -> DataFrame:
+    """``decided`` with documents that gave no text kept whole up to ``keep_under`` bytes, and tombstoned beyond."""
+    empty = decided.join(extracted.where("problem is not null").select("path", F.col("problem").alias("_refused")), "path", "left")
+    failed = (F.col("decision") == "extract") & F.col("_refused").isNotNull()
+    decision = F.when(failed, F.when(F.col("size_bytes") <= keep_under, "keep").otherwise("tombstone")).otherwise(F.col("decision"))
+    reason = F.when(failed, F.when(F.col("size_bytes") <= keep_under, "document_retained_no_frozen_extraction").otherwise("document_size_policy")).otherwise(F.col("reason"))
+    return empty.withColumns({"reason": reason, "decision": decision}).drop("_refused")
+
+
+def account_metadata(members: DataFrame, allowed: dict[str, list[str]], max_bytes: int = 1_048_576) -> DataFrame:
+    """path, kept: the allowed top-level fields of the members named exactly, where they are strict JSON of bounded size."""
+    raw = members.where(F.col("path").isin(list(allowed)) & (F.col("size_bytes") <= max_bytes)).select("path", F.col("content").cast("string").alias("raw"))
+    kept = F.lit(None).cast("string")
+    for path, fields in allowed.items():
+        kept = F.when(F.col("path") == path, allowed_fields(F.col("raw"), fields)).otherwise(kept)
+    return raw.where(is_strict_json(F.col("raw"))).select("path", kept.alias("kept"))
+
+
 def import_members(members: DataFrame, adapter: str, policy: Policy = Policy(), limits: Limits = Limits()) -> Import:
     """Tables of ``members`` (source, path, size_bytes, compressed_bytes, is_link, head, sha256, content, problem).
 
@@ -88,6 +109,8 @@ def import_members(members: DataFrame, adapter: str, policy: Policy = Policy(),
     rest = members.join(found.select("path"), "path", "left_anti")
     decided = with_disposition(rest, policy, override(F.col("path"), adapter))
     index = attachment_index(messages.select("source_path", "source_index", "conversation_id", "text"))
+    documents = extract_documents(decided.where("decision = 'extract'"))
+    decided = settled_documents(decided, documents, limits.keep_document)
     dropped = decided.where("decision = 'tombstone'").select("path", "kind", "media_type", "size_bytes", "sha256", "reason")
     consumed = found.withColumns({"decision": F.lit("normalized"), "reason": F.lit("adapter_payload")})
     columns = ["path", "sha256", "size_bytes", "decision", "reason"]
@@ -98,7 +121,7 @@ def import_members(members: DataFrame, adapter: str, policy: Policy = Policy(),
     kept_text = decided.where("decision = 'keep' and kind = 'structured_text'").select("path", F.make_valid_utf8(F.col("content").cast("string")).alias("text"))
     return Import(
         conversations, messages, decided.drop("content"), described_by_any_key(dropped, index), provenance(everything, *names),
-        findings(texts.unionByName(kept_text)), extract_documents(decided.where("decision = 'extract'")),
+        findings(texts.unionByName(kept_text)), documents.where("problem is null"), decided.where("decision = 'keep'").select("path", "sha256", "content"),
     )
 
 
@@ -128,6 +151,7 @@ def write_import(result: Import, output: str) -> None:
         result.findings.write.parquet(f"{staging}/findings")
         result.documents.write.parquet(f"{staging}/documents")
         result.members.write.parquet(f"{staging}/members")
+        result.retained.write.parquet(f"{staging}/retained")
         written = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(staging)
         relative = F.element_at(F.split("path", staging.rsplit("/", 1)[-1] + "/"), -1)
         manifest = artifact_identity(written.select(relative.alias("path"), "content")).orderBy("path")

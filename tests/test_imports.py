@@ -10,7 +10,7 @@ import zipfile
 import pytest
 from ledgerloom.operators.members import RuleViolation
 from ledgerloom.plans.adapters import parse
-from ledgerloom.plans.imports import Limits, import_members, write_import
+from ledgerloom.plans.imports import Limits, account_metadata, import_members, write_import
 from ledgerloom.sources.docx import extract_documents
 from ledgerloom.sources.exports import read_exports, read_tree
 from ledgerloom.sources.json_rows import is_strict_json
@@ -87,15 +87,17 @@ def test_issue_tracker_threads(spark):
 
 def test_import_of_a_zip(spark, tmp_path):
     wave = b"RIFF\0\0\0\0WAVE" + b"\0" * 50
-    files = [("conversations.json", json.dumps(CHATGPT)), ("notes.md", "mail a@b.io"), ("assets/demo.wav", wave), ("x.dat", wave), ("tool.exe", b"MZ")]
+    files = [("conversations.json", json.dumps(CHATGPT)), ("notes.md", "mail a@b.io"), ("assets/demo.wav", wave), ("x.dat", wave), ("tool.exe", b"MZ"), ("paper.pdf", b"%PDF-"), ("user.json", '{"id":1,"email":"e","secret":"s"}')]
     members = read_exports(spark, zipped(tmp_path / "export.zip", files))
     result = import_members(members, "openai")
     stats = result.statistics().first()
-    assert (stats.files_keep, stats.files_tombstone, stats.files_reject, stats.files_seen, stats.conversations, stats.messages) == (1, 2, 1, 4, 1, 2)
+    assert (stats.files_keep, stats.files_tombstone, stats.files_reject, stats.files_seen, stats.conversations, stats.messages) == (3, 2, 1, 6, 1, 2)
     described = {r.path: (r.reference_match, r.reference_count) for r in result.tombstones.collect()}
     assert described == {"assets/demo.wav": ("exact", 1), "x.dat": ("none", 0)}
     assert {r.source_path: r.disposition for r in result.provenance.collect()}["conversations.json"] == "normalized"
     assert [(r.path, r.rule_id) for r in result.findings.collect()] == [("notes.md", "email_address")]
+    assert {r.path: r.reason for r in result.members.where("decision = 'keep'").collect()}["paper.pdf"] == "document_retained_no_frozen_extraction"
+    assert account_metadata(members, {"user.json": ["id", "email"], "notes.md": ["id"]}).collect() == [("user.json", '{"email":"e","id":"1"}')]
     out = str(tmp_path / "out")
     write_import(result, out)
     lines = [r.value for r in spark.read.text(f"{out}/messages").collect()]
