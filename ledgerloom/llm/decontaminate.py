@@ -177,7 +177,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = 75, block
 
 
 def mark_contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = 75) -> DataFrame:
-    """``docs`` with ``item_ids`` (sorted; empty if none), ``contaminated`` and ``kept``."""
-    per_doc = contaminated(docs, benchmark, percent).groupBy("doc_id").agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"))
-    none = F.array().cast("array<bigint>")
-    return docs.join(per_doc, "doc_id", "left").withColumn("item_ids", F.coalesce("item_ids", none)).withColumn("contaminated", F.size("item_ids") > 0).withColumn("kept", ~F.col("contaminated"))
+    """``docs`` with ``item_ids`` (sorted; empty if none), ``contaminated`` and ``kept``; rows of one doc_id (or of none)
+    share their marks."""
+    found = contaminated(docs, benchmark, percent).groupBy(F.col("doc_id").alias("_doc_id")).agg(F.sort_array(F.collect_set("item_id")).alias("_items"))
+    items = F.coalesce("_items", F.array().cast("array<bigint>"))
+    joined = docs.join(found, F.col("doc_id").eqNullSafe(F.col("_doc_id")), "left")
+    return joined.select(*docs.columns, items.alias("item_ids"), (F.size(items) > 0).alias("contaminated"), (F.size(items) == 0).alias("kept"))

@@ -230,6 +230,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     Two documents are linked if 100 * common >= percent * united distinct shingles.  A null, empty or blank text has no
     shingles and is linked with nothing.  component_id is the smallest doc_id reachable over links; kept marks the
     document of that id.  Repeated doc_ids with equal texts stay separate rows; an empty table gives an empty result.
+    A null doc_id takes part by its text only: in a group of others it goes to theirs, alone it keeps null and is kept.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -280,5 +281,5 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     return (
         labelled.join(final.select(F.col("node").alias("class_id"), "component"), "class_id", "left")
         .select("doc_id", "n_shingles", F.coalesce("component", "class_id").alias("component_id"))
-        .withColumn("kept", F.col("doc_id") == F.col("component_id"))
+        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )

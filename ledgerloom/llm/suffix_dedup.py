@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.rolling import fingerprints, mix, prefix_sums, sliding_min
@@ -183,17 +183,22 @@ def _spans(length: int):
     return run
 
 
+def _own_id() -> Column:
+    """doc_id; where it is null, a hash of the text stands for it."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))
+
+
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """(doc_id, spans) of documents with bytes covered by a string of ``length`` bytes that also starts elsewhere.
 
-    ``docs`` has doc_id (unique) and text; texts are taken as UTF-8, whole, and nulls as empty.  Spans are maximal, in order,
-    [start, end) in bytes.  Strings never cross documents.  A string may overlap its own repetition.  Texts shorter than
+    ``docs`` has doc_id and text; rows of one doc_id have equal texts, and each repeats the strings of the other; a null
+    doc_id is replaced by a hash of the text.  Texts are taken as UTF-8, whole, and nulls as empty.  Spans are maximal, in order, [start, end) in bytes.  Strings never cross documents.  A string may overlap its own repetition.  Texts shorter than
     ``length`` have none; an empty table gives an empty result.
     """
     spark = docs.sparkSession
     seed = max(1, length * SEED // LENGTH)
     width = max(1, length * BLOCK // LENGTH)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = docs.select(_own_id().alias("doc_id"), "text")
     ranked, ranked_path = written(docs.mapInArrow(_rank_seeds(length, seed), _SEEDS), "seeds")
     again = ranked.groupBy("seed").count().where("count > 1").select("seed")
     open_, open_path = written(ranked.join(again, "seed"), "open-anchors")
@@ -247,7 +252,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     See ``repeated_spans``.  What is left of a text may start or end inside a character, so it stays binary.
     """
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return own.join(repeated_spans(docs, length), "doc_id", "left").mapInArrow(
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _own_id().alias("_own"))
+    spans = repeated_spans(docs, length).withColumnRenamed("doc_id", "_own")
+    joined = own.join(spans, "_own", "left").drop("_own")
+    return joined.mapInArrow(
         _cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
     )

@@ -274,3 +274,18 @@ def test_toxicity_finds_marked_words_and_their_stems(spark):
     assert score_toxicity(docs, fit(docs, flipped)).orderBy("doc_id").collect() == score_toxicity(docs, model).orderBy("doc_id").collect()
     nothing = score_toxicity(docs, fit(docs, marks.limit(0))).agg(F.min("score"), F.max("score")).first()
     assert nothing[0] == nothing[1] == 0.5
+
+
+def test_null_ids_and_repeated_rows(spark):
+    words = [f"w{i}" for i in range(120)]
+    text, other = " ".join(words), " ".join(words[::-1])
+    rows = [(None, text), (None, other), (3, text), (4, "one two three four five six"), (4, "one two three four five six"), (None, None)]
+    docs = frame(spark, rows)
+    cut = sorted((r.doc_id is None, r.doc_id or 0, r.n_removed) for r in remove_repeats(docs).collect())
+    assert cut == sorted([(True, 0, len(text)), (True, 0, 0), (True, 0, 0), (False, 3, len(text)), (False, 4, 0), (False, 4, 0)])
+    near = sorted((r.doc_id or 0, r.n_shingles, r.component_id or 0, r.kept) for r in near_duplicates(docs).collect())
+    assert near == sorted([(0, 116, 3, False), (0, 116, 0, True), (3, 116, 3, True), (4, 2, 4, True), (4, 2, 4, True), (0, 0, 0, True)])
+    bench = spark.createDataFrame([(1, other)], "item_id long, text string")
+    marked = mark_contaminated(docs, bench).collect()
+    assert len(marked) == 6 and all(r.contaminated == (r.doc_id is None) for r in marked)
+    assert len(dedup_lines(docs).collect()) == len(judge_quality(docs).collect()) == len(pack_documents(docs, tokenizer_path()).collect()) == 6
