@@ -9,15 +9,15 @@ Every piece then finds its place from its rank among the pieces of its length, w
 
 from __future__ import annotations
 
+import functools
+import json
 import os
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,82 +25,75 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.store import dropped, written
 
 CAPACITY = 2048
-CACHED_WORDS = 1_500_000
-LATIN_END = "\u0250"
-# Fixed value: the vocabulary's pre-tokeniser.
-PRETOKENS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+# Fixed value: the pre-tokeniser that byte-level vocabularies name by ``use_regex``.
+PRETOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
-class WordEncoder(dict):
-    """Ids of a text by the ids of its space-led words, each encoded once and kept (a bounded number of them).
+def byte_of_letter() -> dict[str, int]:
+    """The byte that each letter of a byte-level vocabulary stands for: printable ones stand for themselves, the others
+    follow from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = sorted(set(range(256)) - set(plain))
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
-    The vocabulary's pre-tokeniser always breaks before the last blank of a run that precedes a word, so cutting a text
-    there changes nothing; texts with two blanks in a row are encoded whole.  A new word of ASCII and Latin letters is
-    cut by the pre-tokeniser's own pattern, as its parts are often known.
+
+class Encoder:
+    """Ids of texts under a vocabulary file, without special tokens around them.
+
+    A byte-level vocabulary whose ids follow the order of its merges is read as ranks by the faster of two libraries,
+    with the same ids; any other file, and texts that hold an added token's content, go to the file's own library.
     """
 
-    def __init__(self, tokenizer, limit: int = CACHED_WORDS):
-        super().__init__()
-        self.tokenizer, self.limit = tokenizer, limit
-        self.parts: dict[str, bytes] = {}
-
-    def whole(self, text: str) -> bytes:
-        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-
-    def learn(self, words: set[str]) -> None:
-        """Keep the ids of ``words``, each led by a blank."""
-        cut = {w: PRETOKENS.findall(" " + w) if w.isascii() or max(w) < LATIN_END else [" " + w] for w in words if "<|" not in w}
-        cut |= {w: [" " + w] for w in words if "<|" in w}
-        new = list(set().union(*cut.values()) - self.parts.keys())
-        for part, encoding in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.parts[part] = array("I", encoding.ids).tobytes()
-        known = self.parts
-        for word, pieces in cut.items():
-            self[word] = known[pieces[0]] if len(pieces) == 1 else b"".join([known[x] for x in pieces])
-
-    def texts(self, texts: list[str]) -> Iterator[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        split = [None if "  " in t else t.split(" ") for t in texts]
-        known = self.__contains__
-        new = set().union(*(filterfalse(known, s[1:]) for s in split if s))
-        if len(self) + len(self.parts) + 2 * len(new) > self.limit:
-            self.clear()
-            self.parts.clear()
-            new = set().union(*(s[1:] for s in split if s))
-        self.learn(new)
-        for text, parts in zip(texts, split):
-            if parts is None:
-                yield self.whole(text)
-            else:
-                yield self.whole(parts[0]) + b"".join(map(self.__getitem__, parts[1:]))
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
 
+        self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            described = json.load(file)
+        self.added = [t["content"] for t in described.get("added_tokens") or []]
+        self.ranks = self._ranks(described)
 
-_encoders: dict[str, WordEncoder] = {}
+    @staticmethod
+    def _ranks(described: dict):
+        model, before = described["model"], described.get("pre_tokenizer") or {}
+        usual = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+        unusual = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")
+        if model.get("type") != "BPE" or described.get("normalizer") or any(before.get(k) != v for k, v in usual.items()) or any(model.get(k) for k in unusual):
+            return None
+        merged = [model["vocab"].get("".join(m.split(" ") if isinstance(m, str) else m)) for m in model["merges"]]
+        letters = byte_of_letter()
+        if None in merged or any(a >= b for a, b in zip(merged, merged[1:])) or len(model["vocab"]) != len(letters) + len(merged):
+            return None
+        import tiktoken
 
+        ranks = {bytes(letters[c] for c in token): i for token, i in model["vocab"].items()}
+        return tiktoken.Encoding("packing", pat_str=PRETOKENS, mergeable_ranks=ranks, special_tokens={})
+
+    def ids(self, text: str) -> list[int]:
+        if self.ranks is None or any(t in text for t in self.added):
+            return self.tokenizer.encode(text, add_special_tokens=False).ids
+        return self.ranks.encode_ordinary(text)
 
-def encoder(tokenizer_path: str) -> WordEncoder:
-    """The worker's encoder of this vocabulary; tasks that share a worker share its words."""
-    if tokenizer_path not in _encoders:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
 
-        _encoders[tokenizer_path] = WordEncoder(Tokenizer.from_file(tokenizer_path))
-    return _encoders[tokenizer_path]
+@functools.cache
+def encoder(tokenizer_path: str) -> Encoder:
+    """The worker's encoder of this vocabulary."""
+    return Encoder(tokenizer_path)
 
 
 def _tokenize(tokenizer_path: str, capacity: int, separator: int, keep_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer_path).texts
-        end = np.array([separator], dtype="<u4").tobytes()
+        encode = encoder(tokenizer_path).ids
         part, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, dtype=np.int64)
         for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
-            texts = batch.column("text").to_pylist()
-            for at in range(0, len(ids), 256):
+            for at in range(0, len(batch), 256):
                 rows = []
-                for doc_id, tokens in zip(ids[at : at + 256], encode([t or "" for t in texts[at : at + 256]])):
-                    tokens += end
-                    n = len(tokens) // 4
+                some = batch.slice(at, 256)
+                for doc_id, text in zip(some.column("doc_id").to_pylist(), some.column("text")):
+                    found = array("I", encode(text.as_py() or ""))
+                    found.append(separator)
+                    n, tokens = len(found), np.asarray(found, dtype="<u4").tobytes()
                     head = n % capacity or capacity
                     cuts = [0, *range(head, n + 1, capacity)]
                     for piece, (a, b) in enumerate(zip(cuts, cuts[1:])):

@@ -289,3 +289,13 @@ def test_null_ids_and_repeated_rows(spark):
     marked = mark_contaminated(docs, bench).collect()
     assert len(marked) == 6 and all(r.contaminated == (r.doc_id is None) for r in marked)
     assert len(dedup_lines(docs).collect()) == len(judge_quality(docs).collect()) == len(pack_documents(docs, tokenizer_path()).collect()) == 6
+
+
+def test_packing_ids_are_those_of_the_vocabulary_file():
+    found = encoder(tokenizer_path())
+    assert found.ranks is not None
+    texts = [f"a {chr(c)}b{chr(c)}{chr(c)} 1{chr(c)}'s {chr(c)}.\n{chr(c)}" for c in range(1, 0x2E80)]
+    rnd = random.Random(21)
+    texts += ["".join(rnd.choice("aeinrst éß'\n .,1<|") for _ in range(rnd.randrange(60))) for _ in range(3000)]
+    texts += ["", " ", "<|endoftext|>", "x <|endoftext|><|endoftext|> y", "a" * 50_000, " \n" * 20_000 + "x"]
+    assert [found.ids(t) for t in texts] == [e.ids for e in found.tokenizer.encode_batch(texts, add_special_tokens=False)]
