@@ -13,7 +13,7 @@
    verified on the full shingle sets.  Verified links give components.
 5. In groups that still hold several components, the members outside the largest one visit the group's blocks, where
    their registers are compared with those of other components inside the task; only pairs that pass the estimate are
-   emitted and verified.  The components of all links are the result.
+   emitted, each by the first band that it shares, and verified.  The components of all links are the result.
 
 Groups never meet in one task unless they are small: stars come from pre-aggregated minima and equi-joins, large
 groups are cut into blocks, and a star's centre is copied to salted shares of its members.
@@ -132,12 +132,17 @@ def _register_matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint16).reshape(-1, BUCKETS)
 
 
+def keys_of(registers: np.ndarray) -> np.ndarray:
+    """(rows, BANDS) keys of each row's bands."""
+    filled = densified(registers).astype(np.uint64)
+    return mix((filled[:, _BAND_REGISTERS] * _BAND_FACTORS).sum(axis=2, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64))
+
+
 def _band_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, len(batch), 2000):
             part = batch.slice(at, 2000)
-            registers = densified(_register_matrix(part.column("registers"))).astype(np.uint64)
-            keys = mix((registers[:, _BAND_REGISTERS] * _BAND_FACTORS).sum(axis=2, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64))
+            keys = keys_of(_register_matrix(part.column("registers")))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys.ravel().view(np.int64)), pa.array(np.repeat(part.column("doc_id").to_numpy(), BANDS))], names=["key", "doc_id"]
             )
@@ -155,10 +160,18 @@ def _block_pairs(percent: int):
             if not len(left) or not len(right):
                 return
             registers = _register_matrix(group.column("registers").combine_chunks())
+            key, right_keys = np.uint64(group.column("key")[0].as_py() & (1 << 64) - 1), keys_of(registers[right])
+            at = np.zeros(len(group), dtype=np.int64)
+            at[right] = np.arange(len(right))
             found = []
             for i in left:
                 j = right[(comp[right] != comp[i]) & (largest[right] | (ids[right] > ids[i]))]
                 j = j[may_link(registers[i][None, :], registers[j], np.full(len(j), n[i]), n[j], percent)]
+                if not len(j):
+                    continue
+                # a pair meets in every band that it shares; the first of them has it
+                own = keys_of(registers[i][None, :])
+                j = j[own[0, (own == right_keys[at[j]]).argmax(axis=1)] == key]
                 found.append(np.stack([np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])]))
             both = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(both[0], pa.int64()), pa.array(both[1], pa.int64())], schema=schema)
