@@ -1,6 +1,6 @@
 """Near-duplicate documents by HyperMinHash sketches, bands and verified links.
 
-1. One pass shingles every whole text (five lower-cased words).  Each distinct shingle's 64-bit hash picks one of 256
+1. One pass shingles every whole text (five lower-cased words).  Each distinct shingle's 64-bit hash picks one of 512
    buckets; a bucket keeps its smallest hash as a 16-bit register: leading-zero count (6 bits) and the 10 bits after
    the first one.  Empty buckets of small sets copy another bucket along a fixed permutation per bucket, which keeps
    the chance that two registers agree equal to the Jaccard similarity.
@@ -33,7 +33,7 @@ from ledgerloom.llm.rolling import mix
 from ledgerloom.llm.store import dropped, written
 from ledgerloom.llm.words import shingle_hashes, text_chunks, word_hashes
 
-BUCKET_BITS = 8
+BUCKET_BITS = 9
 BUCKETS = 1 << BUCKET_BITS
 MANTISSA_BITS = 10
 BANDS, BAND_SIZE = 64, 5
@@ -58,7 +58,7 @@ def distinct_sets(shingles: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray,
 
 
 def registers_of(hashes: np.ndarray, rows: np.ndarray, n_rows: int) -> np.ndarray:
-    """(n_rows, 256) registers from each row's sorted distinct hashes; EMPTY throughout for an empty set."""
+    """(n_rows, 512) registers from each row's sorted distinct hashes; EMPTY throughout for an empty set."""
     out = np.full((n_rows, BUCKETS), EMPTY, dtype=np.uint16)
     if not len(hashes):
         return out
