@@ -14,17 +14,30 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.store import dropped, written
+
 CONTROLS = ("<turn>", "<says>", "</turn>")
 LEARNED_ROLE = "assistant"
 
 _TO_ESCAPE = re.compile(r"<(\\*)(/?turn>|says>)")
 _ESCAPED = re.compile(r"<(\\*)\\(/?turn>|says>)")
 
+PIECE = 1 << 20  # bytes of a conversation's texts that a task holds before it writes them
+
 FORMATTED = "conv_id long, turn long, role string, text string, formatted string, ids array<int>, loss_mask array<boolean>"
 
+_READ = "conv_id long, turn long, role string, text string, loss string, formatted_chars long"
+_DIGEST = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+_PARTS = f"{_DIGEST}, part int, nth int, turns binary, loss binary"
+_PARTS_SCHEMA = pa.schema(
+    [("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())]
+    + [("part", pa.int32()), ("nth", pa.int32()), ("turns", pa.binary()), ("loss", pa.binary())]
+)
+
 
 def escape(text: str) -> str:
     return _TO_ESCAPE.sub(r"<\1\\\2", text)
@@ -93,46 +106,116 @@ def format_chats(turns: DataFrame, tokenizer_path: str) -> DataFrame:
 def _read_back(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer, base = _tokenizer(path)
-        names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
-        kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
-        conv, state, begun = None, None, False
-
-        def row():
-            return conv, state[0], state[1].hexdigest(), state[2], state[3].hexdigest(), state[4]
-
-        for batch in batches:
-            done = []
-            convs, all_ids, masks, written = (batch.column(c).to_pylist() for c in ("conv_id", "ids", "loss_mask", "formatted"))
-            contents: list[list[int]] = []
-            for ids, mask in zip(all_ids, masks):
-                says = ids.index(base + 1)
-                if ids[0] != base or ids[-1] != base + 2:
-                    raise ValueError("a turn is not closed by its control ids")
-                contents += [ids[1:says], ids[says + 1 : -1], [i for i, m in zip(ids, mask) if m]]
-            decoded = tokenizer.decode_batch(contents, skip_special_tokens=False)
-            for i, key in enumerate(convs):
-                if not begun or key != conv:
-                    if begun:
-                        done.append(row())
-                    conv, state, begun = key, [0, hashlib.sha256(), 0, hashlib.sha256(), 0], True
-                role, text, loss = (unescape(t) for t in decoded[3 * i : 3 * i + 3])
-                state[0] += 1
-                state[1].update(f"{role}\n{text}\n".encode())
-                state[2] += len(loss)
-                state[3].update(loss.encode())
-                state[4] += len(written[i])
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*done) if done else [[]] * 6, kinds)], names=names)
-        if begun:
-            yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row(), kinds)], names=names)
+        for whole in batches:
+            for at in range(0, len(whole), 512):
+                batch = whole.slice(at, 512)
+                contents: list[list[int]] = []
+                for ids, mask in zip(batch.column("ids").to_pylist(), batch.column("loss_mask").to_pylist()):
+                    says = ids.index(base + 1)
+                    if ids[0] != base or ids[-1] != base + 2:
+                        raise ValueError("a turn is not closed by its control ids")
+                    contents += [ids[1:says], ids[says + 1 : -1], [i for i, m in zip(ids, mask) if m]]
+                decoded = [unescape(t) for t in tokenizer.decode_batch(contents, skip_special_tokens=False)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("conv_id"), batch.column("turn"), *(pa.array(decoded[k::3], pa.string()) for k in range(3)), pa.array([len(f) for f in batch.column("formatted").to_pylist()], pa.int64())],
+                    names=["conv_id", "turn", "role", "text", "loss", "formatted_chars"],
+                )
 
     return run
 
 
+class _Run:
+    """What one partition holds of a conversation: what is not yet written of its texts, and counts of that."""
+
+    def __init__(self, key: int | None):
+        self.key, self.nth, self.turns, self.loss, self.counts = key, 0, [], [], [0, 0, 0, 0]
+
+    def add(self, role: str, text: str, loss: str, formatted_chars: int) -> None:
+        turn, learned = f"{role}\n{text}\n".encode(), loss.encode()
+        self.turns.append(turn)
+        self.loss.append(learned)
+        for i, more in enumerate((1, len(loss), formatted_chars, len(turn) + len(learned))):
+            self.counts[i] += more
+
+    def row(self, part: int, whole: bool) -> tuple:
+        """Digests of a whole conversation, or the next piece of one whose other pieces lie elsewhere."""
+        turns, loss = b"".join(self.turns), b"".join(self.loss)
+        n, loss_chars, formatted_chars, _ = self.counts
+        nth = self.nth
+        self.nth, self.turns, self.loss, self.counts = nth + 1, [], [], [0, 0, 0, 0]
+        if whole:
+            return self.key, n, hashlib.sha256(turns).hexdigest(), loss_chars, hashlib.sha256(loss).hexdigest(), formatted_chars, part, nth, None, None
+        return self.key, n, None, loss_chars, None, formatted_chars, part, nth, turns, loss
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in order to digests of the conversations that lie inside the partition, and pieces of PIECE bytes or one text
+    of the others: the first and the last one, which may go on in the neighbours, and long ones."""
+    part, run, first = TaskContext.get().partitionId(), None, True
+
+    def table(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _PARTS_SCHEMA)], schema=_PARTS_SCHEMA)
+
+    for batch in batches:
+        done = []
+        for key, _, *turn in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "turn", "role", "text", "loss", "formatted_chars"))):
+            if run is None or key != run.key:
+                if run is not None:
+                    done.append(run.row(part, whole=not first and run.nth == 0))
+                    first = False
+                run = _Run(key)
+            run.add(*turn)
+            if run.counts[3] >= PIECE:
+                yield table([run.row(part, whole=False)])
+        if done:
+            yield table(done)
+    if run is not None:
+        yield table([run.row(part, whole=False)])
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pieces in order to digests; only the running digests are kept."""
+    conv, state, begun = None, None, False
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+
+    def table(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 6, kinds)], names=[f.name for f in list(_PARTS_SCHEMA)[:6]])
+
+    def row() -> tuple:
+        return conv, state[0], state[1].hexdigest(), state[2], state[3].hexdigest(), state[4]
+
+    for batch in batches:
+        done = []
+        for key, n, turns, loss_chars, loss, formatted_chars in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "n_turns", "turns", "loss_chars", "loss", "formatted_chars"))):
+            if not begun or key != conv:
+                if begun:
+                    done.append(row())
+                conv, state, begun = key, [0, hashlib.sha256(), 0, hashlib.sha256(), 0], True
+            state[0] += n
+            state[1].update(turns)
+            state[2] += loss_chars
+            state[3].update(loss)
+            state[4] += formatted_chars
+        yield table(done)
+    if begun:
+        yield table([row()])
+
+
 def conversation_digests(formatted: DataFrame, tokenizer_path: str) -> DataFrame:
     """Per conversation, what its formatted rows say when read back from ids and mask: turn count and digest, length and
-    digest of the text under the mask, length of the written form.  Rows stream through in order; a conversation only
-    keeps its running digests."""
-    ordered = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    return ordered.select("conv_id", "ids", "loss_mask", "formatted").mapInArrow(
-        _read_back(tokenizer_path), "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
-    )
+    digest of the text under the mask, length of the written form.
+
+    Turns are read back where they stand, then dealt out by ranges of (conversation, turn, role, text), so a conversation
+    of any length is spread over tasks.  One that lies inside a range is finished there; the others, and long ones, leave
+    pieces, and only their digests' last step, which goes through the bytes in order, has a task of its own.
+    """
+    spark = formatted.sparkSession
+    read = formatted.select("conv_id", "turn", "ids", "loss_mask", "formatted").mapInArrow(_read_back(tokenizer_path), _READ)
+    read, read_path = written(read, "read-back")
+    dealt = read.repartitionByRange("conv_id", "turn", "role", F.substring("text", 1, 64)).sortWithinPartitions("conv_id", "turn", "role", "text")
+    parts, _ = written(dealt.mapInArrow(_runs, _PARTS), "conversation-parts")
+    dropped(spark, read_path)
+    pieces = parts.where("turns_sha256 is null").repartition("conv_id").sortWithinPartitions("conv_id", "part", "nth")
+    inside = parts.where("turns_sha256 is not null")
+    columns = [c.split()[0] for c in _DIGEST.split(", ")]
+    return inside.select(*columns).unionByName(pieces.mapInArrow(_joined, _DIGEST))

@@ -93,3 +93,16 @@ def test_chats_read_back_what_went_in(spark):
         expected = (len(own), hashlib.sha256(whole.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(written))
         assert tuple(got[conv])[1:] == expected
     assert conversation_digests(format_chats(turns.limit(0), tokenizer_path()), tokenizer_path()).count() == 0
+
+
+def test_a_long_conversation_is_put_together_from_many_tasks(spark):
+    rows = [(7, i // 2, "assistant" if i % 2 else "user", f"turn {i} " + "word é " * 150) for i in range(3000)]
+    rows += [(i, t, "user", f"{i} {t}") for i in range(20) if i != 7 for t in range(3)] + [(8, None, "assistant", "same")] * 500
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(6)
+    got = {r.conv_id: r for r in conversation_digests(format_chats(turns, tokenizer_path()), tokenizer_path()).collect()}
+    assert len(got) == 20
+    for conv in range(20):
+        own = sorted((r[1] is not None, r[1] or 0, r[2], r[3]) for r in rows if r[0] == conv)
+        loss = "".join(text for _, _, role, text in own if role == "assistant")
+        assert got[conv].turns_sha256 == hashlib.sha256("".join(f"{role}\n{text}\n" for _, _, role, text in own).encode()).hexdigest()
+        assert (got[conv].n_turns, got[conv].loss_chars, got[conv].loss_sha256) == (len(own), len(loss), hashlib.sha256(loss.encode()).hexdigest())
