@@ -7,10 +7,10 @@ occur in content are escaped in the written form: a backslash goes in after thei
 
 from __future__ import annotations
 
+import functools
 import hashlib
-import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.packing import encoder
 from ledgerloom.llm.store import dropped, written
 
 CONTROLS = ("<turn>", "<says>", "</turn>")
@@ -47,29 +48,34 @@ def unescape(text: str) -> str:
     return _ESCAPED.sub(r"<\1\2", text)
 
 
-def _tokenizer(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+@functools.cache
+def _tokenizer(path: str) -> tuple[Callable[[str], list[int]], Callable[[list[int]], str], int]:
+    """Encoder, decoder and first free id of a vocabulary, read once a worker; special tokens' strings are ordinary text."""
+    found = encoder(path)
+    base = found.tokenizer.get_vocab_size(with_added_tokens=True)
+    if found.ranks is not None:
+        return found.ranks.encode_ordinary, found.ranks.decode, base
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    return tokenizer, tokenizer.get_vocab_size(with_added_tokens=True)
+    own = Tokenizer.from_file(path)
+    own.encode_special_tokens = True
+    return lambda text: own.encode(text, add_special_tokens=False).ids, lambda ids: own.decode(ids, skip_special_tokens=False), base
 
 
 def _format(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, base = _tokenizer(path)
+        encode, _, base = _tokenizer(path)
         for whole in batches:
             for at in range(0, len(whole), 512):
                 batch = whole.slice(at, 512)
                 roles = [r or "" for r in batch.column("role").to_pylist()]
                 texts = [t or "" for t in batch.column("text").to_pylist()]
                 escaped = [(escape(r), escape(t)) for r, t in zip(roles, texts)]
-                encoded = tokenizer.encode_batch([s for pair in escaped for s in pair], add_special_tokens=False)
+                encoded = [encode(s) for pair in escaped for s in pair]
                 segments: list[list[int]] = []
                 learned: list[bool] = []
                 for i, role in enumerate(roles):
-                    segments += [[base], encoded[2 * i].ids, [base + 1], encoded[2 * i + 1].ids, [base + 2]]
+                    segments += [[base], encoded[2 * i], [base + 1], encoded[2 * i + 1], [base + 2]]
                     learned += [False, False, False, role == LEARNED_ROLE, False]
                 ends = np.cumsum([len(s) for s in segments])
                 ids = np.fromiter((i for s in segments for i in s), dtype=np.int32, count=int(ends[-1]) if len(ends) else 0)
@@ -105,7 +111,7 @@ def format_chats(turns: DataFrame, tokenizer_path: str) -> DataFrame:
 
 def _read_back(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, base = _tokenizer(path)
+        _, decode, base = _tokenizer(path)
         for whole in batches:
             for at in range(0, len(whole), 512):
                 batch = whole.slice(at, 512)
@@ -115,7 +121,7 @@ def _read_back(path: str):
                     if ids[0] != base or ids[-1] != base + 2:
                         raise ValueError("a turn is not closed by its control ids")
                     contents += [ids[1:says], ids[says + 1 : -1], [i for i, m in zip(ids, mask) if m]]
-                decoded = [unescape(t) for t in tokenizer.decode_batch(contents, skip_special_tokens=False)]
+                decoded = [unescape(decode(c)) for c in contents]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("conv_id"), batch.column("turn"), *(pa.array(decoded[k::3], pa.string()) for k in range(3)), pa.array([len(f) for f in batch.column("formatted").to_pylist()], pa.int64())],
                     names=["conv_id", "turn", "role", "text", "loss", "formatted_chars"],
