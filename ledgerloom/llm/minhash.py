@@ -40,6 +40,7 @@ BANDS, BAND_SIZE = 64, 5
 EMPTY = np.uint16(0xFFFF)
 SHARE = 512  # members of a star that one salted share holds
 BLOCK = 256  # members of a group in one block, which the others visit
+VISITORS = 2000  # visitors of a block whose band keys are held at a time
 
 _random = np.random.default_rng(20240229)
 _PROBES = np.array([_random.permutation(BUCKETS) for _ in range(BUCKETS)])
@@ -164,15 +165,13 @@ def _block_pairs(percent: int):
             at = np.zeros(len(group), dtype=np.int64)
             at[right] = np.arange(len(right))
             found = []
-            for i in left:
-                j = right[(comp[right] != comp[i]) & (largest[right] | (ids[right] > ids[i]))]
-                j = j[may_link(registers[i][None, :], registers[j], np.full(len(j), n[i]), n[j], percent)]
-                if not len(j):
-                    continue
-                # a pair meets in every band that it shares; the first of them has it
-                own = keys_of(registers[i][None, :])
-                j = j[own[0, (own == right_keys[at[j]]).argmax(axis=1)] == key]
-                found.append(np.stack([np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])]))
+            for some in np.split(left, range(VISITORS, len(left), VISITORS)):
+                for i, own in zip(some, keys_of(registers[some])):
+                    j = right[(comp[right] != comp[i]) & (largest[right] | (ids[right] > ids[i]))]
+                    j = j[may_link(registers[i][None, :], registers[j], np.full(len(j), n[i]), n[j], percent)]
+                    # a pair meets in every band that it shares; the first of them has it
+                    j = j[own[(own == right_keys[at[j]]).argmax(axis=1)] == key]
+                    found.append(np.stack([np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])]))
             both = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(both[0], pa.int64()), pa.array(both[1], pa.int64())], schema=schema)
 
