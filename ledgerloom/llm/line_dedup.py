@@ -2,6 +2,8 @@
 
 A rolling hash over the hashes of two consecutive lines says where a chunk ends, so the same lines are cut alike wherever
 they stand.  Chunks of two or more lines that occur again anywhere are removed, all but their first occurrence.
+
+``dedup_passages`` looks up every window of two lines instead of the chunks that the hash cuts, so no repeated passage stays.
 """
 
 from __future__ import annotations
@@ -30,6 +32,28 @@ def _chunks() -> Column:
     )
 
 
+def _without(docs: DataFrame, again: DataFrame) -> DataFrame:
+    """``docs`` without the lines of ``again`` (doc_id, text_hash, first_line, n_lines), plus the three counts."""
+    removals = again.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("first_line", "n_lines")).alias("removed"))
+    removals = removals.withColumnsRenamed({"doc_id": "_doc_id", "text_hash": "_text_hash"})
+    joined = docs.join(removals, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.xxhash64("text") == F.col("_text_hash")), "left")
+    gone = F.array_distinct(F.flatten(F.transform("removed", lambda r: F.sequence(r["first_line"], r["first_line"] + r["n_lines"] - 1))))
+    rest = F.split("text", "\n")
+    wanted = F.array_sort(F.array_except(F.sequence(F.lit(0), F.size(rest) - 1), gone))
+    cleaned = F.when(F.col("removed").isNull(), F.col("text")).otherwise(
+        F.array_join(F.transform(wanted, lambda i: F.get("_lines", i)), "\n")
+    )
+    return (
+        joined.withColumn("_lines", F.when(F.col("removed").isNotNull(), rest))
+        .select(
+            *(cleaned.alias("text") if c == "text" else F.col(c) for c in docs.columns),
+            F.when(F.col("text").isNull(), 0).otherwise(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1).cast("long").alias("n_lines"),
+            F.coalesce(F.size(gone), F.lit(0)).cast("long").alias("n_removed_lines"),
+            F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed_chunks"),
+        )
+    )
+
+
 def dedup_lines(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
     """``docs`` with a cleaned ``text``, plus ``n_lines``, ``n_removed_lines`` and ``n_removed_chunks``.
 
@@ -56,21 +80,24 @@ def dedup_lines(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
     repeated, _ = written(chunks.join(firsts, "key"), "repeated-chunks")
     kept_bytes = repeated.where(place == F.col("first")).groupBy("key").agg(F.min("chunk").alias("kept_chunk"))
     again = repeated.where(place > F.col("first")).join(kept_bytes, "key").where(F.col("chunk") == F.col("kept_chunk"))
-    removals = again.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("first_line", "n_lines")).alias("removed"))
-    removals = removals.withColumnsRenamed({"doc_id": "_doc_id", "text_hash": "_text_hash"})
-    joined = docs.join(removals, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.xxhash64("text") == F.col("_text_hash")), "left")
-    gone = F.flatten(F.transform("removed", lambda r: F.sequence(r["first_line"], r["first_line"] + r["n_lines"] - 1)))
-    rest = F.split("text", "\n")
-    wanted = F.array_sort(F.array_except(F.sequence(F.lit(0), F.size(rest) - 1), gone))
-    cleaned = F.when(F.col("removed").isNull(), F.col("text")).otherwise(
-        F.array_join(F.transform(wanted, lambda i: F.get("_lines", i)), "\n")
-    )
-    return (
-        joined.withColumn("_lines", F.when(F.col("removed").isNotNull(), rest))
-        .select(
-            *(cleaned.alias("text") if c == "text" else F.col(c) for c in docs.columns),
-            F.when(F.col("text").isNull(), 0).otherwise(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1).cast("long").alias("n_lines"),
-            F.coalesce(F.size(gone), F.lit(0)).cast("long").alias("n_removed_lines"),
-            F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed_chunks"),
-        )
-    )
+    return _without(docs, again)
+
+
+def dedup_passages(docs: DataFrame) -> DataFrame:
+    """``docs`` without any line of a passage of two or more lines that stands earlier; columns as of ``dedup_lines``.
+
+    A window is two lines with text and the blank ones between them, so blank lines alone are no passage.  It is removed if
+    the same bytes (by SHA-256) stand earlier and do not overlap it: in a smaller doc_id, or before it in the same document.
+    A longer passage goes line by line, as all its windows do.  A removed line's earlier copy is kept or has an earlier one
+    itself, so every line stays once.  n_removed_chunks counts windows.  Null and repeated rows are taken as by ``dedup_lines``.
+    """
+    lines = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.split("text", "\n").alias("lines")).where("lines is not null")
+    filled = lines.withColumn("filled", F.array_compact(F.transform("lines", lambda line, i: F.when(F.rlike(line, F.lit("\\S")), i))))
+    pairs = F.arrays_zip(F.expr("slice(filled, 1, size(filled) - 1)").alias("first_line"), F.expr("slice(filled, 2, size(filled) - 1)").alias("last_line"))
+    window = lambda w: F.array_join(F.slice("lines", w["first_line"] + 1, w["last_line"] - w["first_line"] + 1), "\n")
+    found = F.transform(pairs, lambda w: F.struct(w["first_line"].alias("first_line"), (w["last_line"] - w["first_line"] + 1).alias("n_lines"), F.unhex(F.sha2(window(w), 256)).alias("key")))
+    windows, _ = written(filled.where("size(filled) > 1").select("doc_id", "text_hash", F.inline(found)), "line-windows")
+    place = F.struct("doc_id", "text_hash", "first_line")
+    firsts = windows.groupBy("key").agg(F.min(place).alias("first"), F.max(place).alias("last_one")).where("first < last_one").select("key", "first")
+    overlaps = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash")) & (F.col("first_line") < F.col("first.first_line") + F.col("n_lines"))
+    return _without(docs, windows.join(firsts, "key").where((place > F.col("first")) & ~overlaps))

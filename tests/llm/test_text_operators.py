@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from ledgerloom.llm.components import connected_components
 from ledgerloom.llm.decontaminate import contaminated, mark_contaminated
-from ledgerloom.llm.line_dedup import dedup_lines
+from ledgerloom.llm.line_dedup import dedup_lines, dedup_passages
 from ledgerloom.llm.minhash import near_duplicates
 from ledgerloom.llm.packing import encoder, pack_documents, plan
 from ledgerloom.llm.quality_rules import Rule, cascade_order, judge_quality, with_features
@@ -185,6 +185,42 @@ def test_line_dedup_keeps_repeated_rows_alike(spark):
     assert sorted((r.doc_id, r.n_removed_lines > 0) for r in got) == [(1, False), (1, False), (2, True)]
 
 
+def passages_removed(texts):
+    """The lines left of each text, by brute force over all earlier windows of two lines with text."""
+    seen, left = {}, {}
+    for d, text in sorted(texts.items()):
+        lines = text.split("\n")
+        filled, gone = [i for i, x in enumerate(lines) if x.strip()], set()
+        for a, b in zip(filled, filled[1:]):
+            at = seen.setdefault(tuple(lines[a : b + 1]), (d, a, b))
+            if at[0] != d or at[2] < a:
+                gone |= set(range(a, b + 1))
+        left[d] = "\n".join(x for i, x in enumerate(lines) if i not in gone)
+    return left
+
+
+def test_no_repeated_passage_of_lines_stays(spark):
+    rnd = random.Random(3)
+    passages = [[f"passage {n} of {size} lines, line {i}" for i in range(size)] for size in range(2, 9) for n in range(6)]
+    passages += [["apart", "", "by blank", " ", "lines"], ["same"] * 3, ["same"] * 5]
+    texts = {}
+    for d in range(60):
+        parts = [[f"own line {d} {k}", ""] + rnd.choice(passages) for k in range(rnd.randint(1, 6))]
+        texts[d] = "\n".join(x for p in parts for x in p) + "\n\n" * (d % 2)
+    got = {r.doc_id: r for r in dedup_passages(frame(spark, list(texts.items()))).collect()}
+    assert {d: r.text for d, r in got.items()} == passages_removed(texts)
+    assert all(r.n_lines - r.n_removed_lines == len(r.text.split("\n")) for r in got.values() if r.text)
+    kept = [x for r in got.values() for x in r.text.split("\n") if x.startswith("passage")]
+    assert sorted(kept) == sorted({x for t in texts.values() for x in t.split("\n") if x.startswith("passage")})
+
+
+def test_passages_of_null_empty_and_repeated_rows(spark):
+    text = "\n".join(f"line {i}" for i in range(4))
+    rows = [(1, text), (1, text), (2, text), (3, None), (4, ""), (5, "\n\n\n"), (6, "\n\n\n"), (7, "line 1"), (None, "line 2\nline 3")]
+    got = sorted(((-1 if r.doc_id is None else r.doc_id, r.text, r.n_lines) for r in dedup_passages(frame(spark, rows)).collect()), key=str)
+    assert got == sorted([(-1, "line 2\nline 3", 2), (1, "line 0\nline 1", 4), (1, "line 0\nline 1", 4), (2, "", 4), (3, None, 0), (4, "", 1), (5, "\n\n\n", 4), (6, "\n\n\n", 4), (7, "line 1", 1)], key=str)
+
+
 def test_quality_features_match_brute_force(spark):
     rows = corpus(8, 60) + [(900, "a\nb\na\n \na"), (901, "#x *y $$ %"), (902, "w " * 30000)]
     for r in judge_quality(frame(spark, rows)).collect():
