@@ -40,13 +40,16 @@ def held_out(doc_id: Column) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
-    """text, toxic of labelled rows outside the held-out fifth: of each class the ``max_rows`` with the smallest hash."""
+    """text, toxic, weight of labelled rows outside the held-out fifth: of each class the ``max_rows`` with the smallest hash.
+
+    The weight is how many labelled rows of its class a row stands for."""
     own = labels.where("toxic is not null and doc_id is not null").where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    picked = None
+    picked, full = None, {row["toxic"]: row["count"] for row in own.groupBy("toxic").count().collect()}
     for value in (0, 1):
-        part = own.where(F.col("toxic") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
+        weight = F.lit(max(full.get(value, 0) / max_rows, 1.0)).alias("weight")
+        part = own.where(F.col("toxic") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows).select("doc_id", "toxic", weight)
         picked = part if picked is None else picked.unionByName(part)
-    return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("doc_id", "text", "toxic").dropDuplicates(["text", "toxic"])
+    return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("doc_id", "text", "toxic", "weight").dropDuplicates(["text", "toxic"])
 
 
 def expressions(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -189,9 +192,11 @@ def _evidence(model: KneserNey, keep_text: bool = False):
     return run
 
 
-def calibrate(evidence: np.ndarray, toxic: np.ndarray) -> tuple[float, float, float]:
+def calibrate(evidence: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> tuple[float, float, float]:
     """Slopes below and above no evidence, and shift, of the logistic fit, by Newton steps with a little shrinkage.
 
+    ``weight`` gives each class the share that it has among all labelled rows, however the rows were sampled.
+
     Two slopes, because wrong labels keep texts without toxic words at a floor that evidence does not explain.  A falling
     slope below is made flat, one above almost flat."""
     x = np.stack([np.minimum(evidence, 0), np.maximum(evidence, 0), np.ones_like(evidence)], axis=1)
@@ -199,8 +204,8 @@ def calibrate(evidence: np.ndarray, toxic: np.ndarray) -> tuple[float, float, fl
     for _ in range(60):
         own = x[:, used]
         p = 1 / (1 + np.exp(-np.clip(own @ beta[used], -30, 30)))
-        gradient = own.T @ (toxic - p) - 1e-2 * beta[used]
-        hessian = (own * (p * (1 - p))[:, None]).T @ own + 1e-2 * np.eye(len(used))
+        gradient = own.T @ (weight * (toxic - p)) - 1e-2 * beta[used]
+        hessian = (own * (weight * p * (1 - p))[:, None]).T @ own + 1e-2 * np.eye(len(used))
         step = np.clip(np.linalg.solve(hessian, gradient), -2, 2)
         beta[used] += step
         if np.abs(step).max() < 1e-8:
@@ -219,16 +224,17 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> KneserN
     them.  Labels of the held-out fifth are never read.  Without labelled texts every score is one half.
     """
     rows, path = written(training_rows(docs, labels, max_rows).withColumn("fold", F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(FOLDS)).cast("int")), "training")
-    toxic, evidence = [], []
+    toxic, evidence, weight = [], [], []
     for fold in range(FOLDS):
         others = fit_counts(rows.where(F.col("fold") != fold))
-        table = rows.where(F.col("fold") == fold).select("text", "toxic").mapInArrow(_evidence(others), "toxic int, evidence double").toArrow()  # bounded as the rows are
+        table = rows.where(F.col("fold") == fold).select("text", "toxic", "weight").mapInArrow(_evidence(others), "toxic int, weight double, evidence double").toArrow()  # bounded as the rows are
         toxic.append(table.column("toxic").to_numpy().astype(float))
         evidence.append(table.column("evidence").to_numpy())
+        weight.append(table.column("weight").to_numpy())
     model = fit_counts(rows)
     toxic, evidence = np.concatenate(toxic), np.concatenate(evidence)
     if len(toxic):
-        below, above, model.shift = calibrate(evidence, toxic)
+        below, above, model.shift = calibrate(evidence, toxic, np.concatenate(weight))
         model.slopes = below, above
     dropped(docs.sparkSession, path)
     return model

@@ -312,6 +312,32 @@ def test_toxicity_finds_marked_words_and_their_stems(spark):
     assert nothing[0] == nothing[1] == 0.5
 
 
+def marked_texts(n, seed=8):
+    """Texts, one in ten toxic; a toxic one has some of the words that ordinary ones seldom have."""
+    rnd = random.Random(seed)
+    plain = [a + b for a in ("la", "be", "co", "du", "ei") for b in ("mon", "ter", "ing", "sal", "pod")]
+    rows, labels = [], []
+    for i in range(n):
+        toxic = i % 10 == 0
+        words = [rnd.choice(plain) for _ in range(rnd.randint(20, 60))]
+        for _ in range(rnd.randint(0, 3) if toxic else rnd.random() < 0.05):
+            words[rnd.randrange(len(words))] = rnd.choice(["vermin", "grobian"])
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(toxic)))
+    return rows, labels
+
+
+def test_toxicity_scores_do_not_depend_on_the_sampling_of_classes(spark):
+    rows, labels = marked_texts(6000)
+    docs, marks = frame(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int")
+    whole, cut = (fit(docs, marks, max_rows=n) for n in (10_000, 400))  # with 400 of 4,300 ordinary rows, half of the sample is toxic
+    assert abs(whole.shift - cut.shift) < 0.6
+    few = fit(docs.where("doc_id < 1000"), marks.where("doc_id < 1000"))
+    assert abs(whole.shift - few.shift) < 0.6
+    called = [score_toxicity(docs, m).where("predicted = 1").count() for m in (whole, cut)]
+    assert abs(called[0] - called[1]) < 0.1 * called[0]
+
+
 def test_null_ids_and_repeated_rows(spark):
     words = [f"w{i}" for i in range(120)]
     text, other = " ".join(words), " ".join(words[::-1])
