@@ -6,6 +6,9 @@ occurrences.  Counts are discounted, and the discounted mass falls back to the n
 classes share; a rare word thus says what its stem says, and an unknown one nothing.  The two models give each word a
 toxic and an ordinary likelihood; the mean over a text's words of their log ratio is its evidence, and a few numbers fitted
 on training texts that the scoring models have not seen turn that into a probability.
+
+All labelled texts are counted, and every expression counts; only the texts of that fit are a sample.  Expressions that share
+their opening bytes form blocks of bounded size, and texts are scored by one block after the other.
 """
 
 from __future__ import annotations
@@ -29,8 +32,9 @@ DISCOUNT = 0.75
 STRENGTH = 4.0  # texts that a fallback weighs besides the discounted mass
 SHORT = 25  # words without evidence that are added to every text, so that few words say little
 SPREAD = 0.1  # log-likelihood ratio per word beyond which more says little more
-MAX_ROWS = 4_000  # training texts per class at most
-MAX_EXPRESSIONS = 300_000  # expressions kept of each level at most: those that occur in enough texts
+MAX_ROWS = 4_000  # texts per class that the calibration takes, about
+MAX_EXPRESSIONS = 300_000  # expressions of a block, on average of its levels
+MAX_BROADCAST = 500_000  # labels sent to the executors; more are shuffled
 FOLDS = 4
 CACHED_WORDS = 400_000
 
@@ -39,17 +43,18 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string")) % 5 == 0
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
-    """text, toxic, weight of labelled rows outside the held-out fifth: of each class the ``max_rows`` with the smallest hash.
-
-    The weight is how many labelled rows of its class a row stands for."""
+def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """text, toxic, fold of all labelled rows outside the held-out fifth, each text once a class."""
     own = labels.where("toxic is not null and doc_id is not null").where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    picked, full = None, {row["toxic"]: row["count"] for row in own.groupBy("toxic").count().collect()}
-    for value in (0, 1):
-        weight = F.lit(max(full.get(value, 0) / max_rows, 1.0)).alias("weight")
-        part = own.where(F.col("toxic") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows).select("doc_id", "toxic", weight)
-        picked = part if picked is None else picked.unionByName(part)
-    return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("doc_id", "text", "toxic", "weight").dropDuplicates(["text", "toxic"])
+    hashes = docs.select("doc_id", F.xxhash64("text").alias("hash"), F.octet_length("text").alias("bytes"))
+    found = hashes.join(own, "doc_id").groupBy("doc_id", "hash", "bytes", "toxic").count()
+    once, _ = written(found.groupBy("hash", "bytes", "toxic").agg(F.min(F.struct("doc_id", "count")).alias("row")).select("hash", "toxic", "row.*"), "labelled")
+    repeated = not once.where("count > 1").isEmpty()
+    once = F.broadcast(once) if once.count() <= MAX_BROADCAST else once
+    rows = docs.select("doc_id", F.xxhash64("text").alias("hash"), "text").join(once, ["doc_id", "hash"])
+    if repeated:  # rows that share doc_id and text
+        rows = rows.where("count = 1").unionByName(rows.where("count > 1").dropDuplicates(["hash", "toxic"]))
+    return rows.select("text", "toxic", F.pmod(F.xxhash64(F.lit(7), "text"), F.lit(FOLDS)).cast("int").alias("fold"))
 
 
 def expressions(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -79,28 +84,32 @@ def _letters(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(level, expression, parent, texts of either class) per chunk: pre-aggregated before the shuffle."""
+    """(level, expression, parent, root, fold, texts of either class) per chunk: pre-aggregated before the shuffle."""
     for batch in batches:
-        toxic = batch.column("toxic").to_numpy()
+        toxic, folds = batch.column("toxic").to_numpy(), batch.column("fold").to_numpy()
         for first, last, data, starts, ends, bounds in _letters(batch.column("text")):
             hashes = expressions(data, starts, ends)
-            above = parents(hashes)
+            above, root = parents(hashes), np.where(hashes[0] != 0, hashes[0], hashes[-1])
             text = np.repeat(np.arange(last - first), np.diff(bounds))
+            fold = folds[first:last][text]
             for level in range(LEVELS):
                 use = np.flatnonzero(hashes[level])
-                order = use[np.lexsort((text[use], hashes[level][use]))]
+                if not len(use):
+                    continue
+                order = use[np.lexsort((text[use], fold[use], hashes[level][use]))]
                 key, of = hashes[level][order], text[order]
-                new = np.concatenate(([True], (key[1:] != key[:-1]) | (of[1:] != of[:-1]))) if len(order) else np.zeros(0, bool)
+                new = np.concatenate(([True], (key[1:] != key[:-1]) | (of[1:] != of[:-1])))
                 order, key, of = order[new], key[new], toxic[first:last][of[new]]
-                begin = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
-                n1 = np.add.reduceat(of, begin) if len(key) else begin
+                part = fold[order]
+                begin = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (part[1:] != part[:-1]))))
+                n1 = np.add.reduceat(of, begin)
                 n = np.diff(np.concatenate((begin, [len(key)])))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.full(len(begin), level, np.int32)), pa.array(key[begin].view(np.int64)), pa.array(above[level][order[begin]].view(np.int64)),
-                        pa.array(n - n1, pa.int64()), pa.array(n1, pa.int64()),
+                        pa.array(root[order[begin]].view(np.int64)), pa.array(part[begin].astype(np.int32)), pa.array(n - n1, pa.int64()), pa.array(n1, pa.int64()),
                     ],
-                    names=["level", "expression", "parent", "n0", "n1"],
+                    names=["level", "expression", "parent", "root", "fold", "n0", "n1"],
                 )
 
 
@@ -110,8 +119,6 @@ class KneserNey:
 
     keys: list[np.ndarray]
     values: list[np.ndarray]
-    slopes: tuple[float, float] = (0.0, 0.0)
-    shift: float = 0.0
 
     def ratios(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Log-likelihood of each word under the toxic model less that under the ordinary one."""
@@ -123,44 +130,65 @@ class KneserNey:
         return out
 
 
-def fit_counts(rows: DataFrame) -> KneserNey:
-    """The models of ``rows`` (text, toxic); what reaches the driver is bounded by MAX_EXPRESSIONS for each level."""
-    counts, path = written(
-        rows.mapInArrow(_count, "level int, expression long, parent long, n0 long, n1 long").groupBy("level", "expression", "parent").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")), "expressions"
-    )
-    texts = F.col("n0") + F.col("n1")
-    sums = counts.where(F.col("level") == LEVELS - 1).agg(F.coalesce(F.sum("n0"), F.lit(0)), F.coalesce(F.sum("n1"), F.lit(0))).first()
-    prior = (sums[1] + 1) / (sums[0] + sums[1] + 2)
-    frequencies = counts.groupBy("level", texts.alias("texts")).count().orderBy("level", F.desc("texts")).collect()  # at most a row per number of texts
-    keys, values, shares = [], [], {}
-    for level in range(LEVELS):
-        least, kept = 2, 0
-        for row in (r for r in frequencies if r["level"] == level and r["texts"] > 1):
-            kept += row["count"]
-            if kept > MAX_EXPRESSIONS:
-                least = row["texts"] + 1
-                break
-        table = counts.where((F.col("level") == level) & (texts >= least)).select("expression", "parent", "n0", "n1").toArrow()
-        key, above = (table.column(c).to_numpy().view(np.uint64) for c in ("expression", "parent"))
-        n0, n1 = (table.column(c).to_numpy().astype(float) for c in ("n0", "n1"))
-        back = np.array([shares.get(a, prior) for a in above.tolist()])
-        mass = DISCOUNT * ((n0 > 0) * 1.0 + (n1 > 0)) + STRENGTH
-        share = (np.maximum(n1 - DISCOUNT, 0) + mass * back) / (n0 + n1 + STRENGTH)
-        order = np.argsort(key)
-        keys.append(key[order])
-        values.append((np.log(share / prior) - np.log((1 - share) / (1 - prior)))[order])
-        shares.update(zip(key.tolist(), share.tolist()))
-    dropped(rows.sparkSession, path)
-    return KneserNey(keys, values)
+@dataclass
+class Model:
+    """Counts of all labelled texts in blocks, and the calibration.  A block's table is what reaches the driver at once."""
+
+    counts: DataFrame  # level, expression, parent, block and for each fold f the texts n0_f and n1_f of either class
+    blocks: int
+    texts: list[tuple[int, int]]  # words in texts of either class, by fold
+    slopes: tuple[float, float] = (0.0, 0.0)
+    shift: float = 0.0
+
+    def table(self, block: int) -> pa.Table:
+        return self.counts.where(F.col("block") == block).drop("block").toArrow()
+
+    def models(self, table: pa.Table, without: int | None = None) -> KneserNey:
+        """The models of a block's ``table`` by the texts of all folds, or of all but one."""
+        folds = [f for f in range(FOLDS) if f != without]
+        n0, n1 = (sum(table.column(f"n{c}_{f}").to_numpy() for f in folds).astype(float) for c in (0, 1))
+        all0, all1 = (sum(self.texts[f][c] for f in folds) for c in (0, 1))
+        less = min(all0, all1)  # the larger class counts at its share of the smaller one's texts: how many it has is the calibration's to say
+        n0, n1 = n0 * (less / max(all0, 1) if less else 1), n1 * (less / max(all1, 1) if less else 1)
+        prior = 0.5 if less else (all1 + 1) / (all0 + all1 + 2)
+        of, key, above = (table.column(c).to_numpy() for c in ("level", "expression", "parent"))
+        key, above, seen = key.view(np.uint64), above.view(np.uint64), n0 + n1 > 0
+        keys, values, known, shares = [], [], np.zeros(0, np.uint64), np.zeros(0)
+        for level in range(LEVELS):
+            use = np.flatnonzero((of == level) & seen)
+            use = use[np.argsort(key[use])]
+            back = np.full(len(use), prior)
+            if len(known):
+                at = np.minimum(np.searchsorted(known, above[use]), len(known) - 1)
+                back = np.where(known[at] == above[use], shares[at], prior)
+            mass = np.minimum(n0[use], DISCOUNT) + np.minimum(n1[use], DISCOUNT) + STRENGTH
+            share = (np.maximum(n1[use] - DISCOUNT, 0) + mass * back) / (n0[use] + n1[use] + STRENGTH)
+            keys.append(key[use])
+            values.append(np.log(share / prior) - np.log((1 - share) / (1 - prior)))
+            known, shares = np.concatenate((known, key[use])), np.concatenate((shares, share))
+            order = np.argsort(known)
+            known, shares = known[order], shares[order]
+        return KneserNey(keys, values)
+
+
+def count(rows: DataFrame) -> Model:
+    """Counts of ``rows`` (text, toxic, fold), written as a table."""
+    columns = [F.sum(F.when(F.col("fold") == f, F.col(f"n{c}")).otherwise(0)).cast("int").alias(f"n{c}_{f}") for f in range(FOLDS) for c in (0, 1)]
+    found = rows.mapInArrow(_count, "level int, expression long, parent long, root long, fold int, n0 long, n1 long")
+    counts, _ = written(found.groupBy("level", "expression", "parent", "root").agg(*columns), "expressions")
+    words = counts.where(F.col("level") == LEVELS - 1).agg(*(F.coalesce(F.sum(f"n{c}_{f}"), F.lit(0)) for f in range(FOLDS) for c in (0, 1))).first()
+    blocks = max(1, -(-counts.count() // (MAX_EXPRESSIONS * LEVELS)))
+    counts = counts.withColumn("block", F.pmod(F.xxhash64("root"), F.lit(blocks))).drop("root")
+    return Model(counts, blocks, [(words[2 * f], words[2 * f + 1]) for f in range(FOLDS)])
 
 
 class _Scorer:
     def __init__(self, model: KneserNey):
         self.model, self.known = model, {}
 
-    def evidence(self, texts: pa.Array) -> np.ndarray:
-        """Log-likelihood ratio of each text per word, squashed into (-1, 1); 0 without words."""
-        out = np.zeros(len(texts))
+    def totals(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Log-likelihood ratio of each text by the expressions of this block, and its number of words."""
+        out, words_of = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
         for first, last, data, starts, ends, bounds in _letters(texts):
             if not len(starts):
                 continue
@@ -177,21 +205,56 @@ class _Scorer:
                 self.known.update(zip(part, self.model.ratios(np.frombuffer(b"".join(part), dtype=np.uint8), upto - lengths, upto).tolist()))
             ratios = np.fromiter(map(self.known.__getitem__, words), dtype=np.float64, count=len(words))
             sums = np.concatenate(([0.0], np.cumsum(ratios)))
-            n = np.diff(bounds)
-            out[first:last] = np.tanh((sums[bounds[1:]] - sums[bounds[:-1]]) / (n + SHORT) / SPREAD)
-        return out
+            words_of[first:last] = np.diff(bounds)
+            out[first:last] = sums[bounds[1:]] - sums[bounds[:-1]]
+        return out, words_of
 
 
-def _evidence(model: KneserNey, keep_text: bool = False):
+def squashed(total: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """A text's log-likelihood ratio per word, in (-1, 1); 0 without words."""
+    return np.tanh(total / (words + SHORT) / SPREAD)
+
+
+def _evidence(model: KneserNey):
+    """Batches with ``_evidence`` by the only block."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _Scorer(model)
         for batch in batches:
-            columns = {c: batch.column(c) for c in batch.schema.names if keep_text or c != "text"}
-            yield pa.RecordBatch.from_pydict(columns | {"_evidence" if keep_text else "evidence": pa.array(scorer.evidence(batch.column("text")), pa.float64())})
+            columns = {c: batch.column(c) for c in batch.schema.names}
+            yield pa.RecordBatch.from_pydict(columns | {"_evidence": pa.array(squashed(*scorer.totals(batch.column("text"))), pa.float64())})
 
     return run
 
 
+def _totals(model: KneserNey):
+    """Batches with what one block says, in place of the text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = _Scorer(model)
+        for batch in batches:
+            total, words = scorer.totals(batch.column("text"))
+            columns = {c: batch.column(c) for c in batch.schema.names if c != "text"}
+            yield pa.RecordBatch.from_pydict(columns | {"total": pa.array(total, pa.float64()), "words": pa.array(words, pa.int64())})
+
+    return run
+
+
+def with_evidence(docs: DataFrame, model: Model) -> DataFrame:
+    """``docs`` (text, any other columns) with ``_evidence``; several blocks are added up by text."""
+    if model.blocks == 1:
+        schema = StructType([*docs.schema.fields, StructField("_evidence", DoubleType())])
+        return docs.mapInArrow(_evidence(model.models(model.table(0))), schema)
+    texts, parts = docs.select(F.xxhash64("text").alias("_hash"), F.octet_length("text").alias("_bytes"), "text"), None
+    for block in range(model.blocks):
+        part, _ = written(texts.mapInArrow(_totals(model.models(model.table(block))), "_hash long, _bytes int, total double, words long"), "totals")
+        parts = part if parts is None else parts.unionByName(part)
+    both = parts.groupBy("_hash", "_bytes").agg((F.avg("total") * model.blocks).alias("total"), F.max("words").alias("words"))
+    both = both.select("_hash", "_bytes", F.tanh(F.col("total") / (F.col("words") + SHORT) / SPREAD).alias("_evidence"))
+    same = F.xxhash64("text").eqNullSafe(F.col("_hash")) & F.octet_length("text").eqNullSafe(F.col("_bytes"))
+    return docs.join(both, same, "left").drop("_hash", "_bytes")
+
+
 def calibrate(evidence: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> tuple[float, float, float]:
     """Slopes below and above no evidence, and shift, of the logistic fit, by Newton steps with a little shrinkage.
 
@@ -217,48 +280,54 @@ def calibrate(evidence: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> tu
     return float(max(beta[0], 0)), float(max(beta[1], 0.1)), float(beta[2])
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> KneserNey:
-    """The models and their calibration, from at most ``max_rows`` labelled texts of each class.
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
+    """The models of all labelled texts, and their calibration from about ``max_rows`` of each class.
 
-    The calibration sees every training text once, scored by models of the other folds; the models themselves have all of
-    them.  Labels of the held-out fifth are never read.  Without labelled texts every score is one half.
+    The calibration sees its texts once, scored by models of the other folds; the models themselves have all of them.
+    Labels of the held-out fifth are never read.  Without labelled texts every score is one half.
     """
-    rows, path = written(training_rows(docs, labels, max_rows).withColumn("fold", F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(FOLDS)).cast("int")), "training")
-    toxic, evidence, weight = [], [], []
-    for fold in range(FOLDS):
-        others = fit_counts(rows.where(F.col("fold") != fold))
-        table = rows.where(F.col("fold") == fold).select("text", "toxic", "weight").mapInArrow(_evidence(others), "toxic int, weight double, evidence double").toArrow()  # bounded as the rows are
-        toxic.append(table.column("toxic").to_numpy().astype(float))
-        evidence.append(table.column("evidence").to_numpy())
-        weight.append(table.column("weight").to_numpy())
-    model = fit_counts(rows)
-    toxic, evidence = np.concatenate(toxic), np.concatenate(evidence)
-    if len(toxic):
-        below, above, model.shift = calibrate(evidence, toxic, np.concatenate(weight))
+    rows, path = written(training_rows(docs, labels), "training")
+    model = count(rows)
+    full = {row["toxic"]: row["count"] for row in rows.groupBy("toxic").count().collect()}
+    fine = 1 << 30
+    drawn = F.pmod(F.xxhash64(F.lit(8), "text"), F.lit(fine))
+    sample, sample_path = written(rows.where(drawn < F.when(F.col("toxic") == 1, int(fine * max_rows / full.get(1, 1))).otherwise(int(fine * max_rows / full.get(0, 1)))), "sample")
+    found: dict[tuple[int, int], list[float]] = {}
+    for block in range(model.blocks):
+        table = model.table(block)
+        for fold in range(FOLDS):
+            texts = sample.where(F.col("fold") == fold).select(F.xxhash64("text").alias("hash"), "toxic", "text")
+            for row in texts.mapInArrow(_totals(model.models(table, without=fold)), "hash long, toxic int, total double, words long").collect():  # bounded as the sample is
+                entry = found.setdefault((row["hash"], row["toxic"]), [0.0, row["words"]])
+                entry[0] += row["total"]
+    if found:
+        toxic = np.array([c for _, c in found], dtype=float)
+        total, words = np.array(list(found.values())).T
+        weight = np.where(toxic == 1, full.get(1, 0) / max(toxic.sum(), 1), full.get(0, 0) / max((1 - toxic).sum(), 1))
+        below, above, model.shift = calibrate(squashed(total, words), toxic, weight)
         model.slopes = below, above
-    dropped(docs.sparkSession, path)
+    dropped(docs.sparkSession, path, sample_path)
     return model
 
 
-def score_toxicity(docs: DataFrame, model: KneserNey) -> DataFrame:
+def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, score, predicted for every row of ``docs`` (doc_id, text).
 
     A null, empty or blank text has no evidence and gets the calibration's score of none.  Repeated rows are scored alike;
     an empty table gives an empty result; other columns are not read.
     """
-    evidence = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_evidence(model), "doc_id long, evidence double")
-    return evidence.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), score(F.col("evidence"), model).alias("score")).withColumn(
+    evidence = with_evidence(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), model)
+    return evidence.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), score(F.col("_evidence"), model).alias("score")).withColumn(
         "predicted", (F.col("score") >= 0.5).cast("int")
     )
 
 
-def score(evidence: Column, model: KneserNey) -> Column:
+def score(evidence: Column, model: Model) -> Column:
     """Probability that a text of this evidence is toxic."""
     linear = evidence * F.when(evidence < 0, model.slopes[0]).otherwise(model.slopes[1]) + model.shift
     return 1 / (1 + F.exp(-linear))
 
 
-def filter_toxic(docs: DataFrame, model: KneserNey) -> DataFrame:
+def filter_toxic(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of ``docs`` (text, any other columns) that score below one half, as they are."""
-    schema = StructType([*docs.schema.fields, StructField("_evidence", DoubleType())])
-    return docs.mapInArrow(_evidence(model, keep_text=True), schema).where(score(F.col("_evidence"), model) < 0.5).drop("_evidence")
+    return with_evidence(docs, model).where(score(F.col("_evidence"), model) < 0.5).drop("_evidence")

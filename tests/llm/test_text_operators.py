@@ -18,6 +18,7 @@ from ledgerloom.llm.packing import encoder, pack_documents, plan
 from ledgerloom.llm.quality_rules import Rule, cascade_order, judge_quality, with_features
 from ledgerloom.llm.queries import tokenizer_path
 from ledgerloom.llm.suffix_dedup import remove_repeats, repeated_spans
+import ledgerloom.llm.toxicity as toxicity
 from ledgerloom.llm.toxicity import filter_toxic, fit, score_toxicity
 from pyspark.sql import functions as F
 
@@ -338,6 +339,22 @@ def test_toxicity_scores_do_not_depend_on_the_sampling_of_classes(spark):
     assert abs(called[0] - called[1]) < 0.1 * called[0]
 
 
+def test_toxicity_counts_all_labelled_texts_in_any_number_of_blocks(spark, monkeypatch):
+    rows, labels = marked_texts(3000)
+    rare = [i for i, y in labels if y and zlib.crc32(str(i).encode()) % 5][:12]  # about 1 in 20 toxic texts
+    rows = [(i, f"{t} zorbakk zorbakk" if i in rare else t) for i, t in rows]
+    docs, marks = frame(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int")
+    probe = frame(spark, [(1, "lamon zorbakk zorbakk zorbakk"), (2, "lamon kkabroz kkabroz kkabroz"), (3, None)])
+    model = fit(docs, marks, max_rows=40)
+    whole = {r.doc_id: r.score for r in score_toxicity(probe, model).collect()}
+    assert model.blocks == 1 and whole[1] > whole[2] + 0.05
+    monkeypatch.setattr(toxicity, "MAX_EXPRESSIONS", 10)
+    model = fit(docs, marks, max_rows=40)
+    parts = {r.doc_id: r.score for r in score_toxicity(probe, model).collect()}
+    assert model.blocks > 1 and all(abs(whole[i] - parts[i]) < 1e-9 for i in whole)
+    assert {r.doc_id for r in filter_toxic(probe, model).collect()} == {i for i, p in whole.items() if p < 0.5}
+
+
 def test_null_ids_and_repeated_rows(spark):
     words = [f"w{i}" for i in range(120)]
     text, other = " ".join(words), " ".join(words[::-1])
