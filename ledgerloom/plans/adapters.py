@@ -66,6 +66,7 @@ VENDORS = {
 }
 REFERENCE_FIELDS = ("id", "uuid", "file_id", "asset_id", "name", "file_name")
 ISSUE_RESOURCE = "(?i)(?:^|/)(issues|pull_requests|issue_comments|review_comments|pull_request_reviews)(?:[_-][0-9]+)?\\.jsonl?$"
+ISSUE_LISTS = ("items", "records", "issues", "pull_requests", "issue_comments", "review_comments", "pull_request_reviews")
 
 
 def value(document: Column, *names: str) -> Column:
@@ -164,10 +165,17 @@ def mapped(payloads: DataFrame, adapter_id: str = "openai-export/1") -> tuple[Da
     return canonical_conversations(_stamped(conversations, vendor)), canonical_messages(_stamped(messages, vendor))
 
 
+def _by_kind(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Payloads of one JSON value, and of JSON lines."""
+    lines = F.rlike("source_path", F.lit("(?i)\\.jsonl$"))
+    return payloads.where(~lines), payloads.where(lines)
+
+
 def issues(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Conversations and messages of an issue tracker's resource files: threads, and the comments that reach one."""
     vendor = Vendor("github-export/1", "github", "github.migration.export", ISSUE_RESOURCE)
-    rows = exploded(payloads, "items").withColumn("d", F.try_parse_json("raw")).withColumn("resource", F.lower(F.regexp_extract("source_path", ISSUE_RESOURCE, 1)))
+    whole, lines = _by_kind(payloads)
+    rows = exploded(whole, *ISSUE_LISTS).unionByName(json_lines(lines)).withColumn("d", F.try_parse_json("raw")).withColumn("resource", F.lower(F.regexp_extract("source_path", ISSUE_RESOURCE, 1)))
     d = F.col("d")
     text = lambda *n: F.when(kind(value(d, *n)) == "STRING", value(d, *n).cast("string"))
     login = F.coalesce(F.try_variant_get("d", "$.user.login", "string"), F.try_variant_get("d", "$.author.login", "string"), text("author"))
@@ -202,8 +210,11 @@ def parse(payloads: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
         return issues(payloads)
     if name not in VENDORS:
         raise ValueError("unknown_adapter")
-    lines = payloads.where(F.rlike("source_path", F.lit("(?i)\\.jsonl$")))
-    whole = payloads.where(~F.rlike("source_path", F.lit("(?i)\\.jsonl$")))
+    whole, lines = _by_kind(payloads)
+    if name == "gemini":  # a list holds flat rows that name their conversation
+        is_list = F.coalesce(F.rlike("raw", F.lit("^\\s*\\[")), F.lit(False))
+        both, rows = nested(whole.where(~is_list), VENDORS[name]), flat(whole.where(is_list), VENDORS[name])
+        return both[0].unionByName(rows[0]), both[1].unionByName(rows[1])
     both = nested(whole, VENDORS[name])
     if name != "generic":
         return both

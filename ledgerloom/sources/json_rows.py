@@ -11,15 +11,16 @@ def is_strict_json(text: Column) -> Column:
     return F.try_parse_json(text).isNotNull() & ~F.rlike(text, F.lit("[:,\\[]\\s*-?[0-9]+(?:\\.[0-9]+)?[eE]\\+?[0-9]{4,}"))
 
 
-def elements(text: Column, key: str = "conversations") -> Column:
-    """JSON texts of a top-level list's elements, or of the list under ``key``; null for other shapes."""
-    inner = F.get_json_object(text, f"$.{key}")
+def elements(text: Column, *keys: str) -> Column:
+    """JSON texts of a top-level list's elements, or of the list under the first of ``keys`` that has one; null for other shapes."""
+    under = [F.get_json_object(text, f"$.{key}") for key in keys or ("conversations",)]
+    inner = F.coalesce(*(F.when(F.rlike(v, F.lit("^\\s*\\[")), v) for v in under))
     return F.when(F.rlike(text, F.lit("^\\s*\\[")), F.from_json(text, "array<string>")).when(F.rlike(inner, F.lit("^\\s*\\[")), F.from_json(inner, "array<string>"))
 
 
-def exploded(payloads: DataFrame, key: str = "conversations") -> DataFrame:
+def exploded(payloads: DataFrame, *keys: str) -> DataFrame:
     """source_path, source_index, raw of the elements of ``payloads`` (source_path, raw)."""
-    return payloads.select("source_path", F.posexplode(elements(F.col("raw"), key)).alias("source_index", "raw"))
+    return payloads.select("source_path", F.posexplode(elements(F.col("raw"), *keys)).alias("source_index", "raw"))
 
 
 def json_lines(payloads: DataFrame) -> DataFrame:

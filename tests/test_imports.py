@@ -85,6 +85,21 @@ def test_issue_tracker_threads(spark):
     assert [(r.source_message_id, r.role, r.name, r.text) for r in messages.orderBy("create_time").collect()] == [("9:body", "author", "ann", "change"), ("50", "commenter", "bo", "fine"), ("60", "commenter", "cy", "here")]
 
 
+def test_flat_gemini_rows(spark):
+    rows = [{"thread_id": "b", "id": "1", "role": "model", "prompt": "x", "title": "B"}, {"conversation_id": "a", "id": "2", "text": "y"}, {"thread_id": "b", "id": "3", "response": "z"}]
+    conversations, messages = parse(payloads(spark, myactivity=rows), "gemini")
+    assert [(r.source_conversation_id, r.source_index, r.title) for r in conversations.orderBy("source_index").collect()] == [("a", 0, None), ("b", 1, "B")]
+    assert [(r.conversation_id, r.source_index, r.text) for r in messages.orderBy("source_index").collect()] == [("b", 0, "x"), ("a", 1, "y"), ("b", 2, "z")]
+
+
+def test_issue_tracker_lines_and_lists_under_keys(spark):
+    thread, comment = {"id": 9, "number": 2, "body": "change", "created_at": "1"}, {"id": 70, "issue_id": 9, "body": "said", "created_at": "2"}
+    files = [("issues.jsonl", json.dumps(thread) + "\n"), ("issue_comments_1.json", json.dumps({"records": [comment]})), ("issue_comments_2.json", json.dumps({"issue_comments": [comment | {"id": 71}]}))]
+    conversations, messages = parse(spark.createDataFrame(files, "source_path string, raw string"), "github")
+    assert conversations.select("title").first()[0] == "GitHub issue 2"
+    assert sorted(r.source_message_id for r in messages.collect()) == ["70", "71", "9:body"]
+
+
 def test_import_of_a_zip(spark, tmp_path):
     wave = b"RIFF\0\0\0\0WAVE" + b"\0" * 50
     files = [("conversations.json", json.dumps(CHATGPT)), ("notes.md", "mail a@b.io"), ("assets/demo.wav", wave), ("x.dat", wave), ("tool.exe", b"MZ"), ("paper.pdf", b"%PDF-"), ("user.json", '{"id":1,"email":"e","secret":"s"}')]
