@@ -13,6 +13,7 @@ import pytest
 from ledgerloom.llm.components import connected_components
 from ledgerloom.llm.decontaminate import contaminated, mark_contaminated
 from ledgerloom.llm.line_dedup import dedup_lines, dedup_passages
+from ledgerloom.llm import minhash
 from ledgerloom.llm.minhash import near_duplicates
 from ledgerloom.llm.packing import encoder, pack_documents, plan
 from ledgerloom.llm.quality_rules import Rule, cascade_order, judge_quality, with_features
@@ -55,8 +56,18 @@ def frame(spark, rows):
     return spark.createDataFrame([(*r, "k", 7, "h") for r in rows], SCHEMA)
 
 
-def test_near_duplicates_match_brute_force(spark):
+@pytest.mark.parametrize("small", [256, 0])
+def test_near_duplicates_match_brute_force(spark, monkeypatch, small):
+    """``small``: sets are decided inside blocks, or presumed linked and verified afterwards."""
+    monkeypatch.setattr(minhash, "SMALL", small)
     rows = corpus()
+    if not small:  # a group of many members just above and just below the threshold of each other
+        rnd, words = random.Random(8), [f"w{i}" for i in range(120)]
+        for i in range(60):
+            own = list(words)
+            for at in rnd.sample(range(120), 3):
+                own[at] = f"edit{i}-{at}"
+            rows.append((5000 + i, " ".join(own)))
     sets = {i: frozenset(shingles(t)) for i, t in rows}
     parent = {i: i for i in sets}
 
@@ -82,6 +93,14 @@ def test_near_duplicates_of_nothing_and_of_repeated_rows(spark):
     assert sorted((r.doc_id, r.component_id) for r in rows) == [(1, 1), (1, 1), (2, 1)]
 
 
+def test_near_copies_without_an_id_are_linked(spark):
+    words = [f"w{i}" for i in range(100)]
+    near, other = [*words[:50], "edit", *words[51:]], [f"v{i}" for i in range(100)]
+    rows = [(None, " ".join(near)), (9, " ".join(words)), (None, " ".join(other)), (None, " ".join([*other[:-1], "last"])), (None, None), (None, "")]
+    got = near_duplicates(frame(spark, rows)).collect()
+    assert sorted((r.doc_id or 0, r.n_shingles, r.component_id or 0, r.kept) for r in got) == [(0, 0, 0, True)] * 2 + [(0, 96, 0, True)] * 2 + [(0, 96, 9, False), (9, 96, 9, True)]
+
+
 def test_many_near_copies_with_one_centre_form_one_component(spark):
     words = [f"w{i}" for i in range(200)]
     rows = []
