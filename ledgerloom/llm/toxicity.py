@@ -1,14 +1,20 @@
-"""Toxicity by class-conditional Kneser-Ney models.
-
-The expressions are words, and the stems that open them: their first 3, 4, 5, 6 and 8 bytes.  Each level counts in how
-many training texts of either class an expression occurs - the number of different contexts, as Kneser-Ney counts, not of
-occurrences.  Counts are discounted, and the discounted mass falls back to the next shorter stem, whose counts both
-classes share; a rare word thus says what its stem says, and an unknown one nothing.  The two models give each word a
-toxic and an ordinary likelihood; the mean over a text's words of their log ratio is its evidence, and a few numbers fitted
-on training texts that the scoring models have not seen turn that into a probability.
-
-All labelled texts are counted, and every expression counts; only the texts of that fit are a sample.  Expressions that share
-their opening bytes form blocks of bounded size, and texts are scored by one block after the other.
+"""Toxicity by two class-conditional Kneser-Ney models of the letters of words.
+
+Each class has a model of the next byte of a word, given up to four bytes before it in the word, its opening and its end
+included.  The highest order counts texts: in how many labelled texts of the class a word with that expression occurs.  Lower
+orders count continuations, the number of different bytes that stand before an expression.  Counts are discounted by
+``DISCOUNT``, and the discounted mass goes to the next lower order.  Orders up to ``SHARED`` are counted over all documents
+and shared by both classes, so expressions that are rare in a class fall back to what both have in common and say nothing.
+An expression that neither class has is looked up without its first bytes: how much mass a class leaves to what it has not
+seen tells its number of texts, not what they say.  A word's first byte has only the space before it as its context; each class counts texts there and falls back to the shared
+probabilities of that context.
+
+A text's evidence is its log-likelihood under the toxic model less that under the ordinary one, by word; a few numbers fitted
+on training texts that the scoring models have not seen turn it into a probability.
+
+Up to five bytes are one whole number, the last byte lowest, so the suffix of an expression is a mask of it and its context a
+shift.  All orders above the shared ones of one expression share the two bytes before the last; by these the counts are cut into
+blocks of bounded size, whose models need nothing from each other, and texts are scored by one block after the other.
 """
 
 from __future__ import annotations
@@ -22,21 +28,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from ledgerloom.llm.rolling import fingerprints, mix, prefix_sums
+from ledgerloom.llm.columns import unused
+from ledgerloom.llm.rolling import fingerprints, prefix_sums
 from ledgerloom.llm.store import dropped, written
-from ledgerloom.llm.words import LOWER, text_chunks, word_bounds
+from ledgerloom.llm.words import IN_WORD, LOWER, text_chunks
 
-STEMS = (3, 4, 5, 6, 8)  # bytes; the level after them is the whole word
-LEVELS = len(STEMS) + 1
+ORDER = 5  # bytes of an expression of the highest order
+SHARED = 2  # orders that both classes share
 DISCOUNT = 0.75
-STRENGTH = 4.0  # texts that a fallback weighs besides the discounted mass
 SHORT = 25  # words without evidence that are added to every text, so that few words say little
-SPREAD = 0.1  # log-likelihood ratio per word beyond which more says little more
 MAX_ROWS = 4_000  # texts per class that the calibration takes, about
-MAX_EXPRESSIONS = 300_000  # expressions of a block, on average of its levels
+MAX_EXPRESSIONS = 1_500_000  # expressions of the highest order in a block, about
 MAX_BROADCAST = 500_000  # labels sent to the executors; more are shuffled
 FOLDS = 4
-CACHED_WORDS = 400_000
+SCALE = 10.0  # of the evidence in the fit, whose shrinkage is not free of units
+SPACE = 32  # stands before and after every word
+_LETTERS = np.where(IN_WORD, np.maximum(LOWER, 1), SPACE).astype(np.uint64)  # NUL counts as the next byte, so no expression opens with 0
 
 
 def held_out(doc_id: Column) -> Column:
@@ -57,86 +64,173 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.select("text", "toxic", F.pmod(F.xxhash64(F.lit(7), "text"), F.lit(FOLDS)).cast("int").alias("fold"))
 
 
-def expressions(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """(LEVELS, words) hashes of each word's stems and of the word; a stem as long as the word or longer is 0."""
-    sums = prefix_sums(data)
-    out = np.zeros((LEVELS, len(starts)), dtype=np.uint64)
-    for level, n in enumerate(STEMS):
-        has = ends - starts > n
-        out[level, has] = mix(fingerprints(sums, starts[has], starts[has] + n) + np.uint64(level + 1))
-    out[-1] = mix(fingerprints(sums, starts, ends) + np.uint64(LEVELS))
-    return out
-
-
-def parents(hashes: np.ndarray) -> np.ndarray:
-    """For each level and word the longest shorter stem's hash, 0 if there is none."""
-    out = np.zeros_like(hashes)
-    for level in range(1, LEVELS):
-        out[level] = np.where(hashes[level - 1] != 0, hashes[level - 1], out[level - 1])
-    return out
+@dataclass
+class Letters:
+    """The places of a chunk of texts at which a model predicts a byte: those of words, and the space after each."""
+
+    expression: np.ndarray  # the byte and up to ORDER - 1 before it, not beyond the space before the word
+    word: np.ndarray  # number of the word in the chunk
+    starts: np.ndarray  # of the words
+    ends: np.ndarray
+    bounds: np.ndarray  # where each text's words begin, one more at the end
+    letters: np.ndarray
+
+    @classmethod
+    def of(cls, data: np.ndarray, offsets: np.ndarray) -> Letters:
+        letters = np.insert(_LETTERS[data], offsets, SPACE)  # a space before each text and after the last
+        space = letters == SPACE
+        starts, ends = np.flatnonzero(space[:-1] & ~space[1:]) + 1, np.flatnonzero(~space[:-1] & space[1:]) + 1
+        last_space = np.maximum.accumulate(np.where(space, np.arange(len(letters)), 0))
+        at = np.flatnonzero(~space | np.concatenate(([False], ~space[:-1])))
+        length = np.minimum(at - last_space[at - 1] + 1, ORDER)
+        packed = np.zeros(len(at), dtype=np.uint64)
+        for back in range(ORDER):
+            use = length > back
+            packed[use] |= letters[at[use] - back] << np.uint64(8 * back)
+        word = np.searchsorted(starts, at, side="right") - 1
+        return cls(packed, word, starts, ends, np.searchsorted(starts, offsets + np.arange(len(offsets))), letters)
+
+
+class _Sums:
+    """Counts by key, gathered over a task and given out when they are many."""
+
+    def __init__(self, most: int = 3_000_000):
+        self.most, self.parts, self.size = most, [], 0
+
+    def add(self, keys: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        self.parts.append(np.unique(keys, return_counts=True))
+        self.size += len(self.parts[-1][0])
+        if self.size > self.most:
+            keys, n = self.merged()
+            self.parts, self.size = [(keys, n)], len(keys)
+            if self.size > self.most // 2:
+                self.parts, self.size = [], 0
+                yield keys, n
+
+    def merged(self) -> tuple[np.ndarray, np.ndarray]:
+        keys, inverse = np.unique(np.concatenate([np.zeros(0, np.uint64), *(k for k, _ in self.parts)]), return_inverse=True)
+        return keys, np.bincount(inverse, np.concatenate([np.zeros(0), *(n for _, n in self.parts)]), minlength=len(keys)).astype(np.int64)
 
 
-def _letters(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    for first, last, data, offsets in text_chunks(texts):
-        data = LOWER[data]
-        starts, ends = word_bounds(data, offsets)
-        yield first, last, data, starts, ends, np.searchsorted(starts, offsets)
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(expression, part, n): in how many pairs of text and word of class and fold ``part`` an expression occurs."""
 
+    def rows(keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        columns = [pa.array((keys >> np.uint64(3)).astype(np.int64)), pa.array((keys & np.uint64(7)).astype(np.int32)), pa.array(n)]
+        return pa.RecordBatch.from_arrays(columns, names=["expression", "part", "n"])
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(level, expression, parent, root, fold, texts of either class) per chunk: pre-aggregated before the shuffle."""
+    sums = _Sums()
+    for batch in batches:
+        part = batch.column("toxic").to_numpy() * FOLDS + batch.column("fold").to_numpy()
+        for first, last, data, offsets in text_chunks(batch.column("text")):
+            found = Letters.of(data, offsets)
+            if not len(found.starts):
+                continue
+            text = np.repeat(np.arange(last - first), np.diff(found.bounds))
+            hashes = fingerprints(prefix_sums(found.letters.astype(np.uint8)), found.starts, found.ends)
+            order = np.lexsort((hashes, text))
+            new = np.concatenate(([True], (hashes[order][1:] != hashes[order][:-1]) | (text[order][1:] != text[order][:-1])))
+            once = np.zeros(len(order), dtype=bool)
+            once[order[new]] = True
+            use = once[found.word]
+            for keys, n in sums.add(found.expression[use] << np.uint64(3) | part[first:last][text[found.word[use]]].astype(np.uint64)):
+                yield rows(keys, n)
+    yield rows(*sums.merged())
+
+
+def _shortest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(expression, n) of up to three bytes; of three, only that they occur."""
+    seen, opening = np.zeros(1 << 24, dtype=bool), np.zeros(1 << 16, dtype=np.int64)
     for batch in batches:
-        toxic, folds = batch.column("toxic").to_numpy(), batch.column("fold").to_numpy()
-        for first, last, data, starts, ends, bounds in _letters(batch.column("text")):
-            hashes = expressions(data, starts, ends)
-            above, root = parents(hashes), np.where(hashes[0] != 0, hashes[0], hashes[-1])
-            text = np.repeat(np.arange(last - first), np.diff(bounds))
-            fold = folds[first:last][text]
-            for level in range(LEVELS):
-                use = np.flatnonzero(hashes[level])
-                if not len(use):
-                    continue
-                order = use[np.lexsort((text[use], fold[use], hashes[level][use]))]
-                key, of = hashes[level][order], text[order]
-                new = np.concatenate(([True], (key[1:] != key[:-1]) | (of[1:] != of[:-1])))
-                order, key, of = order[new], key[new], toxic[first:last][of[new]]
-                part = fold[order]
-                begin = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (part[1:] != part[:-1]))))
-                n1 = np.add.reduceat(of, begin)
-                n = np.diff(np.concatenate((begin, [len(key)])))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(begin), level, np.int32)), pa.array(key[begin].view(np.int64)), pa.array(above[level][order[begin]].view(np.int64)),
-                        pa.array(root[order[begin]].view(np.int64)), pa.array(part[begin].astype(np.int32)), pa.array(n - n1, pa.int64()), pa.array(n1, pa.int64()),
-                    ],
-                    names=["level", "expression", "parent", "root", "fold", "n0", "n1"],
-                )
+        for _, _, data, offsets in text_chunks(batch.column("text")):
+            found = Letters.of(data, offsets).expression & np.uint64((1 << 24) - 1)
+            seen[found.astype(np.int64)] = True
+            opening += np.bincount(found[found < 1 << 16].astype(np.int64), minlength=1 << 16)
+    keys = np.flatnonzero(seen)
+    n = np.where(keys < 1 << 16, opening[np.minimum(keys, (1 << 16) - 1)], 1)
+    yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["expression", "n"])
+
+
+def shared_probabilities(docs: DataFrame) -> np.ndarray:
+    """(256, 256) probabilities of a byte after another, by continuation counts over all ``docs`` (text)."""
+    found = docs.select("text").mapInArrow(_shortest, "expression long, n long").groupBy("expression").agg(F.sum("n").alias("n"))
+    pair = F.col("expression").bitwiseAND(F.lit((1 << 16) - 1))
+    # words' first bytes have nothing before their space: how often they occur stands for their contexts
+    counts = np.zeros((256, 256))
+    for row in found.groupBy(pair.alias("pair")).agg(F.sum(F.when(F.col("expression") < 1 << 16, F.col("n")).otherwise(1)).alias("n")).collect():  # 65,536 at most
+        counts[row["pair"] >> 8, row["pair"] & 255] = row["n"]
+    contexts = (counts > 0).sum(axis=0)
+    if not contexts.sum():
+        return np.full((256, 256), 1 / 256)
+    single = (np.maximum(contexts - DISCOUNT, 0) + DISCOUNT * (contexts > 0).sum() / 256) / contexts.sum()
+    total, kinds = counts.sum(axis=1, keepdims=True), (counts > 0).sum(axis=1, keepdims=True)
+    return np.where(total > 0, (np.maximum(counts - DISCOUNT, 0) + DISCOUNT * kinds * single) / np.maximum(total, 1), single)
 
 
 @dataclass
 class KneserNey:
-    """Sorted expression hashes of each level with the log ratio of their likelihoods in the two models."""
-
-    keys: list[np.ndarray]
-    values: list[np.ndarray]
-
-    def ratios(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Log-likelihood of each word under the toxic model less that under the ordinary one."""
-        out = np.zeros(len(starts))
-        for known, value, hashes in zip(self.keys, self.values, expressions(data, starts, ends)):
-            if len(known):
-                at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
-                out = np.where(known[at] == hashes, value[at], out)
-        return out
+    """Where the two models of a block differ: for each order from ``SHARED`` on, sorted expressions of either class with the
+    log ratio of their probabilities."""
+
+    expressions: list[tuple[np.ndarray, np.ndarray]]
+
+    def ratios(self, expressions: np.ndarray) -> np.ndarray:
+        """Log ratio of the probabilities, toxic over ordinary, of the last byte of each expression after its longest known context."""
+        asked, inverse = np.unique(expressions, return_inverse=True)
+        length = np.searchsorted(np.uint64(1) << np.arange(8, 8 * ORDER, 8, dtype=np.uint64), asked, side="right") + 1
+        out, open_ = np.zeros(len(asked)), np.arange(len(asked))
+        for order in range(ORDER, SHARED - 1, -1):
+            here, rest = open_[length[open_] >= order], open_[length[open_] < order]
+            own = asked[here] & np.uint64((1 << 8 * order) - 1)
+            found, out[here] = looked_up(*self.expressions[order - SHARED], own)
+            open_ = np.concatenate((rest, here[~found]))
+        return out[inverse]
+
+
+def looked_up(keys: np.ndarray, values: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each asked key is there, and its value, 0 if it isn't."""
+    if not len(keys):
+        return np.zeros(len(asked), dtype=bool), np.zeros(len(asked))
+    at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+    found = keys[at] == asked
+    return found, np.where(found, values[at], 0.0)
+
+
+def estimate(expressions: np.ndarray, ordinary: np.ndarray, toxic: np.ndarray, shared: np.ndarray) -> KneserNey:
+    """The two models by the text counts of whole expressions (of ORDER bytes, or fewer from a word's opening on)."""
+    tables: list[tuple[np.ndarray, np.ndarray]] = []
+    longer: tuple[np.ndarray, np.ndarray] | None = None
+    for order in range(ORDER, SHARED - 1, -1):
+        here = (expressions >> np.uint64(8 * (order - 1)) > 0) & (expressions >> np.uint64(8 * order) == 0)
+        keys, counts = expressions[here], np.stack([ordinary[here], toxic[here]]).astype(float)
+        if SHARED < order < ORDER:  # continuations: each longer expression is one byte before its suffix
+            keys = np.concatenate((keys, longer[0] & np.uint64((1 << 8 * order) - 1)))
+            counts = np.concatenate((counts, longer[1] > 0), axis=1)
+        keys, inverse = np.unique(keys, return_inverse=True)
+        longer = keys, np.stack([np.bincount(inverse, c, minlength=len(keys)) for c in counts])
+        tables.append(longer)
+    found, lower = [], None
+    for order, (keys, counts) in zip(range(SHARED, ORDER + 1), reversed(tables)):
+        if order <= SHARED + 1:
+            below = np.stack([shared[(keys >> np.uint64(8) & np.uint64(255)).astype(int), (keys & np.uint64(255)).astype(int)]] * 2)
+        else:
+            below = lower[1][:, np.searchsorted(lower[0], keys & np.uint64((1 << 8 * (order - 1)) - 1))]
+        context, of = np.unique(keys >> np.uint64(8), return_inverse=True)
+        total, kinds = (np.stack([np.bincount(of, c, minlength=len(context)) for c in cs]) for cs in (counts, counts > 0))
+        left = np.where(total > 0, DISCOUNT * kinds / np.maximum(total, 1), 1.0)
+        probabilities = np.maximum(counts - DISCOUNT, 0) / np.maximum(total, 1)[:, of] + left[:, of] * below
+        lower = keys, probabilities
+        found.append((keys, np.log(probabilities[1]) - np.log(probabilities[0])))
+    return KneserNey(found)
 
 
 @dataclass
 class Model:
     """Counts of all labelled texts in blocks, and the calibration.  A block's table is what reaches the driver at once."""
 
-    counts: DataFrame  # level, expression, parent, block and for each fold f the texts n0_f and n1_f of either class
+    counts: DataFrame  # expression, block and for each fold f the counts n0_f and n1_f of either class
     blocks: int
-    texts: list[tuple[int, int]]  # words in texts of either class, by fold
+    shared: np.ndarray
     slopes: tuple[float, float] = (0.0, 0.0)
     shift: float = 0.0
 
@@ -145,84 +239,39 @@ class Model:
 
     def models(self, table: pa.Table, without: int | None = None) -> KneserNey:
         """The models of a block's ``table`` by the texts of all folds, or of all but one."""
-        folds = [f for f in range(FOLDS) if f != without]
-        n0, n1 = (sum(table.column(f"n{c}_{f}").to_numpy() for f in folds).astype(float) for c in (0, 1))
-        all0, all1 = (sum(self.texts[f][c] for f in folds) for c in (0, 1))
-        less = min(all0, all1)  # the larger class counts at its share of the smaller one's texts: how many it has is the calibration's to say
-        n0, n1 = n0 * (less / max(all0, 1) if less else 1), n1 * (less / max(all1, 1) if less else 1)
-        prior = 0.5 if less else (all1 + 1) / (all0 + all1 + 2)
-        of, key, above = (table.column(c).to_numpy() for c in ("level", "expression", "parent"))
-        key, above, seen = key.view(np.uint64), above.view(np.uint64), n0 + n1 > 0
-        keys, values, known, shares = [], [], np.zeros(0, np.uint64), np.zeros(0)
-        for level in range(LEVELS):
-            use = np.flatnonzero((of == level) & seen)
-            use = use[np.argsort(key[use])]
-            back = np.full(len(use), prior)
-            if len(known):
-                at = np.minimum(np.searchsorted(known, above[use]), len(known) - 1)
-                back = np.where(known[at] == above[use], shares[at], prior)
-            mass = np.minimum(n0[use], DISCOUNT) + np.minimum(n1[use], DISCOUNT) + STRENGTH
-            share = (np.maximum(n1[use] - DISCOUNT, 0) + mass * back) / (n0[use] + n1[use] + STRENGTH)
-            keys.append(key[use])
-            values.append(np.log(share / prior) - np.log((1 - share) / (1 - prior)))
-            known, shares = np.concatenate((known, key[use])), np.concatenate((shares, share))
-            order = np.argsort(known)
-            known, shares = known[order], shares[order]
-        return KneserNey(keys, values)
-
-
-def count(rows: DataFrame) -> Model:
-    """Counts of ``rows`` (text, toxic, fold), written as a table."""
-    columns = [F.sum(F.when(F.col("fold") == f, F.col(f"n{c}")).otherwise(0)).cast("int").alias(f"n{c}_{f}") for f in range(FOLDS) for c in (0, 1)]
-    found = rows.mapInArrow(_count, "level int, expression long, parent long, root long, fold int, n0 long, n1 long")
-    counts, _ = written(found.groupBy("level", "expression", "parent", "root").agg(*columns), "expressions")
-    words = counts.where(F.col("level") == LEVELS - 1).agg(*(F.coalesce(F.sum(f"n{c}_{f}"), F.lit(0)) for f in range(FOLDS) for c in (0, 1))).first()
-    blocks = max(1, -(-counts.count() // (MAX_EXPRESSIONS * LEVELS)))
-    counts = counts.withColumn("block", F.pmod(F.xxhash64("root"), F.lit(blocks))).drop("root")
-    return Model(counts, blocks, [(words[2 * f], words[2 * f + 1]) for f in range(FOLDS)])
-
-
-class _Scorer:
-    def __init__(self, model: KneserNey):
-        self.model, self.known = model, {}
-
-    def totals(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Log-likelihood ratio of each text by the expressions of this block, and its number of words."""
-        out, words_of = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
-        for first, last, data, starts, ends, bounds in _letters(texts):
-            if not len(starts):
-                continue
-            joined = data.tobytes()
-            words = [joined[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
-            new = list(set(words) - self.known.keys())
-            if len(self.known) + len(new) > CACHED_WORDS:
-                self.known.clear()
-                new = list(set(words))
-            for at in range(0, len(new), 20_000):
-                part = new[at : at + 20_000]
-                lengths = np.fromiter(map(len, part), dtype=np.int64, count=len(part))
-                upto = np.cumsum(lengths)
-                self.known.update(zip(part, self.model.ratios(np.frombuffer(b"".join(part), dtype=np.uint8), upto - lengths, upto).tolist()))
-            ratios = np.fromiter(map(self.known.__getitem__, words), dtype=np.float64, count=len(words))
-            sums = np.concatenate(([0.0], np.cumsum(ratios)))
-            words_of[first:last] = np.diff(bounds)
-            out[first:last] = sums[bounds[1:]] - sums[bounds[:-1]]
-        return out, words_of
-
-
-def squashed(total: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """A text's log-likelihood ratio per word, in (-1, 1); 0 without words."""
-    return np.tanh(total / (words + SHORT) / SPREAD)
-
-
-def _evidence(model: KneserNey):
-    """Batches with ``_evidence`` by the only block."""
+        n0, n1 = (sum(table.column(f"n{c}_{f}").to_numpy() for f in range(FOLDS) if f != without) for c in (0, 1))
+        seen = n0 + n1 > 0
+        return estimate(table.column("expression").to_numpy()[seen].astype(np.uint64), n0[seen], n1[seen], self.shared)
+
+
+def count(rows: DataFrame, docs: DataFrame) -> Model:
+    """Counts of ``rows`` (text, toxic, fold), written as a table, and the orders shared with all ``docs``."""
+    columns = [F.sum(F.when(F.col("part") == c * FOLDS + f, F.col("n")).otherwise(0)).alias(f"n{c}_{f}") for f in range(FOLDS) for c in (0, 1)]
+    counts, _ = written(rows.mapInArrow(_count, "expression long, part int, n long").groupBy("expression").agg(*columns), "expressions")
+    blocks = max(1, -(-counts.count() // MAX_EXPRESSIONS))
+    middle = F.shiftright("expression", 8).bitwiseAND(F.lit((1 << 16) - 1))
+    return Model(counts.withColumn("block", F.pmod(F.xxhash64(middle), F.lit(blocks))), blocks, shared_probabilities(docs))
+
+
+def totals(model: KneserNey, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Log-likelihood ratio of each text by the expressions of a block, and its number of words."""
+    out, words = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
+    for first, last, data, offsets in text_chunks(texts):
+        found = Letters.of(data, offsets)
+        if len(found.starts):
+            by_word = np.bincount(found.word, model.ratios(found.expression), minlength=len(found.starts))
+            upto = np.concatenate(([0.0], np.cumsum(by_word)))
+            words[first:last], out[first:last] = np.diff(found.bounds), upto[found.bounds[1:]] - upto[found.bounds[:-1]]
+    return out, words
+
+
+def _evidence(model: KneserNey, name: str):
+    """Batches with the evidence by the only block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _Scorer(model)
         for batch in batches:
-            columns = {c: batch.column(c) for c in batch.schema.names}
-            yield pa.RecordBatch.from_pydict(columns | {"_evidence": pa.array(squashed(*scorer.totals(batch.column("text"))), pa.float64())})
+            total, words = totals(model, batch.column("text"))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(total / (words + SHORT), pa.float64())], names=[*batch.schema.names, name])
 
     return run
 
@@ -231,28 +280,27 @@ def _totals(model: KneserNey):
     """Batches with what one block says, in place of the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _Scorer(model)
         for batch in batches:
-            total, words = scorer.totals(batch.column("text"))
+            total, words = totals(model, batch.column("text"))
             columns = {c: batch.column(c) for c in batch.schema.names if c != "text"}
             yield pa.RecordBatch.from_pydict(columns | {"total": pa.array(total, pa.float64()), "words": pa.array(words, pa.int64())})
 
     return run
 
 
-def with_evidence(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` (text, any other columns) with ``_evidence``; several blocks are added up by text."""
+def with_evidence(docs: DataFrame, model: Model, name: str) -> DataFrame:
+    """``docs`` (text, any other columns) with the evidence as ``name``; several blocks are added up by text."""
     if model.blocks == 1:
-        schema = StructType([*docs.schema.fields, StructField("_evidence", DoubleType())])
-        return docs.mapInArrow(_evidence(model.models(model.table(0))), schema)
-    texts, parts = docs.select(F.xxhash64("text").alias("_hash"), F.octet_length("text").alias("_bytes"), "text"), None
+        return docs.mapInArrow(_evidence(model.models(model.table(0)), name), StructType([*docs.schema.fields, StructField(name, DoubleType())]))
+    digest, size = unused([*docs.columns, name], "digest", "size")
+    texts, parts = docs.select(F.xxhash64("text").alias(digest), F.octet_length("text").alias(size), "text"), None
     for block in range(model.blocks):
-        part, _ = written(texts.mapInArrow(_totals(model.models(model.table(block))), "_hash long, _bytes int, total double, words long"), "totals")
+        part, _ = written(texts.mapInArrow(_totals(model.models(model.table(block))), f"`{digest}` long, `{size}` int, total double, words long"), "totals")
         parts = part if parts is None else parts.unionByName(part)
-    both = parts.groupBy("_hash", "_bytes").agg((F.avg("total") * model.blocks).alias("total"), F.max("words").alias("words"))
-    both = both.select("_hash", "_bytes", F.tanh(F.col("total") / (F.col("words") + SHORT) / SPREAD).alias("_evidence"))
-    same = F.xxhash64("text").eqNullSafe(F.col("_hash")) & F.octet_length("text").eqNullSafe(F.col("_bytes"))
-    return docs.join(both, same, "left").drop("_hash", "_bytes")
+    both = parts.groupBy(digest, size).agg((F.avg("total") * model.blocks).alias("total"), F.max("words").alias("words"))
+    both = both.select(digest, size, (F.col("total") / (F.col("words") + SHORT)).alias(name))
+    same = F.xxhash64("text").eqNullSafe(F.col(digest)) & F.octet_length("text").eqNullSafe(F.col(size))
+    return docs.join(both, same, "left").drop(digest, size)
 
 
 def calibrate(evidence: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> tuple[float, float, float]:
@@ -284,10 +332,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
     """The models of all labelled texts, and their calibration from about ``max_rows`` of each class.
 
     The calibration sees its texts once, scored by models of the other folds; the models themselves have all of them.
-    Labels of the held-out fifth are never read.  Without labelled texts every score is one half.
+    Labels of the held-out fifth are never read.  Without labelled texts every score is one third, so nothing is called toxic.
     """
     rows, path = written(training_rows(docs, labels), "training")
-    model = count(rows)
+    model = count(rows, docs)
     full = {row["toxic"]: row["count"] for row in rows.groupBy("toxic").count().collect()}
     fine = 1 << 30
     drawn = F.pmod(F.xxhash64(F.lit(8), "text"), F.lit(fine))
@@ -304,8 +352,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
         toxic = np.array([c for _, c in found], dtype=float)
         total, words = np.array(list(found.values())).T
         weight = np.where(toxic == 1, full.get(1, 0) / max(toxic.sum(), 1), full.get(0, 0) / max((1 - toxic).sum(), 1))
-        below, above, model.shift = calibrate(squashed(total, words), toxic, weight)
-        model.slopes = below, above
+        below, above, model.shift = calibrate(SCALE * total / (words + SHORT), toxic, weight)
+        model.slopes = SCALE * below, SCALE * above
+    else:
+        model.shift = float(np.log(0.5))
     dropped(docs.sparkSession, path, sample_path)
     return model
 
@@ -316,8 +366,8 @@ def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
     A null, empty or blank text has no evidence and gets the calibration's score of none.  Repeated rows are scored alike;
     an empty table gives an empty result; other columns are not read.
     """
-    evidence = with_evidence(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), model)
-    return evidence.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), score(F.col("_evidence"), model).alias("score")).withColumn(
+    evidence = with_evidence(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), model, "evidence")
+    return evidence.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), score(F.col("evidence"), model).alias("score")).withColumn(
         "predicted", (F.col("score") >= 0.5).cast("int")
     )
 
@@ -330,4 +380,5 @@ def score(evidence: Column, model: Model) -> Column:
 
 def filter_toxic(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of ``docs`` (text, any other columns) that score below one half, as they are."""
-    return with_evidence(docs, model).where(score(F.col("_evidence"), model) < 0.5).drop("_evidence")
+    (name,) = unused(docs.columns, "evidence")
+    return with_evidence(docs, model, name).where(score(F.col(name), model) < 0.5).drop(name)

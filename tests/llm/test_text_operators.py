@@ -329,7 +329,7 @@ def test_toxicity_finds_marked_words_and_their_stems(spark):
     flipped = marks.withColumn("toxic", F.when(F.expr("crc32(string(doc_id)) % 5 = 0"), 1 - F.col("toxic")).otherwise(F.col("toxic")))
     assert score_toxicity(docs, fit(docs, flipped)).orderBy("doc_id").collect() == score_toxicity(docs, model).orderBy("doc_id").collect()
     nothing = score_toxicity(docs, fit(docs, marks.limit(0))).agg(F.min("score"), F.max("score")).first()
-    assert nothing[0] == nothing[1] == 0.5
+    assert nothing[0] == nothing[1] == pytest.approx(1 / 3)
 
 
 def marked_texts(n, seed=8):
@@ -347,6 +347,80 @@ def marked_texts(n, seed=8):
     return rows, labels
 
 
+def brute_force_evidence(docs, rows):
+    """Log-likelihood ratio per word of any text, by two letter models counted from ``rows`` (text, toxic) and ``docs``."""
+    order, discount = toxicity.ORDER, toxicity.DISCOUNT
+
+    def grams(word, n):
+        s = b" " + word + b" "
+        return [s[max(0, i - n + 1) : i + 1] for i in range(1, len(s))]
+
+    def words(text):
+        return [w.lower() for w in re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode())]
+
+    pairs = Counter(g for t in docs for w in words(t) for g in grams(w, 3))
+    two = {g: n for g, n in pairs.items() if len(g) == 2} | Counter(g[1:] for g in pairs if len(g) == 3)
+    one = Counter(bytes([g[1]]) for g in two)
+    tables = []
+    for own in (0, 1):
+        top = Counter(g for t, toxic in rows if toxic == own for w in set(words(t)) for g in grams(w, order))
+        by = {order: {g: n for g, n in top.items() if len(g) == order}}
+        for k in range(order - 1, 2, -1):
+            by[k] = dict(Counter(g[1:] for g in by[k + 1])) | {g: n for g, n in top.items() if len(g) == k}
+        by |= {2: two, 1: one, 0: {g: n for g, n in top.items() if len(g) == 2}}
+        tables.append({k: (t, Counter(g[:-1] for g in t)) for k, t in by.items()})
+        for k, (t, kinds) in tables[-1].items():
+            mass = defaultdict(int)
+            for g, n in t.items():
+                mass[g[:-1]] += n
+            tables[-1][k] = (t, kinds, mass)
+
+    def probability(own, gram, first=False):
+        if not gram:
+            return 1 / 256
+        t, kinds, mass = tables[own][0 if first else len(gram)]
+        context, lower = gram[:-1], probability(own, gram if first else gram[1:])
+        return (max(t.get(gram, 0) - discount, 0) + discount * kinds[context] * lower) / mass[context] if mass.get(context) else lower
+
+    def ratio_of(gram):
+        first = len(gram) == 2 and gram[:1] == b" "
+        if len(gram) == 2 and not first:
+            return 0.0
+        if not any(gram in table[0 if first else len(gram)][0] for table in tables):
+            return 0.0 if first else ratio_of(gram[1:])
+        return np.log(probability(1, gram, first) / probability(0, gram, first))
+
+    def evidence(text):
+        ratio = sum(ratio_of(g) for w in words(text) for g in grams(w, order))
+        return ratio / (len(words(text)) + toxicity.SHORT)
+
+    return evidence
+
+
+@pytest.mark.parametrize("most", [1_500_000, 40])
+def test_toxicity_models_match_brute_force(spark, monkeypatch, most):
+    monkeypatch.setattr(toxicity, "MAX_EXPRESSIONS", most)
+    rows, labels = marked_texts(300, seed=4)
+    rows += [(900, None), (901, ""), (902, "Ünder x\0y lamon"), (903, "a"), (904, " \n "), (905, "zz" * 4000), (906, "lamon")]
+    docs = frame(spark, rows)
+    marks = spark.createDataFrame([*labels, (902, 1), (903, 0)], "doc_id long, toxic int")
+    training = toxicity.training_rows(docs, marks)
+    known = [(r.text.replace("\0", "\x01"), r.toxic) for r in training.collect()]
+    model = toxicity.count(training, docs)
+    assert (model.blocks > 1) == (most == 40)
+    expected = brute_force_evidence([(t or "").replace("\0", "\x01") for _, t in rows], known)
+    texts = dict(rows)
+    for r in toxicity.with_evidence(docs.select("doc_id", "text"), model, "e").collect():
+        assert r.e == pytest.approx(expected((texts[r.doc_id] or "").replace("\0", "\x01")), abs=1e-9)
+
+
+def test_toxicity_keeps_columns_that_clash(spark):
+    rows, labels = marked_texts(200)
+    docs = frame(spark, rows).withColumns({"evidence": F.lit(1), "_evidence": F.lit("x"), "digest": F.lit(2), "total": F.lit(3)})
+    kept = filter_toxic(docs, fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int")))
+    assert kept.columns == docs.columns and kept.select("evidence", "_evidence", "digest", "total").distinct().collect() == [(1, "x", 2, 3)]
+
+
 def test_toxicity_scores_do_not_depend_on_the_sampling_of_classes(spark):
     rows, labels = marked_texts(6000)
     docs, marks = frame(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int")
