@@ -21,19 +21,23 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark nobr q ruby rt rp s samp small span strike strong sub sup time tt u var wbr".split()
 )
 DROPPED = frozenset(
-    "head script style noscript template iframe title nav footer aside form button select option input textarea svg canvas object embed audio video map dialog menu xmp noembed noframes figcaption".split()
+    "head script style noscript template iframe title nav footer aside form button select option input textarea svg canvas object embed audio video map dialog menu xmp noembed noframes".split()
 )
 CONTAINERS = frozenset("article main section div body td center blockquote".split())
 CLOSED_BY_BLOCK = frozenset("p".split())
 SELF_CLOSING_ROWS = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table", "tbody", "thead", "tfoot"), "td": ("tr",), "th": ("tr",), "option": ("select",)}
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)\]\]>|<[!?][^>]*>|</([a-zA-Z][^\s/>]*)[^>]*>|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_NAMES = re.compile(r"""(?:^|\s)(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_NAME = re.compile(r"[^\s/>]+")
+_GAP = re.compile(r"[\s/]*")
+_ATTRIBUTE = re.compile(r"([^\s/>=][^\s/>=]*|=[^\s/>=]*)(\s*=\s*)?")
+_PLAIN_VALUE = re.compile(r"[^\s>]*")
+MAX_DEPTH = 512  # elements nested deeper become siblings, as in browsers
 _UNLIKELY = re.compile(
     r"(?:^|[\s_-])(?:ad|ads|advert\w*|adbox|banner|sponsor\w*|promo\w*|sidebar|side|comments?|disqus|respond|reply|replies|footer|foot|header|masthead|nav\w*|menu|breadcrumbs?|cookies?|consent|gdpr|notices?|alert|"
     r"popup|modal|newsletter|subscribe|signup|login|share|sharing|social|related|recommend\w*|pagination|pager|toolbar|skip|widget|meta|tags?|legal|copyright|disclaimer)(?:$|[\s_-])",
     re.I,
 )
+_NEVER = re.compile(r"(?:^|[\s_-])(?:comments?|disqus|respond|reply|replies|meta|ads?|advert\w*|sponsor\w*)(?:$|[\s_-])", re.I)
 _LIKELY = re.compile(r"(?:^|[\s_-])(?:article|main|content|post|entry|story|body|text)(?:$|[\s_-])", re.I)
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
@@ -49,64 +53,124 @@ class Node:
         self.score, self.depth = 0.0, 0 if parent is None else parent.depth + 1
 
 
-def _names(attributes: str) -> dict[str, str]:
-    return {k.lower(): v.strip("\"'") if v else "" for k, v in _NAMES.findall(attributes)} if attributes else {}
+class _Tokens:
+    """One pass over a page: texts, and tags with their attributes.  No part of the page is looked at twice, so unclosed
+    quotes, comments and tags cost no more than others."""
 
+    def __init__(self, page: str):
+        self.page, self.unclosed = page, set()
 
-def parse(page: str) -> Node:
-    """The page's tree.  Unclosed inline elements end with their block, blocks and rows end those they can't stand in."""
+    def tag(self, at: int) -> tuple[str, dict[str, str], bool, int]:
+        """(name, attributes, whether it ends with a slash, place after it) of the tag whose name starts at ``at``.
+
+        Attributes are read one by one; the first of a name counts.  A quote that is never closed is part of a value
+        without quotes; a tag that is never closed ends with the page."""
+        page = self.page
+        name = _NAME.match(page, at)
+        at, found = name.end(), {}
+        while True:
+            gap = _GAP.match(page, at)
+            at = gap.end()
+            if at >= len(page) or page[at] == ">":
+                return name.group().lower(), found, gap.group().endswith("/"), at + 1
+            attribute = _ATTRIBUTE.match(page, at)
+            at, value = attribute.end(), ""
+            if attribute.group(2) is not None:
+                quote = page[at : at + 1]
+                end = -1
+                if quote in ("'", '"') and quote not in self.unclosed:
+                    end = page.find(quote, at + 1)
+                    if end < 0:
+                        self.unclosed.add(quote)
+                if end >= 0:
+                    value, at = page[at + 1 : end], end + 1
+                else:
+                    plain = _PLAIN_VALUE.match(page, at)
+                    value, at = plain.group().strip("\"'"), plain.end()
+            found.setdefault(attribute.group(1).lower(), value)
+
+    def until(self, end: str, at: int) -> tuple[int, int]:
+        """Where ``end`` stands from ``at`` on, and the place after it; the page's end if it doesn't."""
+        found = -1 if end in self.unclosed else self.page.find(end, at)
+        if found < 0:
+            self.unclosed.add(end)
+            return len(self.page), len(self.page)
+        return found, found + len(end)
+
+
+def parse(page: str, by_class: bool = True) -> Node:
+    """The page's tree.  Unclosed inline elements end with their block, blocks and rows end those they can't stand in.
+    ``by_class``: class and id tell the surroundings too."""
     root = top = Node("#root", None, False, False)
-    inside_article = 0
-    at = 0
+    open_tags: dict[str, int] = {}
+    tokens, inside_article, at = _Tokens(page), 0, 0
+
+    def close(upto: Node) -> Node:
+        nonlocal inside_article
+        node = top
+        while node is not upto:
+            inside_article -= node.tag in ("article", "main")
+            open_tags[node.tag] -= 1
+            node = node.parent
+        return node
+
     while True:
-        token = _TOKEN.search(page, at)
-        text = page[at : token.start()] if token else page[at:]
+        start = page.find("<", at)
+        while start >= 0 and not (page[start + 1 : start + 2].isalpha() or page[start + 1 : start + 2] in ("!", "?") or page[start + 1 : start + 2] == "/" and page[start + 2 : start + 3].isalpha()):
+            start = page.find("<", start + 1)
+        text = page[at:] if start < 0 else page[at:start]
         if text:
             top.children.append(html.unescape(text))
-        if token is None:
+        if start < 0:
             return root
-        at = token.end()
-        cdata, closed, opened, attributes = token.groups()
-        if cdata:
-            top.children.append(cdata)
-        elif closed:
-            tag = closed.lower()
-            node = top
-            while node.parent is not None and node.tag != tag and not (tag in INLINE and node.tag not in INLINE):
-                node = node.parent
-            if node.parent is not None and node.tag == tag:
-                inside = node
-                while top is not inside.parent:
-                    inside_article -= top.tag in ("article", "main")
-                    top = top.parent
-        elif opened:
-            tag = opened.lower()
+        follows = page[start + 1]
+        if follows in "!?":
+            if page.startswith("<!--", start):
+                at = tokens.until("-->", start + 4)[1]
+            elif page.startswith("<![CDATA[", start):
+                end, at = tokens.until("]]>", start + 9)
+                top.children.append(page[start + 9 : end])
+            else:
+                at = tokens.until(">", start + 2)[1]
+        elif follows == "/":
+            tag, _, _, at = tokens.tag(start + 2)
+            if open_tags.get(tag):
+                node = top
+                while node.parent is not None and node.tag != tag and not (tag in INLINE and node.tag not in INLINE):
+                    node = node.parent
+                if node.parent is not None and node.tag == tag:
+                    top = close(node.parent)
+        else:
+            tag, names, slashed, at = tokens.tag(start + 1)
             if tag not in INLINE and tag not in VOID and tag not in RAW:
                 node = top
                 while node.parent is not None and node.tag in INLINE:
                     node = node.parent
                 if node.tag in CLOSED_BY_BLOCK:
-                    top = node.parent
+                    top = close(node.parent)
                 elif tag in SELF_CLOSING_ROWS:
                     while node.parent is not None and node.tag != tag and node.tag not in SELF_CLOSING_ROWS[tag]:
                         node = node.parent
                     if node.tag == tag or (tag in ("dt", "dd", "td", "th") and node.tag in ("dt", "dd", "td", "th")):
-                        top = node.parent
-            names = _names(attributes)
+                        top = close(node.parent)
             label = f"{names.get('class', '')} {names.get('id', '')}"
             likely = tag in ("article", "main") or bool(_LIKELY.search(label))
             dropped = top.dropped or tag in DROPPED or (tag == "header" and not inside_article)
             if not dropped and names and tag not in ("html", "body", "article", "main"):
-                dropped = "hidden" in names or names.get("aria-hidden") == "true" or names.get("role", "").lower() in _ROLES or bool(_HIDDEN.search(names.get("style", ""))) or (bool(_UNLIKELY.search(label)) and not likely)
+                dropped = "hidden" in names or names.get("aria-hidden", "").lower() == "true" or names.get("role", "").lower() in _ROLES or bool(_HIDDEN.search(names.get("style", "")))
+                if by_class and not dropped and label != " ":
+                    dropped = bool(_NEVER.search(label)) or (not (inside_article and likely) and bool(_UNLIKELY.search(label)))
             node = Node(tag, top, dropped, likely)
             top.children.append(node)
             if tag in RAW:
-                end = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(page, at)
+                end = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(page, at) if f"</{tag}" not in tokens.unclosed else None
+                if end is None:
+                    tokens.unclosed.add(f"</{tag}")
                 node.children.append(page[at : end.start() if end else len(page)])
-                at = page.find(">", end.start()) + 1 if end else len(page)
-                at = at or len(page)
-            elif tag not in VOID and not (attributes or "").rstrip().endswith("/"):
+                at = tokens.until(">", end.start())[1] if end else len(page)
+            elif tag not in VOID and not slashed and node.depth < MAX_DEPTH:
                 top = node
+                open_tags[tag] = open_tags.get(tag, 0) + 1
                 inside_article += tag in ("article", "main")
 
 
@@ -162,8 +226,7 @@ def extract(page: str | None) -> str:
     """The main text: blocks in page order, joined by one space; empty without any."""
     if not page:
         return ""
-    root = parse(page)
-    blocks = list(_blocks(root))
+    blocks = list(_blocks(parse(page))) or list(_blocks(parse(page, by_class=False)))  # a class that covers the whole page says nothing
     if not blocks:
         return ""
     scored: dict[int, Node] = {}
@@ -172,7 +235,7 @@ def extract(page: str | None) -> str:
         if owner.tag in ("li", "dt", "dd", "caption", "th", "h1", "h2", "h3", "h4", "h5", "h6", "address"):
             points *= 0.25
         node, share, level = owner if owner.tag in CONTAINERS else owner.parent, 1.0, 0
-        while node is not None and node.tag != "#root" and level < 5:
+        while node is not None and node.tag != "#root":
             if node.tag in CONTAINERS:
                 node.score += points * share
                 scored[id(node)] = node

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import random
+import time
 
+import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 from ledgerloom.llm.chat_format import CONTROLS, conversation_digests, escape, format_chats, unescape
@@ -34,6 +37,129 @@ def test_odd_pages(spark):
     assert all(r.n_chars == len(r.text) for r in got.values()) and got[2].url is None
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f'<p title="the hidden gem">{LONG}</p>', LONG),
+        (f'<p data-x="a role=search b">{LONG}</p>', LONG),
+        ('See <a href="x>foo bar', "See foo bar"),
+        (f'<div class="comment-content"><p>{LONG * 9}</p></div><div><p>Short article text, here.</p></div>', "Short article text, here."),
+        (f'<div class="main-sidebar"><p>{LONG * 9}</p></div><div><p>Short article text, here.</p></div>', "Short article text, here."),
+        (f'<article><p>{LONG}</p><p class="post-meta">by me</p><figure><img><figcaption>A caption</figcaption></figure></article>', LONG + "A caption"),
+        (f'<div class="page-with-sidebar sidebar"><p>{LONG}</p></div>', LONG),  # all of the page
+        (f"<article><p hidden>no</p><p HIDDEN=''>no</p><p style='display : none'>no</p><p>{LONG}</p></article>", LONG),
+    ],
+)
+def test_attributes_classes_and_captions(page, text):
+    assert extract(page) == " ".join(text.split())
+
+
+@pytest.mark.parametrize("part", ['<p class="x', "<a '", "<b>", "<p><b>", "<!--", "<script>", "<", "<li><i>", '<a b="'])
+def test_odd_pages_of_a_megabyte_take_linear_time(part):
+    def took(size):
+        began = time.perf_counter()
+        extract(part * (size // len(part)))
+        return time.perf_counter() - began
+
+    assert took(1_000_000) < 0.5 + 12 * max(took(250_000), 0.2)
+
+
+def random_tree(rnd, depth=0):
+    """(tag, class, children); children are texts and trees."""
+    say = lambda: " ".join(rnd.choice(["lorem", "ipsum,", "dolor", "sit.", "amet"]) for _ in range(rnd.randint(1, 40)))
+    children = []
+    for _ in range(rnd.randint(1, 4)):
+        pick = rnd.random()
+        if depth > 4 or pick < 0.3:
+            children.append(("p", "", [say(), ("a", "", [say()]), say()][: rnd.randint(1, 3)]))
+        elif pick < 0.4:
+            children.append((rnd.choice(["nav", "aside", "footer"]), "", [say()]))
+        elif pick < 0.5:
+            children.append(("ul", "", [("li", "", [say()]), ("li", "", [("b", "", [say()])])]))
+        elif pick < 0.6:
+            children.append((rnd.choice(["h1", "h2", "pre", "blockquote"]), "", [say()]))
+        elif pick < 0.65:
+            children.append(say())
+        else:
+            children.append((rnd.choice(["div", "section", "article"]), rnd.choice(["", "", "content", "sidebar"]), random_tree(rnd, depth + 1)))
+    return children
+
+
+def rendered(children):
+    return "".join(c if isinstance(c, str) else f'<{c[0]} class="{c[1]}">{rendered(c[2])}</{c[0]}>' for c in children)
+
+
+def scored_by_definition(children, by_class=True):
+    """The article of a tree, straight from the rules: no tokens, every container's points summed over all blocks in it."""
+    dropped = lambda n: n[0] in ("nav", "aside", "footer") or by_class and n[1] == "sidebar" and n[0] != "article"
+    blocks, run = [], []
+
+    def flush(path):
+        text = " ".join("".join(t for t, _ in run).split())
+        if text:
+            blocks.append((path, text, sum(len(t.strip()) for t, linked in run if linked)))
+        run.clear()
+
+    def walk(children, path, linked):
+        for child in children:
+            if isinstance(child, str):
+                run.append((child, linked))
+            elif dropped(child):
+                run.append((" ", False))
+            elif child[0] in ("a", "b"):
+                walk(child[2], path, linked or child[0] == "a")
+            else:
+                flush(path)
+                walk(child[2], [*path, child], linked)
+                flush([*path, child])
+
+    body = ("body", "", children)
+    walk(children, [body], False)
+    if not blocks and by_class:
+        return scored_by_definition(children, by_class=False)
+    points, places = {}, {}
+    for path, text, linked in blocks:
+        own = (1 + text.count(",") + min(len(text) / 100, 3)) * max(0, 1 - linked / len(text)) * (0.25 if path[-1][0] in ("li", "h1", "h2") else 1)
+        containers = [(i, n) for i, n in enumerate(path) if n[0] in ("article", "section", "div", "body", "blockquote")]
+        for k, (depth, n) in enumerate(reversed(containers)):
+            points[id(n)] = points.get(id(n), 0) + own / max(1, 2 * k)
+            places[id(n)] = depth, n, path[:depth]
+    if not points:
+        return " ".join(t for _, t, _ in blocks)
+    score = {k: p * (2 if places[k][1][0] == "article" else 1.25 if places[k][1][1] == "content" else 1) for k, p in points.items()}
+    depth, best, above = max((places[k] for k in score), key=lambda x: (score[id(x[1])], x[0]))
+    chosen = {id(best)}
+    for sibling in above[-1][2] if above else []:
+        if not isinstance(sibling, str) and sibling is not best:
+            own = [(t, linked) for path, t, linked in blocks if any(n is sibling for n in path)]
+            size = sum(len(t) for t, _ in own)
+            links = sum(linked for _, linked in own) / max(size, 1)
+            reads = sibling[0] in ("p", "blockquote", "pre") and size > 80 and links < 0.25
+            heads = sibling[0] in ("h1", "h2") and best[0] not in ("article", "body")
+            if own and (score.get(id(sibling), 0) >= max(10, 0.2 * score[id(best)]) and links < 0.25 or reads or heads):
+                chosen.add(id(sibling))
+    return " ".join(t for path, t, _ in blocks if any(id(n) in chosen for n in path))
+
+
+def test_extraction_matches_the_rules_by_definition():
+    rnd, kept = random.Random(12), 0
+    for _ in range(400):
+        tree = random_tree(rnd)
+        page = f"<html><body>{rendered(tree)}</body></html>"
+        expected = scored_by_definition(tree)
+        assert extract(page) == expected
+        kept += bool(expected)
+    assert kept > 300
+
+
+def test_pages_of_an_empty_table_and_repeated_rows(spark):
+    schema = "page_id long, url string, html string, n_chars string"
+    assert extract_main_text(spark.createDataFrame([], schema)).collect() == []
+    rows = [(1, "u", "<p>a", "x"), (1, "u", "<p>a", "x"), (None, None, "<p>b", "x")]
+    got = sorted((r.page_id or 0, r.url, r.text, r.n_chars) for r in extract_main_text(spark.createDataFrame(rows, schema)).collect())
+    assert got == [(0, None, "b", 1), (1, "u", "a", 1), (1, "u", "a", 1)]
+
+
 def brute_verdict(url):
     rest = url.split("://", 1)[1] if url and "://" in url else ""
     cut = min((rest.find(c) for c in "/?#" if c in rest), default=len(rest))
