@@ -115,6 +115,7 @@ def scored_by_definition(children, by_class=True):
 
     body = ("body", "", children)
     walk(children, [body], False)
+    flush([body])
     if not blocks and by_class:
         return scored_by_definition(children, by_class=False)
     points, places = {}, {}
