@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 RULES = [
     ("email_address", "privacy", "(?iu)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,128}@[A-Za-z0-9.-]{1,253}\\.[A-Za-z]{2,63}(?![A-Za-z0-9._%+-])"),
     ("openai_api_key", "secret", "(?<![A-Za-z0-9_-])sk-[A-Za-z0-9_-]{20,4096}"),
-    ("github_token", "secret", "(?<![A-Za-z0-9])gh[pousr]_[A-Za-z0-9]{20,1024}"),
+    ("github_token", "secret", "(?<![A-Za-z0-9_])gh[pousr]_[A-Za-z0-9]{20,1024}"),
     ("aws_access_key", "secret", "(?<![A-Z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Z0-9])"),
     ("private_key_header", "secret", "-----BEGIN (?:RSA |EC |OPENSSH )?PRIVATE KEY-----"),
     ("bearer_token", "secret", "(?iu)(?<![A-Za-z0-9])Bearer[ \\t]{1,32}[A-Za-z0-9._~+/=-]{20,4096}"),

@@ -9,13 +9,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.text import CONVERSATION_FILE, reference_keys, sorted_unique
+from ledgerloom.functions.text import CONVERSATION_FILE, file_number, reference_keys, sorted_unique
 from ledgerloom.operators.messages import canonical_conversations, canonical_messages, grouped_conversations
 from ledgerloom.operators.threads import resolved_parents, thread_messages
-from ledgerloom.sources.json_rows import exploded, json_lines
+from ledgerloom.sources.json_rows import all_strings, exploded, json_lines
 
 
 @dataclass(frozen=True)
@@ -145,11 +145,11 @@ def flat(payloads: DataFrame, vendor: Vendor, lines: bool = False) -> tuple[Data
     return canonical_conversations(_stamped(conversations, vendor)), canonical_messages(_stamped(messages, vendor))
 
 
-def mapped(payloads: DataFrame, adapter_id: str = "openai-export/1") -> tuple[DataFrame, DataFrame]:
+def mapped(payloads: DataFrame, adapter_id: str = "openai-export/1", source_type: str = "openai.chatgpt.export") -> tuple[DataFrame, DataFrame]:
     """Conversations and messages of ``payloads`` whose conversations hold a ``mapping`` of nodes, in the file's order."""
     rows = exploded(payloads).withColumn("d", F.try_parse_json("raw"))
     identity = F.coalesce(F.nullif(value(F.col("d"), "id").cast("string"), F.lit("")), value(F.col("d"), "conversation_id").cast("string"))
-    vendor = Vendor(adapter_id, "openai", "openai.chatgpt.export", CONVERSATION_FILE)
+    vendor = Vendor(adapter_id, "openai", source_type, CONVERSATION_FILE)
     conversations = rows.select("source_path", "source_index", identity.alias("source_conversation_id"), *_fields(F.col("d"), {"title": ("title",), "create_time": ("create_time",), "update_time": ("update_time",)}))
     nodes = rows.select("source_path", identity.alias("conversation_id"), F.posexplode(F.from_json(F.get_json_object("raw", "$.mapping"), "map<string,string>")).alias("source_index", "key", "node"))
     nodes = nodes.withColumn("n", F.try_parse_json("node")).withColumn("m", value(F.col("n"), "message")).where(F.startswith(kind(F.col("m")), F.lit("OBJECT")))
@@ -159,13 +159,35 @@ def mapped(payloads: DataFrame, adapter_id: str = "openai-export/1") -> tuple[Da
         value(F.col("n"), "parent").cast("string").alias("source_parent_id"), as_strings(value(F.col("n"), "children")).alias("source_children_ids"),
         F.try_variant_get("m", "$.author.role", "string").alias("role"), F.try_variant_get("m", "$.author.name", "string").alias("name"), text.alias("text"),
         as_time(value(F.col("m"), "create_time")).alias("create_time"), as_time(value(F.col("m"), "update_time")).alias("update_time"),
-        value(F.col("m"), "status").cast("string").alias("status"),
+        value(F.col("m"), "status").cast("string").alias("status"), message_references(F.get_json_object("node", "$.message")).alias("attachment_refs"),
     )
-    messages = messages.withColumn("attachment_refs", F.transform(reference_keys(F.col("text")), lambda k: F.regexp_replace(k, "^(name|id):", "")))
+    if adapter_id != "openai-export/1":
+        conversations = globally_numbered(conversations)
     return canonical_conversations(_stamped(conversations, vendor)), canonical_messages(_stamped(messages, vendor))
 
 
-def _by_kind(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
+def message_references(raw: Column) -> Column:
+    """File names and ids that any string of a message mentions, sorted."""
+    keys = F.flatten(F.transform(all_strings(raw), reference_keys))
+    return sorted_unique(F.transform(keys, lambda k: F.regexp_replace(k, "^(name|id):", "")))
+
+
+def globally_numbered(conversations: DataFrame) -> DataFrame:
+    """``source_index`` counted on over the files, in the order of their numbers; one small row a file is summed up."""
+    files = conversations.groupBy("source_path").agg(F.count("*").alias("n"))
+    before = Window.orderBy(file_number(F.col("source_path")), F.encode("source_path", "UTF-8")).rowsBetween(Window.unboundedPreceding, -1)
+    bases = files.select("source_path", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    return conversations.join(bases, "source_path").withColumn("source_index", F.col("source_index") + F.col("base")).drop("base")
+
+
+def conversation_strings(payloads: DataFrame) -> DataFrame:
+    """source_path, source_index, conversation_id, title and all strings of every conversation of ``payloads``."""
+    rows = exploded(payloads).withColumn("d", F.try_parse_json("raw"))
+    identity = F.coalesce(F.nullif(value(F.col("d"), "id").cast("string"), F.lit("")), value(F.col("d"), "conversation_id").cast("string"))
+    return rows.select("source_path", "source_index", identity.alias("conversation_id"), value(F.col("d"), "title").cast("string").alias("title"), F.explode(all_strings(F.col("raw"))).alias("text"))
+
+
+def by_kind(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Payloads of one JSON value, and of JSON lines."""
     lines = F.rlike("source_path", F.lit("(?i)\\.jsonl$"))
     return payloads.where(~lines), payloads.where(lines)
@@ -174,7 +196,7 @@ def _by_kind(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
 def issues(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Conversations and messages of an issue tracker's resource files: threads, and the comments that reach one."""
     vendor = Vendor("github-export/1", "github", "github.migration.export", ISSUE_RESOURCE)
-    whole, lines = _by_kind(payloads)
+    whole, lines = by_kind(payloads)
     rows = exploded(whole, *ISSUE_LISTS).unionByName(json_lines(lines)).withColumn("d", F.try_parse_json("raw")).withColumn("resource", F.lower(F.regexp_extract("source_path", ISSUE_RESOURCE, 1)))
     d = F.col("d")
     text = lambda *n: F.when(kind(value(d, *n)) == "STRING", value(d, *n).cast("string"))
@@ -198,7 +220,9 @@ def issues(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def discovered(members: DataFrame, name: str) -> DataFrame:
     """Members that an adapter reads, by their paths."""
-    patterns = {n: v.discovery for n, v in VENDORS.items()} | {"openai": CONVERSATION_FILE, "github": ISSUE_RESOURCE}
+    patterns = {n: v.discovery for n, v in VENDORS.items()} | {"openai": CONVERSATION_FILE, "openai-common": CONVERSATION_FILE, "github": ISSUE_RESOURCE}
+    if name not in patterns:
+        raise ValueError("unknown_adapter")
     return members.where(F.rlike("path", F.lit(patterns[name])))
 
 
@@ -206,11 +230,13 @@ def parse(payloads: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     """Conversations and messages of ``payloads`` by the named adapter."""
     if name == "openai":
         return mapped(payloads)
+    if name == "openai-common":
+        return mapped(payloads, "openai-export-common/1", "openai.export")
     if name == "github":
         return issues(payloads)
     if name not in VENDORS:
         raise ValueError("unknown_adapter")
-    whole, lines = _by_kind(payloads)
+    whole, lines = by_kind(payloads)
     if name == "gemini":  # a list holds flat rows that name their conversation
         is_list = F.coalesce(F.rlike("raw", F.lit("^\\s*\\[")), F.lit(False))
         both, rows = nested(whole.where(~is_list), VENDORS[name]), flat(whole.where(is_list), VENDORS[name])

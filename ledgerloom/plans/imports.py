@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.classification import Policy
 from ledgerloom.functions.privacy import findings
-from ledgerloom.functions.text import basename
+from ledgerloom.functions.text import basename, reference_ids
 from ledgerloom.operators.members import artifact_identity, counters, provenance, require_none, violations, with_disposition
 from ledgerloom.operators.messages import conversation_order, message_order
-from ledgerloom.operators.references import attachment_index, described_by_any_key
-from ledgerloom.plans.adapters import VENDORS, discovered, parse
+from ledgerloom.operators.references import attachment_index, described_by_any_key, described_by_one_key
+from ledgerloom.plans.adapters import VENDORS, conversation_strings, discovered, parse
+from ledgerloom.plans.checks import discovery_violations, payload_violations
 from ledgerloom.sources.docx import extract_documents
 from ledgerloom.sources.json_rows import allowed_fields, is_strict_json
 
@@ -47,12 +48,31 @@ def grok_reference(path: Column) -> Column:
     return F.coalesce(asset, F.when(F.rlike(path, F.lit("(^|/)canvas_thumbnails/")), F.regexp_replace(basename(path), "(?<=.)\\.[^.]*$", "")))
 
 
+def reference_key(path: Column, adapter: str) -> Column:
+    """The one key under which an adapter's messages refer to a member."""
+    if adapter == "grok":
+        return grok_reference(path)
+    if adapter == "openai-common":
+        return F.coalesce(F.get(F.array_sort(F.transform(reference_ids(path), lambda k: F.regexp_replace(k, "^id:", ""))), 0), F.lower(basename(path)))
+    return basename(path)
+
+
+def tombstones(dropped: DataFrame, payloads: DataFrame, messages: DataFrame, adapter: str) -> DataFrame:
+    """``dropped`` members (path, kind) with what refers to them: conversations whose strings hold any of a member's keys,
+    or, by adapters with one key a member, messages whose attachments have that key."""
+    if adapter == "openai":
+        return described_by_any_key(dropped, attachment_index(conversation_strings(payloads)))
+    index = messages.select(F.explode("attachment_refs").alias("ref_key"), "source_path", "source_index", "conversation_id", "source_message_id")
+    return described_by_one_key(dropped.withColumn("ref_key", reference_key(F.col("path"), adapter)), index)
+
+
 @dataclass(frozen=True)
 class Limits:
     max_entries: int = 100_000
     max_member: int = 2_147_483_648
     max_total: int = 68_719_476_736
     max_ratio: float = 500.0
+    max_conversation: int = 268_435_456
     keep_document: int = 26_214_400
 
 
@@ -100,15 +120,18 @@ def account_metadata(members: DataFrame, allowed: dict[str, list[str]], max_byte
 def import_members(members: DataFrame, adapter: str, policy: Policy = Policy(), limits: Limits = Limits()) -> Import:
     """Tables of ``members`` (source, path, size_bytes, compressed_bytes, is_link, head, sha256, content, problem).
 
-    Guards are checked first, by one aggregate job; an offender raises its code before anything is written."""
+    Guards on members come first, then on what the adapter finds, then on what it must parse; an offender raises its code
+    before anything is written, and no payload, line, conversation or record that can't be read is passed over."""
     broken = members.where("problem is not null or is_link").select(F.coalesce("problem", F.lit("symlink_member")).alias("code"), F.col("path").alias("subject"))
     require_none(broken.unionByName(violations(members, limits.max_entries, limits.max_member, limits.max_total, limits.max_ratio)))
+    require_none(discovery_violations(members, adapter))
     found = discovered(members, adapter)
+    require_none(found.where(F.col("size_bytes") > limits.max_conversation).select(F.lit("conversation_member_limit").alias("code"), F.col("path").alias("subject")))
     payloads = found.select(F.col("path").alias("source_path"), F.col("content").cast("string").alias("raw"))
+    require_none(payload_violations(payloads, adapter))
     conversations, messages = parse(payloads, adapter)
     rest = members.join(found.select("path"), "path", "left_anti")
     decided = with_disposition(rest, policy, override(F.col("path"), adapter))
-    index = attachment_index(messages.select("source_path", "source_index", "conversation_id", "text"))
     documents = extract_documents(decided.where("decision = 'extract'"))
     decided = settled_documents(decided, documents, limits.keep_document)
     dropped = decided.where("decision = 'tombstone'").select("path", "kind", "media_type", "size_bytes", "sha256", "reason")
@@ -120,7 +143,7 @@ def import_members(members: DataFrame, adapter: str, policy: Policy = Policy(),
     texts = messages.select(F.concat_ws("/", F.lit("messages"), "conversation_id", "source_message_id").alias("path"), "text")
     kept_text = decided.where("decision = 'keep' and kind = 'structured_text'").select("path", F.make_valid_utf8(F.col("content").cast("string")).alias("text"))
     return Import(
-        conversations, messages, decided.drop("content"), described_by_any_key(dropped, index), provenance(everything, *names),
+        conversations, messages, decided.drop("content"), tombstones(dropped, payloads, messages, adapter), provenance(everything, *names),
         findings(texts.unionByName(kept_text)), documents.where("problem is null"), decided.where("decision = 'keep'").select("path", "sha256", "content"),
     )
 

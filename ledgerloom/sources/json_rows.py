@@ -29,6 +29,19 @@ def json_lines(payloads: DataFrame) -> DataFrame:
     return payloads.select("source_path", F.posexplode(lines).alias("source_index", "raw"))
 
 
+def numbered_lines(payloads: DataFrame) -> DataFrame:
+    """source_path, line, raw of the lines with text of ``payloads``; lines count from 1, blank ones included."""
+    lines = payloads.select("source_path", F.posexplode(F.split("raw", "\r\n|\n|\r")).alias("line", "raw"))
+    return lines.where(F.trim("raw") != "").withColumn("line", F.col("line") + 1)
+
+
+def all_strings(text: Column) -> Column:
+    """Every string value of a JSON text at any depth, keys left out, in order."""
+    quoted = F.regexp_extract_all(text, F.lit('"[^"\\\\]*+(?:\\\\.[^"\\\\]*+)*+"(?:\\s*+:)?'), F.lit(0))
+    values = F.filter(quoted, lambda s: ~F.endswith(s, F.lit(":")))
+    return F.coalesce(F.from_json(F.concat(F.lit("["), F.array_join(values, ","), F.lit("]")), "array<string>"), F.array().cast("array<string>"))
+
+
 def allowed_fields(text: Column, fields: list[str]) -> Column:
     """The top-level fields of an object that are on the list, as JSON with sorted keys."""
     kept = F.map_filter(F.from_json(text, "map<string,string>"), lambda k, _: k.isin(fields))

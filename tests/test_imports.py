@@ -10,10 +10,11 @@ import zipfile
 import pytest
 from ledgerloom.operators.members import RuleViolation
 from ledgerloom.plans.adapters import parse
+from ledgerloom.plans.checks import payload_violations
 from ledgerloom.plans.imports import Limits, account_metadata, import_members, write_import
 from ledgerloom.sources.docx import extract_documents
 from ledgerloom.sources.exports import read_exports, read_tree
-from ledgerloom.sources.json_rows import is_strict_json
+from ledgerloom.sources.json_rows import all_strings, is_strict_json
 from ledgerloom.streaming.drop_folder import collect_folder
 from pyspark.sql import functions as F
 
@@ -140,6 +141,58 @@ def test_hostile_zips_are_refused(spark, tmp_path, files, limits, code):
     assert caught.value.code == code
 
 
+@pytest.mark.parametrize(
+    "adapter, files, code",
+    [
+        ("openai", [("notes.md", "x")], "openai_conversation_discovery"),
+        ("openai", [("conversations.json", "[{]")], "invalid_json"),
+        ("openai-common", [("conversations.json", '[{"id":"a"},3]')], "unsupported_openai_shape"),
+        ("grok", [("a/prod-grok-backend.json", "{}"), ("b/prod-grok-backend.json", "{}")], "grok_backend_cardinality"),
+        ("grok", [("prod-grok-backend.json", "[]")], "invalid_grok_backend_shape"),
+        ("grok", [("prod-grok-backend.json", '{"conversations":{}}')], "invalid_grok_conversations"),
+        ("grok", [("prod-grok-backend.json", '{"conversations":[{"responses":[]}]}')], "invalid_grok_conversation_wrapper"),
+        ("claude", [("conversations.json", '[{"uuid":"u"}]')], "unsupported_claude_shape"),
+        ("claude", [("conversations.json", '{"a":1,"a":1}')], "invalid_claude_json"),
+        ("gemini", [("gemini.json", '[{"text":"x"}]')], "unsupported_gemini_shape"),
+        ("gemini", [("gemini.json", '{"conversations":[{"id":1}]}')], "unsupported_gemini_shape"),
+        ("github", [("issue_comments.json", "[]")], "github_thread_discovery"),
+        ("github", [("issues.json", '[{"title":"t"}]')], "github_missing_thread_id"),
+        ("github", [("issues.jsonl", '{"id":1}\n[]')], "invalid_github_resource_shape"),
+        ("generic", [("a.jsonl", '{"conversation_id":1}\n{')], "invalid_jsonl"),
+        ("generic", [("a.json", '[{"messages":[1]}]')], "invalid_generic_message"),
+    ],
+)
+def test_payloads_that_cannot_be_read_are_refused(spark, tmp_path, adapter, files, code):
+    with pytest.raises(RuleViolation) as caught:
+        import_members(read_exports(spark, zipped(tmp_path / "e.zip", files)), adapter)
+    assert caught.value.code == code
+
+
+def test_offending_lines_have_their_number(spark):
+    rows = spark.createDataFrame([("a.jsonl", '{"conversation_id":1}\n\n{"conversation_id":1,"conversation_id":2}\r\n[]')], "source_path string, raw string")
+    assert sorted((r.code, r.subject) for r in payload_violations(rows, "generic").collect()) == [("invalid_generic_jsonl_row", "a.jsonl:4"), ("invalid_jsonl", "a.jsonl:3")]
+    flat = spark.createDataFrame([("gemini.json", '[{"thread_id":1},3]')], "source_path string, raw string")
+    assert payload_violations(flat, "gemini").collect() == []
+
+
+def test_tombstones_by_conversation_strings_and_by_message_attachments(spark, tmp_path):
+    said = [{"id": "c1", "title": "T", "mapping": {"n": {"message": {"id": "m1", "author": {"role": "user"}, "content": {"parts": ["hi"]}, "metadata": {"attachments": [{"name": "song.wav"}]}}}}}]
+    wave = b"RIFF\0\0\0\0WAVE" + b"\0" * 50
+    files = [("conversations.json", json.dumps(said)), ("conversations-1.json", json.dumps([{"id": "c2", "mapping": {}}])), ("a/song.wav", wave), ("file-ABC123def.wav", wave)]
+    members = read_exports(spark, zipped(tmp_path / "e.zip", files))
+    for adapter in ("openai", "openai-common"):
+        result = import_members(members, adapter)
+        assert {r.path: (r.reference_match, r.reference_count, r.source_file) for r in result.tombstones.collect()} == {"a/song.wav": ("exact", 1, "conversations.json"), "file-ABC123def.wav": ("none", 0, None)}
+        assert result.messages.first().attachment_refs == ["song.wav"]
+    assert sorted((r.source_conversation_id, r.source_index) for r in result.conversations.collect()) == [("c1", 0), ("c2", 1)]
+
+
+def test_strings_of_any_depth(spark):
+    deep = {"k.ey": ["a\n\"b\\", {"x": {"y": "ü: z"}, "n": 1}, ":"], "e": ""}
+    frame = spark.createDataFrame([(json.dumps(deep),), ("[",), (None,)], "raw string")
+    assert [r[0] for r in frame.select(all_strings(F.col("raw"))).collect()] == [["a\n\"b\\", "ü: z", ":", ""], [], []]
+
+
 def test_hostile_tars_and_unknown_containers(spark, tmp_path):
     with tarfile.open(tmp_path / "e.tar.gz", "w:gz") as archive:
         info = tarfile.TarInfo("link")
