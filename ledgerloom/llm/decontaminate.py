@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.columns import unused
 from ledgerloom.llm.rolling import mix
 from ledgerloom.llm.words import WIDTH, shingle_hashes, text_chunks, word_hashes
 
@@ -178,8 +179,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = 75, block
 
 def mark_contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = 75) -> DataFrame:
     """``docs`` with ``item_ids`` (sorted; empty if none), ``contaminated`` and ``kept``; rows of one doc_id (or of none)
-    share their marks."""
-    found = contaminated(docs, benchmark, percent).groupBy(F.col("doc_id").alias("_doc_id")).agg(F.sort_array(F.collect_set("item_id")).alias("_items"))
-    items = F.coalesce("_items", F.array().cast("array<bigint>"))
-    joined = docs.join(found, F.col("doc_id").eqNullSafe(F.col("_doc_id")), "left")
-    return joined.select(*docs.columns, items.alias("item_ids"), (F.size(items) > 0).alias("contaminated"), (F.size(items) == 0).alias("kept"))
+    share their marks.  Columns of ``docs`` with the names of the three marks are replaced, all others stay."""
+    own_id, found_items = unused(docs.columns, "own_id", "items")
+    found = contaminated(docs, benchmark, percent).groupBy(F.col("doc_id").alias(own_id)).agg(F.sort_array(F.collect_set("item_id")).alias(found_items))
+    items = F.coalesce(found_items, F.array().cast("array<bigint>"))
+    joined = docs.join(found, F.col("doc_id").eqNullSafe(F.col(own_id)), "left")
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("item_ids", "contaminated", "kept")]
+    return joined.select(*others, items.alias("item_ids"), (F.size(items) > 0).alias("contaminated"), (F.size(items) == 0).alias("kept"))

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.columns import unused
 from ledgerloom.llm.store import written
 
 DIVISOR = 3  # one line in this many ends a chunk
@@ -34,22 +35,23 @@ def _chunks() -> Column:
 
 def _without(docs: DataFrame, again: DataFrame) -> DataFrame:
     """``docs`` without the lines of ``again`` (doc_id, text_hash, first_line, n_lines), plus the three counts."""
-    removals = again.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("first_line", "n_lines")).alias("removed"))
-    removals = removals.withColumnsRenamed({"doc_id": "_doc_id", "text_hash": "_text_hash"})
-    joined = docs.join(removals, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.xxhash64("text") == F.col("_text_hash")), "left")
-    gone = F.array_distinct(F.flatten(F.transform("removed", lambda r: F.sequence(r["first_line"], r["first_line"] + r["n_lines"] - 1))))
+    removed, own_id, own_hash, split = unused(docs.columns, "removed", "own_id", "own_hash", "lines")
+    removals = again.groupBy(F.col("doc_id").alias(own_id), F.col("text_hash").alias(own_hash)).agg(F.collect_set(F.struct("first_line", "n_lines")).alias(removed))
+    joined = docs.join(removals, F.col("doc_id").eqNullSafe(F.col(own_id)) & (F.xxhash64("text") == F.col(own_hash)), "left")
+    gone = F.array_distinct(F.flatten(F.transform(removed, lambda r: F.sequence(r["first_line"], r["first_line"] + r["n_lines"] - 1))))
+    counts = ("n_lines", "n_removed_lines", "n_removed_chunks")
     rest = F.split("text", "\n")
     wanted = F.array_sort(F.array_except(F.sequence(F.lit(0), F.size(rest) - 1), gone))
-    cleaned = F.when(F.col("removed").isNull(), F.col("text")).otherwise(
-        F.array_join(F.transform(wanted, lambda i: F.get("_lines", i)), "\n")
+    cleaned = F.when(F.col(removed).isNull(), F.col("text")).otherwise(
+        F.array_join(F.transform(wanted, lambda i: F.get(split, i)), "\n")
     )
     return (
-        joined.withColumn("_lines", F.when(F.col("removed").isNotNull(), rest))
+        joined.withColumn(split, F.when(F.col(removed).isNotNull(), rest))
         .select(
-            *(cleaned.alias("text") if c == "text" else F.col(c) for c in docs.columns),
+            *(cleaned.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns if c not in counts),
             F.when(F.col("text").isNull(), 0).otherwise(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1).cast("long").alias("n_lines"),
             F.coalesce(F.size(gone), F.lit(0)).cast("long").alias("n_removed_lines"),
-            F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed_chunks"),
+            F.coalesce(F.size(removed), F.lit(0)).cast("long").alias("n_removed_chunks"),
         )
     )
 
@@ -59,7 +61,7 @@ def dedup_lines(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
 
     Lines are the \\n-split parts of ``text``.  A chunk is removed if it has at least two lines and the same bytes stand
     as a chunk earlier: in a smaller doc_id, or before it in the same document.  What is left is joined by \\n; other columns
-    stay as they are.  A null text stays null and has no lines; an empty one has one empty line.  Rows that share a
+    stay as they are, but for those named as the three counts, which these replace.  A null text stays null and has no lines; an empty one has one empty line.  Rows that share a
     doc_id are told apart by ``text`` only, so repeated rows keep equal results.  doc_id may be null, which counts as
     the smallest.
     """

@@ -95,7 +95,7 @@ twice AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_
 repeats AS (SELECT doc_id, sum(n) AS n FROM (
   SELECT doc_id, least(5, coalesce(lead(i) OVER (PARTITION BY doc_id ORDER BY i) - i, 5)) AS n FROM twice) GROUP BY doc_id),
 f AS (
-  SELECT w.doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+  SELECT w.doc_id, w, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
     length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
     length(regexp_replace(t, '\P{Lu}', '', 'g')) AS n_capitals,
     list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines,
@@ -105,7 +105,9 @@ g AS (SELECT *, len(lines) - len(list_distinct(lines)) AS n_dup_lines, n_words <
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,
   n_repeat_words::BIGINT AS n_repeat_words, base_failed,
   NOT (base_failed OR 100 * n_symbols > 20 * n_words OR 100 * n_capitals > 50 * word_chars OR word_chars < 2 * n_words
-    OR word_chars > 15 * n_words OR 100 * n_dup_lines > 50 * len(lines)) AS kept
+    OR word_chars > 15 * n_words OR 100 * n_dup_lines > 50 * len(lines)
+    OR 100 * len(list_filter(lines, lambda l: regexp_matches(l, '^[\x20\x09-\x0D]*[-*•]'))) > 90 * len(lines)
+    OR 100 * len(list_filter(w, lambda x: NOT regexp_matches(x, '\pL'))) > 40 * n_words) AS kept
 FROM g
 """
 

@@ -9,12 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; where it is unset (tests, a local session) a temporary folder is set once."""
+    """``spark.checkpoint.dir``; where it is unset a temporary folder is set once in a local session, and a cluster refuses,
+    since its executors would write where the driver can't read."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     context = spark.sparkContext._jsc.sc()
     if context.getCheckpointDir().isEmpty():
+        if not context.isLocal():
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerloom-"))
     return context.getCheckpointDir().get().rstrip("/")
 

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from ledgerloom.llm.packing import encoder
 from ledgerloom.llm.queries import tokenizer_path
+from pyspark.sql import functions as F
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -79,4 +80,23 @@ def test_stages_in_turn(spark, folder):
 
 def test_run_is_the_stages(spark, folder):
     path, texts, _ = folder
-    assert {r.doc_id for r in corpus_pipeline.run(spark, path).collect()} <= set(texts)
+    by_run = corpus_pipeline.run(spark, path).drop("sequence_id", "offset", "part")
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, path)
+    by_stages = docs.drop("sequence_id", "offset", "part")
+    assert by_run.count() == by_stages.count() > 0 and by_run.exceptAll(by_stages).count() == 0
+
+
+def test_stages_of_an_empty_table_and_of_repeated_rows_and_clashing_columns(spark, folder):
+    path, texts, _ = folder
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    some = docs.where("doc_id in (1, 1003, 1005, 1006)")
+    twice = some.unionByName(some).withColumns({"kept_id": F.lit(1), "found_id": F.lit(2), "removed": F.lit(3), "evidence": F.lit(4), "kept": F.lit(5)})
+    empty, columns = twice.limit(0), twice.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        twice, empty = stage(spark, twice, path), stage(spark, empty, path)
+        assert twice.columns == empty.columns == columns and empty.count() == 0
+        assert sorted((r.doc_id, r.text == texts[r.doc_id]) for r in twice.collect()) == [(i, True) for i in (1, 1, 1003, 1003, 1005, 1005, 1006, 1006)], name
+    _, pack = corpus_pipeline.STAGES[-1]
+    assert pack(spark, empty, path).count() == 0 and pack(spark, twice, path).count() == 8

@@ -13,10 +13,10 @@ import pytest
 from ledgerloom.llm.components import connected_components
 from ledgerloom.llm.decontaminate import contaminated, mark_contaminated
 from ledgerloom.llm.line_dedup import dedup_lines, dedup_passages
-from ledgerloom.llm import minhash
+from ledgerloom.llm import minhash, quality_rules
 from ledgerloom.llm.minhash import near_duplicates
 from ledgerloom.llm.packing import encoder, pack_documents, plan
-from ledgerloom.llm.quality_rules import Rule, cascade_order, judge_quality, with_features
+from ledgerloom.llm.quality_rules import Rule, cascade_order, judge_quality, measured, with_features
 from ledgerloom.llm.queries import tokenizer_path
 from ledgerloom.llm.suffix_dedup import remove_repeats, repeated_spans
 import ledgerloom.llm.toxicity as toxicity
@@ -242,7 +242,9 @@ def test_passages_of_null_empty_and_repeated_rows(spark):
 
 
 def test_quality_features_match_brute_force(spark):
-    rows = corpus(8, 60) + [(900, "a\nb\na\n \na"), (901, "#x *y $$ %"), (902, "w " * 30000)]
+    rows = corpus(8, 60) + [(900, "a\nb\na\n \na"), (901, "#x *y $$ %"), (902, "w " * 30000), (903, "\n".join(f" - point {i} of many" for i in range(9))), (904, " ".join(f"{i} {i + 1} word{i}" for i in range(9)))]
+    rows += [(905, " ".join(f"LOUD{i}" for i in range(20))), (906, " ".join(f"#{i} ok{i}" for i in range(20))), (907, "\n".join(["same line here"] * 9 + [f"other{i} line" for i in range(30)])), (908, " ".join("abcdefghijklmnopqrs"))]
+    seen = set()
     for r in judge_quality(frame(spark, rows)).collect():
         text = dict(rows)[r.doc_id] or ""
         w = WORD.findall(text)
@@ -256,15 +258,52 @@ def test_quality_features_match_brute_force(spark):
         expected = (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(covered))
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == expected
         assert r.base_failed == (len(w) < 10 or 100 * len(covered) > 20 * len(w))
-        assert not (r.base_failed and r.kept)
+        loud, chars = sum(c.isupper() for c in text), sum(map(len, w))
+        rejected = (
+            100 * r.n_symbols > 20 * len(w), 100 * loud > 50 * chars, chars < 2 * len(w), chars > 15 * len(w), 100 * r.n_dup_lines > 50 * len(lines),
+            100 * sum(x.strip(" \t\n\v\f\r")[:1] in tuple("-*\u2022") for x in lines) > 90 * len(lines), 100 * sum(not any(c.isalpha() for c in x) for x in w) > 40 * len(w),
+        )
+        assert r.kept == (not r.base_failed and not any(rejected))
+        seen |= {i for i, x in enumerate(rejected) if x and not r.base_failed}
+    assert seen >= {0, 1, 2, 5, 6}
 
 
 def test_quality_order_does_not_change_the_verdict(spark):
     docs = frame(spark, corpus(8, 60))
-    rules = [Rule("a", F.col("n_words") < 20), Rule("b", F.col("n_capitals") > 3), Rule("none", F.lit(None).cast("boolean"))]
+    rules = [Rule("a", F.col("n_words") < 20), Rule("b", F.rlike("text", F.lit("Be.*Be.*Be.*Be"))), Rule("none", F.lit(None).cast("boolean"))]
     a = {(r.doc_id, r.kept) for r in judge_quality(docs, rules).collect()}
     assert a == {(r.doc_id, r.kept) for r in judge_quality(docs, rules[::-1]).collect()}
     assert len(cascade_order(docs, rules)) == 3
+    shares = {m.rule.name: m.share for m in measured(docs, rules)}
+    assert shares["none"] == 0 < shares["a"] < 1 and all(m.seconds > 0 for m in measured(docs, rules))
+
+
+def test_quality_rules_after_a_rejection_are_not_evaluated(spark, monkeypatch):
+    first, costly = Rule("first", F.col("word_chars") >= 0), Rule("costly", F.raise_error("text").cast("boolean"))
+    monkeypatch.setattr(quality_rules, "cascade_order", lambda docs, rules, rows: [first, costly])
+    docs = frame(spark, corpus(8, 20)).withColumns({"_lines": F.lit(1), "hashes": F.lit("x"), "n_words": F.lit("replaced")})
+    rows = judge_quality(docs, [first, costly]).collect()
+    assert len(rows) == docs.count() and not any(r.kept for r in rows) and {(r._lines, r.hashes) for r in rows} == {(1, "x")}
+    monkeypatch.setattr(quality_rules, "cascade_order", lambda docs, rules, rows: [costly, first])
+    with pytest.raises(Exception, match="USER_RAISED_EXCEPTION"):
+        judge_quality(docs, [first, costly]).collect()
+
+
+def test_columns_that_clash_stay_or_are_replaced(spark):
+    notice = "one line of it\nand a second one\nand a third"
+    rows = [(1, f"start\n{notice}"), (2, f"other\n{notice}"), (3, None), (4, "lone")]
+    clash = {"removed": F.lit(1), "lines": F.lit("l"), "_lines": F.lit("x"), "own_id": F.lit(2), "items": F.lit(3), "n_lines": F.lit("n"), "kept": F.lit("k"), "a.b": F.lit(5)}
+    docs = frame(spark, rows).withColumns(clash)
+    for out in (dedup_lines(docs), dedup_passages(docs)):
+        assert sorted(out.columns) == sorted([*docs.columns, "n_removed_lines", "n_removed_chunks"])
+        assert {(r.removed, r.lines, r._lines, r.own_id, r["a.b"]) for r in out.collect()} == {(1, "l", "x", 2, 5)}
+    out = mark_contaminated(docs, spark.createDataFrame([(7, "one line of it and a second one")], "item_id long, text string"))
+    assert sorted(out.columns) == sorted([*docs.columns, "item_ids", "contaminated"])
+    assert {r.doc_id: r.kept for r in out.collect()} == {1: False, 2: False, 3: True, 4: True}
+
+
+def test_quality_of_nothing(spark):
+    docs = frame(spark, [])
     assert with_features(docs.limit(0)).count() == judge_quality(docs.limit(0)).count() == 0
 
 
