@@ -49,6 +49,16 @@ def is_unsafe_path(path: Column) -> Column:
     return (path == "") | F.rlike(path, F.lit("^/|\\\\|(^|/)\\.\\.(/|$)|[\\x00-\\x1f\\x7f]"))
 
 
+def is_hex_sha256(value: Column) -> Column:
+    """64 lower-case hexadecimal digits; null is none."""
+    return F.coalesce(F.rlike(value, F.lit("\\A[0-9a-f]{64}\\z")), F.lit(False))
+
+
+def is_sha256_reference(value: Column) -> Column:
+    """``sha256:`` and a digest; null is none."""
+    return F.coalesce(F.rlike(value, F.lit("\\Asha256:[0-9a-f]{64}\\z")), F.lit(False))
+
+
 def sorted_unique(values: Column) -> Column:
     return F.array_sort(F.array_distinct(F.filter(values, lambda v: v.isNotNull() & (v != ""))))
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,16 +42,47 @@ def forbidden_fragments(files: DataFrame, fragments: DataFrame) -> DataFrame:
     """fragment_id, n_files of fragments that some file's bytes contain, and of the rest with 0.
 
     ``files`` (path, content), ``fragments`` (fragment_id, fragment).  The fragments are a stated list of at most 256 of at
-    most 16 KiB, which is checked; they travel with every task as a literal array, so files are read once and never paired
-    with them."""
+    most 16 KiB, which is checked; all of them are searched in one pass over each file's bytes.  Null contents and null
+    fragments match nothing, empty fragments are refused."""
     listed = fragments.limit(FRAGMENT_LIMIT + 1).collect()
-    if len(listed) > FRAGMENT_LIMIT or any(len(r["fragment"].encode()) > FRAGMENT_BYTES for r in listed):
+    if len(listed) > FRAGMENT_LIMIT or any(r["fragment"] is not None and not 0 < len(r["fragment"].encode()) <= FRAGMENT_BYTES for r in listed):
         raise ValueError("forbidden_fragment_limit")
-    if not listed:
+    places: dict[str, list[int]] = {}
+    for i, r in enumerate(listed):
+        if r["fragment"] is not None:
+            places.setdefault(r["fragment"].encode().decode("latin-1"), []).append(i)
+    if not places:
         return fragments.select("fragment_id", F.lit(0).cast("bigint").alias("n_files"))
-    hits = F.array_compact(F.array(*(F.when(F.contains("content", F.lit(r["fragment"])), F.lit(r["fragment_id"])) for r in listed)))
-    counted = files.select(F.explode(hits).alias("fragment_id")).groupBy("fragment_id").agg(F.count("*").alias("n_files"))
-    return fragments.select("fragment_id").join(counted, "fragment_id", "left").select("fragment_id", F.coalesce("n_files", F.lit(0)).alias("n_files"))
+    found = files.select(F.col("content").cast("binary").alias("content")).mapInArrow(_search(places), "place int, n bigint").groupBy("place").agg(F.sum("n").alias("n"))
+    ids = F.array(*(F.lit(r["fragment_id"]) for r in listed))
+    counted = found.select(F.get(ids, F.col("place")).alias("fragment_id"), "n").groupBy("fragment_id").agg(F.sum("n").alias("n"))
+    return fragments.select("fragment_id").join(counted, "fragment_id", "left").select("fragment_id", F.coalesce("n", F.lit(0)).alias("n_files"))
+
+
+def _search(places: dict[str, list[int]]):
+    """Counts, per batch of files, of those that hold each fragment; bytes are compared as Latin-1 characters."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ahocorasick
+
+        automaton = ahocorasick.Automaton()
+        for fragment, own in places.items():
+            automaton.add_word(fragment, own[0])
+        automaton.make_automaton()
+        same = {own[0]: own for own in places.values()}
+        for batch in batches:
+            counts: Counter[int] = Counter()
+            for content in batch.column(0):
+                if content.is_valid:
+                    seen: set[int] = set()
+                    for _, first in automaton.iter(content.as_py().decode("latin-1")):
+                        seen.add(first)
+                        if len(seen) == len(same):
+                            break
+                    counts.update(i for first in seen for i in same[first])
+            yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.int32()), pa.array(list(counts.values()), pa.int64())], names=["place", "n"])
+
+    return run
 
 
 def outcome_metric(outcomes: DataFrame, group: str) -> DataFrame:

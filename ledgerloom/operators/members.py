@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.constants import ADAPTER_PROTOCOL, PROVENANCE_PROTOCOL
 from ledgerloom.functions.classification import Policy, classified, disposition
 from ledgerloom.functions.text import extension, is_unsafe_path, normalized_path
+from ledgerloom.operators.ordered import running_sum
 
 DECISIONS = ("keep", "extract", "tombstone", "reject")
 
@@ -74,9 +75,8 @@ def require_none(rows: DataFrame) -> None:
 
 
 def running_total_excess(members: DataFrame, order: str, limit: int, group: str) -> DataFrame:
-    """Members of each ``group`` at which its running size passes ``limit``."""
-    total = F.sum("size_bytes").over(Window.partitionBy(group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
-    return members.withColumn("running_bytes", total).where(F.col("running_bytes") > limit)
+    """Members of each ``group`` at which its running size passes ``limit``; the group may be larger than a task."""
+    return running_sum(members, group, order, "size_bytes", "running_bytes").where(F.col("running_bytes") > limit)
 
 
 def provenance(decided: DataFrame, adapter_id: str, vendor: str, source_type: str) -> DataFrame:

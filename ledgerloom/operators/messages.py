@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.constants import ADAPTER_PROTOCOL, CONVERSATION_PROTOCOL, MESSAGE_PROTOCOL
 from ledgerloom.functions.text import normalized_role, sorted_unique
+from ledgerloom.operators.ordered import numbered
 
 STRING, LONG, LIST = "string", "bigint", "array<string>"
 # Times stay as the source wrote them; ``*_text`` is how they sort.
@@ -71,16 +72,6 @@ def grouped_conversations(rows: DataFrame, key: str, position: str, title: str |
     return numbered(groups, key).select(F.col(key), "source_index", "title", "n_messages")
 
 
-def numbered(rows: DataFrame, key: str, column: str = "source_index") -> DataFrame:
-    """``rows`` (unique ``key``) with their rank from 0 in the order of ``key``."""
-    parts = rows.repartitionByRange(key).sortWithinPartitions(key).withColumn("_part", F.spark_partition_id())
-    local = Window.partitionBy("_part").orderBy(key)
-    ranked = parts.withColumn("_rank", F.row_number().over(local) - 1)
-    sizes = ranked.groupBy("_part").agg(F.count("*").alias("_n"))
-    base = sizes.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"))
-    return ranked.join(base, "_part").withColumn(column, (F.col("_base") + F.col("_rank")).cast("bigint")).drop("_part", "_rank", "_base")
-
-
 def edges(messages: DataFrame) -> DataFrame:
     """conversation_id, parent_id, child_id of every parent link."""
     return messages.where("source_parent_id is not null").select("conversation_id", F.col("source_parent_id").alias("parent_id"), F.col("source_message_id").alias("child_id"))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.ordered import previous_value
+
 
 def decision_coverage(artifacts: DataFrame, decisions: DataFrame, key: str) -> DataFrame:
     """key, problem of every artifact without a decision, decision without an artifact, and key decided more than once."""
@@ -39,6 +41,12 @@ def compared_trees(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def out_of_order(rows: DataFrame, position: str, key: str, group: str) -> DataFrame:
-    """Rows of each ``group`` whose ``key`` is not above that of the row before."""
-    before = F.lag(key).over(Window.partitionBy(group).orderBy(position))
-    return rows.withColumn("previous", before).where(F.col(key) <= F.col("previous"))
+    """Rows of each ``group`` whose ``key`` is not above that of the row before; a group may be larger than a task."""
+    return previous_value(rows, group, position, key, "previous").where(F.col(key) <= F.col("previous"))
+
+
+def split_by_decision(artifacts: DataFrame, decisions: DataFrame, key: str) -> DataFrame:
+    """``artifacts`` (key, path, ...) with their disposition and where they are staged: ``accepted/`` and the path, null where
+    rejected.  Artifacts without a decision are left out; ``decision_coverage`` finds them."""
+    decided = artifacts.join(decisions.select(key, "disposition"), key)
+    return decided.withColumn("staged_path", F.when(F.col("disposition") == "accept", F.concat(F.lit("accepted/"), "path")))

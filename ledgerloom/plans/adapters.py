@@ -145,11 +145,19 @@ def flat(payloads: DataFrame, vendor: Vendor, lines: bool = False) -> tuple[Data
     return canonical_conversations(_stamped(conversations, vendor)), canonical_messages(_stamped(messages, vendor))
 
 
-def mapped(payloads: DataFrame, adapter_id: str = "openai-export/1", source_type: str = "openai.chatgpt.export") -> tuple[DataFrame, DataFrame]:
+#: What each adapter stamps on its records, as (adapter_id, vendor, source_type).
+IDENTITIES = {name: (v.adapter_id, v.vendor, v.source_type) for name, v in VENDORS.items()} | {
+    "openai": ("openai-export/1", "openai", "openai.chatgpt.export"),
+    "openai-common": ("openai-export-common/1", "openai", "openai.export"),
+    "github": ("github-export/1", "github", "github.migration.export"),
+}
+
+
+def mapped(payloads: DataFrame, name: str = "openai") -> tuple[DataFrame, DataFrame]:
     """Conversations and messages of ``payloads`` whose conversations hold a ``mapping`` of nodes, in the file's order."""
     rows = exploded(payloads).withColumn("d", F.try_parse_json("raw"))
     identity = F.coalesce(F.nullif(value(F.col("d"), "id").cast("string"), F.lit("")), value(F.col("d"), "conversation_id").cast("string"))
-    vendor = Vendor(adapter_id, "openai", source_type, CONVERSATION_FILE)
+    vendor = Vendor(*IDENTITIES[name], CONVERSATION_FILE)
     conversations = rows.select("source_path", "source_index", identity.alias("source_conversation_id"), *_fields(F.col("d"), {"title": ("title",), "create_time": ("create_time",), "update_time": ("update_time",)}))
     nodes = rows.select("source_path", identity.alias("conversation_id"), F.posexplode(F.from_json(F.get_json_object("raw", "$.mapping"), "map<string,string>")).alias("source_index", "key", "node"))
     nodes = nodes.withColumn("n", F.try_parse_json("node")).withColumn("m", value(F.col("n"), "message")).where(F.startswith(kind(F.col("m")), F.lit("OBJECT")))
@@ -161,7 +169,7 @@ def mapped(payloads: DataFrame, adapter_id: str = "openai-export/1", source_type
         as_time(value(F.col("m"), "create_time")).alias("create_time"), as_time(value(F.col("m"), "update_time")).alias("update_time"),
         value(F.col("m"), "status").cast("string").alias("status"), message_references(F.get_json_object("node", "$.message")).alias("attachment_refs"),
     )
-    if adapter_id != "openai-export/1":
+    if name == "openai-common":
         conversations = globally_numbered(conversations)
     return canonical_conversations(_stamped(conversations, vendor)), canonical_messages(_stamped(messages, vendor))
 
@@ -195,7 +203,7 @@ def by_kind(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def issues(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Conversations and messages of an issue tracker's resource files: threads, and the comments that reach one."""
-    vendor = Vendor("github-export/1", "github", "github.migration.export", ISSUE_RESOURCE)
+    vendor = Vendor(*IDENTITIES["github"], ISSUE_RESOURCE)
     whole, lines = by_kind(payloads)
     rows = exploded(whole, *ISSUE_LISTS).unionByName(json_lines(lines)).withColumn("d", F.try_parse_json("raw")).withColumn("resource", F.lower(F.regexp_extract("source_path", ISSUE_RESOURCE, 1)))
     d = F.col("d")
@@ -228,10 +236,8 @@ def discovered(members: DataFrame, name: str) -> DataFrame:
 
 def parse(payloads: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     """Conversations and messages of ``payloads`` by the named adapter."""
-    if name == "openai":
-        return mapped(payloads)
-    if name == "openai-common":
-        return mapped(payloads, "openai-export-common/1", "openai.export")
+    if name in ("openai", "openai-common"):
+        return mapped(payloads, name)
     if name == "github":
         return issues(payloads)
     if name not in VENDORS:

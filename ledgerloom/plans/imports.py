@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.classification import Policy
 from ledgerloom.functions.privacy import findings
 from ledgerloom.functions.text import basename, reference_ids
+from ledgerloom.operators.conformance import record_violations
 from ledgerloom.operators.members import artifact_identity, counters, provenance, require_none, violations, with_disposition
 from ledgerloom.operators.messages import conversation_order, message_order
 from ledgerloom.operators.references import attachment_index, described_by_any_key, described_by_one_key
-from ledgerloom.plans.adapters import VENDORS, conversation_strings, discovered, parse
+from ledgerloom.plans.adapters import IDENTITIES, conversation_strings, discovered, parse
 from ledgerloom.plans.checks import discovery_violations, payload_violations
 from ledgerloom.sources.docx import extract_documents
 from ledgerloom.sources.json_rows import allowed_fields, is_strict_json
@@ -130,6 +131,8 @@ def import_members(members: DataFrame, adapter: str, policy: Policy = Policy(),
     payloads = found.select(F.col("path").alias("source_path"), F.col("content").cast("string").alias("raw"))
     require_none(payload_violations(payloads, adapter))
     conversations, messages = parse(payloads, adapter)
+    names = IDENTITIES[adapter]
+    require_none(record_violations(conversations, messages, names[0], placed=adapter != "github"))
     rest = members.join(found.select("path"), "path", "left_anti")
     decided = with_disposition(rest, policy, override(F.col("path"), adapter))
     documents = extract_documents(decided.where("decision = 'extract'"))
@@ -138,8 +141,6 @@ def import_members(members: DataFrame, adapter: str, policy: Policy = Policy(),
     consumed = found.withColumns({"decision": F.lit("normalized"), "reason": F.lit("adapter_payload")})
     columns = ["path", "sha256", "size_bytes", "decision", "reason"]
     everything = decided.select(columns).unionByName(consumed.select(columns))
-    spec = VENDORS.get(adapter)
-    names = (spec.adapter_id, spec.vendor, spec.source_type) if spec else (f"{adapter}-export/1", adapter, f"{adapter}.export")
     texts = messages.select(F.concat_ws("/", F.lit("messages"), "conversation_id", "source_message_id").alias("path"), "text")
     kept_text = decided.where("decision = 'keep' and kind = 'structured_text'").select("path", F.make_valid_utf8(F.col("content").cast("string")).alias("text"))
     return Import(

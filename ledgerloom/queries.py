@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import privacy
 from ledgerloom.functions.classification import Policy
 from ledgerloom.functions.text import basis_points, extension, file_number, is_unsafe_path, normalized_role, reference_ids, reference_names, sorted_unique
-from ledgerloom.operators import evaluation, members, messages, references, review, threads
+from ledgerloom.operators import conformance, evaluation, members, messages, references, review, threads
 from ledgerloom.plans.adapters import message_references
 from ledgerloom.plans.checks import payload_violations
 from ledgerloom.plans.imports import override, tombstones
@@ -107,10 +107,12 @@ def message_graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY strftime(ts, '%Y-%m-%d %H:%M:%S'), event_id) AS place FROM events""")
 def message_sort_string_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import Window
-
-    rows = table(spark, sf_dir, "events").select("user_id", "event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("create_time"))
-    return rows.select("user_id", "event_id", F.row_number().over(Window.partitionBy("user_id").orderBy("create_time", "event_id")).cast("bigint").alias("place"))
+    rows = table(spark, sf_dir, "events").select(
+        "user_id", "event_id", F.col("user_id").cast("string").alias("conversation_id"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("create_time"),
+        F.col("event_id").alias("source_index"), F.lit(None).cast("string").alias("source_message_id"),
+    )
+    place = F.row_number().over(Window.partitionBy("user_id").orderBy(*messages.message_order()))
+    return rows.select("user_id", "event_id", place.cast("bigint").alias("place"))
 
 
 _ROLES = [("Human",), ("MODEL",), ("Grok",), ("tool",), ("Narrator",), ("",), (None,)]
@@ -323,13 +325,38 @@ def privacy_rules_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return privacy.findings(fixture(spark, _SECRETS, "path string, text string")).drop("category")
 
 
-@query(r"""WITH m AS (SELECT doc_id, unnest(regexp_extract_all(text, '(?i)[A-Za-z0-9._%+-]{1,128}@[A-Za-z0-9.-]{1,253}\.[A-Za-z]{2,63}')) AS m FROM documents),
-n AS (SELECT count(*) AS occurrences, count(DISTINCT doc_id) AS files FROM m)
-SELECT 'email_address' AS rule_id, 'privacy' AS category, occurrences, files FROM n
-UNION ALL SELECT 'private_key_header', 'secret', count(*) FILTER (contains(text, 'BEGIN PRIVATE KEY-----')), count(*) FILTER (contains(text, 'BEGIN PRIVATE KEY-----')) FROM documents""")
+# the rules' patterns without the guards behind a match; the guard before one is taken with it, outside the group
+_RULES_SQL = r"""(VALUES ('email_address', 'privacy', '(?i)()([A-Za-z0-9._%+-]{1,128}@[A-Za-z0-9.-]{1,253}\.[A-Za-z]{2,63})'), ('openai_api_key', 'secret', '(^|[^A-Za-z0-9_-])(sk-[A-Za-z0-9_-]{20,1000})'),
+  ('github_token', 'secret', '(^|[^A-Za-z0-9_])(gh[pousr]_[A-Za-z0-9]{20,1000})'), ('aws_access_key', 'secret', '(^|[^A-Z0-9])((?:AKIA|ASIA)[A-Z0-9]{16})(?:$|[^A-Z0-9])'),
+  ('private_key_header', 'secret', '()(-----BEGIN (?:RSA |EC |OPENSSH )?PRIVATE KEY-----)'), ('bearer_token', 'secret', '(?i)(^|[^A-Za-z0-9])(Bearer[ \t]{1,32}[A-Za-z0-9._~+/=-]{20,1000})')) r(rule_id, category, pattern)"""
+
+
+def _findings_sql(key: str, text: str, table: str) -> str:
+    return f"""SELECT path, rule_id, category, sha256(m) AS sha256, count(*) AS occurrences
+  FROM (SELECT {key}::VARCHAR AS path, rule_id, category, unnest(regexp_extract_all({text}, pattern, 2)) AS m FROM {table}, {_RULES_SQL}) GROUP BY ALL"""
+
+
+@query(_findings_sql("doc_id", "text", "documents"))
+def privacy_findings_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return privacy.findings(table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("path"), "text"))
+
+
+@query(_findings_sql("page_id", "html", "pages"))
+def privacy_findings_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return privacy.findings(table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("path"), F.col("html").alias("text")))
+
+
+@query(f"""WITH f AS ({_findings_sql('doc_id', 'text', 'documents')})
+SELECT r.rule_id, r.category, coalesce(sum(occurrences), 0)::BIGINT AS occurrences, count(DISTINCT path) AS files FROM {_RULES_SQL} LEFT JOIN f ON f.rule_id = r.rule_id GROUP BY 1, 2""")
 def privacy_rollup_with_zero_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = [privacy.RULES[0], privacy.RULES[4]]
-    return privacy.rule_totals(privacy.findings(table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("path"), "text"), rules), rules)
+    return privacy.rule_totals(privacy_findings_documents(spark, sf_dir))
+
+
+@query(f"""WITH f AS ({_findings_sql('doc_id', 'text', 'documents')})
+SELECT path, rule_id, category, sum(occurrences)::BIGINT AS occurrences, string_agg(sha256 || ':' || occurrences, ' ' ORDER BY sha256) AS matches FROM f GROUP BY path, rule_id, category""")
+def privacy_report_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = privacy.report(privacy_findings_documents(spark, sf_dir))
+    return rows.withColumn("matches", F.array_join(F.transform("matches", lambda m: F.concat_ws(":", m["sha256"], m["occurrences"].cast("string"))), " "))
 
 
 # --- references ---------------------------------------------------------------------------------------------------------
@@ -459,9 +486,10 @@ def decision_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return review.decision_summary(_decisions(spark, sf_dir))
 
 
-@query(f"SELECT m.doc_id, path, CASE WHEN quality = 1 THEN 'accept' ELSE 'reject' END AS disposition FROM ({_MEMBERS_SQL}) m JOIN labels l ON l.doc_id = m.doc_id")
+@query(f"""SELECT m.doc_id, path, CASE WHEN quality = 1 THEN 'accept' ELSE 'reject' END AS disposition, CASE WHEN quality = 1 THEN 'accepted/' || path END AS staged_path
+  FROM ({_MEMBERS_SQL}) m JOIN labels l ON l.doc_id = m.doc_id""")
 def accepted_rejected_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return document_members(spark, sf_dir).select("doc_id", "path").join(_decisions(spark, sf_dir), "doc_id")
+    return review.split_by_decision(document_members(spark, sf_dir).select("doc_id", "path"), _decisions(spark, sf_dir), "doc_id")
 
 
 @query("SELECT doc_id, 'left' AS side FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) UNION ALL SELECT doc_id, 'right' FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents)")
@@ -469,16 +497,21 @@ def manifest_anti_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return review.set_difference(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "doc_id")
 
 
-@query(f"""WITH l AS (SELECT path, sha256(text) AS s FROM ({_MEMBERS_SQL}) WHERE doc_id % 3 <> 0),
-r AS (SELECT path, sha256(CASE WHEN doc_id % 5 = 0 THEN text || '!' ELSE text END) AS s FROM ({_MEMBERS_SQL}) WHERE doc_id % 4 <> 0)
-SELECT coalesce(l.path, r.path) AS path, CASE WHEN r.s IS NULL THEN 'only_left' WHEN l.s IS NULL THEN 'only_right' WHEN l.s = r.s THEN 'equal' ELSE 'changed' END AS status
+_ONE_SIDED = [("left/a.txt", "a"), ("left/b.txt", "b")], [("right/a.txt", "a"), ("right/c.txt", "")]
+
+
+@query(f"""WITH l AS (SELECT path, sha256(text) AS s FROM (SELECT path, text FROM ({_MEMBERS_SQL}) UNION ALL {_values(_ONE_SIDED[0])})),
+r AS (SELECT path, sha256(text) AS s FROM (SELECT path, CASE WHEN doc_id % 5 = 0 THEN text || '!' ELSE text END AS text FROM ({_MEMBERS_SQL}) UNION ALL {_values(_ONE_SIDED[1])}))
+SELECT coalesce(l.path, r.path) AS path, CASE WHEN r.path IS NULL THEN 'only_left' WHEN l.path IS NULL THEN 'only_right' WHEN l.s = r.s THEN 'equal' ELSE 'changed' END AS status
 FROM l FULL JOIN r ON r.path = l.path""")
 def tree_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = document_members(spark, sf_dir)
     changed = F.when(F.col("doc_id") % 5 == 0, F.concat("text", F.lit("!"))).otherwise(F.col("text"))
-    left = members.artifact_identity(docs.where("doc_id % 3 <> 0").select("path", F.encode("text", "UTF-8").alias("content")))
-    right = members.artifact_identity(docs.where("doc_id % 4 <> 0").select("path", F.encode(changed, "UTF-8").alias("content")))
-    return review.compared_trees(left, right)
+    left, right = (
+        docs.select("path", text.alias("text")).unionByName(fixture(spark, own, "path string, text string")).select("path", F.encode("text", "UTF-8").alias("content"))
+        for text, own in zip((F.col("text"), changed), _ONE_SIDED)
+    )
+    return review.compared_trees(members.artifact_identity(left), members.artifact_identity(right))
 
 
 @query("""SELECT doc_id, path, previous FROM (SELECT doc_id, source || '/' || n_chars AS path, lag(source || '/' || n_chars) OVER (PARTITION BY source ORDER BY doc_id) AS previous FROM documents) WHERE path <= previous""")
@@ -542,12 +575,138 @@ def transport_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluation.transports_agree(objects)
 
 
-@query("""SELECT item_id AS fragment_id, (SELECT count(*) FROM documents d WHERE contains(d.text, substr(b.text, 1, 40))) AS n_files FROM benchmark b""")
+@query("""SELECT item_id AS fragment_id, (SELECT count(*) FROM documents d WHERE contains(d.text, b.text)) AS n_files FROM benchmark b""")
 def forbidden_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fragments = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("fragment_id"), F.substring("text", 1, 40).alias("fragment"))
+    fragments = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("fragment_id"), F.col("text").alias("fragment"))
     return evaluation.forbidden_fragments(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("path"), F.col("text").alias("content")), fragments)
 
 
+# --- conformance ----------------------------------------------------------------------------------------------------------
+
+_ARTIFACTS = [
+    ("CANDIDATE.json", "0" * 64, 1), ("a/b.txt", "0" * 64, 1), ("a/b.txt", "0" * 64, 1), ("a/a.txt", "F" * 64, 1), ("b//c", "0" * 64, 1), ("c/../d", "0" * 64, 1),
+    ("d", "0" * 63, 1), ("e", "1" * 64, -1), ("f", "1" * 64, 0), ("f/é", "1" * 64, None), ("g", None, 1),
+]
+
+
+@query(f"""WITH a AS (SELECT (doc_id * 1000)::BIGINT AS position, 'documents/' || lpad(doc_id::VARCHAR, 12, '0') AS path, sha256(text) AS sha256, strlen(text)::BIGINT AS size_bytes FROM documents
+  UNION ALL SELECT 1000000000000000 + row_number() OVER (), path, sha256, size_bytes FROM ({_values(_ARTIFACTS)}) t(path, sha256, size_bytes)),
+o AS (SELECT *, lag(path) OVER (ORDER BY position) AS previous FROM a)
+SELECT CASE WHEN starts_with(path, '/') OR contains(path, '//') OR list_contains(string_split(path, '/'), '..') THEN 'invalid_path' WHEN path IN ('CANDIDATE.json', 'IMPORT.json', 'SHA256SUMS') THEN 'reserved_artifact_path'
+  WHEN NOT coalesce(regexp_full_match(sha256, '[0-9a-f]{{64}}'), false) THEN 'invalid_sha256' WHEN coalesce(size_bytes < 0, true) THEN 'invalid_size' END AS code, path AS subject FROM a WHERE code IS NOT NULL
+UNION ALL SELECT 'artifact_order', path FROM o WHERE path <= previous UNION ALL SELECT 'duplicate_artifact', path FROM a GROUP BY path HAVING count(*) > 1
+UNION ALL SELECT 'invalid_artifacts', '*' FROM a HAVING count(*) > 100000""")
+def artifact_row_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        (F.col("doc_id") * 1000).cast("bigint").alias("position"), F.concat(F.lit("documents/"), F.lpad(F.col("doc_id").cast("string"), 12, "0")).alias("path"),
+        F.sha2("text", 256).alias("sha256"), F.octet_length("text").cast("bigint").alias("size_bytes"),
+    )
+    more = fixture(spark, [(1_000_000_000_000_001 + i, *row) for i, row in enumerate(_ARTIFACTS)], "position bigint, path string, sha256 string, size_bytes bigint")
+    return conformance.artifact_violations(docs.unionByName(more))
+
+
+_OBJECTS = [("sha256:" + "a" * 64, "sha256:" + "a" * 64, 5), ("sha256:" + "a" * 64, "sha256:" + "b" * 64, 5), ("sha256:" + "A" * 64, "sha256:" + "A" * 64, 5), ("a" * 64, "a" * 64, 5), ("sha256:" + "c" * 64, "sha256:" + "c" * 64, -1), ("sha256:" + "d" * 64, "sha256:" + "d" * 64, 2_147_483_649), ("sha256:" + "e" * 64, None, 1)]
+
+
+@query(f"""WITH o AS (SELECT 'sha256:' || sha256(text) AS object_id, 'sha256:' || sha256(CASE WHEN doc_id % 7 = 0 THEN text || ' ' ELSE text END) AS bytes_sha256, strlen(text)::BIGINT AS size_bytes FROM documents
+  UNION ALL {_values(_OBJECTS)})
+SELECT CASE WHEN NOT regexp_full_match(object_id, 'sha256:[0-9a-f]{{64}}') THEN 'transport_object_id' WHEN bytes_sha256 IS DISTINCT FROM object_id THEN 'transport_object_hash'
+  WHEN size_bytes < 0 OR size_bytes > 2147483648 THEN 'transport_object_size' END AS code, object_id AS subject FROM o WHERE code IS NOT NULL""")
+def transport_object_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digest = lambda text: F.concat(F.lit("sha256:"), F.sha2(text, 256))
+    sent = F.when(F.col("doc_id") % 7 == 0, F.concat("text", F.lit(" "))).otherwise(F.col("text"))
+    docs = table(spark, sf_dir, "documents").select(digest(F.col("text")).alias("object_id"), digest(sent).alias("bytes_sha256"), F.octet_length("text").cast("bigint").alias("size_bytes"))
+    return conformance.object_violations(docs.unionByName(fixture(spark, _OBJECTS, "object_id string, bytes_sha256 string, size_bytes bigint")))
+
+
+@query(f"""WITH d AS ({_DECIDED_SQL}), e AS (SELECT * FROM ({_DECIDED_SQL.replace('<= 2000', '<= 10485760').replace('<= 1000', '<= 1048576')})),
+m AS (SELECT unnest(['files_seen', 'files_keep', 'files_extract', 'files_tombstone', 'files_reject', 'files_undecided', 'files_duplicate']) AS metric),
+n AS (SELECT metric, (SELECT count(*) FROM e WHERE metric = 'files_seen' OR metric = 'files_' || decision) AS expected, (SELECT count(*) FROM d WHERE metric = 'files_seen' OR metric = 'files_' || decision) AS found FROM m)
+SELECT *, CASE WHEN expected = found THEN 'pass' ELSE 'fail' END AS status FROM n""")
+def classification_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = document_members(spark, sf_dir)
+    stated = members.counters(members.with_disposition(docs))
+    receipt = stated.select(F.explode(F.array(*(F.struct(F.lit(c).alias("metric"), F.col(c).alias("expected")) for c in stated.columns))).alias("m")).select("m.*")
+    return conformance.reconciled_counts(members.with_disposition(docs, _SMALL).select("path", "decision"), receipt)
+
+
+_IDS_SQL = """WITH c AS (SELECT turn, coalesce(nullif(CASE WHEN turn % 3 = 0 THEN conv_id::VARCHAR WHEN turn % 3 = 1 THEN '' END, ''), nullif(CASE WHEN turn % 3 = 1 THEN 'c' || conv_id END, ''), 'n' || conv_id) AS conversation_id,
+  CASE WHEN turn % 2 = 0 THEN 'm' || conv_id || ':' || turn ELSE 'k' || conv_id || ':' || turn END AS message_id, 'r' || (conv_id % 97) || '.png' AS ref FROM conversations)
+SELECT 'conversations' AS component, conversation_id AS id FROM c UNION SELECT 'messages', message_id FROM c UNION SELECT 'attachments', ref FROM c
+UNION SELECT 'attachments', 'p' || (page_id % 13) FROM pages UNION SELECT 'attachments', 'q' || (page_id % 11) FROM pages"""
+
+
+def _observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of the conversations as records of both families: flat ids in some turns, nested ones in the others."""
+    own, turn, none = F.col("conv_id").cast("string"), F.col("turn"), F.lit(None).cast("string")
+    source = F.when(turn % 3 == 0, own).when(turn % 3 == 1, "")
+    flat = F.when(turn % 3 == 1, F.concat(F.lit("c"), own))
+    message = lambda letter: F.concat(F.lit(letter), own, F.lit(":"), turn.cast("string"))
+    rows = table(spark, sf_dir, "conversations").select(
+        conformance.candidate_conversation_id(source, flat, F.concat(F.lit("n"), own), none).alias("conversation_id"),
+        conformance.candidate_message_id(F.when(turn % 2 == 0, message("m")), message("k")).alias("message_id"),
+        F.array(F.concat(F.lit("r"), (F.col("conv_id") % 97).cast("string"), F.lit(".png")), F.lit("")).alias("attachment_refs"),
+    )
+    dropped = table(spark, sf_dir, "pages").select(F.concat(F.lit("p"), (F.col("page_id") % 13).cast("string")).alias("reference_key"), F.array(F.concat(F.lit("q"), (F.col("page_id") % 11).cast("string")), none).alias("reference_keys"))
+    return conformance.observed_ids(rows, rows, dropped)
+
+
+@query(_IDS_SQL)
+def observed_candidate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _observed(spark, sf_dir)
+
+
+_REQUIRED = [("attachments", "p1"), ("attachments", "q2"), ("messages", "never:said"), ("messages", "m0:0"), ("messages", "m0:0")]
+
+
+@query(f"""WITH o AS ({_IDS_SQL}), r AS (SELECT DISTINCT * FROM ({_values(_REQUIRED)}) t(component, id)), n AS (SELECT r.component, count(*) AS required, count(o.id) AS found FROM r LEFT JOIN o USING (component, id) GROUP BY 1)
+SELECT component, coalesce(required, 0) AS required, coalesce(found, 0) AS found, floor(found * 10000 / required::DOUBLE)::BIGINT AS coverage_bp,
+  CASE WHEN required IS NULL THEN 'unassessed' WHEN required = found THEN 'pass' ELSE 'fail' END AS status FROM (VALUES ('conversations'), ('messages'), ('attachments')) c(component) LEFT JOIN n USING (component)""")
+def component_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    required = fixture(spark, _REQUIRED, "component string, id string")
+    return conformance.component_coverage(required, _observed(spark, sf_dir), ("conversations", "messages", "attachments"))
+
+
+@query("""SELECT l_suppkey AS run_id, CASE WHEN bool_or(l_returnflag = 'R') THEN 'fail' WHEN bool_or(l_returnflag = 'A') THEN 'pass' ELSE 'unassessed' END AS status FROM lineitem GROUP BY 1""")
+def overall_status_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    status = F.when(F.col("l_returnflag") == "R", "fail").when(F.col("l_returnflag") == "A", "pass").otherwise("unassessed")
+    return conformance.overall_status(table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("run_id"), status.alias("status")), "run_id")
+
+
+@query("""SELECT l_orderkey AS run_id, NOT bool_or(l_returnflag = 'R' OR l_linenumber = 6) AS conforms FROM lineitem GROUP BY 1""")
+def conformance_by_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("run_id"), F.when(F.col("l_returnflag") == "R", "fail").otherwise("pass").alias("status"), (F.col("l_linenumber") == 6).alias("forbidden_found"))
+    return conformance.conforms(rows, "run_id")
+
+
+@query(f"SELECT 'candidate_artifact_missing' AS code, path AS subject FROM ({_MEMBERS_SQL}) WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def unlisted_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = document_members(spark, sf_dir).select("doc_id", "path")
+    return conformance.listed_inputs(docs, docs.join(table(spark, sf_dir, "labels").select("doc_id"), "doc_id"))
+
+
+@query(r"""SELECT count(*) AS n, sha256('[' || string_agg('{"path":"bench/' || item_id || '/\"é\".txt","sha256":"' || sha256(text) || '","size_bytes":' || strlen(text) || '}', ',' ORDER BY 'bench/' || item_id || '/') || ']' || chr(10)) AS sha256 FROM benchmark""")
+def tree_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = table(spark, sf_dir, "benchmark").select(F.concat(F.lit("bench/"), F.col("item_id").cast("string"), F.lit('/"é".txt')).alias("path"), F.encode("text", "UTF-8").alias("content"))
+    return conformance.tree_digest(members.artifact_identity(files))
+
+
+@query("""SELECT code, subject FROM (SELECT turn, conv_id, unnest(CASE turn % 5 WHEN 1 THEN ['invalid_message_record'] WHEN 2 THEN ['invalid_message_record'] WHEN 3 THEN ['invalid_message_record'] ELSE []::VARCHAR[] END) AS code,
+  'c' || conv_id || ':' || CASE WHEN turn % 5 = 2 THEN -1 ELSE turn END AS subject FROM conversations)""")
+def record_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turn = F.col("source_index")
+    rows = _turns(spark, sf_dir).withColumns({
+        "source_path": F.concat(F.lit("c"), "conversation_id"), "source_vendor": F.lit("v"), "source_type": F.lit("t"), "adapter_id": F.when(turn % 5 == 1, "y/1").otherwise("x/1"),
+        "source_index": F.when(turn % 5 == 2, -1).otherwise(turn), "twice": turn % 5 == 3,
+    })
+    twice = F.when(F.col("twice"), F.array(F.lit("a"), F.lit("a"))).otherwise(F.array(F.lit("a")))
+    said = messages.canonical_messages(rows.withColumn("attachment_refs", twice))
+    # canonical messages have unique references; these are written over
+    said = said.join(rows.select("source_message_id", twice.alias("refs")), "source_message_id").withColumn("attachment_refs", F.col("refs")).drop("refs")
+    talks = messages.canonical_conversations(rows.withColumns({"adapter_id": F.lit("x/1"), "source_index": F.abs("source_index")}))
+    return conformance.record_violations(talks, said, "x/1")
+
+
 # --- discovery -------------------------------------------------------------------------------------------------------------
 
 _FILES = [
