@@ -17,6 +17,7 @@ from ledgerloom.operators.messages import conversation_order, message_order
 from ledgerloom.operators.references import attachment_index, described_by_any_key, described_by_one_key
 from ledgerloom.plans.adapters import IDENTITIES, conversation_strings, discovered, parse
 from ledgerloom.plans.checks import discovery_violations, payload_violations
+from ledgerloom.sources.checkpoints import written
 from ledgerloom.sources.docx import extract_documents
 from ledgerloom.sources.json_rows import allowed_fields, is_strict_json
 
@@ -122,7 +123,9 @@ def import_members(members: DataFrame, adapter: str, policy: Policy = Policy(),
     """Tables of ``members`` (source, path, size_bytes, compressed_bytes, is_link, head, sha256, content, problem).
 
     Guards on members come first, then on what the adapter finds, then on what it must parse; an offender raises its code
-    before anything is written, and no payload, line, conversation or record that can't be read is passed over."""
+    before anything is written to an output, and no payload, line, conversation or record that can't be read is passed over.
+    Members are written to the shared folder first, so that each archive is opened once and later passes read the columns they need."""
+    members = written(members, "members")
     broken = members.where("problem is not null or is_link").select(F.coalesce("problem", F.lit("symlink_member")).alias("code"), F.col("path").alias("subject"))
     require_none(broken.unionByName(violations(members, limits.max_entries, limits.max_member, limits.max_total, limits.max_ratio)))
     require_none(discovery_violations(members, adapter))
