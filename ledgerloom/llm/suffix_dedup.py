@@ -1,6 +1,6 @@
-"""Removal of repeated 200-byte strings by prefix doubling over content-chosen positions.
+"""Removal of repeated 200-byte strings by ranks of growing length at content-chosen positions.
 
-Full prefix doubling ranks every byte position.  Two equal strings of ``LENGTH`` bytes have the same inner bytes, so it is
+Full prefix doubling (``prefix_doubling.py``) ranks every byte position.  Two equal strings of ``LENGTH`` bytes have the same inner bytes, so it is
 enough to rank positions that are chosen by content alone: of every string's ``LENGTH - SEED + 1`` inner seeds (64 bytes)
 the one with the smallest fingerprint is its anchor, about one position in 69.  Each string belongs to one anchor, and
 equal strings have their anchors at the same place.  Ranks are fingerprints, so a longer rank comes from the text itself
@@ -12,7 +12,8 @@ and only the question whether a rank is unique needs a shuffle:
    all strings of a block share; a unique rank ends the block.  Where the block's whole span repeats, all of it repeats.
 4. the strings of the blocks still open are ranked one by one, at their full 200 bytes.
 
-Every removed string has been found equal in anchor, place and bytes (two independent 64-bit fingerprints).
+Every removed string has been found equal in two 64-bit fingerprints of one polynomial, over different bytes: its anchor's
+seed and the string, block or span itself.  Bytes are not compared.
 """
 
 from __future__ import annotations
