@@ -9,22 +9,25 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.chat_format import conversation_digests, format_chats
 from ledgerloom.llm.decontaminate import mark_contaminated
+from ledgerloom.llm.filter_audit import audit_filters, labelled, standard_failures
 from ledgerloom.llm.html_extract import extract_main_text
 from ledgerloom.llm.line_dedup import dedup_lines
 from ledgerloom.llm.minhash import near_duplicates
+from ledgerloom.llm.mixing import mix_sources
 from ledgerloom.llm.packing import pack_documents
 from ledgerloom.llm.quality_rules import judge_quality
 from ledgerloom.llm.suffix_dedup import remove_repeats
+from ledgerloom.llm.token_alignment import align_tokenizers
 from ledgerloom.llm.toxicity import fit, score_toxicity
 from ledgerloom.llm.url_filters import judge_urls
 
 URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,11 +80,25 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_digests(format_chats(turns.unionByName(extra), tokenizer_path()), tokenizer_path())
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, failures = standard_failures(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return audit_filters(labelled(docs, _table(spark, sf_dir, "labels")), failures, "lang")
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokenizers(_table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))[0]
+
+
+def op13_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
         op1_suffix_dedup, op2_quality_rules, op3_toxicity, op4_minhash_near_dedup, op5_html_extraction,
         op6_decontamination, op7_line_dedup, op8_best_fit_packing, op9_url_filters, op10_chat_formatting,
+        op11_filter_audit, op12_token_alignment, op13_source_mixing,
     )
 }
 
@@ -166,10 +183,40 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM e GROUP BY conv_id
 """
 
+_AUDIT_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+l AS (SELECT doc_id, bool_or(quality IS NOT DISTINCT FROM 1) AS good, bool_or(toxic IS NOT DISTINCT FROM 1) AS toxic FROM labels GROUP BY doc_id),
+f AS (
+  SELECT d.doc_id, part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    (len(w) < 200)::INT + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::INT + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t))::INT
+      + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * coalesce(d.doc_id > min(d.doc_id) OVER (PARTITION BY t), false)::INT AS fails
+  FROM d LEFT JOIN l ON l.doc_id = d.doc_id),
+n AS (SELECT part, fails, good, toxic, count(*) AS n FROM f GROUP BY ALL),
+letters AS (SELECT chr(65 + i::INT) AS letter, 1 << i::INT AS bit FROM range(5) r(i)),
+orders AS (
+  SELECT '' AS filter_order, 0 AS done, 0 AS before, 0 AS bit, 0 AS step, []::INT[][] AS steps
+  UNION ALL
+  SELECT o.filter_order || letter, o.done | l.bit, o.done, l.bit, o.step + 1, list_append(o.steps, [o.step + 1, o.done, l.bit])
+  FROM orders o, letters l WHERE o.done & l.bit = 0),
+steps AS (SELECT filter_order, unnest(steps) AS s FROM orders WHERE step = 5),
+each AS (
+  SELECT part, filter_order, s[1] AS step, s[3] AS bit, sum(n) FILTER (fails & (s[2] | s[3]) = 0) AS kept,
+    sum(n) FILTER (fails & s[2] = 0 AND fails & s[3] > 0) AS removed, sum(n) FILTER (fails & s[2] > 0 AND fails & s[3] > 0) AS redundant,
+    sum(n) FILTER (fails = s[3]) AS unique_fails, sum(n) FILTER (fails & s[2] = 0 AND fails & s[3] > 0 AND good) AS good_lost,
+    sum(n) FILTER (fails & s[2] = 0 AND fails & s[3] > 0 AND toxic) AS toxic_lost
+  FROM steps, n GROUP BY part, filter_order, s)
+SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed, coalesce(redundant, 0)::BIGINT AS redundant,
+  coalesce(unique_fails, 0)::BIGINT AS unique_fails, coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+  coalesce(sum(removed) OVER (PARTITION BY part, bit), 0)::BIGINT AS shapley
+FROM each
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_quality_rules": _QUALITY_SQL,
     "op4_minhash_near_dedup": _NEAR_DUPLICATES_SQL,
     "op7_line_dedup": _LINE_DEDUP_SQL,
     "op9_url_filters": _URL_SQL,
     "op10_chat_formatting": _CHAT_SQL,
+    "op11_filter_audit": _AUDIT_SQL,
 }
