@@ -12,14 +12,16 @@ from ledgerloom.functions.classification import Policy
 from ledgerloom.functions.privacy import findings
 from ledgerloom.functions.text import basename, reference_ids
 from ledgerloom.operators.conformance import record_violations
-from ledgerloom.operators.members import artifact_identity, counters, provenance, require_none, violations, with_disposition
+from ledgerloom.operators.members import counters, provenance, require_none, violations, with_disposition
 from ledgerloom.operators.messages import conversation_order, message_order
 from ledgerloom.operators.references import attachment_index, described_by_any_key, described_by_one_key
 from ledgerloom.plans.adapters import IDENTITIES, conversation_strings, discovered, parse
 from ledgerloom.plans.checks import discovery_violations, payload_violations
+from ledgerloom.plans.outputs import Store, commit, retain
 from ledgerloom.sources.checkpoints import written
 from ledgerloom.sources.docx import extract_documents
 from ledgerloom.sources.json_rows import allowed_fields, is_strict_json
+from ledgerloom.sources.tree import read_tree
 
 # Members that an adapter decides on by name, as (pattern, decision, reason).
 OVERRIDES = {
@@ -148,7 +150,7 @@ def import_members(members: DataFrame, adapter: str, policy: Policy = Policy(),
     kept_text = decided.where("decision = 'keep' and kind = 'structured_text'").select("path", F.make_valid_utf8(F.col("content").cast("string")).alias("text"))
     return Import(
         conversations, messages, decided.drop("content"), tombstones(dropped, payloads, messages, adapter), provenance(everything, *names),
-        findings(texts.unionByName(kept_text)), documents.where("problem is null"), decided.where("decision = 'keep'").select("path", "sha256", "content"),
+        findings(texts.unionByName(kept_text)), documents.where("problem is null"), decided.where("decision = 'keep'").select("source", "path", "size_bytes", "sha256", "content"),
     )
 
 
@@ -160,31 +162,31 @@ def canonical_lines(rows: DataFrame) -> DataFrame:
     return rows.select(text.alias("value"))
 
 
-def write_import(result: Import, output: str) -> None:
-    """Write the tables beside ``output`` and move them there in one rename, so that readers see all of them or none.
+def write_import(result: Import, output: str, replace: bool = False, unchanged: DataFrame | None = None) -> None:
+    """Write the tables and retained files beside ``output`` and move them there, so that readers see all of them or none.
 
-    JSON lines are range-partitioned by their canonical order: the part files, in name order, are the ordered whole."""
+    JSON lines are range-partitioned by their canonical order: the part files, in name order, are the ordered whole.  An
+    output that is there is refused unless ``replace``; then it is swapped, and stays if anything fails before.  ``unchanged`` (code,
+    subject) is asked last, as by ``tree.changed`` of listings before and now: an offender ends the import."""
     spark: SparkSession = result.messages.sparkSession
-    staging = f"{output.rstrip('/')}.staging-{uuid.uuid4().hex}"
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    files = hadoop(staging).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if files.exists(hadoop(output)):
+    staging, store = f"{output.rstrip('/')}.staging-{uuid.uuid4().hex}", Store(spark, output)
+    if store.exists(output) and not replace:
         raise FileExistsError(output)
     try:
         canonical_lines(result.conversations.orderBy(*conversation_order())).write.text(f"{staging}/conversations")
         canonical_lines(result.messages.orderBy(*message_order())).write.text(f"{staging}/messages")
         canonical_lines(result.provenance.orderBy("source_path")).write.text(f"{staging}/provenance")
         canonical_lines(result.tombstones.orderBy("path")).write.text(f"{staging}/tombstones")
-        result.findings.write.parquet(f"{staging}/findings")
-        result.documents.write.parquet(f"{staging}/documents")
-        result.members.write.parquet(f"{staging}/members")
-        result.retained.write.parquet(f"{staging}/retained")
-        written = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(staging)
-        relative = F.element_at(F.split("path", staging.rsplit("/", 1)[-1] + "/"), -1)
-        manifest = artifact_identity(written.select(relative.alias("path"), "content")).orderBy("path")
+        result.documents.write.parquet(f"{staging}/extracted")
+        result.findings.write.parquet(f"{staging}/reports/privacy")
+        result.members.write.parquet(f"{staging}/reports/classifications")
+        result.statistics().write.json(f"{staging}/reports/statistics")
+        retain(result.retained, f"{staging}/retained").write.parquet(f"{staging}/reports/retained")
+        manifest = read_tree(spark, staging).where(~F.rlike("path", F.lit("(^|/)[_.][^/]*$"))).orderBy("path")
         manifest.select(F.concat_ws("  ", "sha256", "path").alias("value")).write.text(f"{staging}/manifest")
-        if not files.rename(hadoop(staging), hadoop(output)):
-            raise OSError(f"can't move {staging} to {output}")
+        if unchanged is not None:
+            require_none(unchanged)
+        commit(store, staging, output, replace)
     except Exception:
-        files.delete(hadoop(staging), True)
+        store.delete(staging)
         raise

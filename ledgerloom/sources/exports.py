@@ -1,92 +1,45 @@
-"""Members of ZIP, TAR and single JSON exports, read by Spark's binary file source and opened inside the tasks."""
+"""Members of ZIP, TAR and single JSON exports."""
 
 from __future__ import annotations
 
-import hashlib
 import io
-import tarfile
-import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-HEAD = 512
-MEMBERS = (
-    "source string, path string, size_bytes bigint, compressed_bytes bigint, is_link boolean, head binary, sha256 string, content binary, problem string"
-)
+from ledgerloom.sources.archives import _KINDS, _NAMES, BROKEN, MEMBERS, Reading, listed, members_of, opened, read_archives, refused
 
 
-def _members(source: str, data: bytes, max_member: int, max_entries: int) -> Iterator[tuple]:
-    """Rows of one export; a broken or unknown container is one row with its problem."""
-
-    def row(path, body, packed, link=False, problem=None, size=None):
-        body = body or b""
-        return source, path, len(body) if size is None else size, packed, link, body[:HEAD], hashlib.sha256(body).hexdigest(), body, problem
-
-    stream = io.BytesIO(data)
-    try:
-        if zipfile.is_zipfile(stream):
-            with zipfile.ZipFile(stream) as archive:
-                for n, info in enumerate(archive.infolist()):
-                    if n >= max_entries:
-                        yield row(info.filename, None, 0, problem="source_entry_limit")
-                        return
-                    if info.is_dir():
-                        continue
-                    link = info.external_attr >> 16 & 0o170000 == 0o120000
-                    if info.file_size > max_member:
-                        yield row(info.filename, None, info.compress_size, link, "source_member_limit", info.file_size)
-                        continue
-                    with archive.open(info) as member:
-                        body = member.read(max_member + 1)
-                    yield row(info.filename, body, info.compress_size, link, "source_member_limit" if len(body) > max_member else None)
-            return
-        stream.seek(0)
-        if tarfile.is_tarfile(stream):
-            stream.seek(0)
-            with tarfile.open(fileobj=stream, mode="r:*") as archive:
-                for n, info in enumerate(archive):
-                    if n >= max_entries:
-                        yield row(info.name, None, 0, problem="source_entry_limit")
-                        return
-                    if info.isdir():
-                        continue
-                    if not info.isreg():
-                        yield row(info.name, None, None, True, "source_member_type")
-                    elif info.size > max_member:
-                        yield row(info.name, None, None, problem="source_member_limit", size=info.size)
-                    else:
-                        yield row(info.name, archive.extractfile(info).read(), None)
-            return
-    except (zipfile.BadZipFile, tarfile.TarError, EOFError, OSError, RuntimeError, NotImplementedError) as error:
-        yield row("", None, None, problem=f"invalid_container: {type(error).__name__}")
-        return
-    name = source.rstrip("/").rsplit("/", 1)[-1]
-    if name.casefold().endswith((".json", ".jsonl")):
-        yield row(name, data, None, problem="source_member_limit" if len(data) > max_member else None)
-    else:
-        yield row(name, None, None, problem="unsupported_source_container")
-
-
-def read_exports(spark: SparkSession, path: str, max_member: int = 2_147_483_648, max_entries: int = 100_000) -> DataFrame:
-    """One row per member of every export under ``path``, each export opened in the task that reads it."""
+def _whole(reading: Reading):
+    """Rows of exports that are held whole, each opened in the task that reads it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.string(), pa.binary(), pa.string()]
-        names = [f.split()[0] for f in MEMBERS.split(", ")]
         for batch in batches:
             for source, data in zip(batch.column("path").to_pylist(), batch.column("content")):
-                for member in _members(source, data.as_py(), max_member, max_entries):
-                    yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(member, kinds)], names=names)
-
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, MEMBERS)
-
-
-def read_tree(spark: SparkSession, path: str) -> DataFrame:
-    """path, sha256, size_bytes of every file under ``path``, relative to it."""
-    root = path.rstrip("/") + "/"
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    relative = F.regexp_replace("path", f"^.*?{root.lstrip('/')}", "")
-    return files.select(relative.alias("path"), F.sha2("content", 256).alias("sha256"), F.col("length").alias("size_bytes"))
+                data = data.as_py()
+                kind, members = listed(io.BytesIO(data), len(data), source, reading)
+                try:
+                    kind, members = ("", members[-1:]) if refused(members) else (kind, members)
+                    for row in members_of(io.BytesIO(data), kind, source, members, len(data), reading):
+                        yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, _KINDS)], names=_NAMES)
+                except BROKEN as error:
+                    broken = (source, "", 0, None, False, b"", None, None, f"invalid_container: {type(error).__name__}", None, None)
+                    yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(broken, _KINDS)], names=_NAMES)
+
+    return run
+
+
+def read_exports(spark: SparkSession, path: str, max_member: int = 2_147_483_648, max_entries: int = 100_000, reading: Reading | None = None) -> DataFrame:
+    """One row per member of every export under ``path``, a file or folder: source, path, size_bytes, compressed_bytes, is_link,
+    head, sha256, content, problem.
+
+    Ranges of members are read by tasks of their own (``archives``).  In a store that Arrow can't open, Spark's binary file source reads
+    each export whole, up to 2 GiB."""
+    reading = reading or Reading(max_member=max_member, max_entries=max_entries)
+    try:
+        opened(path)
+        rows = read_archives(spark, path, reading)
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError):
+        rows = spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(_whole(reading), MEMBERS)
+    return rows.where("piece is null").drop("piece", "piece_start")

@@ -13,7 +13,8 @@ from ledgerloom.plans.adapters import parse
 from ledgerloom.plans.checks import payload_violations
 from ledgerloom.plans.imports import Limits, account_metadata, import_members, write_import
 from ledgerloom.sources.docx import extract_documents
-from ledgerloom.sources.exports import read_exports, read_tree
+from ledgerloom.sources.exports import read_exports
+from ledgerloom.sources.tree import read_tree
 from ledgerloom.sources.json_rows import all_strings, is_strict_json
 from ledgerloom.streaming.drop_folder import collect_folder
 from pyspark.sql import functions as F
