@@ -4,8 +4,12 @@ Each check returns its offenders as (code, subject), or one small row per metric
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +17,7 @@ from ledgerloom.constants import ADAPTER_PROTOCOL, CONVERSATION_PROTOCOL, MESSAG
 from ledgerloom.functions.text import basis_points, is_hex_sha256, is_sha256_reference, is_unsafe_path, normalized_path
 from ledgerloom.operators.members import DECISIONS
 from ledgerloom.operators.review import out_of_order
+from ledgerloom.sources.checkpoints import written
 
 # Limits and names of artifact lists and transported objects.
 MAX_ARTIFACTS = 100_000
@@ -137,16 +142,55 @@ def listed_inputs(inputs: DataFrame, artifacts: DataFrame) -> DataFrame:
     return inputs.select("path").distinct().join(artifacts.select("path"), "path", "left_anti").select(F.lit("candidate_artifact_missing").alias("code"), F.col("path").alias("subject"))
 
 
+PIECE = 1 << 20
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of a range, in order, as numbered pieces of some MiB."""
+    held, size, n, rows = [], 0, 0, 0
+    part = TaskContext.get().partitionId()
+
+    def piece() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in ((part, pa.int32()), (n, pa.int32()), (rows, pa.int64()), (b",".join(held), pa.binary()))], names=["part", "nth", "n", "bytes"])
+
+    for batch in batches:
+        for text in batch.column(0):
+            own = text.as_py().encode()
+            held.append(own)
+            size, rows = size + len(own), rows + 1
+            if size >= PIECE:
+                yield piece()
+                held, size, n, rows = [], 0, n + 1, 0
+    if held:
+        yield piece()
+
+
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One digest of all pieces, read in order."""
+    digest, total, between = hashlib.sha256(b"["), 0, b""
+    for batch in batches:
+        for n, data in zip(batch.column("n").to_pylist(), batch.column("bytes")):
+            if not data.is_valid:
+                continue
+            digest.update(between)
+            digest.update(data.as_buffer())
+            total, between = total + n, b","
+    digest.update(b"]\n")
+    yield pa.RecordBatch.from_arrays([pa.array([total], pa.int64()), pa.array([digest.hexdigest()], pa.string())], names=["n", "sha256"])
+
+
 def tree_digest(artifacts: DataFrame) -> DataFrame:
     """One row: n, sha256 of the canonical JSON of ``artifacts`` (path, sha256, size_bytes), sorted by path.
 
-    One digest reads its bytes in order, so they meet in one row; the list is bounded by MAX_ARTIFACTS, which is checked first."""
-    row = F.concat(F.lit('{"path":'), F.get(F.array(_json_string(F.col("path"))), 0), F.lit(',"sha256":"'), "sha256", F.lit('","size_bytes":'), F.col("size_bytes").cast("string"), F.lit("}"))
-    if artifacts.limit(MAX_ARTIFACTS + 1).count() > MAX_ARTIFACTS:
-        raise ValueError("invalid_artifacts")
-    listed = F.array_sort(F.collect_list(F.struct(F.encode("path", "UTF-8").alias("path"), row.alias("json"))))
-    whole = F.concat(F.lit("["), F.array_join(F.transform(listed, lambda r: r["json"]), ","), F.lit("]\n"))
-    return artifacts.agg(F.count("*").alias("n"), F.sha2(whole, 256).alias("sha256"))
+    Rows are dealt to ranges of paths and written as pieces in order.  A digest goes through its bytes one after the other, so its last
+    step is one task; it reads piece by piece and holds one of them at a time."""
+    row = F.concat(F.lit('{"path":'), _json_string(F.col("path")), F.lit(',"sha256":"'), "sha256", F.lit('","size_bytes":'), F.col("size_bytes").cast("string"), F.lit("}"))
+    keyed = artifacts.select(F.encode("path", "UTF-8").alias("key"), row.alias("json"))
+    dealt = keyed.repartitionByRange("key", "json").sortWithinPartitions("key", "json").select("json")
+    pieces = written(dealt.mapInArrow(_cut, "part int, nth int, n bigint, bytes binary"), "digest-pieces")
+    # an empty list has a digest too: a piece without bytes stands before all others
+    first = artifacts.sparkSession.range(1).select(F.lit(-1).alias("part"), F.lit(0).alias("nth"), F.lit(0).cast("bigint").alias("n"), F.lit(None).cast("binary").alias("bytes"))
+    return pieces.unionByName(first).repartition(1).sortWithinPartitions("part", "nth").select("n", "bytes").mapInArrow(_hashed, "n bigint, sha256 string")
 
 
 def _json_string(text: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import basename, path_reference_keys, reference_keys
+from ledgerloom.operators.ordered import running_sum
 
 
 def attachment_index(texts: DataFrame, text: str = "text", context: tuple[str, ...] = ("source_path", "source_index", "conversation_id", "title")) -> DataFrame:
@@ -20,6 +21,23 @@ def index_lists(index: DataFrame) -> DataFrame:
     return index.groupBy("ref_key").agg(F.count("*").alias("n_contexts"), first.alias("f")).select("ref_key", "n_contexts", F.col("f.source_path").alias("first_path"), F.col("f.source_index").alias("first_index"))
 
 
+def posting_pages(index: DataFrame, page: int = 1_000, context: tuple[str, ...] = ("source_path", "source_index", "conversation_id", "source_message_id")) -> DataFrame:
+    """ref_key, page, contexts: the rows of ``index`` (ref_key, ...) of each key in the order of ``context``, nulls as empty strings or 0, in
+    lists of ``page`` rows.  Repeated rows stay.
+
+    Rows are ranked over ranges of (key, context), so a key that very many rows mention is spread over tasks and no list is
+    longer than a page."""
+    kinds = dict(index.dtypes)
+    order = [F.coalesce(c, F.lit("" if kinds[c] == "string" else 0)).alias(f"o{i}") for i, c in enumerate(context) if c in kinds]
+    counted = index.groupBy("ref_key", *[c for c in context if c in kinds]).agg(F.count("*").alias("copies"))
+    keyed = counted.withColumn("key", F.struct("ref_key", *order, F.struct(*[c for c in context if c in kinds])))
+    placed = running_sum(keyed, "ref_key", "key", "copies", "through")
+    each = placed.withColumn("nth", F.explode(F.sequence(F.col("through") - F.col("copies"), F.col("through") - 1)))
+    entry = F.struct(F.col("nth"), *[F.col(c) for c in context if c in kinds])
+    pages = each.groupBy("ref_key", F.floor(F.col("nth") / page).alias("page")).agg(F.sort_array(F.collect_list(entry)).alias("contexts"))
+    return pages.withColumn("contexts", F.transform("contexts", lambda e: e.dropFields("nth")))
+
+
 def described_by_any_key(members: DataFrame, index: DataFrame) -> DataFrame:
     """``members`` (path, kind) with the distinct contexts that any of their keys matches: their number, the first by
     source path and index, the keys that matched, and a label.  Members without a match stay."""
@@ -40,7 +58,8 @@ def described_by_any_key(members: DataFrame, index: DataFrame) -> DataFrame:
         F.col("first.source_path").alias("source_file"),
         F.col("first.source_index").alias("source_index"),
         F.coalesce("reference_keys", F.array().cast("array<string>")).alias("reference_keys"),
-        label(F.col("kind"), F.col("path"), F.col("first")).alias("label"),
+        *(F.col(f"first.{c}").alias(name) for c, name in (("conversation_id", "conversation_id"), ("title", "conversation_title")) if c in index.columns),
+        label(F.col("kind"), F.col("path"), F.col("first"), *(c for c in ("title", "conversation_id") if c in index.columns)).alias("label"),
     )
 
 
@@ -57,7 +76,7 @@ def described_by_one_key(members: DataFrame, index: DataFrame) -> DataFrame:
     )
 
 
-def label(kind: Column, path: Column, first: Column) -> Column:
-    return F.when(first.isNull(), F.concat(kind, F.lit(" export asset: "), basename(path))).otherwise(
-        F.concat(kind, F.lit(" referenced by conversation "), first["source_index"].cast("string"), F.lit(": "), basename(path))
-    )
+def label(kind: Column, path: Column, first: Column, *names: str) -> Column:
+    """What a member is called: after the conversation's first name that is not empty, else after its index."""
+    named = F.coalesce(*(F.nullif(first[n], F.lit("")) for n in names), first["source_index"].cast("string"))
+    return F.when(first.isNull(), F.concat(kind, F.lit(" export asset: "), basename(path))).otherwise(F.concat(kind, F.lit(" referenced by conversation "), named, F.lit(": "), basename(path)))

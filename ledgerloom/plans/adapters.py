@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.text import CONVERSATION_FILE, file_number, reference_keys, sorted_unique
 from ledgerloom.operators.messages import canonical_conversations, canonical_messages, grouped_conversations
 from ledgerloom.operators.threads import resolved_parents, thread_messages
-from ledgerloom.sources.json_rows import all_strings, exploded, json_lines
+from ledgerloom.sources.json_rows import all_strings, exploded, is_list, json_lines, number_text
 
 
 @dataclass(frozen=True)
@@ -65,6 +65,7 @@ VENDORS = {
     ),
 }
 REFERENCE_FIELDS = ("id", "uuid", "file_id", "asset_id", "name", "file_name")
+NUMBER = "^(BIGINT|DOUBLE|FLOAT|DECIMAL|INT|SMALLINT|TINYINT)"
 ISSUE_RESOURCE = "(?i)(?:^|/)(issues|pull_requests|issue_comments|review_comments|pull_request_reviews)(?:[_-][0-9]+)?\\.jsonl?$"
 ISSUE_LISTS = ("items", "records", "issues", "pull_requests", "issue_comments", "review_comments", "pull_request_reviews")
 
@@ -88,8 +89,14 @@ def as_text(v: Column) -> Column:
 
 
 def as_time(v: Column) -> Column:
-    """A number or string as it is written; null for other types."""
-    return F.when((kind(v) == "STRING") | F.rlike(kind(v), F.lit("^(BIGINT|DOUBLE|FLOAT|DECIMAL|INT|SMALLINT|TINYINT)")), v.cast("string"))
+    """A string as it is written, a number by its value; null for other types."""
+    return F.when(kind(v) == "STRING", v.cast("string")).when(F.rlike(kind(v), F.lit(NUMBER)), number_text(v))
+
+
+def is_true(v: Column) -> Column:
+    """Whether a value counts as true: not null, false, zero, or empty."""
+    empty = F.to_json(v).isin("{}", "[]", '""', "false", "null")
+    return F.coalesce(F.when(F.rlike(kind(v), F.lit(NUMBER)), v.cast("double") != 0).otherwise(~empty), F.lit(False))
 
 
 def as_strings(v: Column) -> Column:
@@ -104,7 +111,7 @@ def as_references(v: Column) -> Column:
     return F.coalesce(sorted_unique(F.transform(F.try_variant_get(v, "$", "array<variant>"), one)), F.array().cast("array<string>"))
 
 
-_READERS = {"text": as_text, "create_time": as_time, "update_time": as_time, "source_children_ids": as_strings, "attachment_refs": as_references, "role": lambda v: F.when(kind(v) == "STRING", v.cast("string"))}
+_READERS = {"partial": is_true, "text": as_text, "create_time": as_time, "update_time": as_time, "source_children_ids": as_strings, "attachment_refs": as_references, "role": lambda v: F.when(kind(v) == "STRING", v.cast("string"))}
 
 
 def _fields(document: Column, names: dict[str, tuple[str, ...]]) -> list[Column]:
@@ -117,25 +124,25 @@ def _stamped(rows: DataFrame, vendor: Vendor) -> DataFrame:
 
 def nested(payloads: DataFrame, vendor: Vendor) -> tuple[DataFrame, DataFrame]:
     """Conversations and messages of ``payloads`` (source_path, raw) whose conversations hold their messages."""
-    rows = exploded(payloads).withColumn("d", F.try_parse_json("raw"))
-    rows = rows.withColumn("list", F.coalesce(*(F.when(F.rlike(F.get_json_object("raw", f"$.{n}"), F.lit("^\\s*\\[")), F.get_json_object("raw", f"$.{n}")) for n in vendor.lists)))
+    lists = [F.try_variant_get("d", f"$.{n}", "variant") for n in vendor.lists]
+    rows = exploded(payloads).withColumn("list", F.coalesce(*(F.when(is_list(v), v) for v in lists)))
     rows = rows.where("list is not null") if not vendor.conversation_at else rows
     head = F.try_variant_get("d", f"$.{vendor.conversation_at}", "variant") if vendor.conversation_at else F.col("d")
     conversations = rows.select("source_path", "source_index", *_fields(head, vendor.conversation))
-    items = rows.select("source_path", value(head, *vendor.conversation["source_conversation_id"]).cast("string").alias("conversation_id"), F.posexplode(F.from_json("list", "array<string>")).alias("source_index", "item"))
-    items = items.withColumn("m", F.try_parse_json("item")).where(F.startswith(kind(F.col("m")), F.lit("OBJECT")))
+    items = rows.select("source_path", value(head, *vendor.conversation["source_conversation_id"]).cast("string").alias("conversation_id"), F.posexplode(F.try_variant_get("list", "$", "array<variant>")).alias("source_index", "m"))
+    items = items.where(F.startswith(kind(F.col("m")), F.lit("OBJECT")))
     body = F.try_variant_get("m", f"$.{vendor.message_at}", "variant") if vendor.message_at else F.col("m")
     messages = items.select("source_path", "source_index", "conversation_id", *_fields(body, vendor.message))
     if "own_conversation_id" in messages.columns:
         messages = messages.withColumn("conversation_id", F.coalesce(F.nullif("own_conversation_id", F.lit("")), "conversation_id"))
     if "partial" in messages.columns:
-        messages = messages.withColumn("status", F.when(F.col("partial") == "true", "partial"))
+        messages = messages.withColumn("status", F.when(F.col("partial"), "partial"))
     return canonical_conversations(_stamped(conversations, vendor)), canonical_messages(_stamped(messages, vendor))
 
 
 def flat(payloads: DataFrame, vendor: Vendor, lines: bool = False) -> tuple[DataFrame, DataFrame]:
     """Conversations and messages of ``payloads`` whose rows name their conversation: a list, or JSON lines."""
-    rows = (json_lines if lines else exploded)(payloads).withColumn("d", F.try_parse_json("raw"))
+    rows = json_lines(payloads).withColumn("d", F.try_parse_json("raw")) if lines else exploded(payloads)
     keyed = rows.withColumn("conversation_id", value(F.col("d"), *vendor.flat_key).cast("string")).where("conversation_id is not null")
     titled = keyed.select("source_path", "conversation_id", "source_index", value(F.col("d"), "title").cast("string").alias("title"))
     groups = grouped_conversations(titled, "conversation_id", "source_index", "title")
@@ -155,25 +162,35 @@ IDENTITIES = {name: (v.adapter_id, v.vendor, v.source_type) for name, v in VENDO
 
 def mapped(payloads: DataFrame, name: str = "openai") -> tuple[DataFrame, DataFrame]:
     """Conversations and messages of ``payloads`` whose conversations hold a ``mapping`` of nodes, in the file's order."""
-    rows = exploded(payloads).withColumn("d", F.try_parse_json("raw"))
+    rows = exploded(payloads)
     identity = F.coalesce(F.nullif(value(F.col("d"), "id").cast("string"), F.lit("")), value(F.col("d"), "conversation_id").cast("string"))
     vendor = Vendor(*IDENTITIES[name], CONVERSATION_FILE)
     conversations = rows.select("source_path", "source_index", identity.alias("source_conversation_id"), *_fields(F.col("d"), {"title": ("title",), "create_time": ("create_time",), "update_time": ("update_time",)}))
-    nodes = rows.select("source_path", identity.alias("conversation_id"), F.posexplode(F.from_json(F.get_json_object("raw", "$.mapping"), "map<string,string>")).alias("source_index", "key", "node"))
-    nodes = nodes.withColumn("n", F.try_parse_json("node")).withColumn("m", value(F.col("n"), "message")).where(F.startswith(kind(F.col("m")), F.lit("OBJECT")))
+    nodes = rows.select("source_path", identity.alias("conversation_id"), F.explode(nodes_in_order(F.get_json_object("raw", "$.mapping"), F.try_variant_get("d", "$.mapping", "map<string,variant>"))).alias("e"))
+    nodes = nodes.select("source_path", "conversation_id", F.col("e.at").alias("source_index"), F.col("e.value").alias("n")).withColumn("m", value(F.col("n"), "message"))
+    nodes = nodes.where(F.startswith(kind(F.col("m")), F.lit("OBJECT")))
     text = as_text(F.coalesce(F.try_variant_get("m", "$.content.parts", "variant"), F.try_variant_get("m", "$.content", "variant")))
     messages = nodes.select(
         "source_path", "source_index", "conversation_id", value(F.col("m"), "id").cast("string").alias("source_message_id"),
         value(F.col("n"), "parent").cast("string").alias("source_parent_id"), as_strings(value(F.col("n"), "children")).alias("source_children_ids"),
         F.try_variant_get("m", "$.author.role", "string").alias("role"), F.try_variant_get("m", "$.author.name", "string").alias("name"), text.alias("text"),
         as_time(value(F.col("m"), "create_time")).alias("create_time"), as_time(value(F.col("m"), "update_time")).alias("update_time"),
-        value(F.col("m"), "status").cast("string").alias("status"), message_references(F.get_json_object("node", "$.message")).alias("attachment_refs"),
+        value(F.col("m"), "status").cast("string").alias("status"), message_references(F.to_json("m")).alias("attachment_refs"),
     )
     if name == "openai-common":
         conversations = globally_numbered(conversations)
     return canonical_conversations(_stamped(conversations, vendor)), canonical_messages(_stamped(messages, vendor))
 
 
+def nodes_in_order(text: Column, nodes: Column) -> Column:
+    """Array of (at, value) of a mapping: values from ``nodes``, places from the order of keys in ``text``.  A VARIANT holds its members
+    sorted; both sides are sorted by key once more and paired."""
+    by_key = lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0)
+    places = F.array_sort(F.transform(F.json_object_keys(text), lambda k, i: F.struct(k.alias("key"), i.alias("at"))))
+    paired = F.arrays_zip(places.alias("p"), F.array_sort(F.map_entries(nodes), by_key).alias("n"))
+    return F.transform(paired, lambda x: F.struct(x["p"]["at"].alias("at"), x["n"]["value"].alias("value")))
+
+
 def message_references(raw: Column) -> Column:
     """File names and ids that any string of a message mentions, sorted."""
     keys = F.flatten(F.transform(all_strings(raw), reference_keys))
@@ -190,7 +207,7 @@ def globally_numbered(conversations: DataFrame) -> DataFrame:
 
 def conversation_strings(payloads: DataFrame) -> DataFrame:
     """source_path, source_index, conversation_id, title and all strings of every conversation of ``payloads``."""
-    rows = exploded(payloads).withColumn("d", F.try_parse_json("raw"))
+    rows = exploded(payloads)
     identity = F.coalesce(F.nullif(value(F.col("d"), "id").cast("string"), F.lit("")), value(F.col("d"), "conversation_id").cast("string"))
     return rows.select("source_path", "source_index", identity.alias("conversation_id"), value(F.col("d"), "title").cast("string").alias("title"), F.explode(all_strings(F.col("raw"))).alias("text"))
 
@@ -205,7 +222,7 @@ def issues(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Conversations and messages of an issue tracker's resource files: threads, and the comments that reach one."""
     vendor = Vendor(*IDENTITIES["github"], ISSUE_RESOURCE)
     whole, lines = by_kind(payloads)
-    rows = exploded(whole, *ISSUE_LISTS).unionByName(json_lines(lines)).withColumn("d", F.try_parse_json("raw")).withColumn("resource", F.lower(F.regexp_extract("source_path", ISSUE_RESOURCE, 1)))
+    rows = exploded(whole, *ISSUE_LISTS).unionByName(json_lines(lines).withColumn("d", F.try_parse_json("raw"))).withColumn("resource", F.lower(F.regexp_extract("source_path", ISSUE_RESOURCE, 1)))
     d = F.col("d")
     text = lambda *n: F.when(kind(value(d, *n)) == "STRING", value(d, *n).cast("string"))
     login = F.coalesce(F.try_variant_get("d", "$.user.login", "string"), F.try_variant_get("d", "$.author.login", "string"), text("author"))

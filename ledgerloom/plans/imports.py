@@ -20,7 +20,7 @@ from ledgerloom.plans.checks import discovery_violations, payload_violations
 from ledgerloom.plans.outputs import Store, commit, retain
 from ledgerloom.sources.checkpoints import written
 from ledgerloom.sources.docx import extract_documents
-from ledgerloom.sources.json_rows import allowed_fields, is_strict_json
+from ledgerloom.sources.json_rows import allowed_fields, is_strict_json, json_text
 from ledgerloom.sources.tree import read_tree
 
 # Members that an adapter decides on by name, as (pattern, decision, reason).
@@ -114,7 +114,7 @@ def settled_documents(decided: DataFrame, extracted: DataFrame, keep_under: int)
 
 def account_metadata(members: DataFrame, allowed: dict[str, list[str]], max_bytes: int = 1_048_576) -> DataFrame:
     """path, kept: the allowed top-level fields of the members named exactly, where they are strict JSON of bounded size."""
-    raw = members.where(F.col("path").isin(list(allowed)) & (F.col("size_bytes") <= max_bytes)).select("path", F.col("content").cast("string").alias("raw"))
+    raw = members.where(F.col("path").isin(list(allowed)) & (F.col("size_bytes") <= max_bytes)).select("path", json_text(F.col("content")).alias("raw"))
     kept = F.lit(None).cast("string")
     for path, fields in allowed.items():
         kept = F.when(F.col("path") == path, allowed_fields(F.col("raw"), fields)).otherwise(kept)
@@ -133,7 +133,7 @@ def import_members(members: DataFrame, adapter: str, policy: Policy = Policy(),
     require_none(discovery_violations(members, adapter))
     found = discovered(members, adapter)
     require_none(found.where(F.col("size_bytes") > limits.max_conversation).select(F.lit("conversation_member_limit").alias("code"), F.col("path").alias("subject")))
-    payloads = found.select(F.col("path").alias("source_path"), F.col("content").cast("string").alias("raw"))
+    payloads = found.select(F.col("path").alias("source_path"), json_text(F.col("content")).alias("raw"))
     require_none(payload_violations(payloads, adapter))
     conversations, messages = parse(payloads, adapter)
     names = IDENTITIES[adapter]

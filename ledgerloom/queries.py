@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -10,10 +11,12 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import privacy
 from ledgerloom.functions.classification import Policy
 from ledgerloom.functions.text import basis_points, extension, file_number, is_unsafe_path, normalized_role, reference_ids, reference_names, sorted_unique
-from ledgerloom.operators import conformance, evaluation, members, messages, references, review, threads
-from ledgerloom.plans.adapters import message_references
+from ledgerloom.operators import conformance, evaluation, members, messages, references, review, threads, walk, windows
+from ledgerloom.plans.adapters import message_references, parse
 from ledgerloom.plans.checks import payload_violations
 from ledgerloom.plans.imports import override, tombstones
+from ledgerloom.sources.checkpoints import shared_folder
+from ledgerloom.sources.json_lines import numbered_file_lines
 from ledgerloom.sources.json_rows import allowed_fields, is_strict_json
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -346,6 +349,13 @@ def privacy_findings_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return privacy.findings(table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("path"), F.col("html").alias("text")))
 
 
+@query(_findings_sql("doc_id", "text", "documents"))
+def privacy_windows_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Found in windows of 1 KiB, as in whole texts."""
+    files = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("path"), F.encode("text", "UTF-8").alias("content"))
+    return windows.window_findings(windows.byte_windows(files, 1024))
+
+
 @query(f"""WITH f AS ({_findings_sql('doc_id', 'text', 'documents')})
 SELECT r.rule_id, r.category, coalesce(sum(occurrences), 0)::BIGINT AS occurrences, count(DISTINCT path) AS files FROM {_RULES_SQL} LEFT JOIN f ON f.rule_id = r.rule_id GROUP BY 1, 2""")
 def privacy_rollup_with_zero_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -408,6 +418,45 @@ def tombstone_context_multi_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("path", "reference_match", "reference_count", "source_file", "source_index")
 
 
+_NAMED_SQL = f"""WITH k AS ({_NAMES_SQL}), i AS (SELECT DISTINCT ref_key, url, p.page_id, CASE WHEN p.page_id % 5 > 0 THEN 'c' || p.page_id END AS conversation_id,
+  CASE p.page_id % 3 WHEN 0 THEN 'Page ' || p.page_id WHEN 1 THEN '' END AS title FROM k JOIN pages p ON p.page_id = k.page_id),
+a AS ({_ASSETS_SQL}), f AS (SELECT ref_key, count(*) AS n, arg_min(i, (url, page_id)) AS c FROM i GROUP BY ref_key)
+SELECT a.path, c.conversation_id AS conversation_id, c.title AS conversation_title, coalesce(n, 0) AS reference_count,
+  CASE WHEN n IS NULL THEN 'audio export asset: ' ELSE 'audio referenced by conversation ' || coalesce(nullif(c.title, ''), c.conversation_id, c.page_id::VARCHAR) || ': ' END
+    || regexp_extract(a.path, '[^/]+$') AS label FROM a LEFT JOIN f ON f.ref_key = a.ref_key"""
+
+
+def _named_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.col("source_index")
+    title = F.when(n % 3 == 0, F.concat(F.lit("Page "), n.cast("string"))).when(n % 3 == 1, "")
+    return _page_index(spark, sf_dir).withColumns({"conversation_id": F.when(n % 5 > 0, F.concat(F.lit("c"), n.cast("string"))), "title": title})
+
+
+@query(_NAMED_SQL)
+def tombstone_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What tombstones are called: by title, else by id, else by index."""
+    found = references.described_by_any_key(_asset_members(spark, sf_dir).select("path", "kind"), _named_index(spark, sf_dir))
+    return found.select("path", "conversation_id", "conversation_title", "reference_count", "label")
+
+
+_PAGE = 50
+
+
+@query(f"""WITH k AS ({_NAMES_SQL}), i AS (SELECT ref_key, regexp_extract(url, '://([^/?#]+)', 1) AS source_path, CASE WHEN p.page_id % 4 > 0 THEN p.page_id % 3 END AS source_index,
+  CASE WHEN p.page_id % 5 > 0 THEN 'c' || p.page_id % 7 END AS conversation_id, p.page_id::VARCHAR AS source_message_id FROM k JOIN pages p ON p.page_id = k.page_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY ref_key ORDER BY source_path, coalesce(source_index, 0), coalesce(conversation_id, ''), source_message_id) - 1 AS nth FROM i)
+SELECT ref_key, nth // {_PAGE} AS page, count(*) AS n, sha256(string_agg(concat_ws('|', source_path, source_index, conversation_id, source_message_id), ';' ORDER BY nth)) AS contexts_sha256 FROM r GROUP BY 1, 2""")
+def attachment_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contexts of each key in the order of four columns, in pages of 50."""
+    n = F.col("source_index")
+    rows = _page_index(spark, sf_dir).select(
+        "ref_key", F.regexp_extract("source_path", "://([^/?#]+)", 1).alias("source_path"), F.when(n % 4 > 0, n % 3).alias("source_index"),
+        F.when(n % 5 > 0, F.concat(F.lit("c"), (n % 7).cast("string"))).alias("conversation_id"), n.cast("string").alias("source_message_id"),
+    )
+    said = F.transform("contexts", lambda c: F.concat_ws("|", c["source_path"], c["source_index"].cast("string"), c["conversation_id"], c["source_message_id"]))
+    return references.posting_pages(rows, _PAGE).select("ref_key", "page", F.size("contexts").cast("bigint").alias("n"), F.sha2(F.array_join(said, ";"), 256).alias("contexts_sha256"))
+
+
 @query(_CONTEXT_SQL)
 def tombstone_context_single_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = references.described_by_one_key(_asset_members(spark, sf_dir), _page_index(spark, sf_dir))
@@ -463,7 +512,7 @@ def strict_json_props(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.count_if(is_strict_json(F.col("props"))).alias("strict"), F.sum(k).alias("k"))
 
 
-@query("""SELECT event_id, '{"k":"' || (props->>'$.k') || '"}' AS kept FROM events""")
+@query("""SELECT event_id, '{"k":' || (props->'$.k') || '}' AS kept FROM events""")
 def allowlist_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", allowed_fields(F.col("props"), ["k", "absent"]).alias("kept"))
 
@@ -731,3 +780,41 @@ def conversation_file_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT doc_id, CASE WHEN n_chars <> 0 THEN floor((n_chars - strlen(text)) * 10000 / n_chars::DOUBLE)::BIGINT END AS bp FROM documents")
 def basis_points_of_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", basis_points(F.col("n_chars") - F.octet_length("text"), F.col("n_chars")).alias("bp"))
+
+
+# --- values and lines ---------------------------------------------------------------------------------------------------------
+
+
+@query("""SELECT event_id::VARCHAR AS source_message_id, (epoch_us(ts) / 1000000.0)::DOUBLE::VARCHAR AS create_time, value::DOUBLE::VARCHAR AS update_time FROM events""")
+def canonical_float_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times that a payload holds as numbers with a point: seconds of the event, and its value."""
+    micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
+    seconds = F.concat((micros / 1000000).cast("bigint").cast("string"), F.lit("."), F.lpad((micros % 1000000).cast("string"), 6, "0"))
+    raw = F.concat(
+        F.lit('{"conversations":[{"id":"'), F.col("user_id").cast("string"), F.lit('","messages":[{"id":'), F.col("event_id").cast("string"), F.lit(',"create_time":'), seconds,
+        F.lit(',"update_time":'), F.col("value").cast("string"), F.lit("}]}]}"),
+    )
+    payloads = table(spark, sf_dir, "events").select(F.concat(F.lit("events/"), F.col("event_id").cast("string"), F.lit(".json")).alias("source_path"), raw.alias("raw"))
+    return parse(payloads, "generic")[1].select("source_message_id", "create_time", "update_time")
+
+
+@query("""WITH e AS (SELECT event_id, event_type, user_id, (props::JSON ->> '$.k') AS k FROM events)
+SELECT event_id, 1 AS nth, 'a/b/k' AS place, k AS leaf FROM e UNION ALL SELECT event_id, 2, 'a/user', user_id::VARCHAR FROM e
+UNION ALL SELECT event_id, 3, 'z/0', event_type FROM e UNION ALL SELECT event_id, 4, 'z/1/k', k FROM e""")
+def walked_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaves of nested JSON around every event's props, in the order of a walk."""
+    raw = F.concat(F.lit('{"z":["'), F.col("event_type"), F.lit('",'), F.col("props"), F.lit('],"a":{"user":'), F.col("user_id").cast("string"), F.lit(',"b":'), F.col("props"), F.lit("}}"))
+    found = walk.leaves(table(spark, sf_dir, "events").select("event_id", F.parse_json(raw).alias("d")), "event_id", "d")
+    place = F.array_join(F.transform("place", lambda p: F.when(p["key"] != "", p["key"]).otherwise(p["pos"].cast("string"))), "/")
+    nth = F.row_number().over(Window.partitionBy("event_id").orderBy("place"))
+    return found.select("event_id", nth.alias("nth"), place.alias("place"), F.col("leaf").cast("string").alias("leaf"))
+
+
+@query("SELECT row_number() OVER (ORDER BY event_id) AS line, event_id FROM events")
+def jsonl_lines_by_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events written as JSON lines in order, and read again with line numbers that count on over splits and files."""
+    folder = f"{shared_folder(spark)}/events-{uuid.uuid4().hex}"
+    events = table(spark, sf_dir, "events").repartitionByRange("event_id").sortWithinPartitions("event_id")
+    events.select(F.to_json(F.struct("event_id", "event_type", "props")).alias("value")).write.text(folder)
+    lines = numbered_file_lines(spark, folder, across=True)
+    return lines.select("line", F.get_json_object("raw", "$.event_id").cast("bigint").alias("event_id"))

@@ -114,7 +114,7 @@ def test_import_of_a_zip(spark, tmp_path):
     assert {r.source_path: r.disposition for r in result.provenance.collect()}["conversations.json"] == "normalized"
     assert [(r.path, r.rule_id) for r in result.findings.collect()] == [("notes.md", "email_address")]
     assert {r.path: r.reason for r in result.members.where("decision = 'keep'").collect()}["paper.pdf"] == "document_retained_no_frozen_extraction"
-    assert account_metadata(members, {"user.json": ["id", "email"], "notes.md": ["id"]}).collect() == [("user.json", '{"email":"e","id":"1"}')]
+    assert account_metadata(members, {"user.json": ["id", "email"], "notes.md": ["id"]}).collect() == [("user.json", '{"email":"e","id":1}')]
     out = str(tmp_path / "out")
     write_import(result, out)
     lines = [r.value for r in spark.read.text(f"{out}/messages").collect()]
