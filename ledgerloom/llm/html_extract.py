@@ -3,6 +3,9 @@
 A page becomes a tree of elements.  Blocks that hold running text pass points for their length and commas to their
 ancestors, less at each step up; links discount them.  The container with most points is the article, together with
 those of its siblings that score or read like it.
+
+What a class, an id, a role or ``form`` calls surroundings is judged once the page is read: a wrapper that holds the page's running
+text is none, whatever its words say.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark nobr q ruby rt rp s samp small span strike strong sub sup time tt u var wbr".split()
 )
 DROPPED = frozenset(
-    "head script style noscript template iframe title nav footer aside form button select option input textarea svg canvas object embed audio video map dialog menu xmp noembed noframes".split()
+    "head script style noscript template iframe title nav footer aside button select option input textarea svg canvas object embed audio video map dialog menu xmp noembed noframes".split()
 )
 CONTAINERS = frozenset("article main section div body td center blockquote".split())
 CLOSED_BY_BLOCK = frozenset("p".split())
@@ -39,16 +42,23 @@ _UNLIKELY = re.compile(
 )
 _NEVER = re.compile(r"(?:^|[\s_-])(?:comments?|disqus|respond|reply|replies|meta|ads?|advert\w*|sponsor\w*)(?:$|[\s_-])", re.I)
 _LIKELY = re.compile(r"(?:^|[\s_-])(?:article|main|content|post|entry|story|body|text)(?:$|[\s_-])", re.I)
+_STATE = re.compile(r"(?:^|\s)(?:has|no|with|without|is)[_-]\S+|\S+[_-](?:open|opened|closed|enabled|disabled|on|off)(?=\s|$)", re.I)  # what a page has, not what an element is
+_LINK_ROWS = re.compile(r"(?:^|(?<=[\s_-]))(?:social|share|sharing|tags?|toolbar|skip)(?=$|[\s_-])", re.I)
+_OWN_WORDS = frozenset("article main content post entry story body text".split())
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
+_READS = frozenset("p blockquote pre table figure".split())
+_BETWEEN = _READS | frozenset("ul ol dl h2 h3 h4 h5 h6".split())
 _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "dropped", "score", "likely", "depth")
+    __slots__ = ("tag", "parent", "children", "dropped", "doubtful", "own", "score", "likely", "depth", "prose", "linked", "heads", "holds")
 
-    def __init__(self, tag: str, parent: Node | None, dropped: bool, likely: bool):
-        self.tag, self.parent, self.dropped, self.likely = tag, parent, dropped, likely
+    def __init__(self, tag: str, parent: Node | None, dropped: bool, likely: bool, doubtful: str = "", own: bool = False):
+        self.tag, self.parent, self.dropped, self.likely, self.doubtful, self.own = tag, parent, dropped, likely, doubtful, own
+        self.prose = self.linked = 0
+        self.heads, self.holds = tag in ("h1", "main"), tag == "article" and not doubtful
         self.children: list[Node | str] = []
         self.score, self.depth = 0.0, 0 if parent is None else parent.depth + 1
 
@@ -98,9 +108,9 @@ class _Tokens:
         return found, found + len(end)
 
 
-def parse(page: str, by_class: bool = True) -> Node:
+def parse(page: str) -> Node:
     """The page's tree.  Unclosed inline elements end with their block, blocks and rows end those they can't stand in.
-    ``by_class``: class and id tell the surroundings too."""
+    Elements that seem to be surroundings are doubtful until ``settle`` has seen the whole page."""
     root = top = Node("#root", None, False, False)
     open_tags: dict[str, int] = {}
     tokens, inside_article, at = _Tokens(page), 0, 0
@@ -156,11 +166,17 @@ def parse(page: str, by_class: bool = True) -> Node:
             label = f"{names.get('class', '')} {names.get('id', '')}"
             likely = tag in ("article", "main") or bool(_LIKELY.search(label))
             dropped = top.dropped or tag in DROPPED or (tag == "header" and not inside_article)
+            doubtful = "form" if tag == "form" else ""
             if not dropped and names and tag not in ("html", "body", "article", "main"):
-                dropped = "hidden" in names or names.get("aria-hidden", "").lower() == "true" or names.get("role", "").lower() in _ROLES or bool(_HIDDEN.search(names.get("style", "")))
-                if by_class and not dropped and label != " ":
-                    dropped = bool(_NEVER.search(label)) or (not (inside_article and likely) and bool(_UNLIKELY.search(label)))
-            node = Node(tag, top, dropped, likely)
+                dropped = "hidden" in names or names.get("aria-hidden", "").lower() == "true" or bool(_HIDDEN.search(names.get("style", "")))
+                role, said = names.get("role", "").lower(), _STATE.sub(" ", label)
+                if _NEVER.search(said):
+                    doubtful = "never"
+                elif role in _ROLES or not (inside_article and likely) and _UNLIKELY.search(said):
+                    links = role not in _ROLES and not _UNLIKELY.search(_LINK_ROWS.sub(" ", said))
+                    doubtful = doubtful or ("links" if links else "class")
+            own = bool(label.strip()) and any(all(part in _OWN_WORDS for part in re.split("[_-]", word.lower())) for word in label.split())
+            node = Node(tag, top, dropped, likely, doubtful, own)
             top.children.append(node)
             if tag in RAW:
                 end = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(page, at) if f"</{tag}" not in tokens.unclosed else None
@@ -174,6 +190,42 @@ def parse(page: str, by_class: bool = True) -> Node:
                 inside_article += tag in ("article", "main")
 
 
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+
+
+def settle(root: Node) -> None:
+    """Drop the doubtful elements that are surroundings.
+
+    One pass up counts the characters of running text (outside links and headings) in every element, and whether it holds the page's head: h1, main
+    or article.  One pass down judges: a doubtful element is no surrounding if all running text is in it, or half of it and it holds
+    the head or is named as an article is; a form, if it holds half; what is named as a row of links is, if it is running text.  What never is
+    the article's own (comments, adverts) needs h1, main or an article's name."""
+    order, stack = [], [(root, False, False)]
+    while stack:
+        node, linked, heading = stack.pop()
+        order.append(node)
+        for child in node.children:
+            if not isinstance(child, str):
+                if not child.dropped:
+                    stack.append((child, linked or child.tag == "a", heading or child.tag in _HEADINGS))
+            elif linked:
+                node.linked += len(child.strip())
+            elif not heading:
+                node.prose += len(child.strip())
+    for node in reversed(order):
+        above = node.parent
+        if above is not None:
+            above.prose, above.linked = above.prose + node.prose, above.linked + node.linked
+            above.heads, above.holds = above.heads or node.heads, above.holds or node.holds
+    for node in order:
+        if node.parent is not None and node.parent.dropped:
+            node.dropped = True
+        elif node.doubtful:
+            half, head = 2 * node.prose >= root.prose > 0, node.own or node.heads or node.doubtful != "never" and node.holds
+            reads = node.doubtful == "links" and node.prose > 140 and 4 * node.linked < node.prose
+            node.dropped = not (reads or node.prose == root.prose > 0 or half and (head or node.doubtful == "form"))
+
+
 def _blocks(start: Node) -> Iterator[tuple[Node, str, int]]:
     """(block element, its text, characters of it inside links) in page order; a block ends where another begins."""
     owner, pieces, linked = start, [], 0
@@ -226,7 +278,9 @@ def extract(page: str | None) -> str:
     """The main text: blocks in page order, joined by one space; empty without any."""
     if not page:
         return ""
-    blocks = list(_blocks(parse(page))) or list(_blocks(parse(page, by_class=False)))  # a class that covers the whole page says nothing
+    tree = parse(page)
+    settle(tree)
+    blocks = list(_blocks(tree))
     if not blocks:
         return ""
     scored: dict[int, Node] = {}
@@ -261,12 +315,19 @@ def extract(page: str | None) -> str:
                 size = own.setdefault(id(node), [node, 0, 0])
                 size[1] += len(text)
                 size[2] += linked
+        inner = best.parent.tag not in ("body", "#root", "html")  # a paragraph there stands inside a container that isn't the page
         for key, (node, length, linked) in own.items():
             links = linked / max(length, 1)
-            reads = node.tag in ("p", "blockquote", "pre", "table", "figure") and length > 80 and links < 0.25
+            reads = node.tag in _READS and (length > 80 or inner) and links < 0.25
             heads = node.tag in ("h1", "h2") and best.tag not in ("article", "main", "body")
             if node.score >= max(10.0, 0.2 * best.score) and links < 0.25 or reads or heads:
                 chosen.add(key)
+        # what stands between two parts of the article belongs to it, but for lists of links
+        row = [n for n in best.parent.children if isinstance(n, Node)]
+        places = [i for i, n in enumerate(row) if id(n) in chosen]
+        for node in row[places[0] : places[-1]]:
+            if id(node) in own and node.tag in _BETWEEN and own[id(node)][2] < 0.25 * own[id(node)][1]:
+                chosen.add(id(node))
     out = []
     for owner, text, _ in blocks:
         node = owner

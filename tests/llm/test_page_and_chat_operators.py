@@ -54,6 +54,33 @@ def test_attributes_classes_and_captions(page, text):
     assert extract(page) == " ".join(text.split())
 
 
+TEXT = "A long paragraph, of the article, with a number of words and commas, that reads as running text for people."
+TALK = "<p>I liked this, and so did my friends, who all said that it was good, long and full of commas, truly.</p>"
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<h1>Title</h1><div class='layout has-sidebar'><p>{TEXT}</p><p>{TEXT}</p></div>", f"Title {TEXT} {TEXT}"),
+        (f"<h1>Title</h1><div class='post comments-open'><p>{TEXT}</p></div>", f"Title {TEXT}"),
+        (f"<form id='aspnetForm'><div><h1>T</h1><p>{TEXT}</p></div><input><button>Go</button></form>", f"T {TEXT}"),
+        (f"<article><h1>T</h1><p>{TEXT}</p><section class='social history'><p>{TEXT}</p><p>{TEXT}</p></section></article>", f"T {TEXT} {TEXT} {TEXT}"),
+        (f"<article><p>{TEXT}</p><div class='social'><a href=x>Share</a> <a href=y>Tell</a></div></article>", TEXT),
+        (f"<div><p>Intro, short.</p><div><p>{TEXT}</p><p>{TEXT}</p></div><p>End, short.</p></div>", f"Intro, short. {TEXT} {TEXT} End, short."),
+        (f"<body><div class='page comments-closed'><div class=post-content><p>{TEXT}</p></div><div class=comments>{TALK * 9}</div></div></body>", TEXT),
+        (f"<body><div class=comment-list><article class=comment>{TALK * 5}</article></div><div class=entry><p>{TEXT}</p></div></body>", TEXT),
+        (f"<main><h1>T</h1><p>{TEXT}</p><p>Short one.</p><ul><li>one</li><li>two</li></ul><p>{TEXT}</p></main>", f"T {TEXT} Short one. one two {TEXT}"),
+        (f"<article><p>{TEXT}</p><form><p>Your name and mail, please, so that we can write to you now and then.</p></form></article>", TEXT),
+        (f"<div class=cookie-notice><p>{TEXT}</p></div><div id=content><p>{TEXT * 2}</p></div>", TEXT * 2),
+        (f"<div role=banner><p>{TEXT}</p></div><div><p>{TEXT}</p><table><caption>Cap</caption><tr><td>1</td><td>two</td></tr></table></div>", f"{TEXT} Cap 1 two"),
+        (f"<div class='wrapper sidebar'><div class=sidebar><p>{TEXT}</p></div><main><p>{TEXT * 2}</p></main></div>", TEXT * 2),
+        ("<div class=sidebar><a href=x>all links</a></div>", ""),
+    ],
+)
+def test_surroundings_are_told_by_their_share_of_the_text(page, text):
+    assert extract(page) == text
+
+
 @pytest.mark.parametrize("part", ['<p class="x', "<a '", "<b>", "<p><b>", "<!--", "<script>", "<", "<li><i>", '<a b="'])
 def test_odd_pages_of_a_megabyte_take_linear_time(part):
     def took(size):
@@ -89,9 +116,28 @@ def rendered(children):
     return "".join(c if isinstance(c, str) else f'<{c[0]} class="{c[1]}">{rendered(c[2])}</{c[0]}>' for c in children)
 
 
-def scored_by_definition(children, by_class=True):
+def running(children, quiet=False):
+    """Characters outside links and headings, and whether h1 or article stands there."""
+    size, head = 0, False
+    for child in children:
+        if isinstance(child, str):
+            size += 0 if quiet else len(child.strip())
+        elif child[0] not in ("nav", "aside", "footer"):
+            inner, found = running(child[2], quiet or child[0] in ("a", "h1", "h2"))
+            size, head = size + inner, head or found or child[0] in ("h1", "article")
+    return size, head
+
+
+def scored_by_definition(children):
     """The article of a tree, straight from the rules: no tokens, every container's points summed over all blocks in it."""
-    dropped = lambda n: n[0] in ("nav", "aside", "footer") or by_class and n[1] == "sidebar" and n[0] != "article"
+    whole = running(children)[0]
+
+    def dropped(n):
+        if n[1] != "sidebar" or n[0] == "article":
+            return n[0] in ("nav", "aside", "footer")
+        own, head = running(n[2])
+        return not (own == whole > 0 or 2 * own >= whole > 0 and head)
+
     blocks, run = [], []
 
     def flush(path):
@@ -116,8 +162,6 @@ def scored_by_definition(children, by_class=True):
     body = ("body", "", children)
     walk(children, [body], False)
     flush([body])
-    if not blocks and by_class:
-        return scored_by_definition(children, by_class=False)
     points, places = {}, {}
     for path, text, linked in blocks:
         own = (1 + text.count(",") + min(len(text) / 100, 3)) * max(0, 1 - linked / len(text)) * (0.25 if path[-1][0] in ("li", "h1", "h2") else 1)
@@ -135,10 +179,16 @@ def scored_by_definition(children, by_class=True):
             own = [(t, linked) for path, t, linked in blocks if any(n is sibling for n in path)]
             size = sum(len(t) for t, _ in own)
             links = sum(linked for _, linked in own) / max(size, 1)
-            reads = sibling[0] in ("p", "blockquote", "pre") and size > 80 and links < 0.25
+            reads = sibling[0] in ("p", "blockquote", "pre") and (size > 80 or above[-1][0] != "body") and links < 0.25
             heads = sibling[0] in ("h1", "h2") and best[0] not in ("article", "body")
             if own and (score.get(id(sibling), 0) >= max(10, 0.2 * score[id(best)]) and links < 0.25 or reads or heads):
                 chosen.add(id(sibling))
+    row = [n for n in above[-1][2] if not isinstance(n, str)] if above else []
+    places = [i for i, n in enumerate(row) if id(n) in chosen]
+    for sibling in row[places[0] : places[-1]] if row else []:
+        own = [(t, linked) for path, t, linked in blocks if any(n is sibling for n in path)]
+        if own and sibling[0] in ("p", "blockquote", "pre", "ul", "h2") and sum(n for _, n in own) < 0.25 * sum(len(t) for t, _ in own):
+            chosen.add(id(sibling))
     return " ".join(t for path, t, _ in blocks if any(id(n) in chosen for n in path))
 
 
