@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.rolling import fingerprints, mix, prefix_sums, sliding_min
@@ -184,22 +184,30 @@ def _spans(length: int):
     return run
 
 
-def _own_id() -> Column:
-    """doc_id; where it is null, a hash of the text stands for it."""
-    return F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text) with ``own``, which rows of one doc_id share if their texts are equal.
+
+    That is doc_id; where it is null, or where it stands at different texts, it is a hash of both.  Those ids are found by one
+    small row a document, and written, so that the texts are not dealt anew for them while they are few."""
+    told = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h")).where("doc_id is not null")
+    mixed, _ = written(told.groupBy("doc_id").agg(F.min("h").alias("low"), F.max("h").alias("high")).where("low <> high").select(F.col("doc_id").alias("mixed")), "mixed-ids")
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(mixed, F.col("doc_id") == F.col("mixed"), "left")
+    hashed = F.col("doc_id").isNull() | F.col("mixed").isNotNull()
+    return own.select("doc_id", "text", F.when(hashed, F.xxhash64("doc_id", "text")).otherwise(F.col("doc_id")).alias("own"))
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """(doc_id, spans) of documents with bytes covered by a string of ``length`` bytes that also starts elsewhere.
 
-    ``docs`` has doc_id and text; rows of one doc_id have equal texts, and each repeats the strings of the other; a null
-    doc_id is replaced by a hash of the text.  Texts are taken as UTF-8, whole, and nulls as empty.  Spans are maximal, in order, [start, end) in bytes.  Strings never cross documents.  A string may overlap its own repetition.  Texts shorter than
-    ``length`` have none; an empty table gives an empty result.
+    ``docs`` has doc_id, not null, and text; rows of one doc_id have equal texts, and each repeats the strings of the other.  Texts
+    are taken as UTF-8, whole, and nulls as empty.  Spans are maximal, in order, [start, end) in bytes.  Strings never cross
+    documents.  A string may overlap its own repetition.  Texts shorter than ``length`` have none; an empty table gives an empty
+    result.
     """
     spark = docs.sparkSession
     seed = max(1, length * SEED // LENGTH)
     width = max(1, length * BLOCK // LENGTH)
-    docs = docs.select(_own_id().alias("doc_id"), "text")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     ranked, ranked_path = written(docs.mapInArrow(_rank_seeds(length, seed), _SEEDS), "seeds")
     again = ranked.groupBy("seed").count().where("count > 1").select("seed")
     open_, open_path = written(ranked.join(again, "seed"), "open-anchors")
@@ -251,11 +259,10 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and ``kept``, the remaining bytes, of every row of ``docs``.
 
-    See ``repeated_spans``.  What is left of a text may start or end inside a character, so it stays binary.
+    See ``repeated_spans``.  What is left of a text may start or end inside a character, so it stays binary.  Rows are
+    judged one by one: rows of one doc_id may have different texts, and a null doc_id is one like others.
     """
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _own_id().alias("_own"))
-    spans = repeated_spans(docs, length).withColumnRenamed("doc_id", "_own")
-    joined = own.join(spans, "_own", "left").drop("_own")
-    return joined.mapInArrow(
-        _cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
-    )
+    own = _keyed(docs)
+    spans = repeated_spans(own.select(F.col("own").alias("doc_id"), "text"), length).withColumnRenamed("doc_id", "of")
+    joined = own.join(spans, F.col("own") == F.col("of"), "left").drop("own", "of")
+    return joined.mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")

@@ -510,3 +510,22 @@ def test_packing_ids_are_those_of_the_vocabulary_file():
     texts += ["".join(rnd.choice("aeinrst éß'\n .,1<|") for _ in range(rnd.randrange(60))) for _ in range(3000)]
     texts += ["", " ", "<|endoftext|>", "x <|endoftext|><|endoftext|> y", "a" * 50_000, " \n" * 20_000 + "x"]
     assert [found.ids(t) for t in texts] == [e.ids for e in found.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_rows_of_one_id_with_different_texts_are_judged_one_by_one(spark):
+    rnd = random.Random(31)
+    noise = lambda n: "".join(rnd.choice("abcdefghij klmnop") for _ in range(n))
+    shared = noise(450)
+    rows = [(1, noise(1500) + shared), (1, "short"), (1, None), (1, shared + noise(300)), (2, noise(30) + shared[:260]), (2, noise(900)), (None, shared), (None, noise(250)), (-5, noise(600)), (1, "short")]
+    found = sorted((r.doc_id is None, r.doc_id or 0, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in remove_repeats(frame(spark, rows)).collect())
+    texts = [(t or "").encode() for _, t in rows]
+    count = Counter(t[i : i + 200] for t in texts for i in range(len(t) - 199))
+    expected = []
+    for (doc_id, _), t in zip(rows, texts):
+        gone = np.zeros(len(t), dtype=bool)
+        for i in range(len(t) - 199):
+            if count[t[i : i + 200]] > 1:
+                gone[i : i + 200] = True
+        spans = int(np.count_nonzero(np.diff(np.concatenate(([0], gone.astype(int)))) == 1))
+        expected.append((doc_id is None, doc_id or 0, len(t), int(gone.sum()), spans, hashlib.sha256(np.frombuffer(t, dtype=np.uint8)[~gone].tobytes()).hexdigest()))
+    assert found == sorted(expected)
