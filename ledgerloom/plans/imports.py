@@ -14,9 +14,11 @@ from ledgerloom.functions.text import basename, reference_ids
 from ledgerloom.operators.conformance import record_violations
 from ledgerloom.operators.members import counters, provenance, require_none, violations, with_disposition
 from ledgerloom.operators.messages import conversation_order, message_order
+from ledgerloom.operators.windows import piece_windows, window_findings
 from ledgerloom.operators.references import attachment_index, described_by_any_key, described_by_one_key
 from ledgerloom.plans.adapters import IDENTITIES, conversation_strings, discovered, parse
 from ledgerloom.plans.checks import discovery_violations, payload_violations
+from ledgerloom.plans.registry import Adapter, adapter, checked_override, register
 from ledgerloom.plans.outputs import Store, commit, retain
 from ledgerloom.sources.checkpoints import written
 from ledgerloom.sources.docx import extract_documents
@@ -37,10 +39,10 @@ OVERRIDES = {
 }
 
 
-def override(path: Column, adapter: str) -> Column | None:
+def override(path: Column, name: str) -> Column | None:
     """The adapter's own decision for a path, or null."""
     out = None
-    for pattern, decision, reason in OVERRIDES.get(adapter, []):
+    for pattern, decision, reason in OVERRIDES.get(name, []):
         fits, decided = F.rlike(path, F.lit(pattern)), F.struct(F.lit(decision).alias("decision"), F.lit(reason).alias("reason"))
         out = F.when(fits, decided) if out is None else out.when(fits, decided)
     return out
@@ -52,22 +54,38 @@ def grok_reference(path: Column) -> Column:
     return F.coalesce(asset, F.when(F.rlike(path, F.lit("(^|/)canvas_thumbnails/")), F.regexp_replace(basename(path), "(?<=.)\\.[^.]*$", "")))
 
 
-def reference_key(path: Column, adapter: str) -> Column:
+def reference_key(path: Column, name: str) -> Column:
     """The one key under which an adapter's messages refer to a member."""
-    if adapter == "grok":
+    if name == "grok":
         return grok_reference(path)
-    if adapter == "openai-common":
+    if name == "openai-common":
         return F.coalesce(F.get(F.array_sort(F.transform(reference_ids(path), lambda k: F.regexp_replace(k, "^id:", ""))), 0), F.lower(basename(path)))
     return basename(path)
 
 
-def tombstones(dropped: DataFrame, payloads: DataFrame, messages: DataFrame, adapter: str) -> DataFrame:
+def _registered(name: str) -> Adapter:
+    """One of the vendors' adapters."""
+    return register(
+        Adapter(
+            name, *IDENTITIES[name], discover=lambda m: discovered(m, name), parse=lambda p: parse(p, name), discovery_violations=lambda m: discovery_violations(m, name),
+            payload_violations=lambda p: payload_violations(p, name), override=lambda path: override(path, name), reference_key=lambda path: reference_key(path, name),
+            contexts=conversation_strings if name == "openai" else None, placed=name != "github",
+        )
+    )
+
+
+for _name in IDENTITIES:
+    _registered(_name)
+
+
+def tombstones(dropped: DataFrame, payloads: DataFrame, messages: DataFrame, name: str) -> DataFrame:
     """``dropped`` members (path, kind) with what refers to them: conversations whose strings hold any of a member's keys,
     or, by adapters with one key a member, messages whose attachments have that key."""
-    if adapter == "openai":
-        return described_by_any_key(dropped, attachment_index(conversation_strings(payloads)))
+    own = adapter(name)
+    if own.contexts is not None:
+        return described_by_any_key(dropped, attachment_index(own.contexts(payloads)))
     index = messages.select(F.explode("attachment_refs").alias("ref_key"), "source_path", "source_index", "conversation_id", "source_message_id")
-    return described_by_one_key(dropped.withColumn("ref_key", reference_key(F.col("path"), adapter)), index)
+    return described_by_one_key(dropped.withColumn("ref_key", own.reference_key(F.col("path"))), index)
 
 
 @dataclass(frozen=True)
@@ -121,25 +139,34 @@ def account_metadata(members: DataFrame, allowed: dict[str, list[str]], max_byte
     return raw.where(is_strict_json(F.col("raw"))).select("path", kept.alias("kept"))
 
 
-def import_members(members: DataFrame, adapter: str, policy: Policy = Policy(), limits: Limits = Limits()) -> Import:
-    """Tables of ``members`` (source, path, size_bytes, compressed_bytes, is_link, head, sha256, content, problem).
+def _not_read(decided: DataFrame) -> DataFrame:
+    """Kept text members that are too large for their row."""
+    return decided.where("decision = 'keep' and kind = 'structured_text' and content is null and size_bytes > 0").select("source", "path")
+
+
+def import_members(members: DataFrame, name: str, policy: Policy = Policy(), limits: Limits = Limits(), pieces: DataFrame | None = None) -> Import:
+    """Tables of ``members`` (source, path, size_bytes, compressed_bytes, is_link, head, sha256, content, problem) by the adapter of that name.
 
     Guards on members come first, then on what the adapter finds, then on what it must parse; an offender raises its code
     before anything is written to an output, and no payload, line, conversation or record that can't be read is passed over.
-    Members are written to the shared folder first, so that each archive is opened once and later passes read the columns they need."""
+    Members are written to the shared folder first, so that each archive is opened once and later passes read the columns they need.
+    Texts that are too large for a row are searched in their ``pieces`` (``archives.read_archives``); without them such a member
+    is refused."""
+    own = adapter(name)
     members = written(members, "members")
     broken = members.where("problem is not null or is_link").select(F.coalesce("problem", F.lit("symlink_member")).alias("code"), F.col("path").alias("subject"))
     require_none(broken.unionByName(violations(members, limits.max_entries, limits.max_member, limits.max_total, limits.max_ratio)))
-    require_none(discovery_violations(members, adapter))
-    found = discovered(members, adapter)
+    require_none(own.discovery_violations(members))
+    found = own.discover(members)
     require_none(found.where(F.col("size_bytes") > limits.max_conversation).select(F.lit("conversation_member_limit").alias("code"), F.col("path").alias("subject")))
     payloads = found.select(F.col("path").alias("source_path"), json_text(F.col("content")).alias("raw"))
-    require_none(payload_violations(payloads, adapter))
-    conversations, messages = parse(payloads, adapter)
-    names = IDENTITIES[adapter]
-    require_none(record_violations(conversations, messages, names[0], placed=adapter != "github"))
+    require_none(own.payload_violations(payloads))
+    conversations, messages = own.parse(payloads)
+    require_none(record_violations(conversations, messages, own.adapter_id, placed=own.placed))
     rest = members.join(found.select("path"), "path", "left_anti")
-    decided = with_disposition(rest, policy, override(F.col("path"), adapter))
+    decided = with_disposition(rest, policy, checked_override(rest, own))
+    # only documents have text to extract
+    require_none(decided.where("decision = 'extract' and kind <> 'document'").select(F.lit("unsupported_extract_kind").alias("code"), F.col("path").alias("subject")))
     documents = extract_documents(decided.where("decision = 'extract'"))
     decided = settled_documents(decided, documents, limits.keep_document)
     dropped = decided.where("decision = 'tombstone'").select("path", "kind", "media_type", "size_bytes", "sha256", "reason")
@@ -148,9 +175,14 @@ def import_members(members: DataFrame, adapter: str, policy: Policy = Policy(),
     everything = decided.select(columns).unionByName(consumed.select(columns))
     texts = messages.select(F.concat_ws("/", F.lit("messages"), "conversation_id", "source_message_id").alias("path"), "text")
     kept_text = decided.where("decision = 'keep' and kind = 'structured_text'").select("path", F.make_valid_utf8(F.col("content").cast("string")).alias("text"))
+    scanned, large = findings(texts.unionByName(kept_text)), _not_read(decided)
+    unread = large if pieces is None else large.join(pieces.select("source", "path"), ["source", "path"], "left_anti")
+    require_none(unread.select(F.lit("unscanned_member").alias("code"), F.col("path").alias("subject")))
+    if pieces is not None:
+        scanned = scanned.unionByName(window_findings(piece_windows(pieces.join(large, ["source", "path"], "left_semi"))))
     return Import(
-        conversations, messages, decided.drop("content"), tombstones(dropped, payloads, messages, adapter), provenance(everything, *names),
-        findings(texts.unionByName(kept_text)), documents.where("problem is null"), decided.where("decision = 'keep'").select("source", "path", "size_bytes", "sha256", "content"),
+        conversations, messages, decided.drop("content"), tombstones(dropped, payloads, messages, name), provenance(everything, *own.identity),
+        scanned, documents.where("problem is null"), decided.where("decision = 'keep'").select("source", "path", "size_bytes", "sha256", "content"),
     )
 
 

@@ -43,3 +43,8 @@ def read_exports(spark: SparkSession, path: str, max_member: int = 2_147_483_648
     except (pa.ArrowInvalid, pa.ArrowNotImplementedError):
         rows = spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(_whole(reading), MEMBERS)
     return rows.where("piece is null").drop("piece", "piece_start")
+
+
+def read_export_pieces(spark: SparkSession, path: str, reading: Reading = Reading(piece=1 << 20)) -> DataFrame:
+    """source, path, piece, piece_start, content: the consecutive pieces of members that are too large for a row of ``read_exports``."""
+    return read_archives(spark, path, reading).where("piece is not null").select("source", "path", "piece", "piece_start", "content")
