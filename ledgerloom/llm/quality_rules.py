@@ -1,40 +1,41 @@
 """Quality rules as a short-circuit cascade of native expressions.
 
 Each rule rejects a text by one condition over its words, lines or characters.  What only a rule asks for is computed in its
-branch of the cascade, so a text that an earlier rule rejects never pays for it.  The rules' cost and share of rejections are
-measured on a bounded sample, and the cascade tries them by rejections per cost; the verdict does not depend on the order, only
-the work does.
+branch of the cascade, so a text that an earlier rule rejects never pays for it.  One job over a bounded sample, drawn by the texts' hashes,
+counts each rule's rejections and the characters, lines and words that it would go through; the cascade tries the rules by rejections per cost.
+The verdict does not depend on the order, only the work does.
 """
 
 from __future__ import annotations
 
-import time
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.columns import unused
-from ledgerloom.llm.store import dropped, written
 
 SPACES = "[\\x20\\x09-\\x0D]+"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 SAMPLE_ROWS = 1_000
-REPEATS = 8  # times that the sample is gone through in a measurement, so that work outweighs starting a job
+# seconds that a rule takes for a row by itself, and for each character that it goes through with a pattern
+COMPARISON, CHARACTER = 1e-8, 1e-8
 
 
 @dataclass(frozen=True)
 class Rule:
-    """``reject`` is a boolean column over ``text`` and what ``with_features`` adds; null does not reject."""
+    """``reject`` is a boolean column over ``text`` and what ``with_features`` adds; null does not reject.  ``reads`` is how many
+    characters of a row it goes through: the whole text if nothing else is said, none for a comparison of features."""
 
     name: str
     reject: Column
+    reads: Column = field(default_factory=lambda: F.length(F.coalesce("text", F.lit(""))))
 
 
 @dataclass(frozen=True)
 class Measured:
-    """A rule with its share of rejections and its seconds a row on the sample."""
+    """A rule with its share of rejections and its estimated seconds a row on the sample."""
 
     rule: Rule
     share: float
@@ -47,7 +48,7 @@ def lines() -> Column:
 
 
 def with_features(docs: DataFrame) -> DataFrame:
-    """``docs`` (text) with n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words (long).
+    """``docs`` (text) with n_words, word_chars, n_symbols, n_lines, n_dup_lines and n_repeat_words (long).
 
     Words are runs outside ``\\x20 \\x09-\\x0D`` of the whole text; a null text has none of anything.  Repeated words stand in
     5-word windows that occur twice or more in the text.  Columns of ``docs`` with these names are replaced.
@@ -66,6 +67,7 @@ def with_features(docs: DataFrame) -> DataFrame:
     staged = staged.withColumns(
         {
             "n_words": n.cast("long"),
+            "n_lines": F.size(own_lines).cast("long"),
             "n_dup_lines": (F.size(own_lines) - F.size(F.array_distinct(own_lines))).cast("long"),
             windows: F.when(
                 n >= WINDOW,
@@ -95,44 +97,35 @@ def base_failed() -> Column:
 
 def default_rules() -> list[Rule]:
     """Limits that invented and natural prose keep well within; each is a whole-number comparison."""
+    none = F.lit(0)
+    bullets = F.size(F.regexp_extract_all("text", F.lit("(?md)^[\\x20\\x09\\x0B-\\x0D]*[-*\u2022]"), F.lit(0)))
+    plain = F.size(F.regexp_extract_all("text", F.lit("(?<![^\\x20\\x09-\\x0D])[^\\x20\\x09-\\x0D\\p{L}]++(?![^\\x20\\x09-\\x0D])"), F.lit(0)))
     return [
-        Rule("symbols", 100 * F.col("n_symbols") > 20 * F.col("n_words")),
-        Rule("capitals", 100 * (F.length("text") - F.length(F.regexp_replace("text", "\\p{Lu}", ""))) > 50 * F.col("word_chars")),
-        Rule("short words", F.col("word_chars") < 2 * F.col("n_words")),
-        Rule("long words", F.col("word_chars") > 15 * F.col("n_words")),
-        Rule("repeated lines", 100 * F.col("n_dup_lines") > 50 * F.size(lines())),
-        Rule("bullets", 100 * F.size(F.filter(lines(), lambda line: F.rlike(line, F.lit("^[\\x20\\x09-\\x0D]*[-*\u2022]")))) > 90 * F.size(lines())),
-        Rule("words without letters", 100 * F.size(F.filter(F.split("text", SPACES), lambda w: (w != "") & ~F.rlike(w, F.lit("\\p{L}")))) > 40 * F.col("n_words")),
+        Rule("symbols", 100 * F.col("n_symbols") > 20 * F.col("n_words"), none),
+        Rule("capitals", 100 * F.length(F.regexp_replace("text", "\\P{Lu}+", "")) > 50 * F.col("word_chars")),
+        Rule("short words", F.col("word_chars") < 2 * F.col("n_words"), none),
+        Rule("long words", F.col("word_chars") > 15 * F.col("n_words"), none),
+        Rule("repeated lines", 100 * F.col("n_dup_lines") > 50 * F.col("n_lines"), none),
+        Rule("bullets", 100 * bullets > 90 * F.col("n_lines")),
+        Rule("words without letters", 100 * plain > 40 * F.col("n_words")),
     ]
 
 
 def measured(docs: DataFrame, rules: list[Rule], sample_rows: int = SAMPLE_ROWS) -> list[Measured]:
-    """Each rule alone, on at most ``sample_rows`` rows of ``docs`` (text) that are written once with the features.
-
-    One job counts all rejections.  Then each rule is timed over the sample, the better of two runs, less the time of a
-    run without any rule."""
-    sample, path = written(with_features(docs.select("text").limit(sample_rows)), "quality-sample")
-    rejects = [F.coalesce(rule.reject, F.lit(False)) for rule in rules]
-    counts = sample.agg(F.count("*").alias("n"), *(F.count_if(r).alias(f"r{i}") for i, r in enumerate(rejects))).first()
-    repeated = sample.withColumn("again", F.explode(F.sequence(F.lit(1), F.lit(REPEATS))))
-
-    def seconds(condition: Column) -> float:
-        took = []
-        for _ in range(2):
-            began = time.perf_counter()
-            repeated.agg(F.count_if(condition)).collect()
-            took.append(time.perf_counter() - began)
-        return min(took)
-
+    """Each rule alone, on the ``sample_rows`` rows of ``docs`` (text) whose texts hash lowest (about as many in a table of equal
+    hashes): its share of rejections, and its seconds a row by what it reads.
+
+    One pass finds the sample, keeping at most ``sample_rows`` rows a task, and one aggregate of one row counts everything.  No clock is
+    read, so the order is the same in every run."""
+    lowest = docs.select("text").orderBy(F.xxhash64("text")).limit(sample_rows)
+    parts = [c for i, rule in enumerate(rules) for c in (F.count_if(F.coalesce(rule.reject, F.lit(False))).alias(f"r{i}"), F.sum(rule.reads).cast("double").alias(f"c{i}"))]
+    counts = with_features(lowest).agg(F.count("*").alias("n"), *parts).first()
     rows = max(counts["n"], 1)
-    empty = seconds(F.col("n_words") < 0)
-    found = [Measured(rule, counts[f"r{i}"] / rows, max(seconds(r) - empty, 1e-6) / (rows * REPEATS)) for i, (rule, r) in enumerate(zip(rules, rejects))]
-    dropped(docs.sparkSession, path)
-    return found
+    return [Measured(rule, counts[f"r{i}"] / rows, COMPARISON + CHARACTER * (counts[f"c{i}"] or 0) / rows) for i, rule in enumerate(rules)]
 
 
 def cascade_order(docs: DataFrame, rules: list[Rule], sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
-    """``rules`` by rejections per second of work on a sample of ``docs`` (text)."""
+    """``rules`` by rejections per estimated second on a sample of ``docs`` (text)."""
     return [m.rule for m in sorted(measured(docs, rules, sample_rows), key=lambda m: -m.share / m.seconds)]
 
 
@@ -141,7 +134,7 @@ def judge_quality(docs: DataFrame, rules: list[Rule] | None = None, sample_rows:
 
     A row is kept unless the base rule or one of ``rules`` rejects it; the rules are tried in the measured order and the
     first that rejects ends the row.  An empty table gives an empty result; a null text has no words and fails the base
-    rule.  Extra columns stay.
+    rule.  Extra columns stay, but for those of the names that this adds (the features, base_failed, kept), which are replaced.
     """
     rules = default_rules() if rules is None else rules
     failed = F.lit(False)
