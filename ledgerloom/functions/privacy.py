@@ -43,3 +43,12 @@ def report(found: DataFrame) -> DataFrame:
     return found.groupBy("path", "rule_id", "category").agg(
         F.sum("occurrences").alias("occurrences"), F.array_sort(F.collect_list(F.struct("sha256", "occurrences"))).alias("matches")
     )
+
+
+def rule_hashes(spark, rules: list[tuple[str, str, str]] = RULES) -> DataFrame:
+    """rule_id, category, rule_sha256, ruleset_sha256: each rule by the hash of its canonical JSON, and all of them, in order, by one."""
+    rows = spark.createDataFrame([(i, *r) for i, r in enumerate(rules)], "place int, rule_id string, category string, pattern string")
+    body = F.to_json(F.struct("category", "pattern", "rule_id"))
+    whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", body.alias("body")))), lambda r: r["body"]), ",")
+    one = rows.agg(F.sha2(F.concat(F.lit('{"rules":['), whole, F.lit("]}\n")), 256).alias("ruleset_sha256"))  # a stated list of a few rules
+    return rows.select("rule_id", "category", F.sha2(F.concat(body, F.lit("\n")), 256).alias("rule_sha256")).crossJoin(one)

@@ -19,9 +19,9 @@ from ledgerloom.operators.references import attachment_index, described_by_any_k
 from ledgerloom.plans.adapters import IDENTITIES, conversation_strings, discovered, parse
 from ledgerloom.plans.checks import discovery_violations, payload_violations
 from ledgerloom.plans.registry import Adapter, adapter, checked_override, register
+from ledgerloom.plans.documents import DocumentPolicy, document_texts, retained, settled_documents
 from ledgerloom.plans.outputs import Store, commit, retain
 from ledgerloom.sources.checkpoints import written
-from ledgerloom.sources.docx import extract_documents
 from ledgerloom.sources.json_rows import allowed_fields, is_strict_json, json_text
 from ledgerloom.sources.tree import read_tree
 
@@ -95,7 +95,6 @@ class Limits:
     max_total: int = 68_719_476_736
     max_ratio: float = 500.0
     max_conversation: int = 268_435_456
-    keep_document: int = 26_214_400
 
 
 @dataclass(frozen=True)
@@ -121,15 +120,6 @@ class Import:
         )
 
 
-def settled_documents(decided: DataFrame, extracted: DataFrame, keep_under: int) -> DataFrame:
-    """``decided`` with documents that gave no text kept whole up to ``keep_under`` bytes, and tombstoned beyond."""
-    empty = decided.join(extracted.where("problem is not null").select("path", F.col("problem").alias("_refused")), "path", "left")
-    failed = (F.col("decision") == "extract") & F.col("_refused").isNotNull()
-    decision = F.when(failed, F.when(F.col("size_bytes") <= keep_under, "keep").otherwise("tombstone")).otherwise(F.col("decision"))
-    reason = F.when(failed, F.when(F.col("size_bytes") <= keep_under, "document_retained_no_frozen_extraction").otherwise("document_size_policy")).otherwise(F.col("reason"))
-    return empty.withColumns({"reason": reason, "decision": decision}).drop("_refused")
-
-
 def account_metadata(members: DataFrame, allowed: dict[str, list[str]], max_bytes: int = 1_048_576) -> DataFrame:
     """path, kept: the allowed top-level fields of the members named exactly, where they are strict JSON of bounded size."""
     raw = members.where(F.col("path").isin(list(allowed)) & (F.col("size_bytes") <= max_bytes)).select("path", json_text(F.col("content")).alias("raw"))
@@ -144,7 +134,7 @@ def _not_read(decided: DataFrame) -> DataFrame:
     return decided.where("decision = 'keep' and kind = 'structured_text' and content is null and size_bytes > 0").select("source", "path")
 
 
-def import_members(members: DataFrame, name: str, policy: Policy = Policy(), limits: Limits = Limits(), pieces: DataFrame | None = None) -> Import:
+def import_members(members: DataFrame, name: str, policy: Policy = Policy(), limits: Limits = Limits(), pieces: DataFrame | None = None, document_policy: DocumentPolicy = DocumentPolicy()) -> Import:
     """Tables of ``members`` (source, path, size_bytes, compressed_bytes, is_link, head, sha256, content, problem) by the adapter of that name.
 
     Guards on members come first, then on what the adapter finds, then on what it must parse; an offender raises its code
@@ -167,22 +157,22 @@ def import_members(members: DataFrame, name: str, policy: Policy = Policy(), lim
     decided = with_disposition(rest, policy, checked_override(rest, own))
     # only documents have text to extract
     require_none(decided.where("decision = 'extract' and kind <> 'document'").select(F.lit("unsupported_extract_kind").alias("code"), F.col("path").alias("subject")))
-    documents = extract_documents(decided.where("decision = 'extract'"))
-    decided = settled_documents(decided, documents, limits.keep_document)
+    documents = document_texts(decided, document_policy)
+    decided = settled_documents(decided, documents, document_policy)
     dropped = decided.where("decision = 'tombstone'").select("path", "kind", "media_type", "size_bytes", "sha256", "reason")
     consumed = found.withColumns({"decision": F.lit("normalized"), "reason": F.lit("adapter_payload")})
     columns = ["path", "sha256", "size_bytes", "decision", "reason"]
     everything = decided.select(columns).unionByName(consumed.select(columns))
     texts = messages.select(F.concat_ws("/", F.lit("messages"), "conversation_id", "source_message_id").alias("path"), "text")
     kept_text = decided.where("decision = 'keep' and kind = 'structured_text'").select("path", F.make_valid_utf8(F.col("content").cast("string")).alias("text"))
-    scanned, large = findings(texts.unionByName(kept_text)), _not_read(decided)
+    scanned, large = findings(texts.unionByName(kept_text).unionByName(documents.where("text is not null").select("path", "text"))), _not_read(decided)
     unread = large if pieces is None else large.join(pieces.select("source", "path"), ["source", "path"], "left_anti")
     require_none(unread.select(F.lit("unscanned_member").alias("code"), F.col("path").alias("subject")))
     if pieces is not None:
         scanned = scanned.unionByName(window_findings(piece_windows(pieces.join(large, ["source", "path"], "left_semi"))))
     return Import(
         conversations, messages, decided.drop("content"), tombstones(dropped, payloads, messages, name), provenance(everything, *own.identity),
-        scanned, documents.where("problem is null"), decided.where("decision = 'keep'").select("source", "path", "size_bytes", "sha256", "content"),
+        scanned, documents.where("problem is null"), retained(decided, document_policy).select("source", "path", "size_bytes", "sha256", "content"),
     )
 
 

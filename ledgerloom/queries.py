@@ -14,9 +14,10 @@ from ledgerloom.functions.text import basis_points, extension, file_number, is_u
 from ledgerloom.operators import conformance, evaluation, members, messages, references, review, threads, walk, windows
 from ledgerloom.plans.adapters import message_references, parse
 from ledgerloom.plans.checks import payload_violations
+from ledgerloom.plans import handoff
 from ledgerloom.plans.imports import override, tombstones
 from ledgerloom.sources.checkpoints import shared_folder
-from ledgerloom.sources.json_lines import numbered_file_lines
+from ledgerloom.sources.json_lines import line_violations, numbered_file_lines
 from ledgerloom.sources.json_rows import allowed_fields, is_strict_json
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -182,9 +183,12 @@ def tombstone_context_by_adapter(spark: SparkSession, sf_dir: str) -> DataFrame:
 _REFS = [(1, "b"), (1, "a"), (1, "b"), (1, ""), (2, "z"), (2, None), (3, "")]
 
 
-@query(f"""SELECT id, coalesce(string_agg(DISTINCT ref, ',' ORDER BY ref) FILTER (ref <> ''), '') AS refs FROM ({_values(_REFS)}) t(id, ref) GROUP BY id""")
+@query(f"""SELECT id, coalesce(string_agg(DISTINCT ref, ',' ORDER BY ref) FILTER (ref <> ''), '') AS refs FROM ({_values(_REFS)}
+  UNION ALL SELECT conv_id + 1000, CASE turn % 4 WHEN 0 THEN '' WHEN 1 THEN NULL ELSE role || turn % 3 END FROM conversations) t(id, ref) GROUP BY id""")
 def attachment_refs_sorted_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = fixture(spark, _REFS, "id int, ref string").groupBy("id").agg(F.collect_list("ref").alias("refs"))
+    ref = F.when(F.col("turn") % 4 == 0, "").when(F.col("turn") % 4 > 1, F.concat("role", (F.col("turn") % 3).cast("string")))
+    said = table(spark, sf_dir, "conversations").select((F.col("conv_id") + 1000).alias("id"), ref.alias("ref"))
+    rows = fixture(spark, _REFS, "id bigint, ref string").unionByName(said).groupBy("id").agg(F.collect_list("ref").alias("refs"))
     return rows.select("id", F.array_join(sorted_unique(F.col("refs")), ",").alias("refs"))
 
 
@@ -218,9 +222,13 @@ _MAGIC = [
   WHEN h LIKE '255044462D%' THEN 'application/pdf' WHEN h LIKE '7F454C46%' THEN 'application/x-elf' WHEN h LIKE '4D5A%' THEN 'application/vnd.microsoft.portable-executable'
   WHEN h LIKE '504B0304%' THEN CASE WHEN path LIKE '%.odt' THEN 'application/vnd.oasis.opendocument.text' ELSE 'application/zip' END
   WHEN h LIKE '1F8B%' THEN 'application/gzip' WHEN h LIKE '377ABCAF271C%' THEN 'application/x-7z-compressed' WHEN h LIKE '526172211A07%' THEN 'application/vnd.rar'
-  WHEN lower(path) LIKE '%.md' THEN 'text/plain' ELSE 'application/octet-stream' END AS media_type FROM ({_values(_MAGIC)}) t(path, h)""")
+  WHEN lower(path) LIKE '%.md' THEN 'text/plain' ELSE 'application/octet-stream' END AS media_type FROM ({_values(_MAGIC)}
+  UNION ALL SELECT 'd/' || doc_id || '.dat', CASE doc_id % 6 WHEN 0 THEN '89504E470D0A1A0A' WHEN 1 THEN '255044462D' WHEN 2 THEN '1F8B08' WHEN 3 THEN '52494646' || '00000000' || '57415645' WHEN 4 THEN '504B0304' ELSE '00' END FROM documents) t(path, h)""")
 def classify_by_magic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = fixture(spark, _MAGIC, "path string, h string").select("path", F.unhex("h").alias("head"), F.lit(10).alias("size_bytes"))
+    n = F.col("doc_id") % 6
+    head = F.when(n == 0, "89504E470D0A1A0A").when(n == 1, "255044462D").when(n == 2, "1F8B08").when(n == 3, "524946460000000057415645").when(n == 4, "504B0304").otherwise("00")
+    docs = table(spark, sf_dir, "documents").select(F.concat(F.lit("d/"), F.col("doc_id").cast("string"), F.lit(".dat")).alias("path"), head.alias("h"))
+    rows = fixture(spark, _MAGIC, "path string, h string").unionByName(docs).select("path", F.unhex("h").alias("head"), F.lit(10).alias("size_bytes"))
     return members.with_disposition(rows).select("path", "media_type")
 
 
@@ -258,9 +266,12 @@ _PATHS_SQL = _values([p for p in _PATHS if p[0] != "x\ty"]) + ", ('x' || chr(9)
 
 
 @query(f"""SELECT normalized, count(*) AS n_paths FROM (SELECT path, CASE WHEN starts_with(path, '/') THEN '/' ELSE '' END ||
-  array_to_string(list_filter(string_split(path, '/'), lambda p: p NOT IN ('', '.')), '/') AS normalized FROM ({_PATHS_SQL}) t(path)) GROUP BY 1 HAVING count(*) > 1""")
+  array_to_string(list_filter(string_split(path, '/'), lambda p: p NOT IN ('', '.')), '/') AS normalized FROM ({_PATHS_SQL}
+  UNION ALL SELECT 'p//' || page_id // 2 || CASE page_id % 3 WHEN 0 THEN '/' WHEN 1 THEN '/./' ELSE '' END FROM pages) t(path)) GROUP BY 1 HAVING count(*) > 1""")
 def normalized_path_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return members.path_collisions(fixture(spark, _PATHS, "path string"))
+    n = F.col("page_id")
+    pages = table(spark, sf_dir, "pages").select(F.concat(F.lit("p//"), F.floor(n / 2).cast("string"), F.when(n % 3 == 0, "/").when(n % 3 == 1, "/./").otherwise("")).alias("path"))
+    return members.path_collisions(fixture(spark, _PATHS, "path string").unionByName(pages))
 
 
 @query(f"""SELECT path, path = '' OR starts_with(path, '/') OR contains(path, chr(92)) OR list_contains(string_split(path, '/'), '..') OR contains(path, chr(9)) AS unsafe
@@ -318,14 +329,18 @@ _SECRETS = [
 ]
 
 
-@query(rf"""WITH t AS (SELECT * FROM ({_values(_SECRETS)}) t(path, text)),
+@query(rf"""WITH t AS (SELECT * FROM ({_values(_SECRETS)} UNION ALL SELECT 'doc' || doc_id,
+  CASE doc_id % 3 WHEN 0 THEN 'ghp_' || lpad(doc_id::VARCHAR, 30, '0') WHEN 1 THEN 'mail u' || doc_id || '@ex.io' ELSE left(source, 2) END FROM documents) t(path, text)),
 r(rule_id, pattern) AS (VALUES ('email_address', '(?i)[A-Za-z0-9._%+-]{{1,128}}@[A-Za-z0-9.-]{{1,253}}\.[A-Za-z]{{2,63}}'), ('openai_api_key', 'sk-[A-Za-z0-9_-]{{20,1000}}'),
   ('github_token', 'gh[pousr]_[A-Za-z0-9]{{20,1000}}'), ('aws_access_key', '(?:AKIA|ASIA)[A-Z0-9]{{16}}'), ('private_key_header', '-----BEGIN (?:RSA |EC |OPENSSH )?PRIVATE KEY-----'),
   ('bearer_token', '(?i)Bearer[ \t]{{1,32}}[A-Za-z0-9._~+/=-]{{20,1000}}')),
 m AS (SELECT path, rule_id, regexp_extract(text, pattern) AS m FROM t, r WHERE regexp_matches(text, pattern) AND NOT starts_with(path, 'guard'))
 SELECT path, rule_id, sha256(m) AS sha256, count(*) AS occurrences FROM m GROUP BY ALL""")
 def privacy_rules_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return privacy.findings(fixture(spark, _SECRETS, "path string, text string")).drop("category")
+    i = F.col("doc_id").cast("string")
+    text = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("ghp_"), F.lpad(i, 30, "0"))).when(F.col("doc_id") % 3 == 1, F.concat(F.lit("mail u"), i, F.lit("@ex.io"))).otherwise(F.left("source", F.lit(2)))
+    docs = table(spark, sf_dir, "documents").select(F.concat(F.lit("doc"), i).alias("path"), text.alias("text"))
+    return privacy.findings(fixture(spark, _SECRETS, "path string, text string").unionByName(docs)).drop("category")
 
 
 # the rules' patterns without the guards behind a match; the guard before one is taken with it, outside the group
@@ -382,9 +397,12 @@ def reference_name_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 _IDS = [("see file-AbC123def and asset_9zZ9zZ", 1), ("xfile-AbC123 file-ab1", 2), ("FILE-ABCDEF.", 3), ("plain", 4)]
 
 
-@query(rf"SELECT id, 'id:' || lower(k) AS ref_key FROM (SELECT id, unnest(regexp_extract_all(t, '(?i)(?:^|[^A-Za-z0-9_-])((?:file|asset)[-_][A-Za-z0-9]{{6,}})', 1)) AS k FROM ({_values(_IDS)}) x(t, id))")
+@query(rf"SELECT id, 'id:' || lower(k) AS ref_key FROM (SELECT id, unnest(regexp_extract_all(t, '(?i)(?:^|[^A-Za-z0-9_-])((?:file|asset)[-_][A-Za-z0-9]{{6,}})', 1)) AS k FROM ({_values(_IDS)} UNION ALL SELECT 'on file-' || lpad(page_id::VARCHAR, 6, '0') || ' or xasset_' || page_id || ', Asset_p' || lpad(page_id::VARCHAR, 6, '0'), page_id + 10 FROM pages) x(t, id))")
 def reference_id_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixture(spark, _IDS, "t string, id int").select("id", F.explode(reference_ids(F.col("t"))).alias("ref_key"))
+    n = F.lpad(F.col("page_id").cast("string"), 6, "0")
+    said = F.concat(F.lit("on file-"), n, F.lit(" or xasset_"), F.col("page_id").cast("string"), F.lit(", Asset_p"), n)
+    pages = table(spark, sf_dir, "pages").select(said.alias("t"), (F.col("page_id") + 10).alias("id"))
+    return fixture(spark, _IDS, "t string, id bigint").unionByName(pages).select("id", F.explode(reference_ids(F.col("t"))).alias("ref_key"))
 
 
 @query(f"""WITH k AS ({_NAMES_SQL}) SELECT ref_key, count(*) AS n_contexts, arg_min(url, (url, page_id)) AS first_path, arg_min(p.page_id, (url, p.page_id)) AS first_index
@@ -610,9 +628,12 @@ _ROUTES = [(1, "a,b", "a,b", ""), (2, "a", "a,b", ""), (3, "a,b,c", "a", "b"), (
 
 @query(f"""SELECT route_id, len(list_filter(string_split(required, ','), lambda x: NOT list_contains(string_split(selected, ','), x))) = 0 AS sufficient,
   len(list_filter(string_split(selected, ','), lambda x: NOT list_contains(string_split(required, ','), x) AND NOT list_contains(string_split(justified, ','), x))) = 0 AS minimal
-  FROM ({_values(_ROUTES)}) t(route_id, selected, required, justified)""")
+  FROM ({_values(_ROUTES)} UNION ALL SELECT doc_id + 10, ['a', 'a,b', 'a,b,c', 'c'][doc_id % 4 + 1], ['a', 'a,b', 'b'][doc_id % 3 + 1], ['', 'b', 'c', 'b,c', 'a'][doc_id % 5 + 1] FROM documents)
+  t(route_id, selected, required, justified)""")
 def route_sufficiency_minimality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = fixture(spark, _ROUTES, "route_id int, selected string, required string, justified string")
+    lists = {"selected": ("a", "a,b", "a,b,c", "c"), "required": ("a", "a,b", "b"), "justified": ("", "b", "c", "b,c", "a")}
+    docs = table(spark, sf_dir, "documents").select((F.col("doc_id") + 10).alias("route_id"), *(F.get(F.array(*map(F.lit, v)), (F.col("doc_id") % len(v)).cast("int")).alias(k) for k, v in lists.items()))
+    rows = fixture(spark, _ROUTES, "route_id bigint, selected string, required string, justified string").unionByName(docs)
     return evaluation.route_check(rows.select("route_id", *(F.split(c, ",").alias(c) for c in ("selected", "required", "justified"))))
 
 
@@ -762,17 +783,26 @@ _FILES = [
     ("conversations.json",), ("conversations-1.json",), ("conversations-0002.json",), ("conversations_0003.json",), ("conversations4.json",), ("conversation-5.json",),
     ("nested/conversations.json",), ("conversations-final.json",), ("conversations-.json",), ("conversations.json.bak",), ("chats.json",),
 ]
-_FILE_SQL = f"SELECT path, CASE WHEN n = '' THEN -1 ELSE try_cast(n AS BIGINT) END AS number FROM (SELECT path, regexp_extract(path, '(?i)^conversations?(?:[-_]?([0-9]+))?\\.json$', 1) AS n FROM ({_values(_FILES)}) t(path) WHERE regexp_matches(path, '(?i)^conversations?(?:[-_]?([0-9]+))?\\.json$'))"
+_ALL_FILES_SQL = f"{_values(_FILES)} UNION ALL SELECT 'conversations-7' || lpad(page_id::VARCHAR, 6, '0') || CASE page_id % 3 WHEN 0 THEN '.jsonl' WHEN 1 THEN '.JSON' ELSE '.json' END FROM pages"
+_FILE_SQL = f"SELECT path, CASE WHEN n = '' THEN -1 ELSE try_cast(n AS BIGINT) END AS number FROM (SELECT path, regexp_extract(path, '(?i)^conversations?(?:[-_]?([0-9]+))?\\.json$', 1) AS n FROM ({_ALL_FILES_SQL}) t(path) WHERE regexp_matches(path, '(?i)^conversations?(?:[-_]?([0-9]+))?\\.json$'))"
 
 
-@query(f"SELECT path, ext, regexp_matches(path, '(?i)^conversations?(?:[-_]?([0-9]+))?\\.json$') AS accepted FROM (SELECT path, lower(regexp_extract(path, '(\\.[^.]+)$', 1)) AS ext FROM ({_values(_FILES)}) t(path))")
+def _export_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names that an export may give its files: odd ones, and one a page."""
+    n = F.col("page_id")
+    ext = F.when(n % 3 == 0, ".jsonl").when(n % 3 == 1, ".JSON").otherwise(".json")
+    pages = table(spark, sf_dir, "pages").select(F.concat(F.lit("conversations-7"), F.lpad(n.cast("string"), 6, "0"), ext).alias("path"))
+    return fixture(spark, _FILES, "path string").unionByName(pages)
+
+
+@query(f"SELECT path, ext, regexp_matches(path, '(?i)^conversations?(?:[-_]?([0-9]+))?\\.json$') AS accepted FROM (SELECT path, lower(regexp_extract(path, '(\\.[^.]+)$', 1)) AS ext FROM ({_ALL_FILES_SQL}) t(path))")
 def discovery_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixture(spark, _FILES, "path string").select("path", extension(F.col("path")).alias("ext"), file_number(F.col("path")).isNotNull().alias("accepted"))
+    return _export_files(spark, sf_dir).select("path", extension(F.col("path")).alias("ext"), file_number(F.col("path")).isNotNull().alias("accepted"))
 
 
 @query(f"SELECT path, number, row_number() OVER (ORDER BY number, path) AS place FROM ({_FILE_SQL})")
 def conversation_file_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = fixture(spark, _FILES, "path string").withColumn("number", file_number(F.col("path"))).where("number is not null")
+    rows = _export_files(spark, sf_dir).withColumn("number", file_number(F.col("path"))).where("number is not null")
     keyed = rows.withColumn("key", F.struct("number", "path"))
     return messages.numbered(keyed, "key", "place").select("path", "number", (F.col("place") + 1).alias("place"))
 
@@ -818,3 +848,65 @@ def jsonl_lines_by_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     events.select(F.to_json(F.struct("event_id", "event_type", "props")).alias("value")).write.text(folder)
     lines = numbered_file_lines(spark, folder, across=True)
     return lines.select("line", F.get_json_object("raw", "$.event_id").cast("bigint").alias("event_id"))
+
+
+# --- candidates -----------------------------------------------------------------------------------------------------------------
+
+
+@query("""WITH r AS (SELECT DISTINCT source AS g, doc_id AS k FROM documents), s AS (SELECT DISTINCT doc_id AS k FROM labels),
+n AS (SELECT g AS source, count(*) AS required, count(s.k) AS found FROM r LEFT JOIN s ON s.k = r.k GROUP BY g)
+SELECT *, required - found AS missing, floor(found * 10000 / required::DOUBLE)::BIGINT AS coverage_bp, CASE WHEN found = required THEN 'pass' ELSE 'fail' END AS status FROM n""")
+def coverage_labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many documents of each source have a label."""
+    return evaluation.coverage(table(spark, sf_dir, "documents").select("source", "doc_id"), table(spark, sf_dir, "labels"), "doc_id", "source")
+
+
+def _declared_and_found(spark: SparkSession, sf_dir: str, key: str) -> tuple[DataFrame, DataFrame]:
+    """Documents as a candidate's artifacts, and as files of which some have gone, grown, or changed."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias(key), "doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha256"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("size_bytes"))
+    n = F.col("doc_id")
+    found = docs.where(n % 11 != 3).select(
+        F.when(n % 13 == 4, F.concat(F.lit("new-"), key)).otherwise(F.col(key)).alias(key), F.when(n % 7 == 2, F.reverse("sha256")).otherwise(F.col("sha256")).alias("sha256"),
+        F.when(n % 5 == 1, F.col("size_bytes") + 1).otherwise(F.col("size_bytes")).alias("size_bytes"),
+    )
+    return docs.drop("doc_id"), found
+
+
+def _mismatch_sql(tree: str, size: str, digest: str) -> str:
+    return f"""WITH d AS (SELECT doc_id::VARCHAR AS k, doc_id AS n, sha256(coalesce(text, '')) AS s FROM documents)
+SELECT '{tree}' AS code, k AS subject FROM d WHERE n % 11 = 3 OR n % 13 = 4 UNION ALL SELECT '{tree}', 'new-' || k FROM d WHERE n % 11 <> 3 AND n % 13 = 4
+UNION ALL SELECT CASE WHEN n % 5 = 1 THEN '{size}' ELSE '{digest}' END, k FROM d WHERE n % 11 <> 3 AND n % 13 <> 4 AND (n % 5 = 1 OR n % 7 = 2 AND reverse(s) <> s)"""
+
+
+@query(_mismatch_sql("candidate_tree_mismatch", "artifact_size_mismatch", "artifact_hash_mismatch"))
+def artifact_mismatches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Artifacts whose files are not those that were declared."""
+    return handoff.artifact_violations(*_declared_and_found(spark, sf_dir, "path"))
+
+
+@query(_mismatch_sql("object_inventory_mismatch", "object_size_mismatch", "object_hash_mismatch"))
+def object_mismatches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transported objects against those that were declared."""
+    return handoff.artifact_violations(*_declared_and_found(spark, sf_dir, "object_id"), key="object_id")
+
+
+@query("""SELECT CASE WHEN event_id % 7 = 0 THEN 'invalid_jsonl' ELSE 'invalid_jsonl_shape' END AS code, line::VARCHAR AS subject
+  FROM (SELECT event_id, row_number() OVER (ORDER BY event_id) AS line FROM events) WHERE event_id % 7 = 0 OR event_id % 11 = 0""")
+def jsonl_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of events' props, some torn and some no object, written and read again."""
+    folder = f"{shared_folder(spark)}/props-{uuid.uuid4().hex}"
+    n = F.col("event_id")
+    said = F.when(n % 7 == 0, F.concat(F.lit("{"), "props")).when(n % 11 == 0, F.concat(F.lit("["), "props", F.lit("]"))).otherwise(F.col("props"))
+    table(spark, sf_dir, "events").repartitionByRange("event_id").sortWithinPartitions("event_id").select(said.alias("value")).write.text(folder)
+    found = line_violations(numbered_file_lines(spark, folder, across=True))
+    return found.select("code", F.element_at(F.split("subject", ":"), -1).alias("subject"))
+
+
+@query("""WITH a AS (SELECT doc_id::VARCHAR AS path, sha256(coalesce(text, '')) AS s, coalesce(strlen(text), 0)::BIGINT AS n, lang FROM documents)
+SELECT coalesce(lang, '') AS profile, count(*) AS artifacts, sum(n)::BIGINT AS total_bytes, sha256('[' || string_agg('{"path":"' || path || '","sha256":"' || s || '","size_bytes":' || n || '}', ',' ORDER BY path) || ']' || chr(10)) AS artifacts_sha256
+  FROM a WHERE lang = 'en' GROUP BY 1""")
+def candidate_manifest_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of one profile: the English documents as artifacts."""
+    docs = table(spark, sf_dir, "documents").where("lang = 'en'")
+    files = docs.select(F.col("doc_id").cast("string").alias("path"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha256"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("size_bytes"))
+    return handoff.candidate_manifest(files, profile="en")

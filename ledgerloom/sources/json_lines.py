@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.members import require_none
 from ledgerloom.sources.checkpoints import written
+from ledgerloom.sources.json_rows import is_strict_json
 
 
 def _based(counts: DataFrame, group: list[str], order: list[str]) -> DataFrame:
@@ -33,6 +35,23 @@ def numbered_file_lines(spark: SparkSession, path: str, across: bool = False) ->
     return placed.where(F.trim("raw") != "").select("source_path", (F.col("base") + F.col("at") - F.col("first") + 1).alias("line"), "raw")
 
 
+def line_violations(lines: DataFrame, shape: str = "invalid_jsonl_shape") -> DataFrame:
+    """code, subject (path:line) of ``lines`` (source_path, line, raw) that are no strict JSON, or no object."""
+    d = F.try_parse_json("raw")
+    code = F.when(~F.coalesce(is_strict_json(F.col("raw")), F.lit(False)), "invalid_jsonl").when(~F.startswith(F.schema_of_variant(d), F.lit("OBJECT")), shape)
+    return lines.select(code.alias("code"), F.concat_ws(":", "source_path", F.col("line").cast("string")).alias("subject")).where("code is not null")
+
+
+def candidate_rows(spark: SparkSession, path: str, max_bytes: int = 536_870_912) -> DataFrame:
+    """source_path, line, d of the JSON-lines files under ``path``, each row an object, as VARIANT.  A file over ``max_bytes`` and a line that is none
+    raise their code, before a row is given."""
+    sizes = spark.read.format("binaryFile").load(path).select("path", "length")  # the listing: no content is read
+    require_none(sizes.where(F.col("length") > max_bytes).select(F.lit("jsonl_size_limit").alias("code"), F.col("path").alias("subject")))
+    lines = written(numbered_file_lines(spark, path), "candidate-lines")
+    require_none(line_violations(lines))
+    return lines.select("source_path", "line", F.parse_json("raw").alias("d"))
+
+
 def numbered_piece_lines(pieces: DataFrame) -> DataFrame:
     """The same of ``pieces`` (source, path, piece, content), consecutive parts of members that end at line feeds.
 
