@@ -27,6 +27,7 @@ BITS = 64
 RADIUS = 23  # four standard deviations beyond the distance expected at a similarity of 0.75
 ITEM_BLOCK = 2_000  # items that one pass over the documents carries
 ITEM_BYTES = 16 << 20  # and bytes of their texts
+NEAR = 1 << 15  # places of a text whose windows are fingerprinted together
 
 
 class ItemIndex:
@@ -102,8 +103,11 @@ def _matches(index: ItemIndex, shingles: np.ndarray, gated: np.ndarray, percent:
         starts = np.unique(np.concatenate([gated - j for j in range(size)])) if size * len(gated) < 4 * len(shingles) else np.arange(len(shingles))
         starts = starts[(starts >= 0) & (starts <= len(shingles) - size)]
         starts = starts[marks[starts + size] > marks[starts]]
-        for at in range(0, len(starts), 1 << 15):
-            part = starts[at : at + (1 << 15)]
+        at = 0
+        while at < len(starts):
+            # starts near each other: sums are held for the places between them, so far ones are no part of it
+            part = starts[at : np.searchsorted(starts, starts[at] + NEAR)]
+            at += len(part)
             low, high = part[0], part[-1] + size
             sums = np.zeros((high - low + 1, BITS), dtype=np.int32)
             np.cumsum(signs(shingles[low:high]), axis=0, out=sums[1:])
@@ -150,12 +154,12 @@ def item_blocks(benchmark: DataFrame, block: int = ITEM_BLOCK) -> Iterator[tuple
     )
     ids, texts, size = [], [], 0
     for row in items.toLocalIterator():
-        if ids and (len(ids) >= block or size + len(row["text"]) > ITEM_BYTES):
+        if ids and (len(ids) >= block or size + len(row["text"].encode()) > ITEM_BYTES):
             yield ids, texts
             ids, texts, size = [], [], 0
         ids.append(row["item_id"])
         texts.append(row["text"])
-        size += len(row["text"])
+        size += len(row["text"].encode())
     if ids:
         yield ids, texts
 
@@ -166,7 +170,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = 75, block
 
     Texts are lower-cased (A-Z) and cut into words; a text or item of fewer than five words has one shingle, its whole
     sequence.  A text shorter than an item is one window.  Null, empty and blank texts match nothing.  Items with equal
-    texts report the smallest id.  The items travel with the tasks in blocks of at most 2,000, one pass over the
+    texts report the smallest id.  A very long text takes memory for its hashes, some 30 bytes a word, and for the sums of
+    ``NEAR`` places and an item.  The items travel with the tasks in blocks of at most 2,000, one pass over the
     documents each.
     """
     spark = docs.sparkSession

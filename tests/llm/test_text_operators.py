@@ -529,3 +529,25 @@ def test_rows_of_one_id_with_different_texts_are_judged_one_by_one(spark):
         spans = int(np.count_nonzero(np.diff(np.concatenate(([0], gone.astype(int)))) == 1))
         expected.append((doc_id is None, doc_id or 0, len(t), int(gone.sum()), spans, hashlib.sha256(np.frombuffer(t, dtype=np.uint8)[~gone].tobytes()).hexdigest()))
     assert found == sorted(expected)
+
+
+def test_far_hits_in_a_long_text_take_no_memory_for_what_lies_between():
+    import tracemalloc
+
+    from ledgerloom.llm.decontaminate import ItemIndex, _matches
+    from ledgerloom.llm.words import shingle_hashes, text_chunks, word_hashes
+    import pyarrow as pa
+
+    item = " ".join(f"item{i}" for i in range(60))
+    filler = " ".join(f"w{i}" for i in range(300_000))
+    text = f"{item} {filler} {item} {filler} {item}"
+    index = ItemIndex([1, 2], [item, "five other words of another"])
+    ((_, _, data, offsets),) = text_chunks(pa.array([text]))
+    shingles, _ = shingle_hashes(*word_hashes(data, offsets))
+    gated = np.flatnonzero(np.isin(shingles, index.vocabulary))
+    assert gated[-1] - gated[0] > 600_000
+    tracemalloc.start()
+    found = _matches(index, shingles, gated, 75)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == {0} and peak < 64 << 20
