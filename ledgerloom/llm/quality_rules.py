@@ -1,7 +1,7 @@
 """Quality rules as a short-circuit cascade of native expressions.
 
 Each rule rejects a text by one condition over its words, lines or characters.  What only a rule asks for is computed in its
-branch of the cascade, so a text that an earlier rule rejects never pays for it.  One job over a bounded sample, drawn by the texts' hashes,
+branch of the cascade, so a text that an earlier rule rejects never pays for it.  One job over a bounded sample, drawn from all rows,
 counts each rule's rejections and the characters, lines and words that it would go through; the cascade tries the rules by rejections per cost.
 The verdict does not depend on the order, only the work does.
 """
@@ -19,6 +19,7 @@ SPACES = "[\\x20\\x09-\\x0D]+"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 SAMPLE_ROWS = 1_000
+SEED = 7
 # seconds that a rule takes for a row by itself, and for each character that it goes through with a pattern
 COMPARISON, CHARACTER = 1e-8, 1e-8
 
@@ -112,14 +113,14 @@ def default_rules() -> list[Rule]:
 
 
 def measured(docs: DataFrame, rules: list[Rule], sample_rows: int = SAMPLE_ROWS) -> list[Measured]:
-    """Each rule alone, on the ``sample_rows`` rows of ``docs`` (text) whose texts hash lowest (about as many in a table of equal
-    hashes): its share of rejections, and its seconds a row by what it reads.
+    """Each rule alone, on about ``sample_rows`` rows of ``docs`` (text) drawn over the whole table (all rows of a smaller one): its share of
+    rejections, and its seconds a row by what it reads.
 
-    One pass finds the sample, keeping at most ``sample_rows`` rows a task, and one aggregate of one row counts everything.  No clock is
-    read, so the order is the same in every run."""
-    lowest = docs.select("text").orderBy(F.xxhash64("text")).limit(sample_rows)
+    The rows are counted first, then every row is drawn with the same probability, so no task has more than its share of the
+    sample; one aggregate of one row counts everything.  No clock is read."""
+    drawn = docs.select("text").sample(fraction=min(1.0, sample_rows / max(docs.count(), 1)), seed=SEED)
     parts = [c for i, rule in enumerate(rules) for c in (F.count_if(F.coalesce(rule.reject, F.lit(False))).alias(f"r{i}"), F.sum(rule.reads).cast("double").alias(f"c{i}"))]
-    counts = with_features(lowest).agg(F.count("*").alias("n"), *parts).first()
+    counts = with_features(drawn).agg(F.count("*").alias("n"), *parts).first()
     rows = max(counts["n"], 1)
     return [Measured(rule, counts[f"r{i}"] / rows, COMPARISON + CHARACTER * (counts[f"c{i}"] or 0) / rows) for i, rule in enumerate(rules)]
 
