@@ -209,9 +209,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     width = max(1, length * BLOCK // LENGTH)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     ranked, ranked_path = written(docs.mapInArrow(_rank_seeds(length, seed), _SEEDS), "seeds")
-    again = ranked.groupBy("seed").count().where("count > 1").select("seed")
+    # written, so that the join deals both sides by itself and a seed that very many anchors share is split over tasks
+    again, again_path = written(ranked.groupBy("seed").count().where("count > 1").select("seed"), "repeated-seeds")
     open_, open_path = written(ranked.join(again, "seed"), "open-anchors")
-    dropped(spark, ranked_path)
+    dropped(spark, ranked_path, again_path)
 
     spans = open_.groupBy("seed", "span").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "at", "back", "more")).alias("example"))
     spans, spans_path = written(spans, "anchor-spans")
