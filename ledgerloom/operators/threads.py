@@ -15,16 +15,18 @@ def resolved_parents(comments: DataFrame, reviews: DataFrame) -> DataFrame:
 
 
 def thread_messages(threads: DataFrame, comments: DataFrame) -> DataFrame:
-    """Thread bodies and their comments as messages (thread_id, message_id, role, name, text, create_time, source_index).
+    """Thread bodies and their comments as messages (thread_id, message_id, role, name, text, create_time, source_index), with the
+    source_path and update_time of their own rows where both tables have them.
 
     A comment joins every thread that has its id; empty texts and comments without a thread give no message."""
+    more = [c for c in ("source_path", "update_time") if c in threads.columns and c in comments.columns]
     bodies = threads.where("body <> ''").select(
         "thread_id", F.concat(F.col("thread_id").cast("string"), F.lit(":body")).alias("message_id"), F.lit("author").alias("role"), F.col("login").alias("name"),
-        F.col("body").alias("text"), "create_time", F.lit(0).cast("bigint").alias("source_index"),
+        F.col("body").alias("text"), "create_time", F.lit(0).cast("bigint").alias("source_index"), *more,
     )
     said = (
         comments.where("body <> ''")
-        .select("thread_id", F.col("comment_id").cast("string").alias("message_id"), F.lit("commenter").alias("role"), F.col("login").alias("name"), F.col("body").alias("text"), "create_time", F.col("source_index").cast("bigint").alias("source_index"))
+        .select("thread_id", F.col("comment_id").cast("string").alias("message_id"), F.lit("commenter").alias("role"), F.col("login").alias("name"), F.col("body").alias("text"), "create_time", F.col("source_index").cast("bigint").alias("source_index"), *more)
         .join(threads.select("thread_id"), "thread_id")
     )
     return bodies.unionByName(said.select(bodies.columns))

@@ -239,8 +239,8 @@ def issues(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
     said = common.where(F.col("resource").isin("issue_comments", "review_comments", "pull_request_reviews")).drop("thread_id")
     said = resolved_parents(said.withColumn("review_id", F.when(F.col("resource") == "review_comments", F.col("review_id"))), reviews)
     rows_out = thread_messages(threads, said.where("thread_id is not null"))
-    messages = rows_out.withColumnsRenamed({"thread_id": "conversation_id", "message_id": "source_message_id"}).withColumn("source_path", F.lit(None).cast("string"))
-    return canonical_conversations(_stamped(conversations, vendor)), canonical_messages(_stamped(messages, vendor))
+    messages = rows_out.withColumnsRenamed({"thread_id": "conversation_id", "message_id": "source_message_id"})
+    return canonical_conversations(_stamped(globally_numbered(conversations), vendor)), canonical_messages(_stamped(messages, vendor))
 
 
 def discovered(members: DataFrame, name: str) -> DataFrame:

@@ -69,7 +69,7 @@ def _registered(name: str) -> Adapter:
         Adapter(
             name, *IDENTITIES[name], discover=lambda m: discovered(m, name), parse=lambda p: parse(p, name), discovery_violations=lambda m: discovery_violations(m, name),
             payload_violations=lambda p: payload_violations(p, name), override=lambda path: override(path, name), reference_key=lambda path: reference_key(path, name),
-            contexts=conversation_strings if name == "openai" else None, placed=name != "github",
+            contexts=conversation_strings if name == "openai" else None,
         )
     )
 

@@ -24,8 +24,3 @@ def dropped_messages(spark: SparkSession, folder: str) -> DataFrame:
 def collect_folder(spark: SparkSession, folder: str, table: str, checkpoint: str) -> StreamingQuery:
     """Append what has arrived since the last run to the Parquet table, then stop; a file is read exactly once."""
     return dropped_messages(spark, folder).writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(table)
-
-
-def windowed_counts(events: DataFrame, time: str, kind: str, width: str = "1 hour", late: str = "10 minutes") -> DataFrame:
-    """Events per tumbling window and kind; rows later than the watermark are left out, closed windows leave the state."""
-    return events.withWatermark(time, late).groupBy(F.window(time, width).alias("w"), kind).agg(F.count("*").alias("n")).select(F.col("w.start").alias("window_start"), kind, "n")

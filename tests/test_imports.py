@@ -87,6 +87,20 @@ def test_issue_tracker_threads(spark):
     assert [(r.source_message_id, r.role, r.name, r.text) for r in messages.orderBy("create_time").collect()] == [("9:body", "author", "ann", "change"), ("50", "commenter", "bo", "fine"), ("60", "commenter", "cy", "here")]
 
 
+def test_issue_tracker_records_keep_their_places(spark):
+    files = [
+        ("b/issues.json", [{"id": 3, "body": "z", "updated_at": "9"}]), ("a/issues_1.json", [{"id": 1, "body": "x"}, {"id": 2, "body": ""}]), ("c/pull_requests.json", [{"id": 4}]),
+        ("a/issue_comments.json", [{"id": 70, "issue_id": 2, "body": "gone", "created_at": "1"}, {"id": 71, "issue_id": 3, "body": "said", "created_at": "2", "updated_at": "3"}]),
+    ]
+    conversations, messages = parse(spark.createDataFrame([(p, json.dumps(r)) for p, r in files], "source_path string, raw string"), "github")
+    assert [(r.source_path, r.source_conversation_id, r.source_index) for r in conversations.orderBy("source_index").collect()] == [
+        ("a/issues_1.json", "1", 0), ("a/issues_1.json", "2", 1), ("b/issues.json", "3", 2), ("c/pull_requests.json", "4", 3),
+    ]
+    assert sorted((r.source_message_id, r.source_path, r.source_index, r.update_time) for r in messages.collect()) == [
+        ("1:body", "a/issues_1.json", 0, None), ("3:body", "b/issues.json", 0, "9"), ("70", "a/issue_comments.json", 0, None), ("71", "a/issue_comments.json", 1, "3"),
+    ]
+
+
 def test_flat_gemini_rows(spark):
     rows = [{"thread_id": "b", "id": "1", "role": "model", "prompt": "x", "title": "B"}, {"conversation_id": "a", "id": "2", "text": "y"}, {"thread_id": "b", "id": "3", "response": "z"}]
     conversations, messages = parse(payloads(spark, myactivity=rows), "gemini")
