@@ -44,6 +44,25 @@ def forbidden_fragments(files: DataFrame, fragments: DataFrame) -> DataFrame:
     ``files`` (path, content), ``fragments`` (fragment_id, fragment).  The fragments are a stated list of at most 256 of at
     most 16 KiB, which is checked; all of them are searched in one pass over each file's bytes.  Null contents and null
     fragments match nothing, empty fragments are refused."""
+    listed, places = _listed(fragments)
+    if not places:
+        return fragments.select("fragment_id", F.lit(0).cast("bigint").alias("n_files"))
+    found = files.select(F.col("content").cast("binary").alias("content")).mapInArrow(_search(places), "place int, n bigint").groupBy("place").agg(F.sum("n").alias("n"))
+    return _counted(found, fragments, listed)
+
+
+def forbidden_fragments_in_windows(windows: DataFrame, fragments: DataFrame) -> DataFrame:
+    """The same of files that come as overlapping windows (path, bytes; as ``windows.byte_windows`` and ``piece_windows`` give them), so
+    that no file is held whole.  Windows overlap by ``FRAGMENT_BYTES`` at least; a file counts once a fragment."""
+    listed, places = _listed(fragments)
+    if not places:
+        return fragments.select("fragment_id", F.lit(0).cast("bigint").alias("n_files"))
+    each = windows.select(F.col("path").cast("string").alias("path"), "bytes").mapInArrow(_search_by_path(places), "path string, place int").distinct()
+    return _counted(each.groupBy("place").agg(F.count("*").alias("n")), fragments, listed)
+
+
+def _listed(fragments: DataFrame) -> tuple[list, dict[str, list[int]]]:
+    """The stated list, and each fragment's bytes as Latin-1 with its places in the list."""
     listed = fragments.limit(FRAGMENT_LIMIT + 1).collect()
     if len(listed) > FRAGMENT_LIMIT or any(r["fragment"] is not None and not 0 < len(r["fragment"].encode()) <= FRAGMENT_BYTES for r in listed):
         raise ValueError("forbidden_fragment_limit")
@@ -51,35 +70,57 @@ def forbidden_fragments(files: DataFrame, fragments: DataFrame) -> DataFrame:
     for i, r in enumerate(listed):
         if r["fragment"] is not None:
             places.setdefault(r["fragment"].encode().decode("latin-1"), []).append(i)
-    if not places:
-        return fragments.select("fragment_id", F.lit(0).cast("bigint").alias("n_files"))
-    found = files.select(F.col("content").cast("binary").alias("content")).mapInArrow(_search(places), "place int, n bigint").groupBy("place").agg(F.sum("n").alias("n"))
+    return listed, places
+
+
+def _counted(found: DataFrame, fragments: DataFrame, listed: list) -> DataFrame:
     ids = F.array(*(F.lit(r["fragment_id"]) for r in listed))
     counted = found.select(F.get(ids, F.col("place")).alias("fragment_id"), "n").groupBy("fragment_id").agg(F.sum("n").alias("n"))
     return fragments.select("fragment_id").join(counted, "fragment_id", "left").select("fragment_id", F.coalesce("n", F.lit(0)).alias("n_files"))
 
 
+def _automaton(places: dict[str, list[int]]):
+    import ahocorasick
+
+    automaton = ahocorasick.Automaton()
+    for fragment, own in places.items():
+        automaton.add_word(fragment, own[0])
+    automaton.make_automaton()
+    return automaton
+
+
+def _held(automaton, content: bytes, most: int) -> set[int]:
+    """First places of the fragments that bytes, read as Latin-1, hold."""
+    seen: set[int] = set()
+    for _, first in automaton.iter(content.decode("latin-1")):
+        seen.add(first)
+        if len(seen) == most:
+            break
+    return seen
+
+
+def _search_by_path(places: dict[str, list[int]]):
+    """(path, place) of each fragment that a window holds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton, same = _automaton(places), {own[0]: own for own in places.values()}
+        for batch in batches:
+            found = {(path, i) for path, data in zip(batch.column("path").to_pylist(), batch.column("bytes")) if data.is_valid for first in _held(automaton, data.as_py(), len(same)) for i in same[first]}
+            yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in found], pa.string()), pa.array([i for _, i in found], pa.int32())], names=["path", "place"])
+
+    return run
+
+
 def _search(places: dict[str, list[int]]):
     """Counts, per batch of files, of those that hold each fragment; bytes are compared as Latin-1 characters."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import ahocorasick
-
-        automaton = ahocorasick.Automaton()
-        for fragment, own in places.items():
-            automaton.add_word(fragment, own[0])
-        automaton.make_automaton()
-        same = {own[0]: own for own in places.values()}
+        automaton, same = _automaton(places), {own[0]: own for own in places.values()}
         for batch in batches:
             counts: Counter[int] = Counter()
             for content in batch.column(0):
                 if content.is_valid:
-                    seen: set[int] = set()
-                    for _, first in automaton.iter(content.as_py().decode("latin-1")):
-                        seen.add(first)
-                        if len(seen) == len(same):
-                            break
-                    counts.update(i for first in seen for i in same[first])
+                    counts.update(i for first in _held(automaton, content.as_py(), len(same)) for i in same[first])
             yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.int32()), pa.array(list(counts.values()), pa.int64())], names=["place", "n"])
 
     return run

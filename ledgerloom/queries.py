@@ -651,6 +651,14 @@ def forbidden_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluation.forbidden_fragments(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("path"), F.col("text").alias("content")), fragments)
 
 
+@query(ORACLE_SQL["forbidden_fragments"])
+def forbidden_fragments_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Found in windows of 4 KiB, as in whole files."""
+    fragments = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("fragment_id"), F.col("text").alias("fragment"))
+    files = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("path"), F.encode("text", "UTF-8").alias("content"))
+    return evaluation.forbidden_fragments_in_windows(windows.byte_windows(files, 4096, evaluation.FRAGMENT_BYTES), fragments)
+
+
 # --- conformance ----------------------------------------------------------------------------------------------------------
 
 _ARTIFACTS = [

@@ -10,6 +10,7 @@ import re
 import pytest
 from ledgerloom.functions.privacy import findings
 from ledgerloom.operators import conformance, walk
+from ledgerloom.operators.evaluation import forbidden_fragments, forbidden_fragments_in_windows
 from ledgerloom.operators.references import described_by_any_key, posting_pages
 from ledgerloom.operators.windows import byte_windows, over_bytes, piece_windows, window_findings
 from ledgerloom.plans.adapters import parse
@@ -61,6 +62,21 @@ def test_pieces_of_a_member_make_the_same_windows(spark):
         piece_windows(frame, 5000).collect()
 
 
+def test_fragments_in_windows_are_those_of_whole_files(spark):
+    rnd = random.Random(3)
+    said = ["needle", "nee", "é日", "x" * 900, "absent", "needle"]
+    texts = [("".join(rnd.choice(["needle", "need", "x" * 950, "é日", " ", "y" * 40]) for _ in range(rnd.randint(0, 30)))) for _ in range(25)] + [None, ""]
+    files = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "path string, text string").select("path", F.encode("text", "UTF-8").alias("content"))
+    fragments = spark.createDataFrame(list(enumerate([*said, None])), "fragment_id int, fragment string")
+    whole = sorted(map(tuple, forbidden_fragments(files, fragments).collect()))
+    assert whole == [(i, sum(bool(f) and t is not None and f in t for t in texts)) for i, f in enumerate([*said, None])]
+    for window in (64, 1000):
+        assert sorted(map(tuple, forbidden_fragments_in_windows(byte_windows(files, window, 3000), fragments).collect())) == whole
+    assert forbidden_fragments_in_windows(byte_windows(files, 64), fragments.where("fragment is null")).collect() == [(6, 0)]
+    with pytest.raises(ValueError, match="forbidden_fragment_limit"):
+        forbidden_fragments_in_windows(byte_windows(files, 64), spark.createDataFrame([(1, "")], "fragment_id int, fragment string"))
+
+
 def test_byte_patterns_keep_the_letters_that_case_brings_in():
     plain, more = over_bytes("(?iu)[A-Za-z]{2}x")
     assert plain == "(?i)[A-Za-z]{2}x" and "Å¿" in more and over_bytes("sk-[A-Za-z]+")[0] == "sk-[A-Za-z]+"
