@@ -152,6 +152,16 @@ def test_exports_beyond_arrow_s_stores_are_read_whole(spark, tmp_path, monkeypat
     assert [p for p, *_ in direct if p in ("a.txt", "b.json")] == ["a.txt", "b.json"]
 
 
+def test_written_tables_are_cleared_on_a_call(spark):
+    from ledgerloom.sources.checkpoints import clear, shared_folder, written
+
+    clear(spark)
+    kept = written(spark.range(5).toDF("i"), "mine")
+    folder = shared_folder(spark).removeprefix("file:")
+    assert kept.count() == 5 and any(n.startswith("mine-") for n in os.listdir(folder))
+    assert clear(spark) == 1 and not any(n.startswith("mine-") for n in os.listdir(folder)) and clear(spark) == 0
+
+
 def test_ranges_hold_members_together_up_to_the_split():
     members = [type("M", (), {"packed": n, "size": n})() for n in (5, 5, 1, 100, 1, 1)]
     assert [[m.size for m in r] for r in ranges(members, 10)] == [[5, 5], [1], [100], [1, 1]]
