@@ -40,17 +40,33 @@ def posting_pages(index: DataFrame, page: int = 1_000, context: tuple[str, ...]
 
 def described_by_any_key(members: DataFrame, index: DataFrame) -> DataFrame:
     """``members`` (path, kind) with the distinct contexts that any of their keys matches: their number, the first by
-    source path and index, the keys that matched, and a label.  Members without a match stay."""
-    keyed = members.select("path", F.explode(path_reference_keys(F.col("path"))).alias("ref_key"))
-    found = keyed.join(index, "ref_key")
+    source path and index, the keys that matched, and a label.  Members without a match stay.
+
+    Contexts are counted once a key and members joined to what their keys have, so a key that many members and many contexts share
+    costs their sum, not their product.  Members with several matching keys take the number of the most frequent one and, once for each
+    such set of keys, the contexts of the others that lack it."""
     context = F.struct("source_path", "source_index", *[c for c in ("conversation_id", "title") if c in index.columns])
-    per_member = (
-        found.groupBy("path", context.alias("context"))
-        .agg(F.collect_set("ref_key").alias("keys"))
-        .groupBy("path")
-        .agg(F.count("*").alias("reference_count"), F.min("context").alias("first"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("keys")))).alias("reference_keys"))
+    mentions = index.select("ref_key", context.alias("context")).distinct()
+    per_key = mentions.groupBy("ref_key").agg(F.count("*").alias("n"), F.min("context").alias("first"))
+    keyed = members.withColumn("path_keys", path_reference_keys(F.col("path")))
+    per_set = (
+        keyed.select("path_keys").distinct().select("path_keys", F.explode("path_keys").alias("ref_key"))
+        .join(per_key, "ref_key")
+        .groupBy("path_keys")
+        .agg(F.min("first").alias("first"), F.max(F.struct("n", "ref_key")).alias("most"), F.array_sort(F.collect_set("ref_key")).alias("reference_keys"))
+    )
+    several = per_set.where(F.size("reference_keys") > 1).select("reference_keys", F.col("most.ref_key").alias("most_key")).distinct()
+    more = (
+        several.select("reference_keys", "most_key", F.explode(F.array_remove("reference_keys", F.col("most_key"))).alias("ref_key"))
+        .join(mentions, "ref_key")
+        .select("reference_keys", "most_key", "context")
+        .distinct()
+        .join(mentions.select(F.col("ref_key").alias("most_key"), "context"), ["most_key", "context"], "left_anti")
+        .groupBy("reference_keys")
+        .agg(F.count("*").alias("more"))
     )
-    out = members.join(per_member, "path", "left")
+    counted = per_set.join(more, "reference_keys", "left").select("path_keys", "first", "reference_keys", (F.col("most.n") + F.coalesce("more", F.lit(0))).alias("reference_count"))
+    out = keyed.join(counted, "path_keys", "left")
     return out.select(
         *members.columns,
         F.when(F.col("first").isNull(), "none").otherwise("exact").alias("reference_match"),
