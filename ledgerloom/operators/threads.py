@@ -33,5 +33,6 @@ def thread_messages(threads: DataFrame, comments: DataFrame) -> DataFrame:
 
 
 def orphans(comments: DataFrame, threads: DataFrame) -> DataFrame:
-    """Comments whose thread is not there."""
-    return comments.join(threads.select("thread_id"), "thread_id", "left_anti")
+    """Comments whose thread is not there, or that have none; the latter take no part in the join, where one task would get them all."""
+    absent = comments.where("thread_id is not null").join(threads.select("thread_id"), "thread_id", "left_anti")
+    return absent.unionByName(comments.where("thread_id is null"))
