@@ -4,6 +4,7 @@ A rolling hash over the hashes of two consecutive lines says where a chunk ends,
 they stand.  Chunks of two or more lines that occur again anywhere are removed, all but their first occurrence.
 
 ``dedup_passages`` looks up every window of two lines instead of the chunks that the hash cuts, so no repeated passage stays.
+``dedup_chunks_and_passages`` removes the chunks and then looks up the windows that they leave.
 """
 
 from __future__ import annotations
@@ -56,50 +57,84 @@ def _without(docs: DataFrame, again: DataFrame) -> DataFrame:
     )
 
 
-def dedup_lines(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
-    """``docs`` with a cleaned ``text``, plus ``n_lines``, ``n_removed_lines`` and ``n_removed_chunks``.
-
-    Lines are the \\n-split parts of ``text``.  A chunk is removed if it has at least two lines and the same bytes stand
-    as a chunk earlier: in a smaller doc_id, or before it in the same document.  What is left is joined by \\n; other columns
-    stay as they are, but for those named as the three counts, which these replace.  A null text stays null and has no lines; an empty one has one empty line.  Rows that share a
-    doc_id are told apart by ``text`` only, so repeated rows keep equal results.  doc_id may be null, which counts as
-    the smallest.
-    """
+def _cut(docs: DataFrame, divisor: int) -> DataFrame:
+    """doc_id, text_hash, lines, and the last line of each chunk."""
     lines = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.split("text", "\n").alias("lines")).where("lines is not null")
     hashed = lines.withColumn("hashes", F.transform("lines", _line_hash))
     ends = F.transform(
         "hashes", lambda h, i: F.when(((F.coalesce(F.get("hashes", i - 1), F.lit(0)) * FACTOR + h) % divisor == 0) | (i == F.size("hashes") - 1), i)
     )
-    cut = hashed.select("doc_id", "text_hash", "lines", F.array_compact(ends).alias("last"))
+    return hashed.select("doc_id", "text_hash", "lines", F.array_compact(ends).alias("last"))
+
+
+def _repeated_chunks(docs: DataFrame, divisor: int) -> DataFrame:
+    """doc_id, text_hash, first_line, n_lines of the chunks that stand earlier."""
     chunks = (
-        cut.select("doc_id", "text_hash", "lines", F.explode(_chunks()).alias("c"))
+        _cut(docs, divisor).select("doc_id", "text_hash", "lines", F.explode(_chunks()).alias("c"))
         .where("c.n_lines > 1")
         .select("doc_id", "text_hash", "c.first_line", "c.n_lines", F.array_join(F.slice("lines", F.col("c.first_line") + 1, F.col("c.n_lines")), "\n").alias("chunk"))
         .withColumn("key", F.xxhash64("chunk", F.octet_length("chunk")))
-    )
+    )
     place = F.struct("doc_id", "text_hash", "first_line")
     firsts = chunks.groupBy("key").agg(F.min(place).alias("first"), F.max(place).alias("last_one")).where("first < last_one").select("key", "first")
     repeated, _ = written(chunks.join(firsts, "key"), "repeated-chunks")
     kept_bytes = repeated.where(place == F.col("first")).groupBy("key").agg(F.min("chunk").alias("kept_chunk"))
     again = repeated.where(place > F.col("first")).join(kept_bytes, "key").where(F.col("chunk") == F.col("kept_chunk"))
-    return _without(docs, again)
+    return again.select("doc_id", "text_hash", "first_line", "n_lines")
 
 
-def dedup_passages(docs: DataFrame) -> DataFrame:
-    """``docs`` without any line of a passage of two or more lines that stands earlier; columns as of ``dedup_lines``.
+def dedup_lines(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
+    """``docs`` with a cleaned ``text``, plus ``n_lines``, ``n_removed_lines`` and ``n_removed_chunks``.
 
-    A window is two lines with text and the blank ones between them, so blank lines alone are no passage.  It is removed if
-    the same bytes (by SHA-256) stand earlier and do not overlap it: in a smaller doc_id, or before it in the same document.
-    A longer passage goes line by line, as all its windows do.  A removed line's earlier copy is kept or has an earlier one
-    itself, so every line stays once.  n_removed_chunks counts windows.  Null and repeated rows are taken as by ``dedup_lines``.
+    Lines are the \\n-split parts of ``text``.  A chunk is removed if it has at least two lines and the same bytes stand
+    as a chunk earlier: in a smaller doc_id, or before it in the same document.  What is left is joined by \\n; other columns
+    stay as they are, but for those named as the three counts, which these replace.  A null text stays null and has no lines; an empty one has one empty line.  Rows that share a
+    doc_id are told apart by ``text`` only, so repeated rows keep equal results.  doc_id may be null, which counts as
+    the smallest.
     """
-    lines = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.split("text", "\n").alias("lines")).where("lines is not null")
+    return _without(docs, _repeated_chunks(docs, divisor))
+
+
+def _repeated_windows(docs: DataFrame, chunks: DataFrame | None = None, divisor: int = DIVISOR) -> DataFrame:
+    """doc_id, text_hash, first_line, n_lines of the windows of two lines with text that stand earlier, but for those within ``chunks``
+    (doc_id, text_hash, first_line), repeated ones as ``_repeated_chunks`` finds them.
+
+    What the latter leave out is never a window's first occurrence: the chunk stands earlier, with the same window."""
+    lines = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.split("text", "\n").alias("lines")).where("lines is not null") if chunks is None else _cut(docs, divisor)
     filled = lines.withColumn("filled", F.array_compact(F.transform("lines", lambda line, i: F.when(F.rlike(line, F.lit("\\S")), i))))
     pairs = F.arrays_zip(F.expr("slice(filled, 1, size(filled) - 1)").alias("first_line"), F.expr("slice(filled, 2, size(filled) - 1)").alias("last_line"))
     window = lambda w: F.array_join(F.slice("lines", w["first_line"] + 1, w["last_line"] - w["first_line"] + 1), "\n")
-    found = F.transform(pairs, lambda w: F.struct(w["first_line"].alias("first_line"), (w["last_line"] - w["first_line"] + 1).alias("n_lines"), F.unhex(F.sha2(window(w), 256)).alias("key")))
-    windows, _ = written(filled.where("size(filled) > 1").select("doc_id", "text_hash", F.inline(found)), "line-windows")
+    own = lambda w: [w["first_line"].alias("first_line"), (w["last_line"] - w["first_line"] + 1).alias("n_lines"), F.unhex(F.sha2(window(w), 256)).alias("key")]
+    filled = filled.where("size(filled) > 1")
+    if chunks is None:
+        windows, _ = written(filled.select("doc_id", "text_hash", F.inline(F.transform(pairs, lambda w: F.struct(*own(w))))), "line-windows")
+    else:
+        filled = filled.withColumn("chunk_of", F.flatten(F.transform(_chunks(), lambda c: F.array_repeat(c["first_line"], c["n_lines"]))))
+        chunk = lambda w: F.when(F.get("chunk_of", w["first_line"]) == F.get("chunk_of", w["last_line"]), F.get("chunk_of", w["first_line"]))
+        every, _ = written(filled.select("doc_id", "text_hash", F.inline(F.transform(pairs, lambda w: F.struct(*own(w), chunk(w).alias("chunk_line"))))), "line-windows")
+        gone = chunks.select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"), F.col("first_line").alias("gone_line")).distinct()
+        within = F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("text_hash") == F.col("gone_hash")) & (F.col("chunk_line") == F.col("gone_line"))
+        windows = every.join(gone, within, "left_anti").drop("chunk_line")
     place = F.struct("doc_id", "text_hash", "first_line")
     firsts = windows.groupBy("key").agg(F.min(place).alias("first"), F.max(place).alias("last_one")).where("first < last_one").select("key", "first")
     overlaps = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash")) & (F.col("first_line") < F.col("first.first_line") + F.col("n_lines"))
-    return _without(docs, windows.join(firsts, "key").where((place > F.col("first")) & ~overlaps))
+    return windows.join(firsts, "key").where((place > F.col("first")) & ~overlaps).select("doc_id", "text_hash", "first_line", "n_lines")
+
+
+def dedup_passages(docs: DataFrame) -> DataFrame:
+    """``docs`` without any line of a passage of two or more lines that stands earlier; columns as of ``dedup_lines``.
+
+    A window is two lines with text and the blank ones between them, so blank lines alone are no passage.  It is removed if
+    the same bytes (by SHA-256) stand earlier and do not overlap it: in a smaller doc_id, or before it in the same document.
+    A longer passage goes line by line, as all its windows do.  A removed line's earlier copy is kept or has an earlier one
+    itself, so every line stays once.  n_removed_chunks counts windows.  Null and repeated rows are taken as by ``dedup_lines``.
+    """
+    return _without(docs, _repeated_windows(docs))
+
+
+def dedup_chunks_and_passages(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
+    """``docs`` without the chunks that ``dedup_lines`` removes; an exact check over windows of two lines, as in ``dedup_passages``,
+    then removes the repeated passages that the chunks' ends have cut.  Both are judged on the input, so what a removal brings
+    together is no passage.  n_removed_chunks counts chunks, and windows beside them."""
+    chunks, _ = written(_repeated_chunks(docs, divisor), "chunks-again")
+    return _without(docs, chunks.unionByName(_repeated_windows(docs, chunks, divisor)))
