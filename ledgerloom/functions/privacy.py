@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,9 +19,31 @@ RULES = [
 ]
 
 
+# The address without the guards around it: one before a full stop or behind another's end counts too.
+BARE_EMAIL = ("email_address", "privacy", "(?iu)[A-Za-z0-9._%+-]{1,128}@[A-Za-z0-9.-]{1,253}\\.[A-Za-z]{2,63}")
+# By pattern, strings of which each match holds one; a text without them is not searched.
+HELD = {
+    RULES[0][2]: ("@",),
+    BARE_EMAIL[2]: ("@",),
+    RULES[1][2]: ("sk-",),
+    RULES[2][2]: ("ghp_", "gho_", "ghu_", "ghs_", "ghr_"),
+    RULES[3][2]: ("AKIA", "ASIA"),
+    RULES[4][2]: ("-----BEGIN ",),
+}
+HELD_IN_ANY_CASE = {RULES[5][2]: "bearer"}
+
+
+def may_match(text: Column, pattern: str) -> Column:
+    """False only where ``pattern`` can't match in ``text``; true of patterns that nothing is known of."""
+    if pattern in HELD_IN_ANY_CASE:
+        return F.contains(F.lower(text), F.lit(HELD_IN_ANY_CASE[pattern]))
+    return functools.reduce(operator.or_, (F.contains(text, F.lit(h)) for h in HELD[pattern])) if pattern in HELD else F.lit(True)
+
+
 def _hashed(text: Column, rule: str, category: str, pattern: str) -> Column:
     finding = lambda m: F.struct(F.lit(rule).alias("rule_id"), F.lit(category).alias("category"), F.sha2(m, 256).alias("sha256"))
-    return F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), finding)
+    found = F.when(may_match(text, pattern), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    return F.transform(found, finding)
 
 
 def matches(text: Column, rules: list[tuple[str, str, str]] = RULES) -> Column:

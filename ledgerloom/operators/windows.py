@@ -10,7 +10,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.privacy import RULES
+from ledgerloom.functions.privacy import RULES, may_match
 
 #: Bytes around what a window owns; no rule's match with its guards is longer.
 SPAN = 8_192
@@ -75,6 +75,7 @@ def window_findings(windows: DataFrame, rules: list[tuple[str, str, str]] = RULE
     for rule, category, pattern in rules:
         plain, more = over_bytes(pattern)
         placed = _placed(F.col("t"), plain) if plain == more else F.when(wide, _placed(F.col("t"), more)).otherwise(_placed(F.col("t"), plain))
+        placed = F.when(may_match(F.col("t"), pattern), placed).otherwise(F.array().cast("array<struct<at:int,m:string>>"))
         own = F.filter(placed, lambda x: (x["at"] >= F.col("lead")) & (x["at"] < F.col("lead") + F.col("own")))
         each.append(F.transform(own, lambda x: F.struct(F.lit(rule).alias("rule_id"), F.lit(category).alias("category"), F.sha2(F.encode(x["m"], "ISO-8859-1"), 256).alias("sha256"))))  # noqa: B023
     rows = windows.withColumn("t", text).select("path", F.explode(F.concat(*each)).alias("m"))
