@@ -4,7 +4,7 @@ A rolling hash over the hashes of two consecutive lines says where a chunk ends,
 they stand.  Chunks of two or more lines that occur again anywhere are removed, all but their first occurrence.
 
 ``dedup_passages`` looks up every window of two lines instead of the chunks that the hash cuts, so no repeated passage stays.
-``dedup_chunks_and_passages`` removes the chunks and then looks up the windows that they leave.
+``dedup_chunks_and_passages`` removes both.
 """
 
 from __future__ import annotations
@@ -34,13 +34,25 @@ def _chunks() -> Column:
     )
 
 
+def _within_chunks(removed: str) -> Column:
+    """How many rows of the array ``removed`` (first_line, n_lines, chunk) are no chunks and lie within one."""
+    chunks = F.array_sort(F.filter(removed, lambda r: r["chunk"]))
+    end = lambda c: F.coalesce(c["first_line"] + c["n_lines"], F.lit(0))
+    # of each line up to the last chunk's end: the first line of its chunk, or -1
+    chunk_of = F.flatten(F.transform(chunks, lambda c, i: F.concat(F.array_repeat(F.lit(-1), c["first_line"] - end(F.get(chunks, i - 1))), F.array_repeat(c["first_line"], c["n_lines"]))))
+    inside = lambda r: ~r["chunk"] & (F.get(chunk_of, r["first_line"]) >= 0) & (F.get(chunk_of, r["first_line"]) == F.get(chunk_of, r["first_line"] + r["n_lines"] - 1))
+    return F.size(F.filter(removed, inside))
+
+
 def _without(docs: DataFrame, again: DataFrame) -> DataFrame:
-    """``docs`` without the lines of ``again`` (doc_id, text_hash, first_line, n_lines), plus the three counts."""
+    """``docs`` without the lines of ``again`` (doc_id, text_hash, first_line, n_lines), plus the three counts.  Where ``again`` says
+    which of its rows are chunks (chunk), the others count unless they lie within one of these."""
     removed, own_id, own_hash, split = unused(docs.columns, "removed", "own_id", "own_hash", "lines")
-    removals = again.groupBy(F.col("doc_id").alias(own_id), F.col("text_hash").alias(own_hash)).agg(F.collect_set(F.struct("first_line", "n_lines")).alias(removed))
+    removals = again.groupBy(F.col("doc_id").alias(own_id), F.col("text_hash").alias(own_hash)).agg(F.collect_set(F.struct(*(c for c in ("first_line", "n_lines", "chunk") if c in again.columns))).alias(removed))
     joined = docs.join(removals, F.col("doc_id").eqNullSafe(F.col(own_id)) & (F.xxhash64("text") == F.col(own_hash)), "left")
     gone = F.array_distinct(F.flatten(F.transform(removed, lambda r: F.sequence(r["first_line"], r["first_line"] + r["n_lines"] - 1))))
     counts = ("n_lines", "n_removed_lines", "n_removed_chunks")
+    n_apart = F.size(removed) - (_within_chunks(removed) if "chunk" in again.columns else 0)
     rest = F.split("text", "\n")
     wanted = F.array_sort(F.array_except(F.sequence(F.lit(0), F.size(rest) - 1), gone))
     cleaned = F.when(F.col(removed).isNull(), F.col("text")).otherwise(
@@ -52,7 +64,7 @@ def _without(docs: DataFrame, again: DataFrame) -> DataFrame:
             *(cleaned.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns if c not in counts),
             F.when(F.col("text").isNull(), 0).otherwise(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1).cast("long").alias("n_lines"),
             F.coalesce(F.size(gone), F.lit(0)).cast("long").alias("n_removed_lines"),
-            F.coalesce(F.size(removed), F.lit(0)).cast("long").alias("n_removed_chunks"),
+            F.coalesce(n_apart, F.lit(0)).cast("long").alias("n_removed_chunks"),
         )
     )
 
@@ -95,26 +107,14 @@ def dedup_lines(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
     return _without(docs, _repeated_chunks(docs, divisor))
 
 
-def _repeated_windows(docs: DataFrame, chunks: DataFrame | None = None, divisor: int = DIVISOR) -> DataFrame:
-    """doc_id, text_hash, first_line, n_lines of the windows of two lines with text that stand earlier, but for those within ``chunks``
-    (doc_id, text_hash, first_line), repeated ones as ``_repeated_chunks`` finds them.
-
-    What the latter leave out is never a window's first occurrence: the chunk stands earlier, with the same window."""
-    lines = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.split("text", "\n").alias("lines")).where("lines is not null") if chunks is None else _cut(docs, divisor)
-    filled = lines.withColumn("filled", F.array_compact(F.transform("lines", lambda line, i: F.when(F.rlike(line, F.lit("\\S")), i))))
+def _repeated_windows(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash, first_line, n_lines of the windows of two lines with text that stand earlier."""
+    lines = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.split("text", "\n").alias("lines")).where("lines is not null")
+    filled = lines.withColumn("filled", F.array_compact(F.transform("lines", lambda line, i: F.when(F.rlike(line, F.lit("\\S")), i)))).where("size(filled) > 1")
     pairs = F.arrays_zip(F.expr("slice(filled, 1, size(filled) - 1)").alias("first_line"), F.expr("slice(filled, 2, size(filled) - 1)").alias("last_line"))
     window = lambda w: F.array_join(F.slice("lines", w["first_line"] + 1, w["last_line"] - w["first_line"] + 1), "\n")
-    own = lambda w: [w["first_line"].alias("first_line"), (w["last_line"] - w["first_line"] + 1).alias("n_lines"), F.unhex(F.sha2(window(w), 256)).alias("key")]
-    filled = filled.where("size(filled) > 1")
-    if chunks is None:
-        windows, _ = written(filled.select("doc_id", "text_hash", F.inline(F.transform(pairs, lambda w: F.struct(*own(w))))), "line-windows")
-    else:
-        filled = filled.withColumn("chunk_of", F.flatten(F.transform(_chunks(), lambda c: F.array_repeat(c["first_line"], c["n_lines"]))))
-        chunk = lambda w: F.when(F.get("chunk_of", w["first_line"]) == F.get("chunk_of", w["last_line"]), F.get("chunk_of", w["first_line"]))
-        every, _ = written(filled.select("doc_id", "text_hash", F.inline(F.transform(pairs, lambda w: F.struct(*own(w), chunk(w).alias("chunk_line"))))), "line-windows")
-        gone = chunks.select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"), F.col("first_line").alias("gone_line")).distinct()
-        within = F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("text_hash") == F.col("gone_hash")) & (F.col("chunk_line") == F.col("gone_line"))
-        windows = every.join(gone, within, "left_anti").drop("chunk_line")
+    own = lambda w: F.struct(w["first_line"].alias("first_line"), (w["last_line"] - w["first_line"] + 1).alias("n_lines"), F.unhex(F.sha2(window(w), 256)).alias("key"))
+    windows, _ = written(filled.select("doc_id", "text_hash", F.inline(F.transform(pairs, own))), "line-windows")
     place = F.struct("doc_id", "text_hash", "first_line")
     firsts = windows.groupBy("key").agg(F.min(place).alias("first"), F.max(place).alias("last_one")).where("first < last_one").select("key", "first")
     overlaps = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash")) & (F.col("first_line") < F.col("first.first_line") + F.col("n_lines"))
@@ -134,7 +134,10 @@ def dedup_passages(docs: DataFrame) -> DataFrame:
 
 def dedup_chunks_and_passages(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
     """``docs`` without the chunks that ``dedup_lines`` removes; an exact check over windows of two lines, as in ``dedup_passages``,
-    then removes the repeated passages that the chunks' ends have cut.  Both are judged on the input, so what a removal brings
-    together is no passage.  n_removed_chunks counts chunks, and windows beside them."""
+    removes the repeated passages that the chunks' ends have cut.  Both are judged on the input, so what a removal brings
+    together is no passage.  n_removed_chunks counts chunks, and windows that do not lie within one of these.
+
+    Chunks and windows are written apart, so no plan holds both and the driver plans small ones."""
     chunks, _ = written(_repeated_chunks(docs, divisor), "chunks-again")
-    return _without(docs, chunks.unionByName(_repeated_windows(docs, chunks, divisor)))
+    windows, _ = written(_repeated_windows(docs), "windows-again")
+    return _without(docs, chunks.withColumn("chunk", F.lit(True)).unionByName(windows.withColumn("chunk", F.lit(False))))

@@ -266,6 +266,33 @@ def test_chunks_go_first_and_the_exact_check_takes_the_rest(spark):
     assert staged == expected
 
 
+def test_chunks_and_passages_are_planned_apart(spark):
+    """Pipeline, driver's memory: the plan of the result has no look-up of chunks or windows in it; the count is chunks and windows beside them."""
+    rnd = random.Random(6)
+    passages = [[f"passage {n} of {size} lines, line {i}" if i % 4 else "" for i in range(size)] for size in range(2, 12) for n in range(5)]
+    texts = {d: "\n".join(x for k in range(rnd.randint(1, 6)) for x in [f"own line {d} {k}", *rnd.choice(passages)]) for d in range(50)}
+    seen_chunks, seen_windows, expected = {}, {}, {}
+    for d, text in texts.items():
+        own, start, previous, chunk_of, n = text.split("\n"), 0, 0, {}, 0
+        for i, line in enumerate(own):
+            h = int(hashlib.md5(line.encode()).hexdigest()[:7], 16)
+            if (previous * 31 + h) % 3 == 0 or i == len(own) - 1:
+                if i > start and seen_chunks.setdefault(tuple(own[start : i + 1]), (d, start)) != (d, start):
+                    chunk_of |= dict.fromkeys(range(start, i + 1), start)
+                    n += 1
+                start = i + 1
+            previous = h
+        filled = [i for i, x in enumerate(own) if x.strip()]
+        for a, b in zip(filled, filled[1:]):
+            at = seen_windows.setdefault(tuple(own[a : b + 1]), (d, a, b))
+            again = at[0] != d or at[2] < a
+            n += again and (a not in chunk_of or chunk_of[a] != chunk_of.get(b))
+        expected[d] = n
+    out = dedup_chunks_and_passages(frame(spark, list(texts.items())))
+    assert {r.doc_id: r.n_removed_chunks for r in out.collect()} == expected and sum(expected.values()) > 100
+    assert out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1].count("Exchange hashpartitioning") <= 3
+
+
 def test_passages_of_null_empty_and_repeated_rows(spark):
     text = "\n".join(f"line {i}" for i in range(4))
     rows = [(1, text), (1, text), (2, text), (3, None), (4, ""), (5, "\n\n\n"), (6, "\n\n\n"), (7, "line 1"), (None, "line 2\nline 3")]
