@@ -41,19 +41,24 @@ class Encoder:
     """Ids of texts under a vocabulary file, without special tokens around them.
 
     A byte-level vocabulary whose ids follow the order of its merges is read as ranks by the faster of two libraries,
-    with the same ids; any other file, and texts that hold an added token's content, go to the file's own library.
+    with the same ids; any other file, and texts that hold an added token's content, go to the file's own library, which is
+    loaded when first asked.
     """
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
+        self.path = path
         with open(path, encoding="utf-8") as file:
             described = json.load(file)
         self.added = [t["content"] for t in described.get("added_tokens") or []]
         self.ranks = self._ranks(described)
 
+    @functools.cached_property
+    def tokenizer(self):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     @staticmethod
     def _ranks(described: dict):
         model, before = described["model"], described.get("pre_tokenizer") or {}

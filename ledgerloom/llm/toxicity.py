@@ -94,7 +94,7 @@ class Letters:
 class _Sums:
     """Counts by key, gathered over a task and given out when they are many."""
 
-    def __init__(self, most: int = 3_000_000):
+    def __init__(self, most: int = 1_000_000):
         self.most, self.parts, self.size = most, [], 0
 
     def add(self, keys: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -260,8 +260,9 @@ def totals(model: KneserNey, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         found = Letters.of(data, offsets)
         if len(found.starts):
             by_word = np.bincount(found.word, model.ratios(found.expression), minlength=len(found.starts))
-            upto = np.concatenate(([0.0], np.cumsum(by_word)))
-            words[first:last], out[first:last] = np.diff(found.bounds), upto[found.bounds[1:]] - upto[found.bounds[:-1]]
+            words[first:last] = np.diff(found.bounds)
+            # summed text by text, so that no total depends on what else is in the chunk
+            out[first:last] = np.bincount(np.repeat(np.arange(last - first), words[first:last]), by_word, minlength=last - first)
     return out, words
 
 

@@ -13,7 +13,7 @@ import pyarrow as pa
 
 from ledgerloom.llm.rolling import fingerprints, mix, prefix_sums
 
-CHUNK = 1 << 20
+CHUNK = 1 << 18  # a task's arrays take some hundred bytes for each of these, and a worker keeps part of them
 WIDTH = 5
 
 LOWER = np.arange(256, dtype=np.uint8)

@@ -5,18 +5,20 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
 import pytest
 from ledgerloom.llm.components import connected_components
 from ledgerloom.llm.decontaminate import contaminated, mark_contaminated
 from ledgerloom.llm.line_dedup import dedup_chunks_and_passages, dedup_lines, dedup_passages
 from ledgerloom.llm import minhash, quality_rules
 from ledgerloom.llm.minhash import near_duplicates
-from ledgerloom.llm.packing import encoder, pack_documents, plan
+from ledgerloom.llm.packing import Encoder, encoder, pack_documents, plan
 from ledgerloom.llm.quality_rules import Rule, cascade_order, judge_quality, measured, with_features
 from ledgerloom.llm.queries import tokenizer_path
 from ledgerloom.llm.suffix_dedup import remove_repeats, repeated_spans
@@ -610,3 +612,53 @@ def test_far_hits_in_a_long_text_take_no_memory_for_what_lies_between():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert found == {0} and peak < 64 << 20
+
+
+def _some_texts(n_bytes):
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(5000)]
+    texts, size = [], 0
+    while size < n_bytes:
+        texts.append(" ".join(rng.choices(words, k=rng.randint(1, 600))))
+        size += len(texts[-1])
+    return pa.array(texts)
+
+
+def _letter_model(texts):
+    expressions = np.unique(toxicity.Letters.of(*next(toxicity.text_chunks(texts))[2:]).expression)
+    counts = np.random.default_rng(3).integers(0, 9, (2, len(expressions)))
+    return toxicity.estimate(expressions, counts[0], counts[1] + 1, np.full((256, 256), 1 / 256))
+
+
+def test_toxicity_totals_do_not_depend_on_the_texts_around():
+    texts = _some_texts(300_000)
+    model = _letter_model(texts)
+    total, words = toxicity.totals(model, texts)
+    alone = [toxicity.totals(model, texts.slice(i, 1)) for i in range(len(texts))]
+    assert total.tolist() == [t[0] for t, _ in alone] and words.tolist() == [w[0] for _, w in alone]
+
+
+@pytest.mark.parametrize("task", ["evidence", "count", "sketch", "members"])
+def test_tasks_over_texts_hold_little_beside_their_batch(task):
+    texts = _some_texts(4_000_000)
+    n = len(texts)
+    zeros, ids = pa.array(np.zeros(n, np.int32)), pa.array(np.arange(n))
+    batch = pa.RecordBatch.from_arrays([ids, texts, zeros, zeros], names=["doc_id", "text", "toxic", "fold"])
+    run = {"evidence": toxicity._evidence(_letter_model(texts), "evidence"), "count": toxicity._count, "sketch": minhash._sketch, "members": minhash._members}[task]
+    for _ in run(iter([batch.slice(0, 10)])):  # tables that a worker keeps
+        pass
+    tracemalloc.start()
+    try:
+        for _ in run(iter([batch])):
+            pass
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 48 << 20, f"{peak / 2**20:.0f} MiB"
+
+
+def test_packing_loads_the_files_own_library_only_where_it_is_asked():
+    own = Encoder(tokenizer_path())
+    ids = own.ids("plain words")
+    assert "tokenizer" not in vars(own)
+    assert ids == own.tokenizer.encode("plain words", add_special_tokens=False).ids
